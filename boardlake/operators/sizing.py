@@ -1,0 +1,26 @@
+"""Broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a dimension side may have and still be broadcast.  The sides this
+# package broadcasts are narrow projections (an id and a name), so the bound
+# in rows is also a bound of a few hundred bytes per row.
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Counts at most ``max_rows + 1`` rows, so the check stays cheap however
+    large the side is.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast when the row count is proven small, else leave the
+    strategy to the planner (shuffle join, with AQE's skew split)."""
+    return F.broadcast(df) if fits(df, max_rows) else df
