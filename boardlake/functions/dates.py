@@ -136,5 +136,5 @@ def board_date(name: Column | str) -> Column:
     month = F.initcap(F.substring(F.try_element_at(parts, F.lit(2)), 1, 3))
     year = F.coalesce(F.try_element_at(parts, F.lit(3)), F.right(inner, F.lit(4)))
     text = F.concat_ws("-", day, month, year)
-    parsed = F.to_date(F.try_to_timestamp(text, F.lit("d-MMM-yyyy")))
+    parsed = F.try_to_date(text, "d-MMM-yyyy")
     return F.when(F.size(parts) >= 2, parsed)

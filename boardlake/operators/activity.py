@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from boardlake.functions.dates import BOUNDS, idle_filter, range_condition, range_filter
 from boardlake.functions.text import member_match
+from boardlake.operators.sizing import broadcast_if_small
 from boardlake.schemas import GOLD_A
 
 
@@ -24,7 +25,7 @@ def idle_cards(cards: DataFrame, lists: str | DataFrame, days: int,
     per board, from :func:`list_lookup`), applied as a broadcast semi join.
     """
     if isinstance(lists, DataFrame):
-        ids = F.broadcast(lists.select(F.col("list_id").alias("__list_id")))
+        ids = broadcast_if_small(lists.select(F.col("list_id").alias("__list_id")))
         cards = cards.join(ids, cards[list_col] == ids["__list_id"], "left_semi")
     else:
         cards = cards.where(F.col(list_col) == F.lit(lists))

@@ -28,9 +28,12 @@ def current_board(boards: DataFrame, pick: str = "latest", id_col: str = "id",
     """
     if pick not in PICK_BOARD:
         raise ValueError(f"pick must be one of {PICK_BOARD}")
-    dated = dated_boards(boards, name_col)
-    rank = (F.struct(F.col("board_date"), F.col(pos_col)) if pick == "latest"
-            else F.struct(F.col(pos_col)))
+    # max_by skips rows whose ordering value is null, so undated boards drop
+    # out without a separate filter (which would parse every name twice).
+    dated = boards.withColumn("board_date", board_date(name_col))
+    key = (F.struct(F.col("board_date"), F.col(pos_col)) if pick == "latest"
+           else F.struct(F.col(pos_col)))
+    rank = F.when(F.col("board_date").isNotNull(), key)
     row = F.struct(F.col(id_col).alias("id"), F.col(name_col).alias("name"),
                    F.col("board_date").alias("board_date"))
     best = dated.agg(F.max_by(row, rank).alias("b"))

@@ -13,8 +13,13 @@ SEMANTIC_CONF = {
 }
 
 # Execution settings: AQE re-plans joins from runtime sizes, coalesces
-# small shuffle partitions and splits skewed ones.
+# small shuffle partitions and splits skewed ones.  Broadcasts come only
+# from sizes that are measured (AQE, after a shuffle stage has run) or
+# proven by a row count (operators.sizing); the static planner's guess from
+# compressed file sizes is switched off.
 EXECUTION_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
