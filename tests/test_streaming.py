@@ -1,0 +1,28 @@
+from boardlake.plans import pipeline as P
+from boardlake.sources.tables import read_table
+from boardlake.streaming.ingest import stream_cards
+from conftest import rows
+from test_pipeline import CARDS, _write, card
+
+
+def test_available_now_twice_equals_batch(spark, tmp_path):
+    landing = str(tmp_path / "cards")
+    root_stream, root_batch = str(tmp_path / "stream"), str(tmp_path / "batch")
+    ckpt = str(tmp_path / "ckpt")
+
+    _write(landing, CARDS[:3])
+    stream_cards(spark, landing, root_stream, checkpoint=ckpt).awaitTermination()
+    later = [card("c1", "fix login", "2023-01-20T00:00:00.000Z", members=("m2",)),
+             card("c2", "fix login", "2022-06-01T00:00:00.000Z")] + CARDS[3:]   # c2 arrives late
+    _write(landing, later)
+    stream_cards(spark, landing, root_stream, checkpoint=ckpt).awaitTermination()
+    # A third run finds nothing new and writes nothing.
+    stream_cards(spark, landing, root_stream, checkpoint=ckpt).awaitTermination()
+
+    P.ingest_bronze(spark, landing, root_batch, "cards")
+    streamed = rows(read_table(spark, root_stream, P.BRONZE_CARDS))
+    batched = rows(read_table(spark, root_batch, P.BRONZE_CARDS))
+    assert streamed == batched
+    by_id = {r[0]: r for r in streamed}
+    assert str(by_id["c2"][2]).startswith("2023-01-08")        # the late, older update lost
+    assert by_id["c1"][7] == ["m2"]                            # the newer update won
