@@ -23,7 +23,7 @@ from boardlake.operators.refine import board_filter
 from boardlake.operators.upsert import upsert
 from boardlake.plans import standins as si
 from boardlake.schemas import GOLD_A, GOLD_B, GOLD_C
-from boardlake.sources.landing import parse_cards_column, parse_json_field
+from boardlake.sources.landing import parse_cards_column, parse_json_field, parse_members_column
 from boardlake.sources.tables import widen
 
 # Parameters of the stand-in queries.
@@ -83,6 +83,27 @@ def q_bronze_cards_json(spark: SparkSession, d: str) -> DataFrame:
                         "idBoard", "idList", "name")
 
 
+def q_bronze_members_json(spark, d):
+    """Member JSON text -> the nine bronze member columns."""
+    s = si.table(spark, d, "supplier")
+    user = F.lower(F.regexp_replace("s_name", "#", "_"))
+    payload = F.to_json(F.struct(
+        F.col("s_suppkey").cast("string").alias("id"),
+        F.col("s_name").alias("fullName"),
+        F.concat(F.lit("S"), F.right("s_name", F.lit(3))).alias("initials"),
+        F.when(F.col("s_acctbal") < 0, "virtual").otherwise("normal").alias("memberType"),
+        F.concat(F.lit("https://board.example/"), user).alias("url"),
+        user.alias("username"),
+        F.lit("active").alias("status"),
+        F.when(F.col("s_acctbal") > 5000, F.concat(user, F.lit("@example.org"))).alias("email"),
+        F.array(F.col("s_nationkey").cast("string")).alias("idOrganizations"),
+        F.lit(1).alias("ignoredKey"),
+    ))
+    m = parse_members_column(s.select(payload.alias("value")), "value")
+    return m.select(*[c for c in m.columns if c != "idOrganizations"],
+                    F.element_at("idOrganizations", 1).alias("idOrganization"))
+
+
 def q_json_parse(spark, d):
     """S3: parse a JSON text column with a declared schema."""
     e = si.table(spark, d, "events")
@@ -130,6 +151,18 @@ def q_silver_cards(spark, d):
     return si.silver(spark, d, board=BOARD)
 
 
+def q_silver_cards_keep(spark, d):
+    """J2 in silver: unmatched cards kept with empty card_members."""
+    return si.silver(spark, d, board=BOARD, keep_unmatched=True)
+
+
+def q_silver_upsert(spark, d):
+    """R3's MERGE: today's refined board upserted into yesterday's silver."""
+    yesterday = si.silver(spark, d).where(F.col("dateLastActivity") < _ntz(UPSERT_TARGET_BEFORE))
+    today = si.silver(spark, d, board=BOARD, keep_unmatched=True)
+    return upsert(yesterday, today, ["id"])
+
+
 def q_unique_cards(spark, d):
     """Newest silver card per name."""
     return si.unique(spark, d)
@@ -222,6 +255,12 @@ def q_idle_cards(spark, d):
     return idle_cards(si.silver(spark, d), doing, IDLE_DAYS, as_of=IDLE_AS_OF)
 
 
+def q_idle_cards_first_list(spark, d):
+    """G0 with the reference's list pick (the board's first list)."""
+    first = list_lookup(si.lists(spark, d), pick="first").where(F.col("idBoard") == BOARD)
+    return idle_cards(si.silver(spark, d), first, IDLE_DAYS, as_of=IDLE_AS_OF)
+
+
 def q_activity_contains(spark, d):
     """G3-type: contains, closed timestamp bounds, column order A."""
     return member_activity(si.unique(spark, d), MEMBER, ACT_START, ACT_END, "contains", "closed_ts", GOLD_A)
@@ -286,6 +325,7 @@ def q_medallion_e2e(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "medallion_e2e": q_medallion_e2e,
     "bronze_cards_json": q_bronze_cards_json,
+    "bronze_members_json": q_bronze_members_json,
     "json_parse": q_json_parse,
     "project_cards": q_project_cards,
     "board_filter": q_board_filter,
@@ -294,6 +334,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "last_updated": q_last_updated,
     "with_board_name": q_with_board_name,
     "silver_cards": q_silver_cards,
+    "silver_cards_keep": q_silver_cards_keep,
+    "silver_upsert": q_silver_upsert,
     "unique_cards": q_unique_cards,
     "dedupe_latest": q_dedupe_latest,
     "dedupe_latest_agg": q_dedupe_latest_agg,
@@ -307,6 +349,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "list_lookup": q_list_lookup,
     "list_lookup_first": q_list_lookup_first,
     "idle_cards": q_idle_cards,
+    "idle_cards_first_list": q_idle_cards_first_list,
     "activity_contains": q_activity_contains,
     "activity_like": q_activity_like,
     "activity_open_ts": q_activity_open_ts,

@@ -34,6 +34,11 @@ UNIQ = """uniq AS (
 
 SILVER_CHAIN = f"WITH {CARDS},\n{NAMES},\n{SILVER},\n{UNIQ}\n"
 
+SILVER_KEEP = """silver_keep AS (
+  SELECT c.*, coalesce(n.card_members, '') AS card_members,
+         strftime(c.dateLastActivity, '%d-%m-%Y') AS LastUpdated, 'Board ' || c.idBoard AS board_name
+  FROM cards c LEFT JOIN names n ON c.id = n.id)"""
+
 UPSERT_SRC = f"""s AS (
   SELECT id, NOT closed AS closed, dateLastActivity,
          CASE WHEN idList LIKE '%/O' THEN NULL ELSE idBoard END AS idBoard,
@@ -89,6 +94,14 @@ SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus = 'F' AS closed, o_order
        o_orderpriority AS idBoard, o_orderpriority || '/' || o_orderstatus AS idList,
        CAST(o_custkey AS VARCHAR) AS name
 FROM orders""",
+    "bronze_members_json": """
+SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS fullName, 'S' || right(s_name, 3) AS initials,
+       CASE WHEN s_acctbal < 0 THEN 'virtual' ELSE 'normal' END AS memberType,
+       'https://board.example/' || lower(replace(s_name, '#', '_')) AS url,
+       lower(replace(s_name, '#', '_')) AS username, 'active' AS status,
+       CASE WHEN s_acctbal > 5000 THEN lower(replace(s_name, '#', '_')) || '@example.org' END AS email,
+       CAST(s_nationkey AS VARCHAR) AS idOrganization
+FROM supplier""",
     "json_parse": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "project_cards": f"WITH {CARDS} SELECT * FROM cards",
     "board_filter": f"WITH {CARDS} SELECT * FROM cards WHERE idBoard = '{c.BOARD}'",
@@ -98,6 +111,17 @@ FROM orders""",
     "last_updated": "SELECT event_id, strftime(ts, '%d-%m-%Y') AS LastUpdated FROM events",
     "with_board_name": f"WITH {CARDS} SELECT id, 'Board ' || idBoard AS board_name FROM cards",
     "silver_cards": f"WITH {CARDS},\n{NAMES},\n{SILVER}\nSELECT * FROM silver WHERE idBoard = '{c.BOARD}'",
+    "silver_cards_keep": f"WITH {CARDS},\n{NAMES},\n{SILVER_KEEP}\n"
+                         f"SELECT * FROM silver_keep WHERE idBoard = '{c.BOARD}'",
+    "silver_upsert": f"""WITH {CARDS},
+{NAMES},
+{SILVER},
+{SILVER_KEEP},
+t AS (SELECT * FROM silver WHERE dateLastActivity < TIMESTAMP '{c.UPSERT_TARGET_BEFORE}'),
+s AS (SELECT * FROM silver_keep WHERE idBoard = '{c.BOARD}')
+SELECT * FROM s
+UNION ALL
+SELECT t.* FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.id = t.id)""",
     "unique_cards": SILVER_CHAIN + "SELECT * FROM uniq",
     "dedupe_latest": """SELECT * FROM orders
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
@@ -153,6 +177,12 @@ FROM cards c JOIN orders o ON c.id = o.o_orderkey""",
 {SILVER}
 SELECT {', '.join(c.GOLD_A)} FROM silver
 WHERE idList = '{c.BOARD}/O'
+  AND dateLastActivity < TIMESTAMP '{(c.IDLE_AS_OF - dt.timedelta(days=c.IDLE_DAYS)).isoformat(' ')}'""",
+    "idle_cards_first_list": f"""WITH {CARDS},
+{NAMES},
+{SILVER}
+SELECT {', '.join(c.GOLD_A)} FROM silver
+WHERE idList = '{c.BOARD}/F'
   AND dateLastActivity < TIMESTAMP '{(c.IDLE_AS_OF - dt.timedelta(days=c.IDLE_DAYS)).isoformat(' ')}'""",
     "activity_contains": _activity(c.MEMBER, c.ACT_START, c.ACT_END, "contains", "closed_ts", c.GOLD_A),
     "activity_like": _activity(c.LIKE_MEMBER, c.ACT_START, c.ACT_END, "like", "closed_date", c.GOLD_B),

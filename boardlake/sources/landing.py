@@ -55,6 +55,12 @@ def parse_cards_column(df: DataFrame, column: str | Column) -> DataFrame:
     return _typed_cards(df.select(F.from_json(c, CARDS_JSON).alias("__card")).select("__card.*"))
 
 
+def parse_members_column(df: DataFrame, column: str | Column) -> DataFrame:
+    """Member rows from a column of member JSON text."""
+    c = F.col(column) if isinstance(column, str) else column
+    return df.select(F.from_json(c, MEMBERS_JSON).alias("__m")).select("__m.*").select(*MEMBER_COLUMNS)
+
+
 def parse_json_field(column: str | Column, ddl: str) -> Column:
     """Parse a JSON text column with a DDL schema, e.g. ``'k bigint'``."""
     c = F.col(column) if isinstance(column, str) else column

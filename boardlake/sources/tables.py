@@ -86,3 +86,28 @@ def write_snapshot(df: DataFrame, root: str, name: str, merge_schema: bool = Tru
         writer = writer.partitionBy(*partition_by)
     writer.parquet(version_path(root, name, nxt))
     return nxt
+
+
+def prune_versions(spark: SparkSession, root: str, name: str, keep: int = 3) -> list[int]:
+    """Delete all but the newest ``keep`` committed versions of ``name``, and
+    any uncommitted (failed) version directory older than the newest
+    committed one.  Returns the versions deleted."""
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
+    fs, base = _fs_and_path(spark, table_path(root, name))
+    committed = committed_versions(spark, root, name)
+    if not committed:
+        return []
+    keep_set = set(committed[-keep:])
+    newest = committed[-1]
+    gone = []
+    for st in fs.listStatus(base):
+        leaf = st.getPath().getName()
+        if not (st.isDirectory() and leaf.startswith(_PREFIX) and leaf[len(_PREFIX):].isdigit()):
+            continue
+        v = int(leaf[len(_PREFIX):])
+        if v in keep_set or v > newest:
+            continue
+        fs.delete(st.getPath(), True)
+        gone.append(v)
+    return sorted(gone)

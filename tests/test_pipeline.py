@@ -110,3 +110,13 @@ def test_snapshot_widening(spark, tmp_path):
     assert t.columns == ["id", "old", "new"]
     assert rows(t) == [(2, None, True)]
     assert rows(read_table(spark, root, "x", version=1)) == [(1, "a")]
+
+
+def test_prune_versions(spark, tmp_path):
+    from boardlake.sources.tables import prune_versions
+    root = str(tmp_path / "t")
+    for i in range(5):
+        write_snapshot(spark.createDataFrame([(i,)], "id int"), root, "x")
+    assert prune_versions(spark, root, "x", keep=2) == [1, 2, 3]
+    assert committed_versions(spark, root, "x") == [4, 5]
+    assert rows(read_table(spark, root, "x")) == [(4,)]
