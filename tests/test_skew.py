@@ -1,0 +1,72 @@
+"""One key holding a third of all rows: results stay whole and exact, and the
+plans reduce the hot key before the shuffle."""
+
+import datetime as dt
+import random
+
+from pyspark.sql import functions as F
+
+from boardlake.operators.activity import MemberSpec, member_activity, member_activity_many
+from boardlake.operators.members import member_names
+from boardlake.operators.refine import unique_cards
+from conftest import rows
+
+N = 9000
+
+
+def _skewed(spark):
+    rnd = random.Random(7)
+    base = dt.datetime(2023, 1, 1)
+    cards, members = [], [(f"m{i}", f"Member {i:04d}") for i in range(3000)]
+    for i in range(N):
+        name = "hot" if i % 3 == 0 else f"card {i % 700}"
+        ids = ["mHot"] if i % 3 == 1 else [f"m{rnd.randrange(3000)}" for _ in range(rnd.randrange(0, 4))]
+        cards.append((f"c{i:05d}", name, base + dt.timedelta(minutes=rnd.randrange(100000)), ids))
+    cards.append(("cWide", "wide", base, [f"m{i}" for i in range(2500)] + ["m1", "mHot"]))
+    members.append(("mHot", "Hot Member"))
+    c = spark.createDataFrame(cards, "id string, name string, dateLastActivity timestamp, idMembers array<string>")
+    m = spark.createDataFrame(members, "id string, fullName string")
+    return cards, members, c.repartition(8), m
+
+
+def test_hot_name_dedupe(spark):
+    cards, _, c, _ = _skewed(spark)
+    best = {}
+    for cid, name, ts, _ in cards:
+        if name not in best or (ts, cid) > best[name][:2]:
+            best[name] = (ts, cid)
+    expected = sorted(v[1] for v in best.values())
+    out = unique_cards(c)
+    assert sorted(r[0] for r in out.select("id").collect()) == expected
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Partial" in plan and "WindowGroupLimit" in plan
+
+
+def test_hot_member_and_wide_card(spark):
+    cards, members, c, m = _skewed(spark)
+    names = dict(members)
+    expected = {}
+    for cid, _, _, ids in cards:
+        known = sorted((names[x], x) for x in set(ids) if x in names)
+        if known:
+            expected[cid] = ", ".join(n for n, _ in known)
+    for max_rows in (10_000_000, 1):          # broadcast, then forced shuffle join
+        got = dict(rows(member_names(c, m, max_broadcast_rows=max_rows), "id", "card_members"))
+        assert got == expected
+    assert got["cWide"].count(", ") == 2500    # 2502 ids, one repeated -> 2501 names, whole
+
+
+def test_many_reports_equal_single_reports(spark):
+    _, _, c, m = _skewed(spark)
+    silver = member_names(c, m)
+    specs = [MemberSpec("hot", "Hot Member", "2023-01-10", "2023-02-10", "contains", "closed_ts"),
+             MemberSpec("like", "Member 00_1", "2023-01-01", "2023-03-01", "like", "closed_date"),
+             MemberSpec("all", "Member", None, None, "contains", "closed_ts")]
+    many = rows(member_activity_many(silver, specs, ["id"]), "report", "id")
+    single = []
+    for s in specs:
+        out = member_activity(silver, s.member, s.start, s.end, s.match, s.bounds, ["id"])
+        single += [(s.report,) + r for r in rows(out)]
+    assert many == sorted(single, key=repr)
+    plan = member_activity_many(silver, specs, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
