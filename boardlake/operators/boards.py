@@ -13,8 +13,14 @@ PICK_LIST = ("name", "first")
 
 
 def dated_boards(boards: DataFrame, name_col: str = "name") -> DataFrame:
-    """Boards whose name carries a sprint date, with that date as ``board_date``."""
-    return boards.withColumn("board_date", board_date(name_col)).where(F.col("board_date").isNotNull())
+    """Boards whose name carries a sprint date, with that date as ``board_date``.
+
+    A filter on the parsed date would be pushed below the projection with
+    the parse inlined, so every name would be parsed twice; generating from
+    ``array_compact(array(date))`` parses once and emits no row for null.
+    """
+    parsed = F.explode(F.array_compact(F.array(board_date(name_col))))
+    return boards.select(*[F.col(f"`{c}`") for c in boards.columns], parsed.alias("board_date"))
 
 
 def current_board(boards: DataFrame, pick: str = "latest", id_col: str = "id",
