@@ -102,3 +102,37 @@ def test_member_match(spark):
     assert lit == ["Ann Lee, Bob_Ray"]
     across = [r[0] for r in rows(df.where(member_match("m", "Lee, Bob", "contains")), "m")]
     assert across == ["Ann Lee, Bob_Ray"]
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+_minutes = st.lists(st.integers(0, 14 * 24 * 60), min_size=1, max_size=40)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(offsets=_minutes, a=st.integers(0, 13), span=st.integers(0, 5))
+def test_range_variants_nest(spark, offsets, a, span):
+    """open_ts is inside closed_ts, which is inside closed_date."""
+    base = dt.datetime(2023, 1, 1)
+    df = spark.createDataFrame([(i, base + dt.timedelta(minutes=m)) for i, m in enumerate(offsets)],
+                               "id long, ts timestamp")
+    start = (base + dt.timedelta(days=a)).date().isoformat()
+    end = (base + dt.timedelta(days=a + span)).date().isoformat()
+    got = {b: {r[0] for r in range_filter(df, "ts", start, end, b).select("id").collect()}
+           for b in ("open_ts", "closed_ts", "closed_date")}
+    assert got["open_ts"] <= got["closed_ts"] <= got["closed_date"]
+    lo, hi = base + dt.timedelta(days=a), base + dt.timedelta(days=a + span)
+    assert got["closed_date"] == {i for i, m in enumerate(offsets)
+                                  if lo <= base + dt.timedelta(minutes=m) < hi + dt.timedelta(days=1)}
+
+
+def test_closed_date_with_time_zone_shift(spark):
+    """With a zone other than UTC the day is taken after shifting from UTC."""
+    df = spark.createDataFrame([(1, dt.datetime(2023, 1, 8, 20, 0)), (2, dt.datetime(2023, 1, 5, 20, 0))],
+                               "id long, ts timestamp")
+    utc = [r[0] for r in rows(range_filter(df, "ts", "2023-01-06", "2023-01-08", "closed_date"), "id")]
+    kolkata = [r[0] for r in rows(range_filter(df, "ts", "2023-01-06", "2023-01-08", "closed_date",
+                                               tz="Asia/Kolkata"), "id")]
+    assert utc == [1]          # 01-08 20:00 UTC is on the end day
+    assert kolkata == [2]      # 01-05 20:00 UTC is 01-06 01:30 in Kolkata; 01-08 20:00 is 01-09

@@ -120,3 +120,48 @@ def test_prune_versions(spark, tmp_path):
     assert prune_versions(spark, root, "x", keep=2) == [1, 2, 3]
     assert committed_versions(spark, root, "x") == [4, 5]
     assert rows(read_table(spark, root, "x")) == [(4,)]
+
+
+def test_multi_line_landing(spark, tmp_path):
+    from boardlake.sources.landing import read_cards
+    d = tmp_path / "one-object-per-file"
+    d.mkdir()
+    for c in CARDS[:2]:
+        (d / f"{c['id']}.json").write_text(json.dumps(c, indent=2))
+    got = rows(read_cards(spark, str(d), multi_line=True), "id", "name")
+    assert got == [("c1", "fix login"), ("c2", "fix login")]
+
+
+def test_gold_member_column_orders(spark, tmp_path):
+    from boardlake.schemas import GOLD_B, GOLD_C
+    lr, root = _landing(tmp_path), str(tmp_path / "tables")
+    P.run_all(spark, lr, root, idle_days=5, as_of=dt.datetime(2023, 1, 9))
+    spec = MemberSpec("bo", "Bo Li", "2022-12-01", "2023-01-31", "like", "open_ts")
+    P.gold_member(spark, root, spec, GOLD_B)
+    assert read_table(spark, root, "gold_bo").columns == GOLD_B
+    P.gold_member(spark, root, spec, GOLD_C)
+    t = read_table(spark, root, "gold_bo")
+    # mergeSchema overwrite: card_members stays as a column, null in the new rows.
+    assert t.columns == GOLD_B and t.where("card_members is not null").count() == 0
+    assert rows(t, "id") == [("c2",), ("c3",)]
+
+
+def test_cli(spark, tmp_path, capsys):
+    from boardlake.plans.cli import main
+    lr, root = _landing(tmp_path), str(tmp_path / "tables")
+    for kind in ("boards", "lists", "members", "cards"):
+        main(["ingest", "--landing", f"{lr}/{kind}", "--root", root, "--kind", kind], spark=spark)
+    main(["refine", "--root", root], spark=spark)
+    main(["unique", "--root", root], spark=spark)
+    main(["idle", "--root", root, "--days", "5", "--as-of", "2023-01-09"], spark=spark)
+    main(["member", "--root", root, "--report", "ann", "--member", "Ann Lee", "--start_date",
+          "01-01-2023", "--end_date", "08-01-2023", "--date-format", "%d-%m-%Y",
+          "--bounds", "closed_date", "--columns", "C"], spark=spark)
+    specs = tmp_path / "specs.json"
+    specs.write_text(json.dumps([{"report": "bo", "member": "Bo Li"}]))
+    main(["reports", "--root", root, "--specs", str(specs)], spark=spark)
+    assert rows(read_table(spark, root, P.GOLD_IDLE), "id") == [("c1",), ("c3",)]
+    assert rows(read_table(spark, root, "gold_ann"), "id") == [("c2",)]
+    assert rows(read_table(spark, root, P.GOLD_REPORTS), "report", "id") == [("bo", "c2"), ("bo", "c3"),
+                                                                              ("bo", "c6")]
+    assert '"command": "reports"' in capsys.readouterr().out
