@@ -9,14 +9,16 @@ from boardlake.functions.dates import last_updated
 from boardlake.operators.boards import with_board_name
 from boardlake.operators.dedupe import latest_per_key
 from boardlake.operators.members import member_names, member_names_from_pairs
+from boardlake.operators.sizing import broadcast_if_small
 
 
 def board_filter(cards: DataFrame, board: str | DataFrame, board_col: str = "idBoard") -> DataFrame:
-    """Cards of one board.  ``board`` is an id, or a one-row DataFrame with
-    an ``id`` column (e.g. :func:`current_board`), joined as a broadcast
-    semi join so no value travels through the driver."""
+    """Cards of a board.  ``board`` is an id, or a DataFrame of board ids in
+    an ``id`` column (e.g. the one-row :func:`current_board`), applied as a
+    semi join (broadcast when proven small) so no value travels through
+    the driver."""
     if isinstance(board, DataFrame):
-        b = F.broadcast(board.select(F.col("id").alias("__board_id")).limit(1))
+        b = broadcast_if_small(board.select(F.col("id").alias("__board_id")))
         return cards.join(b, cards[board_col] == b["__board_id"], "left_semi")
     return cards.where(F.col(board_col) == F.lit(board))
 
