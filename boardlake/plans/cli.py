@@ -8,7 +8,7 @@
                                 [--date-format %Y-%m-%d] [--match contains|like]
                                 [--bounds closed_ts|open_ts|closed_date] [--columns A|B|C]
     python -m boardlake reports --root R --specs specs.json
-    python -m boardlake stream  --landing L --root R [--checkpoint C]
+    python -m boardlake stream  --landing L --root R [--kind cards|members] [--checkpoint C]
     python -m boardlake run-all --landing-root L --root R [--days N]
 
 Each command builds its session with :func:`boardlake.session.build_session`
@@ -70,8 +70,9 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--root", required=True)
     s.add_argument("--specs", required=True, help="JSON file: a list of MemberSpec fields")
 
-    s = sub.add_parser("stream", help="incremental card ingest (processes what has landed, then stops)")
+    s = sub.add_parser("stream", help="incremental bronze ingest (processes what has landed, then stops)")
     s.add_argument("--landing", required=True)
+    s.add_argument("--kind", default="cards", choices=["cards", "members"])
     s.add_argument("--root", required=True)
     s.add_argument("--checkpoint", default=None)
 
@@ -112,8 +113,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     elif args.cmd == "reports":
         v = P.gold_member_reports(spark, args.root, load_specs(args.specs))
     elif args.cmd == "stream":
-        from boardlake.streaming.ingest import stream_cards
-        stream_cards(spark, args.landing, args.root, args.checkpoint).awaitTermination()
+        from boardlake.streaming.ingest import stream_cards, stream_members
+        start = stream_cards if args.kind == "cards" else stream_members
+        start(spark, args.landing, args.root, args.checkpoint).awaitTermination()
         v = None
     else:
         P.run_all(spark, args.landing_root, args.root, args.days)

@@ -14,15 +14,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardlake.plans.pipeline import BRONZE_CARDS, _row_fingerprint, _table_or_empty
+from boardlake.plans.pipeline import BRONZE_CARDS, BRONZE_MEMBERS, _row_fingerprint, _table_or_empty
 from boardlake.operators.upsert import upsert
-from boardlake.schemas import CARDS_JSON
+from boardlake.schemas import CARDS_JSON, MEMBER_COLUMNS, MEMBERS_JSON
 from boardlake.session import checkpoint_root
 from boardlake.sources.landing import _typed_cards
-from boardlake.sources.tables import write_snapshot
+from boardlake.sources.tables import read_table, write_snapshot
+
+
+def _keep_rejected(spark: SparkSession, batch: DataFrame, root: str, kind: str) -> None:
+    """Rows without an id are kept, not dropped: each micro-batch adds its
+    rejects to ``rejected_<kind>`` (the batch job writes a run's rejects)."""
+    rejects = batch.where(F.col("id").isNull())
+    name = f"rejected_{kind}"
+    previous = read_table(spark, root, name)
+    if previous is not None:
+        rejects = previous.unionByName(rejects, allowMissingColumns=True)
+    write_snapshot(rejects, root, name, merge_schema=False)
 
 
 def upsert_card_batch(spark: SparkSession, batch: DataFrame, root: str) -> int:
+    _keep_rejected(spark, batch, root, "cards")
     good = batch.where(F.col("id").isNotNull())
     target = _table_or_empty(spark, root, BRONZE_CARDS, batch.schema)
     order = [F.col("dateLastActivity").desc_nulls_last(), _row_fingerprint(batch).desc()]
@@ -30,6 +42,32 @@ def upsert_card_batch(spark: SparkSession, batch: DataFrame, root: str) -> int:
     return write_snapshot(merged, root, BRONZE_CARDS)
 
 
+def upsert_member_batch(spark: SparkSession, batch: DataFrame, root: str) -> int:
+    _keep_rejected(spark, batch, root, "members")
+    good = batch.where(F.col("id").isNotNull())
+    target = _table_or_empty(spark, root, BRONZE_MEMBERS, batch.schema)
+    merged = upsert(target, good, ["id"], order_by=[_row_fingerprint(batch).desc()])
+    return write_snapshot(merged, root, BRONZE_MEMBERS)
+
+
+def stream_members(spark: SparkSession, landing: str, root: str, checkpoint: str | None = None,
+                   max_files_per_trigger: int | None = None, available_now: bool = True):
+    """As :func:`stream_cards` for member JSON (no late-data guard: members
+    carry no timestamp, so the newest batch wins)."""
+    ckpt = checkpoint or f"{checkpoint_root(spark)}/boardlake/stream_{BRONZE_MEMBERS}"
+    reader = spark.readStream.schema(MEMBERS_JSON)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    members = reader.json(landing).select(*MEMBER_COLUMNS)
+
+    def _batch(df: DataFrame, epoch_id: int) -> None:
+        upsert_member_batch(spark, df, root)
+
+    writer = members.writeStream.foreachBatch(_batch).option("checkpointLocation", ckpt)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
+
+
 def stream_cards(spark: SparkSession, landing: str, root: str, checkpoint: str | None = None,
                  max_files_per_trigger: int | None = None, available_now: bool = True):
     """Start the card stream; with ``available_now`` it processes what has

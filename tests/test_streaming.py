@@ -26,3 +26,17 @@ def test_available_now_twice_equals_batch(spark, tmp_path):
     by_id = {r[0]: r for r in streamed}
     assert str(by_id["c2"][2]).startswith("2023-01-08")        # the late, older update lost
     assert by_id["c1"][7] == ["m2"]                            # the newer update won
+
+
+def test_member_stream_equals_batch(spark, tmp_path):
+    from boardlake.streaming.ingest import stream_members
+    from test_pipeline import MEMBERS
+    landing = str(tmp_path / "members")
+    _write(landing, MEMBERS[:1])
+    stream_members(spark, landing, str(tmp_path / "s"), checkpoint=str(tmp_path / "c")).awaitTermination()
+    _write(landing, [{"id": "m1", "fullName": "Ann Lee-Smith"}] + MEMBERS[1:])
+    stream_members(spark, landing, str(tmp_path / "s"), checkpoint=str(tmp_path / "c")).awaitTermination()
+    got = rows(read_table(spark, str(tmp_path / "s"), P.BRONZE_MEMBERS), "id", "fullName")
+    assert got == [("m1", "Ann Lee-Smith"), ("m2", "Bo Li")]
+    rejected = rows(read_table(spark, str(tmp_path / "s"), "rejected_members"), "fullName")
+    assert rejected == [("no id",)]
