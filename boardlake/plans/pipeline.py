@@ -13,16 +13,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from boardlake.operators.activity import MemberSpec, idle_cards, member_activity, member_activity_many
 from boardlake.operators.boards import current_board, list_lookup
 from boardlake.operators.refine import refine_cards, unique_cards
 from boardlake.operators.sizing import broadcast_if_small
-from boardlake.operators.upsert import empty_like, upsert
 from boardlake.schemas import GOLD_A
 from boardlake.sources.landing import read_boards, read_cards, read_lists, read_members
-from boardlake.sources.tables import read_table, write_snapshot
+from boardlake.sources.tables import merge_into, read_table, write_snapshot
 
 # Table names under the pipeline root.
 BRONZE_CARDS = "bronze_cards"
@@ -35,11 +33,6 @@ GOLD_IDLE = "gold_noactive_cards"
 GOLD_REPORTS = "gold_member_reports"
 
 
-def _table_or_empty(spark: SparkSession, root: str, name: str, schema: StructType) -> DataFrame:
-    t = read_table(spark, root, name)
-    return t if t is not None else empty_like(spark, schema)
-
-
 def _require(spark: SparkSession, root: str, name: str) -> DataFrame:
     t = read_table(spark, root, name)
     if t is None:
@@ -73,8 +66,7 @@ def ingest_bronze(spark: SparkSession, landing: str, root: str, kind: str = "car
         raise ValueError("kind must be 'cards' or 'members'")
     write_snapshot(raw.where(F.col("id").isNull()), root, f"rejected_{kind}", merge_schema=False)
     good = raw.where(F.col("id").isNotNull())
-    target = _table_or_empty(spark, root, table, raw.schema)
-    return write_snapshot(upsert(target, good, ["id"], order_by=order), root, table)
+    return merge_into(spark, root, table, good, ["id"], order_by=order)
 
 
 def ingest_listing(spark: SparkSession, landing: str, root: str, kind: str = "boards",
@@ -106,8 +98,7 @@ def refine_silver(spark: SparkSession, root: str, board: str | None = None,
     members = _require(spark, root, BRONZE_MEMBERS)
     the_board = _board(spark, root, board, board_pick)
     refined = refine_cards(cards, members, board=the_board, keep_unmatched=keep_unmatched)
-    target = _table_or_empty(spark, root, SILVER_CARDS, refined.schema)
-    return write_snapshot(upsert(target, refined, ["id"]), root, SILVER_CARDS)
+    return merge_into(spark, root, SILVER_CARDS, refined, ["id"])
 
 
 def build_unique(spark: SparkSession, root: str) -> int:

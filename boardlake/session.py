@@ -27,18 +27,29 @@ EXECUTION_CONF = {
 }
 
 
+# Delta Lake session extension (public delta-spark settings); used only with
+# table_format="delta", which needs the delta-spark package and jar.
+DELTA_CONF = {
+    "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",
+    "spark.sql.catalog.spark_catalog": "org.apache.spark.sql.delta.catalog.DeltaCatalog",
+}
+
+
 def build_session(app_name: str = "boardlake", master: str | None = None,
-                  conf: dict | None = None) -> SparkSession:
+                  conf: dict | None = None, table_format: str = "parquet") -> SparkSession:
     """Return a session with the pipeline's settings.
 
     ``master`` is only set when given (tests and bench pass ``local[N]``);
     on a cluster the submitter decides.  Cluster-wide settings such as
-    ``spark.checkpoint.dir`` are never overridden here.
+    ``spark.checkpoint.dir`` are never overridden here.  ``table_format``
+    selects the table backend (``parquet`` snapshots or ``delta``).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**EXECUTION_CONF, **SEMANTIC_CONF, **(conf or {})}.items():
+    extra = dict(DELTA_CONF) if table_format == "delta" else {}
+    extra["boardlake.tables.format"] = table_format
+    for key, value in {**EXECUTION_CONF, **SEMANTIC_CONF, **extra, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     for key, value in SEMANTIC_CONF.items():

@@ -1,5 +1,15 @@
 """Versioned table snapshots on any Hadoop-compatible file system.
 
+Two table formats sit behind the same functions, chosen by the session
+setting ``boardlake.tables.format``:
+
+* ``parquet`` (default) -- the snapshot layout described below;
+* ``delta`` -- Delta Lake tables at ``<root>/<name>``, when the
+  ``delta-spark`` package and jar are installed.  Overwrites use
+  ``mergeSchema`` and upserts use ``MERGE`` (which rewrites only the files
+  holding matched keys).  Not installed in this repository's test image,
+  so that path is not exercised by its tests.
+
 Spark cannot overwrite a Parquet path it is reading, and an upsert reads
 the table it replaces.  So every write goes to a new directory
 ``<root>/<name>/version=<n>`` and readers take the newest version that has
@@ -15,6 +25,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _PREFIX = "version="
+FORMAT_CONF = "boardlake.tables.format"
+
+
+def table_format(spark: SparkSession) -> str:
+    fmt = (spark.conf.get(FORMAT_CONF, None) or "parquet").lower()
+    if fmt not in ("parquet", "delta"):
+        raise ValueError(f"{FORMAT_CONF} must be 'parquet' or 'delta', got {fmt!r}")
+    return fmt
+
+
+def _delta_table(spark: SparkSession, path: str):
+    try:
+        from delta.tables import DeltaTable
+    except ImportError as err:   # pragma: no cover - depends on the installation
+        raise RuntimeError("boardlake.tables.format=delta needs the delta-spark package") from err
+    return DeltaTable.forPath(spark, path) if DeltaTable.isDeltaTable(spark, path) else None
 
 
 def _fs_and_path(spark: SparkSession, path: str):
@@ -47,6 +73,14 @@ def version_path(root: str, name: str, version: int) -> str:
 
 def read_table(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame | None:
     """Latest committed snapshot (or ``version``); None when the table does not exist."""
+    if table_format(spark) == "delta":
+        path = table_path(root, name)
+        if _delta_table(spark, path) is None:
+            return None
+        reader = spark.read.format("delta")
+        if version is not None:
+            reader = reader.option("versionAsOf", version)
+        return reader.load(path)
     versions = committed_versions(spark, root, name)
     if not versions:
         return None
@@ -77,6 +111,12 @@ def write_snapshot(df: DataFrame, root: str, name: str, merge_schema: bool = Tru
     lacks (as nulls).  Only the schema of the previous version is read.
     """
     spark = df.sparkSession
+    if table_format(spark) == "delta":
+        writer = df.write.format("delta").mode("overwrite").option("mergeSchema", str(merge_schema).lower())
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.save(table_path(root, name))
+        return _delta_table(spark, table_path(root, name)).history(1).collect()[0]["version"]
     versions = committed_versions(spark, root, name)
     if merge_schema and versions:
         df = widen(df, spark.read.parquet(version_path(root, name, versions[-1])).schema)
@@ -88,10 +128,42 @@ def write_snapshot(df: DataFrame, root: str, name: str, merge_schema: bool = Tru
     return nxt
 
 
+def merge_into(spark: SparkSession, root: str, name: str, source: DataFrame, keys,
+               order_by=None, keep_newer: str | None = None) -> int:
+    """Upsert ``source`` into table ``name`` and commit a new version.
+
+    Parquet: :func:`boardlake.operators.upsert.upsert` against the latest
+    snapshot, written as the next snapshot (the table is created on first
+    use).  Delta: ``MERGE`` with update-all / insert-all and schema
+    evolution, after the same source deduplication.
+    """
+    from boardlake.operators.upsert import empty_like, unique_source, upsert
+    keys = list(keys)
+    if table_format(spark) == "delta":
+        path = table_path(root, name)
+        source = unique_source(source, keys, order_by)
+        target = _delta_table(spark, path)
+        if target is None:
+            return write_snapshot(source, root, name)
+        cond = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+        builder = target.alias("t").merge(source.alias("s"), cond)
+        upd = None if keep_newer is None else f"NOT coalesce(t.`{keep_newer}` > s.`{keep_newer}`, false)"
+        builder = builder.whenMatchedUpdateAll(condition=upd) if upd else builder.whenMatchedUpdateAll()
+        spark.conf.set("spark.databricks.delta.schema.autoMerge.enabled", "true")
+        builder.whenNotMatchedInsertAll().execute()
+        return target.history(1).collect()[0]["version"]
+    current = read_table(spark, root, name)
+    target = current if current is not None else empty_like(spark, source.schema)
+    return write_snapshot(upsert(target, source, keys, order_by=order_by, keep_newer=keep_newer), root, name)
+
+
 def prune_versions(spark: SparkSession, root: str, name: str, keep: int = 3) -> list[int]:
     """Delete all but the newest ``keep`` committed versions of ``name``, and
     any uncommitted (failed) version directory older than the newest
-    committed one.  Returns the versions deleted."""
+    committed one.  Returns the versions deleted.  (Delta tables keep their
+    own history; use the table's VACUUM there.)"""
+    if table_format(spark) == "delta":
+        raise ValueError("prune_versions applies to parquet snapshots; use VACUUM on Delta tables")
     if keep < 1:
         raise ValueError("keep must be at least 1")
     fs, base = _fs_and_path(spark, table_path(root, name))

@@ -14,12 +14,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardlake.plans.pipeline import BRONZE_CARDS, BRONZE_MEMBERS, _row_fingerprint, _table_or_empty
-from boardlake.operators.upsert import upsert
+from boardlake.plans.pipeline import BRONZE_CARDS, BRONZE_MEMBERS, _row_fingerprint
 from boardlake.schemas import CARDS_JSON, MEMBER_COLUMNS, MEMBERS_JSON
 from boardlake.session import checkpoint_root
 from boardlake.sources.landing import _typed_cards
-from boardlake.sources.tables import read_table, write_snapshot
+from boardlake.sources.tables import merge_into, read_table, write_snapshot
 
 
 def _keep_rejected(spark: SparkSession, batch: DataFrame, root: str, kind: str) -> None:
@@ -36,18 +35,15 @@ def _keep_rejected(spark: SparkSession, batch: DataFrame, root: str, kind: str)
 def upsert_card_batch(spark: SparkSession, batch: DataFrame, root: str) -> int:
     _keep_rejected(spark, batch, root, "cards")
     good = batch.where(F.col("id").isNotNull())
-    target = _table_or_empty(spark, root, BRONZE_CARDS, batch.schema)
     order = [F.col("dateLastActivity").desc_nulls_last(), _row_fingerprint(batch).desc()]
-    merged = upsert(target, good, ["id"], order_by=order, keep_newer="dateLastActivity")
-    return write_snapshot(merged, root, BRONZE_CARDS)
+    return merge_into(spark, root, BRONZE_CARDS, good, ["id"], order_by=order,
+                      keep_newer="dateLastActivity")
 
 
 def upsert_member_batch(spark: SparkSession, batch: DataFrame, root: str) -> int:
     _keep_rejected(spark, batch, root, "members")
     good = batch.where(F.col("id").isNotNull())
-    target = _table_or_empty(spark, root, BRONZE_MEMBERS, batch.schema)
-    merged = upsert(target, good, ["id"], order_by=[_row_fingerprint(batch).desc()])
-    return write_snapshot(merged, root, BRONZE_MEMBERS)
+    return merge_into(spark, root, BRONZE_MEMBERS, good, ["id"], order_by=[_row_fingerprint(batch).desc()])
 
 
 def stream_members(spark: SparkSession, landing: str, root: str, checkpoint: str | None = None,

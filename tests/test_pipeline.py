@@ -165,3 +165,15 @@ def test_cli(spark, tmp_path, capsys):
     assert rows(read_table(spark, root, P.GOLD_REPORTS), "report", "id") == [("bo", "c2"), ("bo", "c3"),
                                                                               ("bo", "c6")]
     assert '"command": "reports"' in capsys.readouterr().out
+
+
+def test_table_format_setting(spark, tmp_path):
+    from boardlake.sources.tables import FORMAT_CONF, table_format
+    assert table_format(spark) == "parquet"
+    spark.conf.set(FORMAT_CONF, "orc")
+    try:
+        import pytest
+        with pytest.raises(ValueError):
+            table_format(spark)
+    finally:
+        spark.conf.unset(FORMAT_CONF)
