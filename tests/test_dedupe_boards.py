@@ -55,3 +55,22 @@ def test_list_lookup(spark):
         ("l4", "C", "todo", 1)], "id string, idBoard string, name string, pos int")
     assert rows(list_lookup(lists, "doing", "name")) == [("B", "l2")]
     assert rows(list_lookup(lists, pick="first")) == [("B", "l1"), ("C", "l4")]
+
+
+def test_idle_cards_list_id_or_lookup(spark):
+    from boardlake.operators.activity import idle_cards
+    d = dt.datetime
+    cards = spark.createDataFrame([
+        ("1", "a", "l2", d(2023, 1, 1), "x", "01-01-2023", "B"),
+        ("2", "b", "l2", d(2023, 1, 20), "x", "20-01-2023", "B"),
+        ("3", "c", "l1", d(2023, 1, 1), "x", "01-01-2023", "B"),
+        ("4", "d", "l2", None, "x", None, "B"),
+    ], "id string, name string, idList string, dateLastActivity timestamp, card_members string, "
+       "LastUpdated string, board_name string")
+    lists = spark.createDataFrame([("l1", "B", "backlog", 1), ("l2", "B", "Doing", 2)],
+                                  "id string, idBoard string, name string, pos int")
+    by_id = rows(idle_cards(cards, "l2", 7, as_of=d(2023, 1, 15)), "id")
+    by_lookup = rows(idle_cards(cards, list_lookup(lists, "doing"), 7, as_of=d(2023, 1, 15)), "id")
+    assert by_id == by_lookup == [("1",)]
+    assert idle_cards(cards, "l2", 7, as_of=d(2023, 1, 15)).columns == \
+        ["id", "name", "card_members", "LastUpdated", "board_name"]

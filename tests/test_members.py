@@ -61,3 +61,26 @@ def test_large_member_side_is_not_broadcast(spark):
     assert "BroadcastNestedLoopJoin" not in plan
     assert rows(member_names(cards, members, max_broadcast_rows=1), "id", "card_members") == \
         rows(member_names(cards, members), "id", "card_members")
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+_ids = st.sampled_from(["m0", "m1", "m2", "m3", "zz"])
+_cards = st.lists(st.tuples(st.integers(0, 30), st.one_of(st.none(), st.lists(_ids, max_size=5))),
+                  max_size=12, unique_by=lambda c: c[0])
+_names = st.lists(st.one_of(st.none(), st.sampled_from(["Ann", "Bo", "Ann", "Cy"])), min_size=4, max_size=4)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(cards=_cards, names=_names)
+def test_property_equals_array_contains_join(spark, cards, names):
+    c = spark.createDataFrame([(f"c{i}", f"n{i}", ids) for i, ids in cards], CARDS)
+    m = spark.createDataFrame([(f"m{i}", n) for i, n in enumerate(names)], MEMBERS)
+    c.createOrReplaceTempView("pc")
+    m.createOrReplaceTempView("pm")
+    ref = spark.sql("""
+        select pc.id, array_join(sort_array(collect_list(pm.fullName)), ', ') as card_members
+        from pc left outer join pm where array_contains(pc.idMembers, pm.id)
+        group by pc.id, pc.name, pc.idMembers""")
+    assert rows(ref) == rows(member_names(c, m), "id", "card_members")
