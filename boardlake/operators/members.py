@@ -43,7 +43,10 @@ def names_per_card(pairs: DataFrame, members: DataFrame, member_id: str = "id",
     """
     m = members.select(F.col(member_id).alias(_MID), F.col(member_name).alias(_MNAME))
     m = broadcast_if_small(m, max_broadcast_rows)
-    p = pairs.select(F.col(pair_card).alias(_CID), F.col(pair_member).alias(_MID))
+    # A null card id can never attach to a card; dropping it here also keeps
+    # all such pairs from forming one hot group.
+    p = (pairs.select(F.col(pair_card).alias(_CID), F.col(pair_member).alias(_MID))
+         .where(F.col(_CID).isNotNull()))
     matched = p.join(m, on=_MID, how="inner")
     entries = F.array_sort(F.collect_set(F.struct(F.col(_MNAME).alias("n"), F.col(_MID).alias("m"))))
     names = F.array_join(F.transform(entries, lambda e: e["n"]), MEMBER_NAME_SEPARATOR)

@@ -26,34 +26,53 @@ from boardlake.operators.dedupe import latest_per_key
 _T = "t__"
 _S = "s__"
 _SEEN = "__in_source"
+_SALT = "__salt"
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(prefix + c) for c in df.columns])
 
 
-def unique_source(source: DataFrame, keys: Sequence[str],
-                  order_by: Sequence[Column | str] | None = None) -> DataFrame:
-    """One source row per key.
+def _salted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add ``__salt``: 0 for rows with a full key, a per-row value otherwise.
 
-    With ``order_by`` the first row under that order wins.  Without it a
-    repeated non-null key fails the job (as MERGE does when two source
-    rows match one target row); the check is a window count on the key,
-    which shares the join's shuffle.
+    Null keys never match, but hashing them would send every such row to
+    one shuffle partition, which AQE cannot split in a full outer join.
+    Partitioning on (key, salt) spreads them, keeps real keys together, and
+    makes each null-key row its own group, so none is deduplicated away.
     """
-    if order_by:
-        return latest_per_key(source, keys, order_by)
-    counted = source.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    key_present = F.lit(True)
+    present = F.lit(True)
     for k in keys:
-        key_present = key_present & F.col(k).isNotNull()
-    failure = F.when(key_present & (F.col("__n") > 1),
+        present = present & F.col(f"`{k}`").isNotNull()
+    return df.withColumn(_SALT, F.when(present, F.lit(0)).otherwise(F.monotonically_increasing_id() + 1))
+
+
+def _unique_salted(source: DataFrame, keys: Sequence[str],
+                   order_by: Sequence[Column | str] | None) -> DataFrame:
+    salted = _salted(source, keys)
+    part = [*keys, _SALT]
+    if order_by:
+        return latest_per_key(salted, part, order_by)
+    counted = salted.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*part)))
+    failure = F.when(F.col("__n") > 1,
                      F.raise_error(F.concat(F.lit("upsert: source repeats key "),
                                             F.to_json(F.struct(*[F.col(k) for k in keys])))))
     # A filter (not a dropped column) so that column pruning cannot remove the check.
     return counted.where(failure.isNull()).drop("__n")
 
 
+def unique_source(source: DataFrame, keys: Sequence[str],
+                  order_by: Sequence[Column | str] | None = None) -> DataFrame:
+    """One source row per non-null key.
+
+    With ``order_by`` the first row under that order wins.  Without it a
+    repeated non-null key fails the job (as MERGE does when two source
+    rows match one target row); the check is a window count on the key,
+    which shares the join's shuffle.  Rows with a null key are all kept.
+    """
+    return _unique_salted(source, list(keys), order_by).drop(_SALT)
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] = ("id",),
            order_by: Sequence[Column | str] | None = None,
            keep_newer: str | None = None) -> DataFrame:
@@ -64,20 +83,19 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] = ("id",),
     overwrite fresher state).
     """
     keys = list(keys)
-    source = unique_source(source, keys, order_by)
     t_cols, s_cols = target.columns, source.columns
-    t = _prefixed(target, _T)
-    s = _prefixed(source, _S).withColumn(_SEEN, F.lit(True))
-    cond = [t[_T + k] == s[_S + k] for k in keys]
+    if keep_newer and (keep_newer not in t_cols or keep_newer not in s_cols):
+        raise ValueError(f"keep_newer column {keep_newer!r} must exist on both sides")
+    t = _prefixed(_salted(target, keys), _T)
+    s = _prefixed(_unique_salted(source, keys, order_by), _S).withColumn(_SEEN, F.lit(True))
+    cond = [t[_T + k] == s[_S + k] for k in keys] + [t[_T + _SALT] == s[_S + _SALT]]
     joined = t.join(s, on=cond, how="full_outer")
 
     take_source = F.col(_SEEN).isNotNull()
     if keep_newer:
-        if keep_newer not in t_cols or keep_newer not in s_cols:
-            raise ValueError(f"keep_newer column {keep_newer!r} must exist on both sides")
         target_newer = F.col(_T + keep_newer) > F.col(_S + keep_newer)
         # Matched and the stored row is newer -> keep the stored row.
-        matched = F.col(_SEEN).isNotNull() & F.col(_T + keys[0]).isNotNull()
+        matched = F.col(_SEEN).isNotNull() & F.col(_T + _SALT).isNotNull()
         take_source = take_source & ~(matched & F.coalesce(target_newer, F.lit(False)))
 
     out = []

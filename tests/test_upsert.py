@@ -86,3 +86,21 @@ def test_properties(spark, t, s):
     expected = dict((str(k), v) for k, v in dedup(t))
     expected.update((str(k), v) for k, v in dedup(s))
     assert sorted(ids) == sorted(expected)
+
+
+def test_null_keys_survive_dedupe_and_spread(spark):
+    target = spark.createDataFrame([("a", "t", 1)] + [(None, "tn", i) for i in range(50)], SCHEMA)
+    source = spark.createDataFrame([("a", "x", 5), ("a", "y", 7)] + [(None, "sn", i) for i in range(50)]
+                                   + [(None, "sn", 0)], SCHEMA)
+    out = upsert(target, source, ["id"], order_by=[F.col("n").desc()])
+    assert out.where("id = 'a'").collect()[0]["v"] == "y"
+    assert out.where("id is null").count() == 101            # every null-key row kept, duplicates too
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "__salt" in plan and "WindowGroupLimit" in plan
+
+
+def test_matched_with_null_target_timestamp_takes_source(spark):
+    s = "id string, v string, ts timestamp"
+    target = spark.createDataFrame([("a", "stored", None)], s)
+    source = spark.createDataFrame([("a", "new", dt.datetime(2023, 1, 5))], s)
+    assert rows(upsert(target, source, ["id"], keep_newer="ts"), "v") == [("new",)]
