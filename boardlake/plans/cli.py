@@ -1,7 +1,8 @@
 """Command line for the pipeline jobs.
 
     python -m boardlake ingest  --landing L --root R --kind cards|members|boards|lists
-    python -m boardlake refine  --root R [--board ID] [--board-pick latest|last_listed] [--keep-unmatched]
+    python -m boardlake refine  --root R [--board ID | --all-boards] [--board-pick latest|last_listed]
+                                [--keep-unmatched]
     python -m boardlake unique  --root R
     python -m boardlake idle    --root R --days N [--as-of YYYY-MM-DD] [--list doing] [--list-pick name|first]
     python -m boardlake member  --root R --report NAME --member TEXT [--start_date D --end_date D]
@@ -43,6 +44,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--board", default=None, help="board id; default: the current sprint board")
     s.add_argument("--board-pick", default="latest", choices=["latest", "last_listed"])
     s.add_argument("--keep-unmatched", action="store_true")
+    s.add_argument("--all-boards", action="store_true", help="refine every board in one pass")
 
     s = sub.add_parser("unique", help="silver -> newest card per name")
     s.add_argument("--root", required=True)
@@ -100,7 +102,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         else:
             v = P.ingest_listing(spark, args.landing, args.root, args.kind, args.multi_line)
     elif args.cmd == "refine":
-        v = P.refine_silver(spark, args.root, args.board, args.board_pick, args.keep_unmatched)
+        v = P.refine_silver(spark, args.root, args.board, args.board_pick, args.keep_unmatched,
+                            args.all_boards)
     elif args.cmd == "unique":
         v = P.build_unique(spark, args.root)
     elif args.cmd == "idle":

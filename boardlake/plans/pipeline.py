@@ -89,15 +89,22 @@ def _board(spark: SparkSession, root: str, board: str | None, pick: str) -> Data
 
 
 def refine_silver(spark: SparkSession, root: str, board: str | None = None,
-                  board_pick: str = "latest", keep_unmatched: bool = False) -> int:
-    """Refine one board's bronze cards and upsert them into silver.
+                  board_pick: str = "latest", keep_unmatched: bool = False,
+                  all_boards: bool = False) -> int:
+    """Refine bronze cards and upsert them into silver.
 
-    ``board=None`` refines the current sprint board (``board_pick``).
+    By default one board is refined: ``board``, or the current sprint board
+    (``board_pick``).  ``all_boards=True`` refines every board in one pass,
+    with names joined from the boards table.
     """
     cards = _require(spark, root, BRONZE_CARDS)
     members = _require(spark, root, BRONZE_MEMBERS)
-    the_board = _board(spark, root, board, board_pick)
-    refined = refine_cards(cards, members, board=the_board, keep_unmatched=keep_unmatched)
+    if all_boards:
+        boards = _require(spark, root, BOARDS).select("id", "name")
+        refined = refine_cards(cards, members, boards=boards, keep_unmatched=keep_unmatched)
+    else:
+        the_board = _board(spark, root, board, board_pick)
+        refined = refine_cards(cards, members, board=the_board, keep_unmatched=keep_unmatched)
     return merge_into(spark, root, SILVER_CARDS, refined, ["id"])
 
 

@@ -177,3 +177,16 @@ def test_table_format_setting(spark, tmp_path):
             table_format(spark)
     finally:
         spark.conf.unset(FORMAT_CONF)
+
+
+def test_refine_all_boards(spark, tmp_path):
+    lr, root = _landing(tmp_path), str(tmp_path / "tables")
+    for kind in ("boards", "lists"):
+        P.ingest_listing(spark, f"{lr}/{kind}", root, kind)
+    P.ingest_bronze(spark, f"{lr}/members", root, "members")
+    P.ingest_bronze(spark, f"{lr}/cards", root, "cards")
+    P.refine_silver(spark, root, all_boards=True)
+    got = rows(read_table(spark, root, P.SILVER_CARDS), "id", "board_name")
+    assert got == [("c1", "Sprint (4-JAN-2023)"), ("c2", "Sprint (4-JAN-2023)"),
+                   ("c3", "Sprint (4-JAN-2023)"), ("c5", "Sprint (14-Sept-2022)"),
+                   ("c6", "Sprint (4-JAN-2023)")]
