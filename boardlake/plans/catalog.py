@@ -197,9 +197,7 @@ def q_upsert(spark, d):
 
 def q_upsert_evolve(spark, d):
     """A target-only column (price) and a source-only column (due)."""
-    o = si.table(spark, d, "orders")
-    c = si.cards(spark, d).join(o.select(F.col("o_orderkey").alias("id"),
-                                         F.col("o_totalprice").alias("price")), "id")
+    c = si.cards(spark, d, with_price=True)
     target = c.where(F.col("dateLastActivity") < _ntz(UPSERT_TARGET_BEFORE))
     source = _upsert_source(c).withColumn("due", F.col("dateLastActivity") + F.expr("INTERVAL 30 DAYS"))
     return upsert(target, source, ["id"])
@@ -217,10 +215,8 @@ def q_upsert_latest(spark, d):
 
 def q_overwrite_widen(spark, d):
     """Overwrite with mergeSchema keeps a column the new data lacks."""
-    o = si.table(spark, d, "orders")
     old = si.cards(spark, d)
-    new = old.drop("closed").join(o.select(F.col("o_orderkey").alias("id"),
-                                           F.col("o_totalprice").alias("price")), "id")
+    new = si.cards(spark, d, with_price=True).drop("closed")
     return widen(new, old.schema)
 
 

@@ -26,17 +26,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze cards (without the id array; membership is a separate table)."""
+def cards(spark: SparkSession, sf_dir: str, with_price: bool = False) -> DataFrame:
+    """Bronze cards (without the id array; membership is a separate table).
+    ``with_price`` adds ``o_totalprice`` as an extra ``price`` column."""
     o = table(spark, sf_dir, "orders")
-    return o.select(
+    cols = [
         F.col("o_orderkey").alias("id"),
         (F.col("o_orderstatus") == "F").alias("closed"),
         F.col("o_orderdate").alias("dateLastActivity"),
         F.col("o_orderpriority").alias("idBoard"),
         F.concat(F.col("o_orderpriority"), F.lit("/"), F.col("o_orderstatus")).alias("idList"),
         F.col("o_custkey").cast("string").alias("name"),
-    )
+    ]
+    if with_price:
+        cols.append(F.col("o_totalprice").alias("price"))
+    return o.select(*cols)
 
 
 def memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
