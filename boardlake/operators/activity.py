@@ -87,8 +87,7 @@ def member_activity_many(cards: DataFrame, specs: Sequence[MemberSpec],
         F.when(_spec_condition(cards, s, members_col, date_col),
                F.struct(F.lit(s.report).alias("report"), F.lit(s.member).alias("member")))
         for s in specs])
-    tagged = cards.select(*[F.col(c) for c in columns],
-                          F.filter(tags, lambda t: t.isNotNull()).alias("__tags"))
-    return (tagged.where(F.size("__tags") > 0)
-            .select(F.explode("__tags").alias("__t"), *columns)
-            .select("__t.report", "__t.member", *columns))
+    # explode emits nothing for an empty array, so rows matching no report
+    # drop out without a filter that would evaluate every predicate again.
+    matched = F.explode(F.filter(tags, lambda t: t.isNotNull())).alias("__t")
+    return cards.select(matched, *[F.col(c) for c in columns]).select("__t.report", "__t.member", *columns)
