@@ -38,24 +38,18 @@ def parse_date_arg(value: str | _dt.date | None, fmt: str = "%Y-%m-%d") -> _dt.d
     return _dt.datetime.strptime(value, fmt).date()
 
 
-def _literal_like(df: DataFrame, column: str, value: _dt.datetime) -> Column:
-    """A timestamp literal typed like ``df[column]`` so Parquet can push the predicate.
+def _literal_like(dtype, value: _dt.datetime) -> Column:
+    """A timestamp literal of the column's type so Parquet can push the predicate.
 
     A ``timestamp_ntz`` column compared with a session-zone literal would be
-    wrapped in a cast and lose pushdown; the literal is cast instead.
+    wrapped in a cast and lose pushdown; the literal is cast instead.  String
+    and date columns are compared as timestamps.
     """
-    dtype = df.schema[column].dataType
     text = value.strftime("%Y-%m-%d %H:%M:%S.%f")
-    if isinstance(dtype, TimestampNTZType):
-        return F.lit(text).cast("timestamp_ntz")
-    if isinstance(dtype, TimestampType):
-        return F.lit(text).cast("timestamp")
-    # String or date columns: compare as timestamps (the reference's implicit cast).
-    return F.lit(text).cast("timestamp")
+    return F.lit(text).cast("timestamp_ntz" if isinstance(dtype, TimestampNTZType) else "timestamp")
 
 
-def _as_timestamp(df: DataFrame, column: str) -> Column:
-    dtype = df.schema[column].dataType
+def _as_timestamp(dtype, column: str) -> Column:
     if isinstance(dtype, (TimestampNTZType, TimestampType)):
         return F.col(column)
     return F.try_to_timestamp(F.col(column).cast("string"))
@@ -72,16 +66,17 @@ def range_condition(df: DataFrame, column: str, start, end, bounds: str = "close
         return None
     lo = _dt.datetime.combine(start_d, _dt.time())
     hi = _dt.datetime.combine(end_d, _dt.time())
-    ts = _as_timestamp(df, column)
+    dtype = df.schema[column].dataType
+    ts = _as_timestamp(dtype, column)
     if bounds == "closed_ts":
-        return (ts >= _literal_like(df, column, lo)) & (ts <= _literal_like(df, column, hi))
+        return (ts >= _literal_like(dtype, lo)) & (ts <= _literal_like(dtype, hi))
     if bounds == "open_ts":
-        return (ts > _literal_like(df, column, lo)) & (ts < _literal_like(df, column, hi))
+        return (ts > _literal_like(dtype, lo)) & (ts < _literal_like(dtype, hi))
     if tz and tz.upper() != "UTC":
         day = F.to_date(F.from_utc_timestamp(ts, tz))
         return day.between(F.lit(start_d), F.lit(end_d))
     nxt = hi + _dt.timedelta(days=1)
-    return (ts >= _literal_like(df, column, lo)) & (ts < _literal_like(df, column, nxt))
+    return (ts >= _literal_like(dtype, lo)) & (ts < _literal_like(dtype, nxt))
 
 
 def range_filter(df: DataFrame, column: str, start, end, bounds: str = "closed_ts",
@@ -107,16 +102,17 @@ def idle_filter(df: DataFrame, column: str, days: int,
 
     ``as_of`` defaults to the query's current timestamp.
     """
+    dtype = df.schema[column].dataType
+    ts = _as_timestamp(dtype, column)
     if as_of is None:
-        dtype = df.schema[column].dataType
         now = F.current_timestamp()
         if isinstance(dtype, TimestampNTZType):
             now = now.cast("timestamp_ntz")
-        return df.where(_as_timestamp(df, column) < now - F.make_interval(days=F.lit(int(days))))
+        return df.where(ts < now - F.make_interval(days=F.lit(int(days))))
     if isinstance(as_of, _dt.date) and not isinstance(as_of, _dt.datetime):
         as_of = _dt.datetime.combine(as_of, _dt.time())
     cutoff = as_of - _dt.timedelta(days=int(days))
-    return df.where(_as_timestamp(df, column) < _literal_like(df, column, cutoff))
+    return df.where(ts < _literal_like(dtype, cutoff))
 
 
 def board_date(name: Column | str) -> Column:
