@@ -19,7 +19,7 @@ from boardlake.operators.boards import current_board, list_lookup
 from boardlake.operators.refine import refine_cards, unique_cards
 from boardlake.operators.sizing import broadcast_if_small
 from boardlake.schemas import GOLD_A
-from boardlake.sources.landing import read_boards, read_cards, read_lists, read_members
+from boardlake.sources.landing import CORRUPT, read_boards, read_cards, read_lists, read_members
 from boardlake.sources.tables import merge_into, read_table, write_snapshot
 
 # Table names under the pipeline root.
@@ -55,17 +55,22 @@ def ingest_bronze(spark: SparkSession, landing: str, root: str, kind: str = "car
     repeated in the batch keeps its newest row (cards: by last activity).
     """
     if kind == "cards":
-        raw = read_cards(spark, landing, multi_line)
-        order = [F.col("dateLastActivity").desc_nulls_last(), _row_fingerprint(raw).desc()]
+        raw = read_cards(spark, landing, multi_line, keep_corrupt=True)
         table = BRONZE_CARDS
     elif kind == "members":
-        raw = read_members(spark, landing, multi_line)
-        order = [_row_fingerprint(raw).desc()]
+        raw = read_members(spark, landing, multi_line, keep_corrupt=True)
         table = BRONZE_MEMBERS
     else:
         raise ValueError("kind must be 'cards' or 'members'")
-    write_snapshot(raw.where(F.col("id").isNull()), root, f"rejected_{kind}", merge_schema=False)
-    good = raw.where(F.col("id").isNotNull())
+    # Malformed records arrive with their raw text in _corrupt_record; they and
+    # rows without an id are kept in the rejected table, not dropped.  Both
+    # predicates name the corrupt column: a filter on parsed fields alone is
+    # pushed into the JSON reader, which then skips malformed records.
+    bad = F.col("id").isNull() | F.col(CORRUPT).isNotNull()
+    write_snapshot(raw.where(bad), root, f"rejected_{kind}", merge_schema=False)
+    good = raw.where(~bad).drop(CORRUPT)
+    order = ([F.col("dateLastActivity").desc_nulls_last()] if kind == "cards" else []) + \
+        [_row_fingerprint(good).desc()]
     return merge_into(spark, root, table, good, ["id"], order_by=order)
 
 

@@ -11,32 +11,50 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from boardlake.functions.dates import parse_timestamp_text
 from boardlake.schemas import (BOARDS_JSON, CARD_COLUMNS, CARD_TIMESTAMP_FIELDS, CARDS_JSON,
                                LISTS_JSON, MEMBER_COLUMNS, MEMBERS_JSON)
 
 
-def read_json(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+CORRUPT = "_corrupt_record"
+
+
+def read_json(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False,
+              keep_corrupt: bool = False) -> DataFrame:
+    """Read JSON with a declared schema.  ``keep_corrupt`` adds a
+    ``_corrupt_record`` column holding the raw text of malformed records
+    (whose fields are all null), so they can be kept rather than lost."""
+    if keep_corrupt:
+        schema = StructType(schema.fields + [StructField(CORRUPT, StringType())])
+    reader = spark.read.schema(schema).option("multiLine", multi_line)
+    if keep_corrupt:
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.json(path)
 
 
 def _typed_cards(raw: DataFrame) -> DataFrame:
     cols = []
     for c in CARD_COLUMNS:
         cols.append(parse_timestamp_text(c).alias(c) if c in CARD_TIMESTAMP_FIELDS else F.col(f"`{c}`"))
+    if CORRUPT in raw.columns:
+        cols.append(F.col(CORRUPT))
     return raw.select(*cols)
 
 
-def read_cards(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Bronze card rows (12 columns) from a landing directory of card JSON."""
-    return _typed_cards(read_json(spark, path, CARDS_JSON, multi_line))
+def read_cards(spark: SparkSession, path: str, multi_line: bool = False,
+               keep_corrupt: bool = False) -> DataFrame:
+    """Bronze card rows (12 columns, plus ``_corrupt_record`` with
+    ``keep_corrupt``) from a landing directory of card JSON."""
+    return _typed_cards(read_json(spark, path, CARDS_JSON, multi_line, keep_corrupt))
 
 
-def read_members(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Bronze member rows (9 columns)."""
-    return read_json(spark, path, MEMBERS_JSON, multi_line).select(*MEMBER_COLUMNS)
+def read_members(spark: SparkSession, path: str, multi_line: bool = False,
+                 keep_corrupt: bool = False) -> DataFrame:
+    """Bronze member rows (9 columns, plus ``_corrupt_record`` with ``keep_corrupt``)."""
+    raw = read_json(spark, path, MEMBERS_JSON, multi_line, keep_corrupt)
+    return raw.select(*MEMBER_COLUMNS, *([CORRUPT] if keep_corrupt else []))
 
 
 def read_boards(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:

@@ -13,18 +13,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from boardlake.plans.pipeline import BRONZE_CARDS, BRONZE_MEMBERS, _row_fingerprint
 from boardlake.schemas import CARDS_JSON, MEMBER_COLUMNS, MEMBERS_JSON
 from boardlake.session import checkpoint_root
-from boardlake.sources.landing import _typed_cards
+from boardlake.sources.landing import CORRUPT, _typed_cards
 from boardlake.sources.tables import merge_into, read_table, write_snapshot
 
 
+def _bad(batch: DataFrame):
+    """Rows without an id or malformed (raw text in ``_corrupt_record``)."""
+    bad = F.col("id").isNull()
+    return bad | F.col(CORRUPT).isNotNull() if CORRUPT in batch.columns else bad
+
+
 def _keep_rejected(spark: SparkSession, batch: DataFrame, root: str, kind: str) -> None:
-    """Rows without an id are kept, not dropped: each micro-batch adds its
+    """Unusable rows are kept, not dropped: each micro-batch adds its
     rejects to ``rejected_<kind>`` (the batch job writes a run's rejects)."""
-    rejects = batch.where(F.col("id").isNull())
+    rejects = batch.where(_bad(batch))
     name = f"rejected_{kind}"
     previous = read_table(spark, root, name)
     if previous is not None:
@@ -34,16 +41,25 @@ def _keep_rejected(spark: SparkSession, batch: DataFrame, root: str, kind: str)
 
 def upsert_card_batch(spark: SparkSession, batch: DataFrame, root: str) -> int:
     _keep_rejected(spark, batch, root, "cards")
-    good = batch.where(F.col("id").isNotNull())
-    order = [F.col("dateLastActivity").desc_nulls_last(), _row_fingerprint(batch).desc()]
+    good = batch.where(~_bad(batch)).drop(CORRUPT)
+    order = [F.col("dateLastActivity").desc_nulls_last(), _row_fingerprint(good).desc()]
     return merge_into(spark, root, BRONZE_CARDS, good, ["id"], order_by=order,
                       keep_newer="dateLastActivity")
 
 
+def _stream_reader(spark: SparkSession, schema, max_files_per_trigger: int | None):
+    full = StructType(schema.fields + [StructField(CORRUPT, StringType())])
+    reader = (spark.readStream.schema(full).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader
+
+
 def upsert_member_batch(spark: SparkSession, batch: DataFrame, root: str) -> int:
     _keep_rejected(spark, batch, root, "members")
-    good = batch.where(F.col("id").isNotNull())
-    return merge_into(spark, root, BRONZE_MEMBERS, good, ["id"], order_by=[_row_fingerprint(batch).desc()])
+    good = batch.where(~_bad(batch)).drop(CORRUPT)
+    return merge_into(spark, root, BRONZE_MEMBERS, good, ["id"], order_by=[_row_fingerprint(good).desc()])
 
 
 def stream_members(spark: SparkSession, landing: str, root: str, checkpoint: str | None = None,
@@ -51,10 +67,8 @@ def stream_members(spark: SparkSession, landing: str, root: str, checkpoint: str
     """As :func:`stream_cards` for member JSON (no late-data guard: members
     carry no timestamp, so the newest batch wins)."""
     ckpt = checkpoint or f"{checkpoint_root(spark)}/boardlake/stream_{BRONZE_MEMBERS}"
-    reader = spark.readStream.schema(MEMBERS_JSON)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    members = reader.json(landing).select(*MEMBER_COLUMNS)
+    reader = _stream_reader(spark, MEMBERS_JSON, max_files_per_trigger)
+    members = reader.json(landing).select(*MEMBER_COLUMNS, CORRUPT)
 
     def _batch(df: DataFrame, epoch_id: int) -> None:
         upsert_member_batch(spark, df, root)
@@ -73,9 +87,7 @@ def stream_cards(spark: SparkSession, landing: str, root: str, checkpoint: str |
     ``spark.checkpoint.dir``.
     """
     ckpt = checkpoint or f"{checkpoint_root(spark)}/boardlake/stream_{BRONZE_CARDS}"
-    reader = spark.readStream.schema(CARDS_JSON)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = _stream_reader(spark, CARDS_JSON, max_files_per_trigger)
     cards = _typed_cards(reader.json(landing))
 
     def _batch(df: DataFrame, epoch_id: int) -> None:

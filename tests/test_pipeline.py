@@ -190,3 +190,14 @@ def test_refine_all_boards(spark, tmp_path):
     assert got == [("c1", "Sprint (4-JAN-2023)"), ("c2", "Sprint (4-JAN-2023)"),
                    ("c3", "Sprint (4-JAN-2023)"), ("c5", "Sprint (14-Sept-2022)"),
                    ("c6", "Sprint (4-JAN-2023)")]
+
+
+def test_malformed_landing_rows_are_kept(spark, tmp_path):
+    lr, root = _landing(tmp_path), str(tmp_path / "tables")
+    with open(f"{lr}/cards/part-9999.json", "w") as f:
+        f.write('{"id": "c9", "name": "broken", \n')
+    P.ingest_bronze(spark, f"{lr}/cards", root, "cards")
+    assert read_table(spark, root, P.BRONZE_CARDS).count() == len(CARDS)
+    assert "_corrupt_record" not in read_table(spark, root, P.BRONZE_CARDS).columns
+    rejected = read_table(spark, root, "rejected_cards").collect()
+    assert len(rejected) == 1 and rejected[0]["_corrupt_record"].startswith('{"id": "c9"')

@@ -35,8 +35,10 @@ def test_member_stream_equals_batch(spark, tmp_path):
     _write(landing, MEMBERS[:1])
     stream_members(spark, landing, str(tmp_path / "s"), checkpoint=str(tmp_path / "c")).awaitTermination()
     _write(landing, [{"id": "m1", "fullName": "Ann Lee-Smith"}] + MEMBERS[1:])
+    with open(f"{landing}/part-9999.json", "w") as f:
+        f.write('{"id": "m9", oops\n')
     stream_members(spark, landing, str(tmp_path / "s"), checkpoint=str(tmp_path / "c")).awaitTermination()
     got = rows(read_table(spark, str(tmp_path / "s"), P.BRONZE_MEMBERS), "id", "fullName")
     assert got == [("m1", "Ann Lee-Smith"), ("m2", "Bo Li")]
-    rejected = rows(read_table(spark, str(tmp_path / "s"), "rejected_members"), "fullName")
-    assert rejected == [("no id",)]
+    rejected = rows(read_table(spark, str(tmp_path / "s"), "rejected_members"), "fullName", "_corrupt_record")
+    assert set(rejected) == {(None, '{"id": "m9", oops'), ("no id", None)}
