@@ -33,18 +33,25 @@ def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(prefix + c) for c in df.columns])
 
 
+def _key_present(keys: Sequence[str]) -> Column:
+    present = F.lit(True)
+    for k in keys:
+        present = present & F.col(f"`{k}`").isNotNull()
+    return present
+
+
 def _salted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``__salt``: 0 for rows with a full key, a per-row value otherwise.
+    """Add ``__salt``: 0 for rows with a full key, a hash of the row otherwise.
 
     Null keys never match, but hashing them would send every such row to
     one shuffle partition, which AQE cannot split in a full outer join.
-    Partitioning on (key, salt) spreads them, keeps real keys together, and
-    makes each null-key row its own group, so none is deduplicated away.
+    Partitioning on (key, salt) spreads them and keeps real keys together.
+    The salt is a deterministic 64-bit hash of the row's content, so a task
+    retried after a lost executor sends every row where it went before;
+    distinct null-key rows get distinct salts and stay separate rows.
     """
-    present = F.lit(True)
-    for k in keys:
-        present = present & F.col(f"`{k}`").isNotNull()
-    return df.withColumn(_SALT, F.when(present, F.lit(0)).otherwise(F.monotonically_increasing_id() + 1))
+    row_hash = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    return df.withColumn(_SALT, F.when(_key_present(keys), F.lit(0).cast("long")).otherwise(row_hash))
 
 
 def _unique_salted(source: DataFrame, keys: Sequence[str],
@@ -54,7 +61,7 @@ def _unique_salted(source: DataFrame, keys: Sequence[str],
     if order_by:
         return latest_per_key(salted, part, order_by)
     counted = salted.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*part)))
-    failure = F.when(F.col("__n") > 1,
+    failure = F.when(_key_present(keys) & (F.col("__n") > 1),
                      F.raise_error(F.concat(F.lit("upsert: source repeats key "),
                                             F.to_json(F.struct(*[F.col(k) for k in keys])))))
     # A filter (not a dropped column) so that column pruning cannot remove the check.
@@ -65,10 +72,14 @@ def unique_source(source: DataFrame, keys: Sequence[str],
                   order_by: Sequence[Column | str] | None = None) -> DataFrame:
     """One source row per non-null key.
 
-    With ``order_by`` the first row under that order wins.  Without it a
-    repeated non-null key fails the job (as MERGE does when two source
-    rows match one target row); the check is a window count on the key,
-    which shares the join's shuffle.  Rows with a null key are all kept.
+    With ``order_by`` the first row under that order wins (put a unique
+    column last so a retried task picks the same row).  Without it a
+    repeated non-null key fails the job (as MERGE does when two source rows
+    match one target row); the check is a window count on the key, which
+    shares the join's shuffle.  Rows with a null key are kept; with
+    ``order_by``, exact duplicates among them count once (the pipeline's
+    sources never carry such rows: bronze rejects null keys, and a refined
+    silver row is unique in all its columns).
     """
     return _unique_salted(source, list(keys), order_by).drop(_SALT)
 

@@ -209,8 +209,11 @@ def q_upsert_latest(spark, d):
     source = li.select(F.col("l_orderkey").alias("id"), F.col("l_shipdate").alias("dateLastActivity"),
                        F.concat(F.lit("L/"), F.col("l_linestatus")).alias("idList"),
                        F.col("l_linenumber").alias("lastLine"))
+    # Line numbers repeat within an order in the driver data, so the order
+    # ends with idList: rows still tied then agree in every output column.
     return upsert(si.cards(spark, d), source, ["id"],
-                  order_by=[F.col("dateLastActivity").desc(), F.col("lastLine").desc()])
+                  order_by=[F.col("dateLastActivity").desc(), F.col("lastLine").desc(),
+                            F.col("idList").desc()])
 
 
 def q_overwrite_widen(spark, d):

@@ -154,7 +154,8 @@ s AS (
   SELECT l_orderkey AS id, l_shipdate AS dateLastActivity, 'L/' || l_linestatus AS idList,
          l_linenumber AS lastLine
   FROM lineitem
-  QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC) = 1)
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey
+                             ORDER BY l_shipdate DESC, l_linenumber DESC, 'L/' || l_linestatus DESC) = 1)
 SELECT coalesce(s.id, t.id) AS id, t.closed AS closed,
        CASE WHEN s.id IS NOT NULL THEN s.dateLastActivity ELSE t.dateLastActivity END AS dateLastActivity,
        t.idBoard AS idBoard,
