@@ -22,6 +22,15 @@ from boardlake.schemas import GOLD_A
 from boardlake.sources.landing import CORRUPT, read_boards, read_cards, read_lists, read_members
 from boardlake.sources.tables import merge_into, read_table, write_snapshot
 
+# Row order inside each written file, chosen for the filters that read the
+# table next: refine filters bronze by board, the idle job filters silver by
+# list and last activity, member reports filter unique cards by date range.
+CLUSTER = {
+    "bronze_cards": ["idBoard", "dateLastActivity"],
+    "silver_cards": ["idList", "dateLastActivity"],
+    "silver_unique_cards": ["dateLastActivity"],
+}
+
 # Table names under the pipeline root.
 BRONZE_CARDS = "bronze_cards"
 BRONZE_MEMBERS = "bronze_members"
@@ -71,7 +80,7 @@ def ingest_bronze(spark: SparkSession, landing: str, root: str, kind: str = "car
     good = raw.where(~bad).drop(CORRUPT)
     order = ([F.col("dateLastActivity").desc_nulls_last()] if kind == "cards" else []) + \
         [_row_fingerprint(good).desc()]
-    return merge_into(spark, root, table, good, ["id"], order_by=order)
+    return merge_into(spark, root, table, good, ["id"], order_by=order, cluster_by=CLUSTER.get(table))
 
 
 def ingest_listing(spark: SparkSession, landing: str, root: str, kind: str = "boards",
@@ -110,12 +119,13 @@ def refine_silver(spark: SparkSession, root: str, board: str | None = None,
     else:
         the_board = _board(spark, root, board, board_pick)
         refined = refine_cards(cards, members, board=the_board, keep_unmatched=keep_unmatched)
-    return merge_into(spark, root, SILVER_CARDS, refined, ["id"])
+    return merge_into(spark, root, SILVER_CARDS, refined, ["id"], cluster_by=CLUSTER[SILVER_CARDS])
 
 
 def build_unique(spark: SparkSession, root: str) -> int:
     """Newest silver card per name, as a full overwrite."""
-    return write_snapshot(unique_cards(_require(spark, root, SILVER_CARDS)), root, SILVER_UNIQUE)
+    return write_snapshot(unique_cards(_require(spark, root, SILVER_CARDS)), root, SILVER_UNIQUE,
+                          cluster_by=CLUSTER[SILVER_UNIQUE])
 
 
 def gold_idle(spark: SparkSession, root: str, days: int, as_of: _dt.datetime | None = None,

@@ -104,13 +104,19 @@ def widen(df: DataFrame, old_schema: StructType | None) -> DataFrame:
 
 
 def write_snapshot(df: DataFrame, root: str, name: str, merge_schema: bool = True,
-                   partition_by: list[str] | None = None) -> int:
+                   partition_by: list[str] | None = None,
+                   cluster_by: list[str] | None = None) -> int:
     """Replace ``name`` with ``df`` as a new version; returns the version number.
 
     ``merge_schema`` keeps columns of the previous version that ``df``
     lacks (as nulls).  Only the schema of the previous version is read.
+    ``cluster_by`` sorts each task's rows before writing (no shuffle), so
+    Parquet row-group statistics let later filters on those columns skip
+    data.
     """
     spark = df.sparkSession
+    if cluster_by:
+        df = df.sortWithinPartitions(*cluster_by)
     if table_format(spark) == "delta":
         writer = df.write.format("delta").mode("overwrite").option("mergeSchema", str(merge_schema).lower())
         if partition_by:
@@ -129,7 +135,8 @@ def write_snapshot(df: DataFrame, root: str, name: str, merge_schema: bool = Tru
 
 
 def merge_into(spark: SparkSession, root: str, name: str, source: DataFrame, keys,
-               order_by=None, keep_newer: str | None = None) -> int:
+               order_by=None, keep_newer: str | None = None,
+               cluster_by: list[str] | None = None) -> int:
     """Upsert ``source`` into table ``name`` and commit a new version.
 
     Parquet: :func:`boardlake.operators.upsert.upsert` against the latest
@@ -144,7 +151,7 @@ def merge_into(spark: SparkSession, root: str, name: str, source: DataFrame, key
         source = unique_source(source, keys, order_by)
         target = _delta_table(spark, path)
         if target is None:
-            return write_snapshot(source, root, name)
+            return write_snapshot(source, root, name, cluster_by=cluster_by)
         cond = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
         builder = target.alias("t").merge(source.alias("s"), cond)
         upd = None if keep_newer is None else f"NOT coalesce(t.`{keep_newer}` > s.`{keep_newer}`, false)"
@@ -154,7 +161,8 @@ def merge_into(spark: SparkSession, root: str, name: str, source: DataFrame, key
         return target.history(1).collect()[0]["version"]
     current = read_table(spark, root, name)
     target = current if current is not None else empty_like(spark, source.schema)
-    return write_snapshot(upsert(target, source, keys, order_by=order_by, keep_newer=keep_newer), root, name)
+    merged = upsert(target, source, keys, order_by=order_by, keep_newer=keep_newer)
+    return write_snapshot(merged, root, name, cluster_by=cluster_by)
 
 
 def prune_versions(spark: SparkSession, root: str, name: str, keep: int = 3) -> list[int]:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from boardlake.plans.pipeline import BRONZE_CARDS, BRONZE_MEMBERS, _row_fingerprint
+from boardlake.plans.pipeline import BRONZE_CARDS, BRONZE_MEMBERS, CLUSTER, _row_fingerprint
 from boardlake.schemas import CARDS_JSON, MEMBER_COLUMNS, MEMBERS_JSON
 from boardlake.session import checkpoint_root
 from boardlake.sources.landing import CORRUPT, _typed_cards
@@ -44,7 +44,7 @@ def upsert_card_batch(spark: SparkSession, batch: DataFrame, root: str) -> int:
     good = batch.where(~_bad(batch)).drop(CORRUPT)
     order = [F.col("dateLastActivity").desc_nulls_last(), _row_fingerprint(good).desc()]
     return merge_into(spark, root, BRONZE_CARDS, good, ["id"], order_by=order,
-                      keep_newer="dateLastActivity")
+                      keep_newer="dateLastActivity", cluster_by=CLUSTER[BRONZE_CARDS])
 
 
 def _stream_reader(spark: SparkSession, schema, max_files_per_trigger: int | None):

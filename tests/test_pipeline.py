@@ -201,3 +201,17 @@ def test_malformed_landing_rows_are_kept(spark, tmp_path):
     assert "_corrupt_record" not in read_table(spark, root, P.BRONZE_CARDS).columns
     rejected = read_table(spark, root, "rejected_cards").collect()
     assert len(rejected) == 1 and rejected[0]["_corrupt_record"].startswith('{"id": "c9"')
+
+
+def test_clustered_snapshot_files_are_sorted(spark, tmp_path):
+    import glob
+    import pyarrow.parquet as pq
+    root = str(tmp_path / "t")
+    df = spark.range(0, 5000, numPartitions=4).selectExpr("id", "(id * 7919) % 1000 as k")
+    write_snapshot(df.repartition(3), root, "x", cluster_by=["k"])
+    files = glob.glob(f"{root}/x/version=*/*.parquet")
+    assert files
+    for f in files:
+        ks = pq.read_table(f).column("k").to_pylist()
+        assert ks == sorted(ks)
+    assert read_table(spark, root, "x").count() == 5000
