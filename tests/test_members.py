@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from boardlake.operators.members import member_names
 from conftest import rows

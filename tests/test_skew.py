@@ -4,7 +4,6 @@ plans reduce the hot key before the shuffle."""
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
 
 from boardlake.operators.activity import MemberSpec, member_activity, member_activity_many
 from boardlake.operators.members import member_names
