@@ -71,7 +71,7 @@ def stream_members(spark: SparkSession, landing: str, root: str, checkpoint: str
     members = reader.json(landing).select(*MEMBER_COLUMNS, CORRUPT)
 
     def _batch(df: DataFrame, epoch_id: int) -> None:
-        upsert_member_batch(spark, df, root)
+        upsert_member_batch(df.sparkSession, df, root)
 
     writer = members.writeStream.foreachBatch(_batch).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
@@ -91,7 +91,7 @@ def stream_cards(spark: SparkSession, landing: str, root: str, checkpoint: str |
     cards = _typed_cards(reader.json(landing))
 
     def _batch(df: DataFrame, epoch_id: int) -> None:
-        upsert_card_batch(spark, df, root)
+        upsert_card_batch(df.sparkSession, df, root)
 
     writer = cards.writeStream.foreachBatch(_batch).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
