@@ -74,3 +74,29 @@ def test_idle_cards_list_id_or_lookup(spark):
     assert by_id == by_lookup == [("1",)]
     assert idle_cards(cards, "l2", 7, as_of=d(2023, 1, 15)).columns == \
         ["id", "name", "card_members", "LastUpdated", "board_name"]
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+_rows = st.lists(st.tuples(st.sampled_from(["A", "B", "C", None]),
+                           st.one_of(st.none(), st.integers(0, 5))), max_size=30)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=_rows)
+def test_unique_cards_brute_force(spark, data):
+    """Newest card per name (null dates last, ties to the greater id) against plain Python."""
+    base = dt.datetime(2023, 1, 1)
+    cards = [(f"{i:03d}", name, None if day is None else base + dt.timedelta(days=day))
+             for i, (name, day) in enumerate(data)]
+    best = {}
+    for cid, name, ts in cards:
+        key = (ts is not None, ts or base, cid)
+        if name not in best or key > best[name][0]:
+            best[name] = (key, cid)
+    expected = sorted(v[1] for v in best.values())
+    df = spark.createDataFrame(cards, "id string, name string, dateLastActivity timestamp")
+    assert sorted(r[0] for r in unique_cards(df).select("id").collect()) == expected
+    agg = latest_per_key_agg(df, ["name"], ["dateLastActivity", "id"])
+    assert sorted(r[0] for r in agg.select("id").collect()) == expected
