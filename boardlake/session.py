@@ -32,6 +32,7 @@ EXECUTION_CONF = {
 DELTA_CONF = {
     "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",
     "spark.sql.catalog.spark_catalog": "org.apache.spark.sql.delta.catalog.DeltaCatalog",
+    "spark.databricks.delta.schema.autoMerge.enabled": "true",
 }
 
 
