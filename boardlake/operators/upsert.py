@@ -10,8 +10,9 @@ with schema evolution on:
 * a column only in the source is added (null for rows it does not touch),
   a column only in the target keeps its value on update and is null on insert.
 
-Planned as one full outer join on the key, which shuffles each side once
-on the key (or reuses an existing partitioning), followed by a projection.
+By default one full outer join on the key shuffles each side once.  For a
+batch merged into a large table, a source proven small is broadcast and
+the target streamed without a shuffle.  See :func:`upsert`.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boardlake.operators.dedupe import latest_per_key
+from boardlake.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, fits
 
 _T = "t__"
 _S = "s__"
@@ -84,45 +86,111 @@ def unique_source(source: DataFrame, keys: Sequence[str],
     return _unique_salted(source, list(keys), order_by).drop(_SALT)
 
 
+def _materialized(df: DataFrame) -> DataFrame:
+    """Compute the deduplicated source once.
+
+    The broadcast plan reads it up to four times (size check, the join, the key
+    semi join, the inserts), and it is often itself a join (a refined board).
+    A reliable checkpoint in the cluster's ``spark.checkpoint.dir`` computes
+    it once and cuts its lineage; without a checkpoint folder it is
+    recomputed instead.
+    """
+    if df.sparkSession.sparkContext.getCheckpointDir():
+        return df.checkpoint(eager=True)
+    return df
+
+
+def _project(t_schema, s_schema, take_source: Column, target_present: bool = True) -> list[Column]:
+    """Output columns of the merged row from the prefixed target/source columns.
+
+    Target columns first (shared ones take the source value when
+    ``take_source``), then source-only columns.  ``target_present=False``
+    builds rows that have no target side (pure inserts).
+    """
+    t_cols = [f.name for f in t_schema.fields]
+    s_types = {f.name: f.dataType for f in s_schema.fields}
+    out = []
+    for f in t_schema.fields:
+        c = f.name
+        t_c = F.col(_T + c) if target_present else F.lit(None).cast(f.dataType)
+        if c in s_types:
+            s_c = F.col(_S + c)
+            if s_types[c] != f.dataType:
+                s_c = s_c.cast(f.dataType)
+            out.append(F.when(take_source, s_c).otherwise(t_c).alias(c))
+        else:
+            out.append(t_c.alias(c))
+    for f in s_schema.fields:
+        if f.name not in t_cols:
+            out.append(F.when(take_source, F.col(_S + f.name)).alias(f.name))
+    return out
+
+
+def _take_source(keep_newer: str | None) -> Column:
+    """True where the merged row takes the source side."""
+    take = F.col(_SEEN).isNotNull()
+    if keep_newer:
+        target_newer = F.col(_T + keep_newer) > F.col(_S + keep_newer)
+        # Matched and the stored row is newer -> keep the stored row.
+        matched = F.col(_SEEN).isNotNull() & F.col(_T + _SALT).isNotNull()
+        take = take & ~(matched & F.coalesce(target_newer, F.lit(False)))
+    return take
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] = ("id",),
            order_by: Sequence[Column | str] | None = None,
-           keep_newer: str | None = None) -> DataFrame:
+           keep_newer: str | None = None, broadcast_source: bool = False,
+           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Return the target table after upserting ``source`` on ``keys``.
 
     ``keep_newer`` names a timestamp column: a matched row keeps its target
     version when the target's value is strictly newer (late data does not
     overwrite fresher state).
+
+    Two plans give the same rows.  By default both sides shuffle once on
+    the key for a full outer join.  ``broadcast_source=True`` is for a
+    batch merged into a large table: the deduplicated source is computed
+    once (checkpointed) and, when a bounded count proves it has at most
+    ``max_broadcast_rows`` rows, broadcast while the target is only
+    streamed -- one left outer join for kept and updated rows and a semi
+    join on the key columns alone for the matched keys -- so the large
+    table is never shuffled.  A source above the bound falls back to the
+    shuffle plan.
     """
     keys = list(keys)
     t_cols, s_cols = target.columns, source.columns
     if keep_newer and (keep_newer not in t_cols or keep_newer not in s_cols):
         raise ValueError(f"keep_newer column {keep_newer!r} must exist on both sides")
+    src = _unique_salted(source, keys, order_by)
+    t_schema, s_schema = target.schema, source.schema
+    if broadcast_source:
+        src = _materialized(src)
+        if fits(src, max_broadcast_rows):
+            return _upsert_small_source(target, src, keys, keep_newer, t_schema, s_schema)
+
     t = _prefixed(_salted(target, keys), _T)
-    s = _prefixed(_unique_salted(source, keys, order_by), _S).withColumn(_SEEN, F.lit(True))
+    s = _prefixed(src, _S).withColumn(_SEEN, F.lit(True))
     cond = [t[_T + k] == s[_S + k] for k in keys] + [t[_T + _SALT] == s[_S + _SALT]]
     joined = t.join(s, on=cond, how="full_outer")
-
-    take_source = F.col(_SEEN).isNotNull()
-    if keep_newer:
-        target_newer = F.col(_T + keep_newer) > F.col(_S + keep_newer)
-        # Matched and the stored row is newer -> keep the stored row.
-        matched = F.col(_SEEN).isNotNull() & F.col(_T + _SALT).isNotNull()
-        take_source = take_source & ~(matched & F.coalesce(target_newer, F.lit(False)))
-
-    out = []
-    for c in t_cols:
-        if c in s_cols:
-            s_c = F.col(_S + c)
-            t_type = target.schema[c].dataType
-            if source.schema[c].dataType != t_type:
-                s_c = s_c.cast(t_type)
-            out.append(F.when(take_source, s_c).otherwise(F.col(_T + c)).alias(c))
-        else:
-            out.append(F.col(_T + c).alias(c))
-    for c in s_cols:
-        if c not in t_cols:
-            out.append(F.when(take_source, F.col(_S + c)).alias(c))
-    return joined.select(*out)
+    return joined.select(*_project(t_schema, s_schema, _take_source(keep_newer)))
+
+
+def _upsert_small_source(target: DataFrame, src: DataFrame, keys: list[str],
+                         keep_newer: str | None, t_schema, s_schema) -> DataFrame:
+    src = src.drop(_SALT)
+    # The target side needs a non-null marker column for _take_source.
+    t = _prefixed(target.withColumn(_SALT, F.lit(0).cast("long")), _T)
+    s = F.broadcast(_prefixed(src, _S).withColumn(_SEEN, F.lit(True)))
+    cond = [t[_T + k] == s[_S + k] for k in keys]
+    kept_or_updated = (t.join(s, on=cond, how="left")
+                       .select(*_project(t_schema, s_schema, _take_source(keep_newer))))
+    # Source keys that exist in the target: a semi join that reads only the
+    # target's key columns; at most one row per source key.
+    src_keys = F.broadcast(src.select(*[F.col(f"`{k}`") for k in keys]))
+    matched = target.select(*[F.col(f"`{k}`") for k in keys]).join(src_keys, on=keys, how="left_semi")
+    inserts = _prefixed(src.join(matched.dropDuplicates(keys), on=keys, how="left_anti"), _S)
+    inserted = inserts.select(*_project(t_schema, s_schema, F.lit(True), target_present=False))
+    return kept_or_updated.unionByName(inserted)
 
 
 def empty_like(spark, schema) -> DataFrame:

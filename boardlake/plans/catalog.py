@@ -195,6 +195,14 @@ def q_upsert(spark, d):
     return upsert(target, _upsert_source(c), ["id"])
 
 
+def q_upsert_small_batch(spark, d):
+    """U1 with the broadcast-source plan (a batch merged into a large table):
+    the target is streamed, not shuffled.  Same rows as ``upsert``."""
+    c = si.cards(spark, d)
+    target = c.where(F.col("dateLastActivity") < _ntz(UPSERT_TARGET_BEFORE))
+    return upsert(target, _upsert_source(c), ["id"], broadcast_source=True)
+
+
 def q_upsert_evolve(spark, d):
     """A target-only column (price) and a source-only column (due)."""
     c = si.cards(spark, d, with_price=True)
@@ -339,6 +347,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedupe_latest": q_dedupe_latest,
     "dedupe_latest_agg": q_dedupe_latest_agg,
     "upsert": q_upsert,
+    "upsert_small_batch": q_upsert_small_batch,
     "upsert_evolve": q_upsert_evolve,
     "upsert_latest": q_upsert_latest,
     "overwrite_widen": q_overwrite_widen,

@@ -86,6 +86,14 @@ def _events(bounds: str) -> str:
     return f"SELECT event_id, ts FROM events WHERE {_range(c.EV_START, c.EV_END, bounds, col='ts')}"
 
 
+UPSERT_SQL = f"""WITH {CARDS},
+t AS (SELECT * FROM cards WHERE dateLastActivity < TIMESTAMP '{c.UPSERT_TARGET_BEFORE}'),
+{UPSERT_SRC}
+SELECT * FROM s
+UNION ALL
+SELECT t.* FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.id = t.id)"""
+
+
 ORACLE: dict[str, str] = {
     "medallion_e2e": _activity(c.MEMBER, c.ACT_START, c.ACT_END, "contains", "closed_ts", c.GOLD_A),
     "bronze_cards_json": """
@@ -127,12 +135,8 @@ SELECT t.* FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.id = t.id)""",
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
     "dedupe_latest_agg": """SELECT * FROM orders
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
-    "upsert": f"""WITH {CARDS},
-t AS (SELECT * FROM cards WHERE dateLastActivity < TIMESTAMP '{c.UPSERT_TARGET_BEFORE}'),
-{UPSERT_SRC}
-SELECT * FROM s
-UNION ALL
-SELECT t.* FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.id = t.id)""",
+    "upsert": UPSERT_SQL,
+    "upsert_small_batch": UPSERT_SQL,
     "upsert_evolve": f"""WITH {CARDS},
 priced AS (SELECT cards.*, o.o_totalprice AS price FROM cards JOIN orders o ON cards.id = o.o_orderkey),
 t AS (SELECT * FROM priced WHERE dateLastActivity < TIMESTAMP '{c.UPSERT_TARGET_BEFORE}'),
@@ -197,3 +201,4 @@ WHERE idList = '{c.BOARD}/F'
     "range_closed_date": _events("closed_date"),
     "activity_all_members": _all_members(),
 }
+

@@ -26,6 +26,9 @@ from pyspark.sql.types import StructType
 
 _PREFIX = "version="
 FORMAT_CONF = "boardlake.tables.format"
+# Above this size on disk a stored table is merged with the broadcast-source
+# upsert plan, so that the table itself is streamed rather than shuffled.
+LARGE_TARGET_BYTES = 1 << 30
 
 
 def table_format(spark: SparkSession) -> str:
@@ -159,9 +162,15 @@ def merge_into(spark: SparkSession, root: str, name: str, source: DataFrame, key
         spark.conf.set("spark.databricks.delta.schema.autoMerge.enabled", "true")
         builder.whenNotMatchedInsertAll().execute()
         return target.history(1).collect()[0]["version"]
-    current = read_table(spark, root, name)
-    target = current if current is not None else empty_like(spark, source.schema)
-    merged = upsert(target, source, keys, order_by=order_by, keep_newer=keep_newer)
+    versions = committed_versions(spark, root, name)
+    if versions:
+        target = spark.read.parquet(version_path(root, name, versions[-1]))
+        fs, path = _fs_and_path(spark, version_path(root, name, versions[-1]))
+        large = fs.getContentSummary(path).getLength() >= LARGE_TARGET_BYTES
+    else:
+        target, large = empty_like(spark, source.schema), False
+    merged = upsert(target, source, keys, order_by=order_by, keep_newer=keep_newer,
+                    broadcast_source=large)
     return write_snapshot(merged, root, name, cluster_by=cluster_by)
 
 

@@ -215,3 +215,16 @@ def test_clustered_snapshot_files_are_sorted(spark, tmp_path):
         ks = pq.read_table(f).column("k").to_pylist()
         assert ks == sorted(ks)
     assert read_table(spark, root, "x").count() == 5000
+
+
+def test_large_target_uses_broadcast_source_plan(spark, tmp_path, monkeypatch):
+    import boardlake.sources.tables as T
+    lr = _landing(tmp_path)
+    roots = {}
+    for label, limit in (("shuffle", 1 << 60), ("broadcast", 0)):
+        monkeypatch.setattr(T, "LARGE_TARGET_BYTES", limit)
+        root = str(tmp_path / label)
+        P.run_all(spark, lr, root, idle_days=5, as_of=dt.datetime(2023, 1, 9))
+        P.run_all(spark, lr, root, idle_days=5, as_of=dt.datetime(2023, 1, 9))
+        roots[label] = _snapshot(spark, root)
+    assert roots["shuffle"] == roots["broadcast"]

@@ -9,12 +9,14 @@ from boardlake.operators.upsert import upsert
 from conftest import rows
 
 SCHEMA = "id string, v string, n long"
+STRATEGIES = pytest.mark.parametrize("bs", [False, True], ids=["shuffle", "broadcast"])
 
 
-def test_merge_semantics(spark):
+@STRATEGIES
+def test_merge_semantics(spark, bs):
     target = spark.createDataFrame([("a", "old", 1), ("b", "keep", 2), (None, "nullkey", 3)], SCHEMA)
     source = spark.createDataFrame([("a", None, 10), ("c", "new", 30), (None, "nullsrc", 40)], SCHEMA)
-    got = rows(upsert(target, source, ["id"]))
+    got = rows(upsert(target, source, ["id"], broadcast_source=bs))
     assert got == sorted([
         ("a", None, 10),          # matched: every column from the source, null included
         ("b", "keep", 2),         # target only: kept
@@ -24,49 +26,60 @@ def test_merge_semantics(spark):
     ], key=repr)
 
 
-def test_schema_evolution(spark):
+@STRATEGIES
+def test_schema_evolution(spark, bs):
     target = spark.createDataFrame([("a", "t", 1), ("b", "t", 2)], "id string, v string, old long")
     source = spark.createDataFrame([("a", "s", True), ("c", "s", False)], "id string, v string, new boolean")
-    out = upsert(target, source, ["id"])
+    out = upsert(target, source, ["id"], broadcast_source=bs)
     assert out.columns == ["id", "v", "old", "new"]
     assert rows(out) == sorted([("a", "s", 1, True), ("b", "t", 2, None), ("c", "s", None, False)], key=repr)
 
 
-def test_duplicate_source_key_fails_without_order(spark):
+@STRATEGIES
+def test_duplicate_source_key_fails_without_order(spark, bs):
     target = spark.createDataFrame([("a", "t", 1)], SCHEMA)
     source = spark.createDataFrame([("a", "x", 1), ("a", "y", 2)], SCHEMA)
     with pytest.raises(Exception, match="source repeats key"):
-        upsert(target, source, ["id"]).collect()
+        upsert(target, source, ["id"], broadcast_source=bs).collect()
 
 
-def test_duplicate_null_keys_are_allowed(spark):
+@STRATEGIES
+def test_duplicate_null_keys_are_allowed(spark, bs):
     target = spark.createDataFrame([("a", "t", 1)], SCHEMA)
     source = spark.createDataFrame([(None, "x", 1), (None, "y", 2)], SCHEMA)
-    assert upsert(target, source, ["id"]).count() == 3
+    assert upsert(target, source, ["id"], broadcast_source=bs).count() == 3
 
 
-def test_duplicate_source_key_newest_wins(spark):
+@STRATEGIES
+def test_duplicate_source_key_newest_wins(spark, bs):
     target = spark.createDataFrame([("a", "t", 1)], SCHEMA)
     source = spark.createDataFrame([("a", "x", 5), ("a", "y", 7), ("b", "z", 1)], SCHEMA)
-    got = rows(upsert(target, source, ["id"], order_by=[F.col("n").desc()]))
+    got = rows(upsert(target, source, ["id"], order_by=[F.col("n").desc()], broadcast_source=bs))
     assert got == [("a", "y", 7), ("b", "z", 1)]
 
 
-def test_keep_newer(spark):
+@STRATEGIES
+def test_keep_newer(spark, bs):
     s = "id string, v string, ts timestamp"
     target = spark.createDataFrame([("a", "stored", dt.datetime(2023, 1, 9)),
                                     ("b", "stored", dt.datetime(2023, 1, 1))], s)
     source = spark.createDataFrame([("a", "late", dt.datetime(2023, 1, 5)),
                                     ("b", "fresh", dt.datetime(2023, 1, 6))], s)
-    got = rows(upsert(target, source, ["id"], keep_newer="ts"), "id", "v")
+    got = rows(upsert(target, source, ["id"], keep_newer="ts", broadcast_source=bs), "id", "v")
     assert got == [("a", "stored"), ("b", "fresh")]
 
 
-def test_plan_is_one_join(spark):
+def test_plans(spark):
     target = spark.range(100).selectExpr("cast(id as string) id", "'t' v", "id n")
     source = spark.range(50, 150).selectExpr("cast(id as string) id", "'s' v", "id n")
-    plan = upsert(target, source, ["id"])._jdf.queryExecution().executedPlan().toString()
+    small = upsert(target, source, ["id"], broadcast_source=True)
+    plan = small._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert "BroadcastHashJoin" in plan and "FullOuter" not in plan   # target streamed, not shuffled
+    large = upsert(target, source, ["id"])
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "FullOuter" in plan
+    assert rows(small) == rows(large)
 
 
 keys = st.lists(st.tuples(st.integers(0, 20), st.integers(0, 5)), max_size=25)
@@ -79,6 +92,7 @@ def test_properties(spark, t, s):
     target = spark.createDataFrame([(str(k), str(v), v) for k, v in dedup(t)], SCHEMA)
     source = spark.createDataFrame([(str(k), str(v), v) for k, v in dedup(s)], SCHEMA)
     once = upsert(target, source, ["id"])
+    assert rows(once) == rows(upsert(target, source, ["id"], broadcast_source=True))
     twice = upsert(once, source, ["id"])
     assert rows(once) == rows(twice)                          # idempotent
     ids = [r[0] for r in once.select("id").collect()]
@@ -88,23 +102,36 @@ def test_properties(spark, t, s):
     assert sorted(ids) == sorted(expected)
 
 
-def test_null_keys_survive_dedupe_and_spread(spark):
+@STRATEGIES
+def test_null_keys_survive_dedupe_and_spread(spark, bs):
     target = spark.createDataFrame([("a", "t", 1)] + [(None, "tn", i) for i in range(50)], SCHEMA)
     source = spark.createDataFrame([("a", "x", 5), ("a", "y", 7)] + [(None, "sn", i) for i in range(50)]
                                    + [(None, "sn", 0)], SCHEMA)
-    out = upsert(target, source, ["id"], order_by=[F.col("n").desc()])
+    out = upsert(target, source, ["id"], order_by=[F.col("n").desc()], broadcast_source=bs)
     assert out.where("id = 'a'").collect()[0]["v"] == "y"
     # Every distinct null-key row is kept; the exact duplicate (None, "sn", 0)
     # in the source counts once (see unique_source).
     assert out.where("id is null").count() == 100
-    no_order = upsert(target, source.where("id is null"), ["id"])
+    no_order = upsert(target, source.where("id is null"), ["id"], broadcast_source=bs)
     assert no_order.where("id is null").count() == 101       # without order_by nothing is deduplicated
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "__salt" in plan and "WindowGroupLimit" in plan
+    if bs:
+        assert "ExistingRDD" in plan           # the deduplicated source was checkpointed once
+    else:
+        assert "WindowGroupLimit" in plan and "__salt" in plan
 
 
-def test_matched_with_null_target_timestamp_takes_source(spark):
+@STRATEGIES
+def test_matched_with_null_target_timestamp_takes_source(spark, bs):
     s = "id string, v string, ts timestamp"
     target = spark.createDataFrame([("a", "stored", None)], s)
     source = spark.createDataFrame([("a", "new", dt.datetime(2023, 1, 5))], s)
-    assert rows(upsert(target, source, ["id"], keep_newer="ts"), "v") == [("new",)]
+    assert rows(upsert(target, source, ["id"], keep_newer="ts", broadcast_source=bs), "v") == [("new",)]
+
+
+def test_broadcast_source_above_bound_falls_back(spark):
+    target = spark.range(100).selectExpr("cast(id as string) id", "'t' v", "id n")
+    source = spark.range(50, 150).selectExpr("cast(id as string) id", "'s' v", "id n")
+    out = upsert(target, source, ["id"], broadcast_source=True, max_broadcast_rows=10)
+    assert "FullOuter" in out._jdf.queryExecution().executedPlan().toString()
+    assert rows(out) == rows(upsert(target, source, ["id"]))
