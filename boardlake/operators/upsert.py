@@ -188,7 +188,10 @@ def _upsert_small_source(target: DataFrame, src: DataFrame, keys: list[str],
     # target's key columns; at most one row per source key.
     src_keys = F.broadcast(src.select(*[F.col(f"`{k}`") for k in keys]))
     matched = target.select(*[F.col(f"`{k}`") for k in keys]).join(src_keys, on=keys, how="left_semi")
-    inserts = _prefixed(src.join(matched.dropDuplicates(keys), on=keys, how="left_anti"), _S)
+    # Deduplicated, the matched keys are a subset of the source keys, so the
+    # source's proven bound holds for them too.
+    matched = F.broadcast(matched.dropDuplicates(keys))
+    inserts = _prefixed(src.join(matched, on=keys, how="left_anti"), _S)
     inserted = inserts.select(*_project(t_schema, s_schema, F.lit(True), target_present=False))
     return kept_or_updated.unionByName(inserted)
 
