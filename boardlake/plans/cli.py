@@ -3,7 +3,7 @@
     python -m boardlake ingest  --landing L --root R --kind cards|members|boards|lists
     python -m boardlake refine  --root R [--board ID | --all-boards] [--board-pick latest|last_listed]
                                 [--keep-unmatched]
-    python -m boardlake unique  --root R
+    python -m boardlake unique  --root R [--full]
     python -m boardlake idle    --root R --days N [--as-of YYYY-MM-DD] [--list doing] [--list-pick name|first]
     python -m boardlake member  --root R --report NAME --member TEXT [--start_date D --end_date D]
                                 [--date-format %Y-%m-%d] [--match contains|like]
@@ -48,6 +48,7 @@ def _parser() -> argparse.ArgumentParser:
 
     s = sub.add_parser("unique", help="silver -> newest card per name")
     s.add_argument("--root", required=True)
+    s.add_argument("--full", action="store_true", help="rebuild instead of updating the changed names")
 
     s = sub.add_parser("idle", help="gold: cards idle for more than N days in a list")
     s.add_argument("--root", required=True)
@@ -105,7 +106,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         v = P.refine_silver(spark, args.root, args.board, args.board_pick, args.keep_unmatched,
                             args.all_boards)
     elif args.cmd == "unique":
-        v = P.build_unique(spark, args.root)
+        v = P.build_unique(spark, args.root, incremental=not args.full)
     elif args.cmd == "idle":
         as_of = _dt.datetime.fromisoformat(args.as_of) if args.as_of else None
         v = P.gold_idle(spark, args.root, args.days, as_of, args.list_name, args.list_pick, args.board)

@@ -20,7 +20,7 @@ from boardlake.operators.refine import refine_cards, unique_cards
 from boardlake.operators.sizing import broadcast_if_small
 from boardlake.schemas import GOLD_A
 from boardlake.sources.landing import CORRUPT, read_boards, read_cards, read_lists, read_members
-from boardlake.sources.tables import merge_into, read_table, write_snapshot
+from boardlake.sources.tables import latest_version, merge_into, read_table, write_snapshot
 
 # Row order inside each written file, chosen for the filters that read the
 # table next: refine filters bronze by board, the idle job filters silver by
@@ -38,6 +38,8 @@ BOARDS = "boards"
 LISTS = "lists"
 SILVER_CARDS = "silver_cards"
 SILVER_UNIQUE = "silver_unique_cards"
+SILVER_CHANGES = "silver_changes"
+SILVER_UNIQUE_STATE = "silver_unique_state"
 GOLD_IDLE = "gold_noactive_cards"
 GOLD_REPORTS = "gold_member_reports"
 
@@ -102,6 +104,11 @@ def _board(spark: SparkSession, root: str, board: str | None, pick: str) -> Data
     return boards.where(F.col("id") == F.lit(board)).select("id", "name")
 
 
+def _checkpointed(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the cluster's checkpoint folder when one is set."""
+    return df.checkpoint(eager=True) if df.sparkSession.sparkContext.getCheckpointDir() else df
+
+
 def refine_silver(spark: SparkSession, root: str, board: str | None = None,
                   board_pick: str = "latest", keep_unmatched: bool = False,
                   all_boards: bool = False) -> int:
@@ -110,6 +117,11 @@ def refine_silver(spark: SparkSession, root: str, board: str | None = None,
     By default one board is refined: ``board``, or the current sprint board
     (``board_pick``).  ``all_boards=True`` refines every board in one pass,
     with names joined from the boards table.
+
+    The names whose newest-card group this batch can change -- the batch's
+    names and the previous names of its cards -- are logged in
+    ``silver_changes`` with the new silver version, for the incremental
+    :func:`build_unique`.
     """
     cards = _require(spark, root, BRONZE_CARDS)
     members = _require(spark, root, BRONZE_MEMBERS)
@@ -119,13 +131,74 @@ def refine_silver(spark: SparkSession, root: str, board: str | None = None,
     else:
         the_board = _board(spark, root, board, board_pick)
         refined = refine_cards(cards, members, board=the_board, keep_unmatched=keep_unmatched)
-    return merge_into(spark, root, SILVER_CARDS, refined, ["id"], cluster_by=CLUSTER[SILVER_CARDS])
-
-
-def build_unique(spark: SparkSession, root: str) -> int:
-    """Newest silver card per name, as a full overwrite."""
-    return write_snapshot(unique_cards(_require(spark, root, SILVER_CARDS)), root, SILVER_UNIQUE,
-                          cluster_by=CLUSTER[SILVER_UNIQUE])
+    refined = _checkpointed(refined)
+    previous = read_table(spark, root, SILVER_CARDS)
+    touched = refined.select("name")
+    if previous is not None:
+        ids = broadcast_if_small(refined.select("id"))
+        touched = touched.unionByName(previous.join(ids, "id", "left_semi").select("name"))
+    touched = _checkpointed(touched.distinct())
+    version = merge_into(spark, root, SILVER_CARDS, refined, ["id"], cluster_by=CLUSTER[SILVER_CARDS])
+    log = touched.withColumn("silver_version", F.lit(version).cast("long"))
+    earlier = read_table(spark, root, SILVER_CHANGES)
+    if earlier is not None:
+        log = earlier.unionByName(log)
+    write_snapshot(log, root, SILVER_CHANGES, merge_schema=False)
+    return version
+
+
+def _changed_names(spark: SparkSession, root: str, built_from: int, silver_version: int):
+    """Names changed in silver versions ``(built_from, silver_version]``, or None
+    when some version in that range has no change log (written by another job)."""
+    changes = read_table(spark, root, SILVER_CHANGES)
+    if changes is None:
+        return None
+    window = changes.where((F.col("silver_version") > built_from) &
+                           (F.col("silver_version") <= silver_version))
+    logged = {r[0] for r in window.select("silver_version").distinct().collect()}
+    if logged != set(range(built_from + 1, silver_version + 1)):
+        return None
+    return window.select("name").distinct()
+
+
+def build_unique(spark: SparkSession, root: str, incremental: bool = True) -> int:
+    """Newest silver card per name.
+
+    Incremental when possible: only the name groups logged by
+    :func:`refine_silver` since the last build are recomputed, from silver
+    rows found by a (null-safe) broadcast semi join, and the other rows of
+    the previous table are kept by the matching anti join -- silver is
+    streamed, never shuffled.  Otherwise (first build, or a silver version
+    without a change log) the whole table is rebuilt with one shuffle by
+    name.  Either way the result equals a full rebuild.
+    """
+    silver = _require(spark, root, SILVER_CARDS)
+    silver_version = latest_version(spark, root, SILVER_CARDS)
+    state = read_table(spark, root, SILVER_UNIQUE_STATE)
+    previous = read_table(spark, root, SILVER_UNIQUE)
+    changed = None
+    if incremental and state is not None and previous is not None:
+        built_from = state.first()["silver_version"]
+        if built_from == silver_version:
+            return latest_version(spark, root, SILVER_UNIQUE)
+        if built_from < silver_version:
+            changed = _changed_names(spark, root, built_from, silver_version)
+    if changed is None:
+        out = unique_cards(silver)
+    else:
+        names = broadcast_if_small(changed.select(F.col("name").alias("__name")))
+        same = F.col("name").eqNullSafe(F.col("__name"))
+        recomputed = unique_cards(silver.join(names, same, "left_semi"))
+        kept = previous.join(names, same, "left_anti")
+        out = kept.unionByName(recomputed, allowMissingColumns=True)
+    version = write_snapshot(out, root, SILVER_UNIQUE, cluster_by=CLUSTER[SILVER_UNIQUE])
+    write_snapshot(spark.createDataFrame([(silver_version,)], "silver_version long"), root,
+                   SILVER_UNIQUE_STATE, merge_schema=False)
+    log = read_table(spark, root, SILVER_CHANGES)
+    if log is not None:   # keep only entries the next build may still need
+        write_snapshot(log.where(F.col("silver_version") > silver_version), root, SILVER_CHANGES,
+                       merge_schema=False)
+    return version
 
 
 def gold_idle(spark: SparkSession, root: str, days: int, as_of: _dt.datetime | None = None,

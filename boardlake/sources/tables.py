@@ -74,6 +74,15 @@ def version_path(root: str, name: str, version: int) -> str:
     return f"{table_path(root, name)}/{_PREFIX}{version:08d}"
 
 
+def latest_version(spark: SparkSession, root: str, name: str) -> int | None:
+    """Number of the newest committed version of ``name``; None when absent."""
+    if table_format(spark) == "delta":
+        t = _delta_table(spark, table_path(root, name))
+        return None if t is None else t.history(1).collect()[0]["version"]
+    versions = committed_versions(spark, root, name)
+    return versions[-1] if versions else None
+
+
 def read_table(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame | None:
     """Latest committed snapshot (or ``version``); None when the table does not exist."""
     if table_format(spark) == "delta":

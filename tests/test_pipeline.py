@@ -228,3 +228,51 @@ def test_large_target_uses_broadcast_source_plan(spark, tmp_path, monkeypatch):
         P.run_all(spark, lr, root, idle_days=5, as_of=dt.datetime(2023, 1, 9))
         roots[label] = _snapshot(spark, root)
     assert roots["shuffle"] == roots["broadcast"]
+
+
+def test_incremental_unique_equals_full_rebuild(spark, tmp_path):
+    from boardlake.operators.refine import unique_cards
+    lr, root = _landing(tmp_path), str(tmp_path / "tables")
+    P.run_all(spark, lr, root, idle_days=5, as_of=dt.datetime(2023, 1, 9))
+    # Rename c3 into the "fix login" group, move c2 back in time, add a card
+    # without a name and one with a new name.
+    _write(f"{lr}/cards", [
+        card("c3", "fix login", "2023-01-09T00:00:00.000Z", members=("m2",)),
+        card("c2", "fix login", "2022-12-01T00:00:00.000Z", members=("m1",)),
+        card("c7", None, "2023-01-04T00:00:00.000Z", members=("m1",)),
+        card("c8", "brand new", "2023-01-05T00:00:00.000Z", members=("m2",))])
+    P.ingest_bronze(spark, f"{lr}/cards", root, "cards")
+    P.refine_silver(spark, root)
+    _write(f"{lr}/cards", [card("c8", "renamed again", "2023-01-06T00:00:00.000Z", members=("m2",))])
+    P.ingest_bronze(spark, f"{lr}/cards", root, "cards")
+    P.refine_silver(spark, root)                       # two refines, one build
+    built_from = read_table(spark, root, P.SILVER_UNIQUE_STATE).first()[0]
+    latest = max(committed_versions(spark, root, P.SILVER_CARDS))
+    changed = P._changed_names(spark, root, built_from, latest)
+    assert changed is not None                         # the incremental path is taken
+    # A refine re-refines the whole current board, so every name on it counts
+    # as touched, plus the names its cards had before (c3 was "write docs").
+    assert sorted(r[0] or "" for r in changed.collect()) == \
+        ["", "bad time", "brand new", "fix login", "renamed again", "write docs"]
+    P.build_unique(spark, root)
+    full = rows(unique_cards(read_table(spark, root, P.SILVER_CARDS)))
+    assert rows(read_table(spark, root, P.SILVER_UNIQUE)) == full
+    ids = [r[0] for r in rows(read_table(spark, root, P.SILVER_UNIQUE), "id")]
+    assert ids == ["c3", "c6", "c7", "c8"]
+    assert read_table(spark, root, P.SILVER_CHANGES).count() == 0      # log trimmed after the build
+    v = P.build_unique(spark, root)                    # nothing new: no new version
+    assert v == max(committed_versions(spark, root, P.SILVER_UNIQUE))
+
+
+def test_unique_rebuilds_when_silver_has_no_change_log(spark, tmp_path):
+    from boardlake.operators.refine import unique_cards
+    lr, root = _landing(tmp_path), str(tmp_path / "tables")
+    P.run_all(spark, lr, root, idle_days=5, as_of=dt.datetime(2023, 1, 9))
+    silver = read_table(spark, root, P.SILVER_CARDS)
+    write_snapshot(silver.where("id != 'c2'"), root, P.SILVER_CARDS)   # written by another job
+    built_from = read_table(spark, root, P.SILVER_UNIQUE_STATE).first()[0]
+    latest = max(committed_versions(spark, root, P.SILVER_CARDS))
+    assert P._changed_names(spark, root, built_from, latest) is None   # falls back to a rebuild
+    P.build_unique(spark, root)
+    assert rows(read_table(spark, root, P.SILVER_UNIQUE)) == \
+        rows(unique_cards(read_table(spark, root, P.SILVER_CARDS)))
