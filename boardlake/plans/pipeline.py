@@ -1,9 +1,9 @@
 """The pipeline's jobs (R1-R6): landing JSON -> bronze -> silver -> gold.
 
 Each job reads the latest committed snapshots, builds one Spark plan and
-writes one new snapshot (see :mod:`boardlake.sources.tables`).  Nothing is
-collected to the driver: the current board and the chosen list are
-one-row DataFrames joined into the plan.
+writes one new snapshot (see :mod:`boardlake.sources.tables`).  No data
+rows reach the driver: the current board and the chosen list are one-row
+DataFrames joined into the plan; only bookkeeping version numbers are read.
 """
 
 from __future__ import annotations
@@ -22,15 +22,6 @@ from boardlake.schemas import GOLD_A
 from boardlake.sources.landing import CORRUPT, read_boards, read_cards, read_lists, read_members
 from boardlake.sources.tables import latest_version, merge_into, read_table, write_snapshot
 
-# Row order inside each written file, chosen for the filters that read the
-# table next: refine filters bronze by board, the idle job filters silver by
-# list and last activity, member reports filter unique cards by date range.
-CLUSTER = {
-    "bronze_cards": ["idBoard", "dateLastActivity"],
-    "silver_cards": ["idList", "dateLastActivity"],
-    "silver_unique_cards": ["dateLastActivity"],
-}
-
 # Table names under the pipeline root.
 BRONZE_CARDS = "bronze_cards"
 BRONZE_MEMBERS = "bronze_members"
@@ -43,6 +34,15 @@ SILVER_UNIQUE_STATE = "silver_unique_state"
 GOLD_IDLE = "gold_noactive_cards"
 GOLD_REPORTS = "gold_member_reports"
 
+# Row order inside each written file, chosen for the filters that read the
+# table next: refine filters bronze by board, the idle job filters silver by
+# list and last activity, member reports filter unique cards by date range.
+CLUSTER = {
+    BRONZE_CARDS: ["idBoard", "dateLastActivity"],
+    SILVER_CARDS: ["idList", "dateLastActivity"],
+    SILVER_UNIQUE: ["dateLastActivity"],
+}
+
 
 def _require(spark: SparkSession, root: str, name: str) -> DataFrame:
     t = read_table(spark, root, name)
