@@ -3,7 +3,8 @@
 Each job reads the latest committed snapshots, builds one Spark plan and
 writes one new snapshot (see :mod:`boardlake.sources.tables`).  No data
 rows reach the driver: the current board and the chosen list are one-row
-DataFrames joined into the plan; only bookkeeping version numbers are read.
+DataFrames joined into the plan; only version numbers and bounded row counts
+(size checks) are read.
 """
 
 from __future__ import annotations
