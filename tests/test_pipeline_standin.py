@@ -3,8 +3,12 @@ checked against DuckDB: 15,000 cards with id arrays, 100 members."""
 
 import os
 
+import sys
+
 import pytest
-from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+from standin_landing import write_landing  # noqa: E402
 
 from boardlake.plans import pipeline as P
 from boardlake.sources.tables import read_table
@@ -14,28 +18,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not
 
 
 def _landing(spark, lr):
-    t = lambda n: spark.read.parquet(f"{SF}/{n}.parquet")
-    o, li, s = t("orders"), t("lineitem"), t("supplier")
-    # Test-data preparation only: the card JSON carries its member ids as an array.
-    ids = li.groupBy("l_orderkey").agg(F.collect_set(F.col("l_suppkey").cast("string")).alias("idMembers"))
-    cards = o.join(ids, o.o_orderkey == ids.l_orderkey, "left").select(
-        F.col("o_orderkey").cast("string").alias("id"),
-        (F.col("o_orderstatus") == "F").alias("closed"),
-        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("dateLastActivity"),
-        F.col("o_orderpriority").alias("idBoard"),
-        F.concat("o_orderpriority", F.lit("/"), "o_orderstatus").alias("idList"),
-        "idMembers",
-        F.col("o_custkey").cast("string").alias("name"))
-    cards.write.json(f"{lr}/cards")
-    s.select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("fullName")) \
-        .write.json(f"{lr}/members")
-    o.select(F.col("o_orderpriority").alias("id")).distinct() \
-        .select("id", F.concat(F.lit("Board "), "id").alias("name"), F.lit(1).alias("pos")) \
-        .write.json(f"{lr}/boards")
-    o.select("o_orderpriority", "o_orderstatus").distinct().select(
-        F.concat("o_orderpriority", F.lit("/"), "o_orderstatus").alias("id"),
-        F.col("o_orderpriority").alias("idBoard"), F.col("o_orderstatus").alias("name"),
-        F.lit(1).alias("pos")).write.json(f"{lr}/lists")
+    write_landing(spark, SF, lr)
 
 
 ORACLE = """
