@@ -10,6 +10,7 @@
                                 [--bounds closed_ts|open_ts|closed_date] [--columns A|B|C]
     python -m boardlake reports --root R --specs specs.json
     python -m boardlake stream  --landing L --root R [--kind cards|members] [--checkpoint C]
+    python -m boardlake prune   --root R [--keep 3] [--table NAME]
     python -m boardlake run-all --landing-root L --root R [--days N]
 
 Each command builds its session with :func:`boardlake.session.build_session`
@@ -79,6 +80,11 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--root", required=True)
     s.add_argument("--checkpoint", default=None)
 
+    s = sub.add_parser("prune", help="delete all but the newest versions of snapshot tables")
+    s.add_argument("--root", required=True)
+    s.add_argument("--keep", type=int, default=3)
+    s.add_argument("--table", default=None, help="one table; default: every table under the root")
+
     s = sub.add_parser("run-all", help="every layer once")
     s.add_argument("--landing-root", required=True)
     s.add_argument("--root", required=True)
@@ -121,6 +127,10 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         start = stream_cards if args.kind == "cards" else stream_members
         start(spark, args.landing, args.root, args.checkpoint).awaitTermination()
         v = None
+    elif args.cmd == "prune":
+        from boardlake.sources.tables import list_tables, prune_versions
+        names = [args.table] if args.table else list_tables(spark, args.root)
+        v = {n: prune_versions(spark, args.root, n, args.keep) for n in names}
     else:
         P.run_all(spark, args.landing_root, args.root, args.days)
         v = None

@@ -70,6 +70,15 @@ def committed_versions(spark: SparkSession, root: str, name: str) -> list[int]:
     return sorted(out)
 
 
+def list_tables(spark: SparkSession, root: str) -> list[str]:
+    """Names of the snapshot tables under ``root`` (folders holding versions)."""
+    fs, base = _fs_and_path(spark, root.rstrip("/"))
+    if not fs.exists(base):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(base)
+                  if st.isDirectory() and committed_versions(spark, root, st.getPath().getName()))
+
+
 def version_path(root: str, name: str, version: int) -> str:
     return f"{table_path(root, name)}/{_PREFIX}{version:08d}"
 

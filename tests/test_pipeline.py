@@ -165,6 +165,11 @@ def test_cli(spark, tmp_path, capsys):
     assert rows(read_table(spark, root, P.GOLD_REPORTS), "report", "id") == [("bo", "c2"), ("bo", "c3"),
                                                                               ("bo", "c6")]
     assert '"command": "reports"' in capsys.readouterr().out
+    main(["ingest", "--landing", f"{lr}/cards", "--root", root, "--kind", "cards"], spark=spark)
+    main(["prune", "--root", root, "--keep", "1"], spark=spark)
+    for name in (P.BRONZE_CARDS, P.SILVER_CARDS, P.GOLD_IDLE):
+        assert len(committed_versions(spark, root, name)) == 1
+    assert rows(read_table(spark, root, P.GOLD_IDLE), "id") == [("c1",), ("c3",)]
 
 
 def test_table_format_setting(spark, tmp_path):
