@@ -44,6 +44,17 @@ def main(argv) -> int:
     print(f"# Physical plans of the registered queries ({os.path.basename(sf_dir)}, AQE final plans)\n")
     print("Generated by `tools/plan_report.py`.  *shuffles* counts hash exchanges; *single* counts "
           "exchanges to one partition (global aggregates of one row); joins are `operator:type`.\n")
+    print("Where the shuffles come from:\n")
+    print("* silver (`silver_*`, `unique_cards`, `activity_*`, `idle_*`, `medallion_e2e`): member names "
+          "aggregated by card id (partial `collect_set` before the shuffle); card rows joined to those "
+          "names by id; in the stand-in only, the board table derived with a `distinct` over orders. "
+          "Members and boards are broadcast after a row-count check.")
+    print("* unique cards and the activity queries: one more shuffle by card name for the newest-per-name "
+          "window, with a partial `WindowGroupLimit` before it.")
+    print("* `upsert*`: one shuffle per side on the key for the full outer join (the duplicate check "
+          "shares it); `upsert_small_batch` shuffles only the small batch and streams the target.")
+    print("* `idle_*`, `list_lookup*`: in the stand-in, the list table is derived with a `distinct` over "
+          "orders, plus the per-board `min_by`.\n")
     print("| query | shuffles | single | broadcasts | joins | partial agg / limit | filters pushed to Parquet |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
     for name, fn in entry.queries().items():
