@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boardlake.functions.dates import board_date
-from boardlake.operators.sizing import broadcast_if_small
+from boardlake.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 
 PICK_BOARD = ("latest", "last_listed")
 PICK_LIST = ("name", "first")
@@ -68,13 +68,15 @@ def list_lookup(lists: DataFrame, list_name: str | None = None, pick: str = "nam
 
 def with_board_name(cards: DataFrame, boards: DataFrame | None = None,
                     board_name: str | None = None, board_col: str = "idBoard",
-                    id_col: str = "id", name_col: str = "name") -> DataFrame:
+                    id_col: str = "id", name_col: str = "name",
+                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Add ``board_name``: a constant when ``board_name`` is given, otherwise a
-    left join to ``boards`` on the board id (broadcast when proven small)."""
+    left join to ``boards`` on the board id (broadcast when proven small;
+    otherwise a shuffle join in which AQE splits a hot board)."""
     if board_name is not None:
         return cards.withColumn("board_name", F.lit(board_name))
     if boards is None:
         raise ValueError("give boards or board_name")
     b = boards.select(F.col(id_col).alias("__board_id"), F.col(name_col).alias("board_name"))
-    b = broadcast_if_small(b)
+    b = broadcast_if_small(b, max_broadcast_rows)
     return (cards.join(b, cards[board_col] == b["__board_id"], "left").drop("__board_id"))

@@ -100,3 +100,35 @@ def test_unique_cards_brute_force(spark, data):
     assert sorted(r[0] for r in unique_cards(df).select("id").collect()) == expected
     agg = latest_per_key_agg(df, ["name"], ["dateLastActivity", "id"])
     assert sorted(r[0] for r in agg.select("id").collect()) == expected
+
+
+_dates = st.dates(min_value=dt.date(1900, 1, 1), max_value=dt.date(2099, 12, 31))
+_spellings = [
+    lambda d: f"Sprint ({d.day}-{d.strftime('%B')}-{d.year})",            # full month name
+    lambda d: f"SPRINT ({d.day}-{d.strftime('%b').upper()}-{d.year})",     # upper-case abbreviation
+    lambda d: f"Sprint ({d.day:02d}-{d.strftime('%b')}{d.year})",          # no dash before the year
+    lambda d: f"Sprint ({d.day:02d}-{d.strftime('%b')}-{d.year}) (old)",   # first parentheses only
+    lambda d: f"S ({d.day}-{d.strftime('%B').lower()}-{d.year})",          # lower-case full name
+]
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(days=st.lists(_dates, min_size=1, max_size=20), which=st.integers(0, len(_spellings) - 1))
+def test_board_date_round_trip(spark, days, which):
+    from boardlake.functions.dates import board_date
+    names = [(_spellings[(which + i) % len(_spellings)](d), d) for i, d in enumerate(days)]
+    df = spark.createDataFrame(names, "name string, want date")
+    got = df.select("want", board_date("name").alias("got")).collect()
+    assert all(r["got"] == r["want"] for r in got)
+
+
+def test_board_name_join_same_with_and_without_broadcast(spark):
+    from boardlake.operators.boards import with_board_name
+    cards = spark.createDataFrame([("c1", "b1"), ("c2", "b2"), ("c3", None), ("c4", "zz")],
+                                  "id string, idBoard string")
+    boards = spark.createDataFrame([("b1", "One"), ("b2", "Two")], "id string, name string")
+    small = with_board_name(cards, boards=boards)
+    large = with_board_name(cards, boards=boards, max_broadcast_rows=1)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    assert rows(small) == rows(large) == [("c1", "b1", "One"), ("c2", "b2", "Two"), ("c3", None, None),
+                                          ("c4", "zz", None)]
