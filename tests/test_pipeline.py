@@ -281,3 +281,14 @@ def test_unique_rebuilds_when_silver_has_no_change_log(spark, tmp_path):
     P.build_unique(spark, root)
     assert rows(read_table(spark, root, P.SILVER_UNIQUE)) == \
         rows(unique_cards(read_table(spark, root, P.SILVER_CARDS)))
+
+
+def test_cli_stream_and_run_all(spark, tmp_path):
+    from boardlake.plans.cli import main
+    lr = _landing(tmp_path)
+    streamed, batched = str(tmp_path / "streamed"), str(tmp_path / "batched")
+    main(["stream", "--landing", f"{lr}/cards", "--root", streamed, "--kind", "cards",
+          "--checkpoint", str(tmp_path / "ckpt")], spark=spark)
+    main(["run-all", "--landing-root", lr, "--root", batched, "--days", "5"], spark=spark)
+    assert rows(read_table(spark, streamed, P.BRONZE_CARDS)) == rows(read_table(spark, batched, P.BRONZE_CARDS))
+    assert read_table(spark, batched, P.SILVER_UNIQUE).count() == 3
