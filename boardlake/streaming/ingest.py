@@ -32,6 +32,8 @@ def _keep_rejected(spark: SparkSession, batch: DataFrame, root: str, kind: str)
     """Unusable rows are kept, not dropped: each micro-batch adds its
     rejects to ``rejected_<kind>`` (the batch job writes a run's rejects)."""
     rejects = batch.where(_bad(batch))
+    if rejects.isEmpty():     # no new version for a clean batch
+        return
     name = f"rejected_{kind}"
     previous = read_table(spark, root, name)
     if previous is not None:
