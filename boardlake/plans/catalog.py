@@ -19,7 +19,7 @@ from boardlake.operators.activity import MemberSpec, idle_cards, member_activity
 from boardlake.operators.boards import current_board, dated_boards, list_lookup, with_board_name
 from boardlake.operators.dedupe import latest_per_key, latest_per_key_agg
 from boardlake.operators.members import attach_member_names, names_per_card
-from boardlake.operators.refine import board_filter
+from boardlake.operators.refine import board_filter, refine_cards
 from boardlake.operators.upsert import upsert
 from boardlake.plans import standins as si
 from boardlake.schemas import GOLD_A, GOLD_B, GOLD_C
@@ -163,6 +163,14 @@ def q_silver_upsert(spark, d):
     return upsert(yesterday, today, ["id"])
 
 
+def q_silver_current_board(spark, d):
+    """R3 as the reference runs it: the current sprint board is resolved from
+    dated board names, then only its cards are refined, named after it."""
+    board = current_board(si.dated_priority_boards(spark, d), "latest")
+    return refine_cards(si.cards(spark, d), si.members(spark, d), board=board,
+                        pairs=si.memberships(spark, d))
+
+
 def q_unique_cards(spark, d):
     """Newest silver card per name."""
     return si.unique(spark, d)
@@ -343,6 +351,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_cards": q_silver_cards,
     "silver_cards_keep": q_silver_cards_keep,
     "silver_upsert": q_silver_upsert,
+    "silver_current_board": q_silver_current_board,
     "unique_cards": q_unique_cards,
     "dedupe_latest": q_dedupe_latest,
     "dedupe_latest_agg": q_dedupe_latest_agg,

@@ -130,6 +130,16 @@ s AS (SELECT * FROM silver_keep WHERE idBoard = '{c.BOARD}')
 SELECT * FROM s
 UNION ALL
 SELECT t.* FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.id = t.id)""",
+    "silver_current_board": f"""WITH {CARDS},
+{NAMES},
+bd AS (SELECT o_orderpriority AS id, max(o_orderdate) AS d,
+              CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS pos
+       FROM orders GROUP BY o_orderpriority),
+cur AS (SELECT id, 'Sprint (' || strftime(d, '%-d-%b-%Y') || ')' AS name
+        FROM bd ORDER BY CAST(d AS DATE) DESC, pos DESC LIMIT 1)
+SELECT c.*, n.card_members, strftime(c.dateLastActivity, '%d-%m-%Y') AS LastUpdated,
+       cur.name AS board_name
+FROM cards c JOIN names n ON c.id = n.id JOIN cur ON c.idBoard = cur.id""",
     "unique_cards": SILVER_CHAIN + "SELECT * FROM uniq",
     "dedupe_latest": """SELECT * FROM orders
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",

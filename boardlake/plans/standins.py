@@ -74,6 +74,17 @@ def sprint_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("o_orderkey").alias("pos"))
 
 
+def dated_priority_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One board per priority, named after the priority's latest order date
+    (``Sprint (1-Aug-2001)``), listed in priority order."""
+    o = table(spark, sf_dir, "orders")
+    latest = o.groupBy(F.col("o_orderpriority").alias("id")).agg(F.max("o_orderdate").alias("d"))
+    return latest.select(
+        "id",
+        F.concat(F.lit("Sprint ("), F.date_format("d", "d-MMM-yyyy"), F.lit(")")).alias("name"),
+        F.substring("id", 1, 1).cast("int").alias("pos"))
+
+
 def lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One list per (board, status), derived from the whole orders table."""
     o = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderstatus").distinct()
