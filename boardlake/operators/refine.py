@@ -34,7 +34,14 @@ def refine_cards(cards: DataFrame, members: DataFrame, board: str | DataFrame |
     Membership comes from the cards' ``idMembers`` arrays, or from a
     separate ``pairs`` table of (card id, member id).
     """
-    if board is not None:
+    named_here = isinstance(board, DataFrame) and board_name is None and boards is None
+    if named_here:
+        # One join both keeps the board's cards and names them (the board
+        # DataFrame, e.g. the one-row current board, is computed once).
+        b = broadcast_if_small(board.select(F.col("id").alias("__board_id"),
+                                            F.col("name").alias("board_name")))
+        cards = cards.join(b, cards["idBoard"] == b["__board_id"], "inner").drop("__board_id")
+    elif board is not None:
         cards = board_filter(cards, board)
     if pairs is None:
         out = member_names(cards, members, keep_unmatched=keep_unmatched)
@@ -42,8 +49,8 @@ def refine_cards(cards: DataFrame, members: DataFrame, board: str | DataFrame |
         out = member_names_from_pairs(cards, pairs, members, pair_card, pair_member,
                                       keep_unmatched=keep_unmatched)
     out = out.withColumn("LastUpdated", last_updated("dateLastActivity"))
-    if board_name is None and boards is None and isinstance(board, DataFrame):
-        boards = board
+    if named_here:
+        return out.select(*[F.col(f"`{c}`") for c in out.columns if c != "board_name"], "board_name")
     return with_board_name(out, boards=boards, board_name=board_name)
 
 
