@@ -5,22 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a dimension side may have and still be broadcast.  The sides this
-# package broadcasts are narrow projections (an id and a name), so the bound
-# in rows is also a bound of a few hundred bytes per row.
+# Rows a side may have and still be broadcast.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# Bytes those rows may hold (measured as their JSON text, a close proxy for
+# their in-memory size), so that wide rows cannot slip under the row bound.
+DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
 
 
-def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+         max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows holding at most ``max_bytes``.
 
-    Counts at most ``max_rows + 1`` rows, so the check stays cheap however
-    large the side is.
+    One job over at most ``max_rows + 1`` rows, so the check stays cheap
+    however large the side is.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                       F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
+    return probe["n"] <= max_rows and probe["b"] <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when the row count is proven small, else leave the
+    """Hint a broadcast when the size is proven small, else leave the
     strategy to the planner (shuffle join, with AQE's skew split)."""
     return F.broadcast(df) if fits(df, max_rows) else df

@@ -69,3 +69,12 @@ def test_many_reports_equal_single_reports(spark):
     assert many == sorted(single, key=repr)
     plan = member_activity_many(silver, specs, ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_size_proof_bounds_rows_and_bytes(spark):
+    from boardlake.operators.sizing import fits
+    narrow = spark.range(1000).selectExpr("id", "'x' as s")
+    wide = spark.range(1000).selectExpr("id", "repeat('x', 10000) as s")
+    assert fits(narrow, max_rows=1000) and not fits(narrow, max_rows=999)
+    assert fits(wide, max_rows=1000, max_bytes=20_000_000)
+    assert not fits(wide, max_rows=1000, max_bytes=1_000_000)      # few rows, too many bytes
