@@ -2,7 +2,8 @@
 
 Runs in a fresh JVM (``local[4,4]``: up to four attempts per task) and makes
 the first attempt of every even-numbered task fail inside the upsert's
-source and inside the pipeline's bronze input.  The results must equal an
+source and inside the cards feeding the member-name join and the
+newest-per-name dedupe.  The results must equal an
 un-faulted run.  (The UDF is only the fault injector.)
 """
 
@@ -50,6 +51,23 @@ SCRIPT = textwrap.dedent(r"""
     for bs in (False, True):
         assert result(True, bs) == result(False, bs), bs
     assert result(False, False) == result(False, True)
+
+    from boardlake.operators.members import member_names
+    from boardlake.operators.refine import unique_cards
+    cards = spark.range(0, 4000, numPartitions=4).selectExpr(
+        "cast(id as string) as id", "cast(id % 300 as string) as name",
+        "timestamp_seconds(id * 3600) as dateLastActivity",
+        "array(cast(id % 50 as string), cast(id % 7 as string), 'zz') as idMembers")
+    members = spark.range(0, 50).selectExpr("cast(id as string) as id", "concat('M', id) as fullName")
+
+    def silver(fault, max_rows):
+        c = cards.where(flaky(F.col("id").cast("long")) >= 0) if fault else cards
+        named = member_names(c, members, max_broadcast_rows=max_rows)
+        return (sorted(tuple(r) for r in named.select("id", "card_members").collect()),
+                sorted(r[0] for r in unique_cards(named).select("id").collect()))
+
+    for max_rows in (1, 1_000_000):    # shuffle join, then broadcast join
+        assert silver(True, max_rows) == silver(False, max_rows), max_rows
     print("RETRIES-OK")
 """).replace("REPO", repr(REPO))
 
