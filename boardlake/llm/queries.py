@@ -6,9 +6,27 @@ table and returns the operator's full result as the columns of its contract.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
+from boardlake.llm.chunk_dedup import chunk_dedup
 from boardlake.llm.simhash import simhash_components
+from boardlake.llm.token_counts import token_counts
+from boardlake.llm.token_files import token_file_index
+
+
+#: Folder of the public tokenizer files.
+TOKENIZER_DIR = "/opt/tokenizers"
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer file: from its package, else in TOKENIZER_DIR."""
+    try:
+        import public_tokenizers
+    except ImportError:
+        return os.path.join(TOKENIZER_DIR, name)
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,9 +38,37 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token-id files, read back: offsets, lengths and id checksums."""
+    return token_file_index(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2)
+
+
+def op4_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact duplicates of all documents by chunk recipes."""
+    return chunk_dedup(_table(spark, sf_dir, "documents"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents."""
+    return token_counts(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_token_files": op2_token_files,
+    "op4_chunk_dedup": op4_chunk_dedup,
+    "op8_token_counts": op8_token_counts,
 }
 
 #: Queries that SQL can't express have no entry; their tests hold them against brute force.
-ORACLE = {}
+ORACLE = {
+    "op4_chunk_dedup": """
+        WITH d AS (
+            SELECT doc_id, length(coalesce(text, '')) AS points,
+                   regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS norm FROM documents
+        ), g AS (
+            SELECT norm, count(*) AS group_size, arg_min(doc_id, (-points, doc_id)) AS keep_id FROM d GROUP BY norm
+        )
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
+        FROM d JOIN g USING (norm)""",
+}
