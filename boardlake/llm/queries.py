@@ -11,6 +11,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from boardlake.llm.chunk_dedup import chunk_dedup
+from boardlake.llm.langid import language_id
+from boardlake.llm.sampling import sampled_digest
 from boardlake.llm.simhash import simhash_components
 from boardlake.llm.token_counts import token_counts
 from boardlake.llm.token_files import token_file_index
@@ -48,6 +50,16 @@ def op4_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op5_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled segmentations of all documents, decoded again."""
+    return sampled_digest(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learnt on two thirds of the ids."""
+    return language_id(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents."""
     return token_counts(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
@@ -57,6 +69,8 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
     "op4_chunk_dedup": op4_chunk_dedup,
+    "op5_sampled_pieces": op5_sampled_pieces,
+    "op6_language_id": op6_language_id,
     "op8_token_counts": op8_token_counts,
 }
 
