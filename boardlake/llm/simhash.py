@@ -277,7 +277,8 @@ def simhash_components(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS,
     comps = components(links, "simhash-components")
     tagged = fps.join(comps, fps.fp == comps.node, "left").select(
         "doc_id", "fp", F.coalesce("component", "fp").alias("component"))
-    least = tagged.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    # Stored, so that the join deals both sides itself and can split a component of very many rows.
+    least = stored(tagged.groupBy("component").agg(F.min("doc_id").alias("component_id")), "simhash-least")
     return tagged.join(least, "component").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
