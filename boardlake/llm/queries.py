@@ -16,6 +16,7 @@ from boardlake.llm.sampling import sampled_digest
 from boardlake.llm.simhash import simhash_components
 from boardlake.llm.token_counts import token_counts
 from boardlake.llm.token_files import token_file_index
+from boardlake.llm.warc import archived_pages
 
 
 #: Folder of the public tokenizer files.
@@ -60,6 +61,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records, read back."""
+    return archived_pages(_table(spark, sf_dir, "pages"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents."""
     return token_counts(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
@@ -71,6 +77,7 @@ QUERIES = {
     "op4_chunk_dedup": op4_chunk_dedup,
     "op5_sampled_pieces": op5_sampled_pieces,
     "op6_language_id": op6_language_id,
+    "op7_warc": op7_warc,
     "op8_token_counts": op8_token_counts,
 }
 
@@ -85,4 +92,14 @@ ORACLE = {
         )
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
         FROM d JOIN g USING (norm)""",
+    "op7_warc": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+        ), f AS (
+            SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+        FROM f""",
 }
