@@ -16,6 +16,7 @@ from boardlake.llm.sampling import sampled_digest
 from boardlake.llm.simhash import simhash_components
 from boardlake.llm.token_counts import token_counts
 from boardlake.llm.token_files import token_file_index
+from boardlake.llm.toxicity import toxicity
 from boardlake.llm.warc import archived_pages
 
 
@@ -71,6 +72,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt on three quarters of the labelled ids."""
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
@@ -79,6 +85,7 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_warc": op7_warc,
     "op8_token_counts": op8_token_counts,
+    "op9_toxicity": op9_toxicity,
 }
 
 #: Queries that SQL can't express have no entry; their tests hold them against brute force.
