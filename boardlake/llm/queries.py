@@ -17,6 +17,7 @@ from boardlake.llm.simhash import simhash_components
 from boardlake.llm.token_counts import token_counts
 from boardlake.llm.token_files import token_file_index
 from boardlake.llm.toxicity import toxicity
+from boardlake.llm.vector_join import vector_components
 from boardlake.llm.warc import archived_pages
 
 
@@ -47,6 +48,11 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_index(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2)
 
 
+def op3_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    return vector_components(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of all documents by chunk recipes."""
     return chunk_dedup(_table(spark, sf_dir, "documents"))
@@ -80,6 +86,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
+    "op3_vector_join": op3_vector_join,
     "op4_chunk_dedup": op4_chunk_dedup,
     "op5_sampled_pieces": op5_sampled_pieces,
     "op6_language_id": op6_language_id,
@@ -90,6 +97,27 @@ QUERIES = {
 
 #: Queries that SQL can't express have no entry; their tests hold them against brute force.
 ORACLE = {
+    "op3_vector_join": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+        ), ok AS (
+            SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM v
+            WHERE label IS NOT NULL AND e IS NOT NULL
+              AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+              AND len(list_filter(e, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT a.vec_id AS u, b.vec_id AS v FROM ok a JOIN ok b
+              ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+             AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93
+        ), reach(u, v) AS (
+            SELECT vec_id, vec_id FROM v UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u
+        ), comp AS (
+            SELECT u AS vec_id, min(v) AS component_id FROM reach GROUP BY u
+        ), n AS (
+            SELECT u AS vec_id, count(*) AS n_links FROM links GROUP BY u
+        )
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM comp LEFT JOIN n USING (vec_id)""",
     "op4_chunk_dedup": """
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS points,
