@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from boardlake.llm.common import pick, sql_name, stored
+from boardlake.llm.common import free_name, pick, sql_name, stored
 
 MIN_CHUNK, MAX_CHUNK = 512, 4096
 #: Hashes of 64 bits in an identifier at first.
@@ -92,10 +92,7 @@ def chunk_dedup(docs: DataFrame, width: int = WIDTH, hasher=hash64) -> DataFrame
 def keep_first(docs: DataFrame, width: int = WIDTH, hasher=hash64) -> DataFrame:
     """The row of ``docs`` that stays of each group of equal texts, with all its columns."""
     width = verified_width(docs, width, hasher)
-    mark = "__recipe"
-    while mark in docs.columns:
-        mark += "_"
-    norm, place = f"{mark}_norm", f"{mark}_place"
+    mark, norm, place = (free_name(docs, n) for n in ("__recipe", "__norm", "__place"))
     keyed = docs.withColumn(norm, without_space(F.col("text"))).withColumn(
         mark, recipe_of(F.col(sql_name(norm)), width, hasher)).drop(norm)
     # The rank limit works before the shuffle, so a group of copies leaves each map task as one row.

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from boardlake.session import checkpoint_root
 
@@ -76,6 +77,19 @@ def sql_name(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_fields(df: DataFrame, new: str, without: tuple[str, ...] = ()) -> T.StructType:
+    """Schema of ``df`` less some columns, with the fields of the DDL string ``new``."""
+    return T.StructType([f for f in df.schema.fields if f.name not in without] + T.StructType.fromDDL(new).fields)
+
+
 def pick(df: DataFrame, **names: str) -> DataFrame:
     """Only the named columns, under fixed names, whatever else ``df`` holds."""
     return df.select(*[F.col(sql_name(source)).alias(name) for name, source in names.items()])

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boardlake.llm.common import pick, stored
+from boardlake.llm.common import free_name, pick, sql_name, stored, with_fields
 from boardlake.llm.lattice import WORD_CHARS, Lattice, pieces_of
 from boardlake.llm.token_text import batches_of
 
@@ -126,8 +126,9 @@ def score_texts(scores: WordScores, texts: list[str | None]) -> tuple[np.ndarray
     return best, score
 
 
-def predict(docs: DataFrame, langs: list[str], logp: np.ndarray, model: str) -> DataFrame:
-    """All rows of ``docs(doc_id, text)`` with (lang_pred, score); other columns are kept too."""
+def predict(docs: DataFrame, langs: list[str], logp: np.ndarray, model: str,
+            out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """All rows and columns of ``docs``, with the language of ``text`` and its score."""
     shared = docs.sparkSession.sparkContext.broadcast(logp)
 
     def run(batches):
@@ -137,13 +138,11 @@ def predict(docs: DataFrame, langs: list[str], logp: np.ndarray, model: str) ->
             texts = batch.column("text").to_pylist()
             for a, b in batches_of(texts, TEXT_CHARS):
                 best, score = score_texts(scores, texts[a:b])
-                part = batch.slice(a, b - a).drop_columns(["text"])
+                part = batch.slice(a, b - a)
                 yield pa.record_batch([*part.columns, pa.array(names[best], pa.string()), pa.array(score)],
-                                      [*part.schema.names, "lang_pred", "score"])
+                                      [*part.schema.names, *out])
 
-    rest = [f for f in docs.schema.fields if f.name != "text"]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
-    return docs.mapInArrow(run, f"{fields}, lang_pred string, score double")
+    return docs.mapInArrow(run, with_fields(docs, f"{sql_name(out[0])} string, {sql_name(out[1])} double"))
 
 
 def language_id(docs: DataFrame, model: str, folds: int = 3, held_out: int = 1) -> DataFrame:
@@ -165,8 +164,8 @@ def keep_identified(docs: DataFrame, model: str, min_score: float = 0.5) -> Data
     All columns are kept as they are; decisions are made row by row, so
     repeated rows and null ids need no key.
     """
-    rows = docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
     langs, logp = learn(pick(docs, doc_id="doc_id", text="text", lang="lang").where(
         F.col("lang").isNotNull() & (crc_remainder(F.col("doc_id"), 3) != 1)), model)
-    found = predict(rows.select("__row", "text"), langs, logp, model)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("__row.*")
+    lang, score = free_name(docs, "__lang_pred"), free_name(docs, "__score")
+    found = predict(docs, langs, logp, model, (lang, score))
+    return found.where((F.col(lang) != UNKNOWN) & (F.col(score) >= min_score)).drop(lang, score)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from boardlake.llm.chunk_dedup import chunk_dedup
 from boardlake.llm.langid import language_id
+from boardlake.llm.mixing import mixing_plan
 from boardlake.llm.sampling import sampled_digest
 from boardlake.llm.simhash import simhash_components
 from boardlake.llm.token_counts import token_counts
@@ -83,6 +84,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampling probabilities and draws of all documents, raked to tempered margins."""
+    return mixing_plan(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
@@ -93,6 +99,7 @@ QUERIES = {
     "op7_warc": op7_warc,
     "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
+    "op10_mixing": op10_mixing,
 }
 
 #: Queries that SQL can't express have no entry; their tests hold them against brute force.

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boardlake.llm.common import pick, sql_name
+from boardlake.llm.common import pick, sql_name, with_fields
 from boardlake.llm.lattice import FOREIGN, WORDS, Lattice, Pieces, pieces_of, utf8_bytes, utf8_size
 from boardlake.llm.token_text import batches_of
 
@@ -163,8 +163,7 @@ def sample_pieces(docs: DataFrame, model: str, key: str = "doc_id", text: str =
                 part = batch.slice(a, b - a)
                 yield pa.record_batch([*part.columns, lists, pa.array(same)], [*part.schema.names, out, check])
 
-    fields = ", ".join(f"{sql_name(f.name)} {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{fields}, {sql_name(out)} array<int>, {sql_name(check)} boolean")
+    return docs.mapInArrow(run, with_fields(docs, f"{sql_name(out)} array<int>, {sql_name(check)} boolean"))
 
 
 def decode_pieces(rows: DataFrame, model: str, ids: str = "piece_ids", out: str = "decoded") -> DataFrame:
@@ -175,8 +174,7 @@ def decode_pieces(rows: DataFrame, model: str, ids: str = "piece_ids", out: str
             texts = [None if x is None else decode(pieces, np.array(x, np.int64)) for x in batch.column(ids).to_pylist()]
             yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, out])
 
-    fields = ", ".join(f"{sql_name(f.name)} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(run, f"{fields}, {sql_name(out)} string")
+    return rows.mapInArrow(run, with_fields(rows, f"{sql_name(out)} string"))
 
 
 def sampled_digest(docs: DataFrame, model: str) -> DataFrame:

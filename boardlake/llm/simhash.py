@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boardlake.llm.common import components, discard, pick, stored
+from boardlake.llm.common import components, pick, stored
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -289,5 +289,5 @@ def simhash_dedup(docs: DataFrame, **params) -> DataFrame:
     Rows without a doc_id stay only if their component has no doc_id at all.
     """
     stay = simhash_components(docs, **params).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = stay.select(F.col("doc_id").alias("__stay_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__stay_id"]), "left_semi")
+    ids = stored(stay.select(F.col("doc_id").alias("__stay_id")).distinct(), "simhash-stay")
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__stay_id")), "left_semi")

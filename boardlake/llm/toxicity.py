@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boardlake.llm.common import pick, stored
+from boardlake.llm.common import pick, stored, with_fields
 from boardlake.llm.token_text import batches_of
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -353,7 +353,6 @@ def tag(docs: DataFrame, model: tuple[dict[str, float], Weights] | None) -> Data
     A span is a word's character offsets in the text and its marginal.
     """
     rest = [f for f in docs.schema.fields if f.name != "text"]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
     if model is None:
         return docs.select(*[F.col(f"`{f.name}`") for f in rest], F.lit(0.0).alias("score"),
                            F.expr("cast(array() as array<struct<start:int,end:int,chance:double>>)").alias("spans"))
@@ -385,7 +384,7 @@ def tag(docs: DataFrame, model: tuple[dict[str, float], Weights] | None) -> Data
                 yield pa.record_batch([*part.columns, pa.array(weights.scores(chances, sizes)), pa.array(spans, span)],
                                       [*part.schema.names, "score", "spans"])
 
-    return docs.mapInArrow(run, f"{fields}, score double, spans array<struct<start:int,end:int,chance:double>>")
+    return docs.mapInArrow(run, with_fields(docs, "score double, spans array<struct<start:int,end:int,chance:double>>", ("text",)))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds: int = 4, held_out: int = 2) -> DataFrame:
