@@ -145,6 +145,8 @@ def _join_blocks(placed: DataFrame, cosine: float) -> DataFrame:
                                    ["key", "links", "to"])
 
         def rest(self):
+            if self.x is None:
+                self.close()
             _flatten(self.roots, np.arange(len(self.roots)))
             some = np.flatnonzero((self.links > 0) | (self.roots != np.arange(len(self.roots))))
             return self.batch([self.keys[k] for k in some], self.links[some], [self.keys[k] for k in self.roots[some]])
@@ -158,9 +160,7 @@ def _join_blocks(placed: DataFrame, cosine: float) -> DataFrame:
             cuts = [0, *(k for k in range(1, len(where)) if where[k] != where[k - 1] or own[k] != own[k - 1]), len(where)]
             for a, b in zip(cuts[:-1], cuts[1:]):
                 if where[a] != at:
-                    if held:
-                        if held.x is None:
-                            held.close()
+                    if held and held.keys:  # a block may get copies only
                         yield held.rest()
                     held, at = Block(), where[a]
                 x = unit_rows(lists[a:b])
@@ -171,8 +171,6 @@ def _join_blocks(placed: DataFrame, cosine: float) -> DataFrame:
                         held.close()
                     yield held.meet(keys[a:b], sizes[a:b], x)
         if held and held.keys:
-            if held.x is None:
-                held.close()
             yield held.rest()
 
     dealt = placed.repartition(*names).sortWithinPartitions(*names, F.col("own").desc())
