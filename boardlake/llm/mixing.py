@@ -77,25 +77,23 @@ def rake(cells: DataFrame, targets: dict, tolerance: float = TOLERANCE, rounds:
     margins = list(targets)
     shares = {m: target_shares(cells, m, targets[m]) for m in margins}
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    current = stored(cells.withColumn("factor", F.lit(1.0)), "raked")
+    current = held = stored(cells.withColumn("factor", F.lit(1.0)), "raked")
 
     for _ in range(rounds):
-        steps = []
+        current = current.withColumn("gap", F.lit(0.0))
         for m in margins:
             sums = current.groupBy(m).agg(F.sum(F.col("tokens") * F.col("factor")).alias("t"))
             # A value that the target leaves out gets nothing; one without tokens stays as it is.
             step = F.when(F.col("t") > 0, F.coalesce("share", F.lit(0.0)) * total / F.col("t")).otherwise(1.0)
-            steps.append(stored(sums.join(shares[m], m, "left").select(m, step.alias("step")), "rake-step"))
-            after = stored(current.join(steps[-1], m).withColumn("factor", F.col("factor") * F.col("step")).drop("step"), "raked")
-            discard(current)
-            current = after
-        sizes = [s.where("step > 0").select(F.abs(F.col("step") - 1).alias("gap")) for s in steps]
-        worst = reduce(DataFrame.union, sizes).agg(F.max("gap")).first()[0] or 0.0
-        for s in steps:
-            discard(s)
-        if worst <= tolerance:
+            step = sums.join(shares[m], m, "left").select(m, step.alias("step"))
+            gap = F.when(F.col("step") > 0, F.greatest("gap", F.abs(F.col("step") - 1))).otherwise(F.col("gap"))
+            after = current.join(step, m).withColumns({"factor": F.col("factor") * F.col("step"), "gap": gap}).drop("step")
+            current = stored(after, "raked")
+            discard(held)
+            held = current
+        if (current.agg(F.max("gap")).first()[0] or 0.0) <= tolerance:
             break
-    return current
+    return current.drop("gap")
 
 
 def default_targets(power: float = POWER) -> dict:
