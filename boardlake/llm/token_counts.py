@@ -28,7 +28,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = TOKEN_LIMIT) -> D
     rows = pick(docs, doc_id="doc_id", text="text")
 
     def run(batches):
-        encoder = PieceEncoder(tokenizer, len)
+        encoder = PieceEncoder(tokenizer, len, "len")
         for batch in batches:
             doc_ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
             for a, b in batches_of(texts, TEXT_CHARS):

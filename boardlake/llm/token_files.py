@@ -72,7 +72,7 @@ def unpack_blocks(content: bytes):
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, block_ids: int = BLOCK_IDS) -> None:
     """Encode ``docs(doc_id, text)`` and write token files to ``path`` in ascending doc_id order."""
     def blocks(batches):
-        encoder = PieceEncoder(tokenizer, lambda ids: np.asarray(ids, kind).tobytes())
+        encoder = PieceEncoder(tokenizer, lambda ids: np.asarray(ids, kind).tobytes(), "ids")
         vocabulary = max(encoder.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
         width = 2 if vocabulary <= 1 << 16 else 4
         kind, shard, number = f"<u{width}", TaskContext.get().partitionId(), 0

@@ -19,7 +19,7 @@ from boardlake.llm.common import worker_cache
 #: White space as the tokenizers' pattern \\s has it (fixed values).
 SPACE = " \\t\\n\\r\\x0b\\x0c\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECE = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-#: Pieces a worker remembers before it starts afresh, and bytes given to the library at once.
+#: Pieces a worker remembers before it drops those not at hand, and characters given to the library at once.
 CACHE_PIECES, ENCODE_BYTES = 400_000, 1 << 20
 #: Longer pieces are not remembered.
 CACHED_CHARS = 64
@@ -35,11 +35,16 @@ def load_tokenizer(path: str):
 
 
 class PieceEncoder:
-    """Maps pieces to ``value(ids)``, remembering the frequent ones."""
+    """Maps pieces to ``value(ids)``, remembering the frequent ones.
 
-    def __init__(self, path: str, value):
+    The memory outlasts a task in its worker process; when it is full, the
+    pieces of the texts at hand stay, among which are all frequent ones.
+    ``name`` tells one ``value`` from another.
+    """
+
+    def __init__(self, path: str, value, name: str):
         self.tokenizer = worker_cache(("tokenizer", path), lambda: load_tokenizer(path))
-        self.value, self.known = value, {}
+        self.value, self.known = value, worker_cache(("pieces", path, name), dict)
 
     def _encode(self, pieces: list[str]) -> None:
         at = 0
@@ -54,13 +59,16 @@ class PieceEncoder:
 
     def values(self, texts: list[str | None]) -> list[list]:
         """The values of each text's pieces, in order."""
+        cut = [PIECE.findall(t) if t else [] for t in texts]
+        distinct = set().union(*cut)
         if len(self.known) > CACHE_PIECES:
+            held = {p: self.known[p] for p in distinct if p in self.known}
             self.known.clear()
-        cut = [PIECE.findall(t) if t else [] for t in texts]
-        missing = set().union(*cut).difference(self.known)
+            self.known.update(held)
+        missing = distinct.difference(self.known)
         self._encode(list(missing))
         known = self.known
-        out = [[known[p] for p in pieces] for pieces in cut]
+        out = [list(map(known.__getitem__, pieces)) for pieces in cut]
         for piece in missing:
             if len(piece) > CACHED_CHARS:
                 del known[piece]

@@ -62,7 +62,7 @@ def test_block_round_trip():
 def test_pieces_give_the_librarys_ids(spark, path):
     library = load_tokenizer(path)
     texts = ODD + [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
-    found = PieceEncoder(path, list).values(texts)
+    found = PieceEncoder(path, list, "list").values(texts)
     for text, parts in zip(texts, found):
         assert [i for p in parts for i in p] == library.encode(text or "", add_special_tokens=False).ids
 
@@ -71,7 +71,7 @@ def test_pieces_give_the_librarys_ids(spark, path):
 @given(st.text(st.sampled_from("aé'sL9! \t\n\r\x0b\x0c\x1c\x1f\x85\xa0      　᠎​́你|<>")))
 def test_cuts_at_white_space_are_safe(text):
     for path in (BYTES, WORDS):
-        encoder = PieceEncoder(path, list)
+        encoder = PieceEncoder(path, list, "list")
         want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
         assert [i for p in encoder.values([text])[0] for i in p] == want
 
