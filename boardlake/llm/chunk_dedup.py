@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from boardlake.llm.common import free_name, pick, sql_name, stored
+from boardlake.llm.common import free_name, pick, released_shuffles, sql_name, stored
 
 MIN_CHUNK, MAX_CHUNK = 512, 4096
 #: Hashes of 64 bits in an identifier at first.
@@ -64,7 +64,9 @@ def verified_width(docs: DataFrame, width: int = WIDTH, hasher=hash64) -> int:
     while True:
         held = chunks.select(*[hasher(F.col("chunk"), k).alias(f"id{k}") for k in range(width)], "chunk").distinct()
         shared = held.groupBy(*[f"id{k}" for k in range(width)]).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        if shared.isEmpty():
+        with released_shuffles(docs.sparkSession):
+            verified = shared.isEmpty()
+        if verified:
             return width
         width += 1
 
@@ -83,7 +85,8 @@ def chunk_dedup(docs: DataFrame, width: int = WIDTH, hasher=hash64) -> DataFrame
     narrow = stored(_narrow(docs, width, hasher), "recipes")
     best = F.min(F.struct((-F.col("points")).alias("p"), F.col("doc_id").isNull().alias("missing"), "doc_id"))
     groups = narrow.groupBy("recipe").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
-    groups = groups.select("recipe", F.col("best.doc_id").alias("keep_id"), "group_size")
+    # Stored, so that the join deals both sides itself and can split a group of very many copies.
+    groups = stored(groups.select("recipe", F.col("best.doc_id").alias("keep_id"), "group_size"), "recipe-groups")
     return narrow.join(groups, "recipe").select(
         "doc_id", "keep_id", "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")

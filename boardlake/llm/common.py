@@ -3,6 +3,7 @@ null-tolerant column picks and connected components."""
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import tempfile
 import types
@@ -48,12 +49,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     The files survive lost executors, so later stages never recompute ``df``.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with released_shuffles(df.sparkSession):
+        df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out
 
 
+@contextlib.contextmanager
+def released_shuffles(spark: SparkSession):
+    """Actions inside give their shuffle files back when they end.
+
+    For an action whose exchanged data nothing reads again; otherwise the files
+    stay until the driver happens to collect its plan.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by ``stored`` once nothing reads it any more."""
     delete_path(df.sparkSession, df._scratch_path)
