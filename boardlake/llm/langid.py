@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from boardlake.llm.common import free_name, pick, sql_name, stored, with_fields
 from boardlake.llm.lattice import WORD_CHARS, Lattice, pieces_of
-from boardlake.llm.token_text import batches_of
+from boardlake.llm.token_text import text_parts
 
 #: Languages that may be learnt: bounds the model that goes to the workers.
 MAX_LANGUAGES = 256
@@ -38,8 +38,8 @@ MAX_LANGUAGES = 256
 KAPPA = 1000.0
 UNKNOWN = "und"
 LETTERS = re.compile(f"[^\\W\\d_]{{1,{WORD_CHARS}}}")
-#: Characters scored together and distinct words a task remembers.
-TEXT_CHARS, CACHE_WORDS = 4 << 20, 300_000
+#: Bytes of text scored together and distinct words a task remembers.
+TEXT_BYTES, CACHE_WORDS = 4 << 20, 300_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -56,10 +56,9 @@ def piece_counts(labelled: DataFrame, model: str) -> DataFrame:
     def run(batches):
         library = pieces_of(model).library
         for batch in batches:
-            langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
-            for a, b in batches_of(texts, 8 * TEXT_CHARS):
+            for part, texts in text_parts(batch, 4 * TEXT_BYTES):
                 by_lang: dict[str, Counter] = {}
-                for lang, text in zip(langs[a:b], texts[a:b]):
+                for lang, text in zip(part.column("lang").to_pylist(), texts):
                     by_lang.setdefault(lang, Counter()).update(words_of(text))
                 for lang, words in by_lang.items():
                     cut = library.encode(list(words), num_threads=1)
@@ -135,10 +134,8 @@ def predict(docs: DataFrame, langs: list[str], logp: np.ndarray, model: str,
         scores = WordScores(model, shared.value)
         names = np.array([*langs, UNKNOWN], object)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in batches_of(texts, TEXT_CHARS):
-                best, score = score_texts(scores, texts[a:b])
-                part = batch.slice(a, b - a)
+            for part, texts in text_parts(batch, TEXT_BYTES):
+                best, score = score_texts(scores, texts)
                 yield pa.record_batch([*part.columns, pa.array(names[best], pa.string()), pa.array(score)],
                                       [*part.schema.names, *out])
 

@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 
 from boardlake.llm.common import pick, sql_name, with_fields
 from boardlake.llm.lattice import FOREIGN, WORDS, Lattice, Pieces, pieces_of, utf8_bytes, utf8_size
-from boardlake.llm.token_text import batches_of
+from boardlake.llm.token_text import text_parts
 
 ALPHA, ZIPF_SHIFT, SEED = 1.0, 2.0, 42
-#: Characters drawn together, words drawn together, and draws a word may need (its characters at most).
-TEXT_CHARS, WORDS_AT_ONCE, DRAWS = 3 << 20, 400_000, 2048
+#: Bytes of text drawn together, words drawn together, and draws a word may need (its characters at most).
+TEXT_BYTES, WORDS_AT_ONCE, DRAWS = 3 << 20, 400_000, 2048
 
 
 def zipf_logp(pieces: Pieces, alpha: float = ALPHA) -> np.ndarray:
@@ -154,13 +154,11 @@ def sample_pieces(docs: DataFrame, model: str, key: str = "doc_id", text: str =
         pieces = pieces_of(model)
         logp = zipf_logp(pieces, alpha)
         for batch in batches:
-            keys, texts = batch.column(key).to_pylist(), batch.column(text).to_pylist()
-            for a, b in batches_of(texts, TEXT_CHARS):
-                found = segment(pieces, logp, keys[a:b], texts[a:b], seed)
-                same = [decode(pieces, ids) == (t or "") for ids, t in zip(found, texts[a:b])]
+            for part, texts in text_parts(batch, TEXT_BYTES, text):
+                found = segment(pieces, logp, part.column(key).to_pylist(), texts, seed)
+                same = [decode(pieces, ids) == (t or "") for ids, t in zip(found, texts)]
                 bounds = np.cumsum([0, *map(len, found)], dtype=np.int32)
                 lists = pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(found).astype(np.int32)))
-                part = batch.slice(a, b - a)
                 yield pa.record_batch([*part.columns, lists, pa.array(same)], [*part.schema.names, out, check])
 
     return docs.mapInArrow(run, with_fields(docs, f"{sql_name(out)} array<int>, {sql_name(check)} boolean"))

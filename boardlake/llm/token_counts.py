@@ -2,7 +2,7 @@
 
 Texts reach the workers in Arrow batches whose bytes Spark limits
 (``spark.sql.execution.arrow.maxBytesPerBatch``); inside, they are encoded in
-groups of equal size in characters, and long texts are cut at the safe places
+groups of equal bytes, and long texts are cut at the safe places
 of ``token_text``.  Only lengths come back.
 
 Defined results: a null or empty text has no bytes and no tokens; strings of
@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boardlake.llm.common import pick
-from boardlake.llm.token_text import PieceEncoder, batches_of
+from boardlake.llm.token_text import PieceEncoder, text_parts
 
-#: Characters encoded together, and the tokens a document may have before it is over the limit.
-TEXT_CHARS, TOKEN_LIMIT = 4 << 20, 2048
+#: Bytes encoded together, and the tokens a document may have before it is over the limit.
+TEXT_BYTES, TOKEN_LIMIT = 4 << 20, 2048
 
 
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = TOKEN_LIMIT) -> DataFrame:
@@ -30,11 +30,10 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = TOKEN_LIMIT) -> D
     def run(batches):
         encoder = PieceEncoder(tokenizer, len, "len")
         for batch in batches:
-            doc_ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
-            for a, b in batches_of(texts, TEXT_CHARS):
-                counts = [sum(parts) for parts in encoder.values(texts[a:b])]
-                sizes = [len(t.encode("utf-8")) if t else 0 for t in texts[a:b]]
-                yield pa.record_batch([doc_ids.slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())],
+            for part, texts in text_parts(batch, TEXT_BYTES):
+                counts = [sum(parts) for parts in encoder.values(texts)]
+                sizes = [len(t.encode("utf-8")) if t else 0 for t in texts]
+                yield pa.record_batch([part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())],
                                       ["doc_id", "n_bytes", "n_tokens"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()

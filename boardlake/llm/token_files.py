@@ -32,14 +32,14 @@ from pyspark.sql import functions as F
 
 from boardlake.llm.common import pick, scratch_path, stored
 from boardlake.llm.elias_fano import EliasFano, encode
-from boardlake.llm.token_text import PieceEncoder, batches_of
+from boardlake.llm.token_text import PieceEncoder, text_parts
 
 MAGIC = b"TOKIDS01"
 HEAD = "<8sBQIIqQQ"
 #: Ids after which a block ends, and blocks after which a file does.
 BLOCK_IDS, FILE_BLOCKS = 1 << 20, 16
-#: Characters encoded together.
-TEXT_CHARS = 4 << 20
+#: Bytes of text encoded together.
+TEXT_BYTES = 4 << 20
 
 
 def pack_block(doc_ids: list[int | None], ids: list[bytes], width: int, shard: int, block: int) -> bytes:
@@ -78,9 +78,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, b
         kind, shard, number = f"<u{width}", TaskContext.get().partitionId(), 0
         end, keys, held, size = np.array([end_id], kind).tobytes(), [], [], 0
         for batch in batches:
-            doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for a, b in batches_of(texts, TEXT_CHARS):
-                for doc_id, parts in zip(doc_ids[a:b], encoder.values(texts[a:b])):
+            for part, texts in text_parts(batch, TEXT_BYTES):
+                for doc_id, parts in zip(part.column("doc_id").to_pylist(), encoder.values(texts)):
                     keys.append(doc_id)
                     held.append(b"".join(parts) + end)
                     size += len(held[-1]) // width

@@ -14,6 +14,10 @@ from __future__ import annotations
 import os
 import re
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 from boardlake.llm.common import worker_cache
 
 #: White space as the tokenizers' pattern \\s has it (fixed values).
@@ -75,13 +79,16 @@ class PieceEncoder:
         return out
 
 
-def batches_of(texts: list[str | None], size: int):
-    """Ranges of ``texts`` of about ``size`` characters, one text at least."""
+def text_parts(batch: pa.RecordBatch, size: int, column: str = "text"):
+    """Slices of ``batch`` with about ``size`` bytes of text, one row at least, and their texts.
+
+    Only a slice's texts are Python strings at a time.
+    """
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
     at = 0
-    while at < len(texts):
-        end, total = at, 0
-        while end < len(texts) and (end == at or total + len(texts[end] or "") <= size):
-            total += len(texts[end] or "")
-            end += 1
-        yield at, end
+    while at < batch.num_rows:
+        before = upto[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(upto, before + size, side="right")))
+        part = batch.slice(at, end - at)
+        yield part, part.column(column).to_pylist()
         at = end

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boardlake.llm.common import pick, stored, with_fields
-from boardlake.llm.token_text import batches_of
+from boardlake.llm.token_text import text_parts
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Prefix lengths that are features beside the word itself.
@@ -47,8 +47,8 @@ SAMPLE_DOCS, SAMPLE_TOKENS = 1500, 2000
 #: Marginals that count towards the score, and that mark a span.
 COUNTED_CHANCE, SPAN_CHANCE = 0.02, 0.5
 RIDGE, ROUNDS = 1e-2, 60
-#: Words of a chunk of the chain, characters scored together, words a task remembers, longest word remembered.
-CHUNK, TEXT_CHARS, CACHE_WORDS, CACHED_CHARS = 128, 4 << 20, 400_000, 64
+#: Words of a chunk of the chain, bytes of text scored together, words a task remembers, longest word remembered.
+CHUNK, TEXT_BYTES, CACHE_WORDS, CACHED_CHARS = 128, 4 << 20, 400_000, 64
 
 
 def features(word: str) -> list[str]:
@@ -254,10 +254,9 @@ def feature_counts(rows: DataFrame, wanted: frozenset | None = None) -> DataFram
 
     def run(batches):
         for batch in batches:
-            halves, texts = batch.column("half").to_pylist(), batch.column("text").to_pylist()
-            for a, b in batches_of(texts, TEXT_CHARS):
+            for part, texts in text_parts(batch, TEXT_BYTES):
                 count = (Counter(), Counter())
-                for half, text in zip(halves[a:b], texts[a:b]):
+                for half, text in zip(part.column("half").to_pylist(), texts):
                     found = doc_features(text)
                     count[half].update(found if shared is None else found & shared.value)
                 for half in (0, 1):
@@ -364,9 +363,8 @@ def tag(docs: DataFrame, model: tuple[dict[str, float], Weights] | None) -> Data
         evidence, weights = Evidence(shared.value[0]), Weights()
         vars(weights).update(shared.value[1])
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in batches_of(texts, TEXT_CHARS):
-                words = [WORD.findall((t or "").lower()) for t in texts[a:b]]
+            for part, texts in text_parts(batch, TEXT_BYTES):
+                words = [WORD.findall((t or "").lower()) for t in texts]
                 sizes = np.array([len(w) for w in words])
                 levels = np.array([x for w in words for x in evidence.of(w)])
                 chances = weights.chances(levels, sizes)
@@ -375,12 +373,12 @@ def tag(docs: DataFrame, model: tuple[dict[str, float], Weights] | None) -> Data
                 spans = [[] for _ in sizes]
                 for k in np.flatnonzero(hit):
                     # Word for word as in lower case; a letter whose lower case is longer shifts no word's number.
-                    places = [m.span() for m in WORD.finditer(texts[a + k])]
+                    places = [m.span() for m in WORD.finditer(texts[k])]
                     if len(places) == sizes[k]:
                         spans[k] = offending(places, chances[ends[k] - sizes[k]:ends[k]])
                     else:
-                        spans[k] = offending([m.span() for m in WORD.finditer(texts[a + k].lower())], chances[ends[k] - sizes[k]:ends[k]])
-                part = batch.slice(a, b - a).drop_columns(["text"])
+                        spans[k] = offending([m.span() for m in WORD.finditer(texts[k].lower())], chances[ends[k] - sizes[k]:ends[k]])
+                part = part.drop_columns(["text"])
                 yield pa.record_batch([*part.columns, pa.array(weights.scores(chances, sizes)), pa.array(spans, span)],
                                       [*part.schema.names, "score", "spans"])
 
