@@ -25,17 +25,30 @@ def last_updated(col: Column | str, fmt: str = LAST_UPDATED_FORMAT) -> Column:
     return F.date_format(c, fmt)
 
 
+def utc_naive(value: _dt.datetime) -> _dt.datetime:
+    """The same instant as a UTC time without zone; a time without zone is UTC already."""
+    return value if value.tzinfo is None else value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+
+
 def parse_date_arg(value: str | _dt.date | None, fmt: str = "%Y-%m-%d") -> _dt.date | None:
     """Parse a job argument on the driver; bad text raises at once.
 
     ``fmt`` is a Python ``strptime`` pattern: ``%Y-%m-%d`` for most jobs,
-    ``%d-%m-%Y`` for the day-first variant.
+    ``%d-%m-%Y`` for the day-first variant.  A ``datetime`` gives its UTC date.
     """
-    if value is None or isinstance(value, _dt.datetime):
-        return value.date() if isinstance(value, _dt.datetime) else value
+    bound = parse_bound(value, fmt)
+    return None if bound is None else bound.date()
+
+
+def parse_bound(value: str | _dt.date | None, fmt: str = "%Y-%m-%d") -> _dt.datetime | None:
+    """As :func:`parse_date_arg`, with the time of day: 00:00 for dates and text."""
+    if value is None:
+        return None
+    if isinstance(value, _dt.datetime):
+        return utc_naive(value)
     if isinstance(value, _dt.date):
-        return value
-    return _dt.datetime.strptime(value, fmt).date()
+        return _dt.datetime.combine(value, _dt.time())
+    return _dt.datetime.strptime(value, fmt)
 
 
 def _literal_like(dtype, value: _dt.datetime) -> Column:
@@ -60,37 +73,39 @@ def range_condition(df: DataFrame, column: str, start, end, bounds: str = "close
     """Predicate for :func:`range_filter`; None when a bound is missing."""
     if bounds not in BOUNDS:
         raise ValueError(f"bounds must be one of {BOUNDS}, got {bounds!r}")
-    start_d = parse_date_arg(start, date_format)
-    end_d = parse_date_arg(end, date_format)
-    if start_d is None or end_d is None:
+    lo, hi = parse_bound(start, date_format), parse_bound(end, date_format)
+    if lo is None or hi is None:
         return None
-    lo = _dt.datetime.combine(start_d, _dt.time())
-    hi = _dt.datetime.combine(end_d, _dt.time())
     dtype = df.schema[column].dataType
     ts = _as_timestamp(dtype, column)
+    shifted = bool(tz) and tz.upper() != "UTC"
+    if shifted:
+        ts = F.from_utc_timestamp(ts, tz)
+        if isinstance(dtype, TimestampNTZType):
+            ts = ts.cast("timestamp_ntz")
     if bounds == "closed_ts":
         return (ts >= _literal_like(dtype, lo)) & (ts <= _literal_like(dtype, hi))
     if bounds == "open_ts":
         return (ts > _literal_like(dtype, lo)) & (ts < _literal_like(dtype, hi))
-    if tz and tz.upper() != "UTC":
-        day = F.to_date(F.from_utc_timestamp(ts, tz))
-        return day.between(F.lit(start_d), F.lit(end_d))
-    nxt = hi + _dt.timedelta(days=1)
-    return (ts >= _literal_like(dtype, lo)) & (ts < _literal_like(dtype, nxt))
+    first = _dt.datetime.combine(lo.date(), _dt.time())
+    after = _dt.datetime.combine(hi.date(), _dt.time()) + _dt.timedelta(days=1)
+    return (ts >= _literal_like(dtype, first)) & (ts < _literal_like(dtype, after))
 
 
 def range_filter(df: DataFrame, column: str, start, end, bounds: str = "closed_ts",
                  date_format: str = "%Y-%m-%d", tz: str | None = None) -> DataFrame:
     """Keep rows whose ``column`` lies in the date range ``[start, end]``.
 
-    Bound variants (all with a start and an end date at 00:00):
+    Bound variants (a date or text bound is at 00:00; the ``_ts`` variants use
+    the time of day of a ``datetime`` bound, in UTC if it has a zone):
       * ``closed_ts``   ``start <= ts <= end`` as timestamps: activity later on the
         end day falls outside.
       * ``open_ts``     ``start < ts < end``.
       * ``closed_date`` ``start <= to_date(ts) <= end``: the whole end day counts.
         Written as ``start <= ts < end + 1 day`` so it stays a pushable range.
     The filter is applied only when both bounds are given.  ``tz`` shifts
-    the timestamp from UTC before truncating (no-op for UTC).
+    the timestamp from UTC to that zone before any variant compares it
+    (no-op for UTC).
     """
     cond = range_condition(df, column, start, end, bounds, date_format, tz)
     return df if cond is None else df.where(cond)
@@ -100,7 +115,8 @@ def idle_filter(df: DataFrame, column: str, days: int,
                 as_of: _dt.datetime | None = None) -> DataFrame:
     """Rows whose last activity is strictly before ``as_of - days``; null drops.
 
-    ``as_of`` defaults to the query's current timestamp.
+    ``as_of`` defaults to the query's current timestamp; one with a zone is
+    converted to UTC.
     """
     dtype = df.schema[column].dataType
     ts = _as_timestamp(dtype, column)
@@ -111,7 +127,7 @@ def idle_filter(df: DataFrame, column: str, days: int,
         return df.where(ts < now - F.make_interval(days=F.lit(int(days))))
     if isinstance(as_of, _dt.date) and not isinstance(as_of, _dt.datetime):
         as_of = _dt.datetime.combine(as_of, _dt.time())
-    cutoff = as_of - _dt.timedelta(days=int(days))
+    cutoff = utc_naive(as_of) - _dt.timedelta(days=int(days))
     return df.where(ts < _literal_like(dtype, cutoff))
 
 

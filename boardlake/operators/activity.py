@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from boardlake.functions.dates import BOUNDS, idle_filter, range_condition, range_filter
 from boardlake.functions.text import member_match
-from boardlake.operators.sizing import broadcast_if_small
 from boardlake.schemas import GOLD_A
 
 
@@ -22,10 +21,10 @@ def idle_cards(cards: DataFrame, lists: str | DataFrame, days: int,
     ``as_of - days`` (null activity drops).
 
     ``lists`` is a list id or a DataFrame with a ``list_id`` column (one row
-    per board, from :func:`list_lookup`), applied as a broadcast semi join.
+    per board, from :func:`list_lookup`), applied as a semi join.
     """
     if isinstance(lists, DataFrame):
-        ids = broadcast_if_small(lists.select(F.col("list_id").alias("__list_id")))
+        ids = lists.select(F.col("list_id").alias("__list_id"))
         cards = cards.join(ids, cards[list_col] == ids["__list_id"], "left_semi")
     else:
         cards = cards.where(F.col(list_col) == F.lit(lists))
@@ -59,11 +58,14 @@ class MemberSpec:
     match: str = "contains"
     bounds: str = "closed_ts"
     date_format: str = "%Y-%m-%d"
+    tz: str | None = None
+    #: Column order of the report as a table of its own.
+    columns: tuple[str, ...] = tuple(GOLD_A)
 
 
 def _spec_condition(cards: DataFrame, spec: MemberSpec, members_col: str, date_col: str):
     cond = member_match(members_col, spec.member, spec.match)
-    rng = range_condition(cards, date_col, spec.start, spec.end, spec.bounds, spec.date_format)
+    rng = range_condition(cards, date_col, spec.start, spec.end, spec.bounds, spec.date_format, spec.tz)
     return cond if rng is None else cond & rng
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boardlake.functions.dates import board_date
-from boardlake.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 
 PICK_BOARD = ("latest", "last_listed")
 PICK_LIST = ("name", "first")
@@ -28,8 +27,9 @@ def current_board(boards: DataFrame, pick: str = "latest", id_col: str = "id",
     """The current sprint board as a one-row DataFrame ``(id, name, board_date)``.
 
     ``latest``: the dated board with the greatest date; on a date tie the
-    later listed one (greater ``pos``) wins.  ``last_listed``: the dated
-    board listed last, whatever its date.  A global aggregate, so the result
+    later listed one (greater ``pos``, a missing one first) wins, then the
+    greater id.  ``last_listed``: the dated board listed last, whatever its
+    date, with the same rule for missing and equal ``pos``.  A global aggregate, so the result
     is one row however many boards there are (none when no board is dated).
     """
     if pick not in PICK_BOARD:
@@ -37,8 +37,9 @@ def current_board(boards: DataFrame, pick: str = "latest", id_col: str = "id",
     # max_by skips rows whose ordering value is null, so undated boards drop
     # out without a separate filter (which would parse every name twice).
     dated = boards.withColumn("board_date", board_date(name_col))
-    key = (F.struct(F.col("board_date"), F.col(pos_col)) if pick == "latest"
-           else F.struct(F.col(pos_col)))
+    # A null in a struct sorts before every value, so max_by takes it last.
+    key = (F.struct(F.col("board_date"), F.col(pos_col), F.col(id_col)) if pick == "latest"
+           else F.struct(F.col(pos_col), F.col(id_col)))
     rank = F.when(F.col("board_date").isNotNull(), key)
     row = F.struct(F.col(id_col).alias("id"), F.col(name_col).alias("name"),
                    F.col("board_date").alias("board_date"))
@@ -53,7 +54,8 @@ def list_lookup(lists: DataFrame, list_name: str | None = None, pick: str = "nam
 
     ``name``: the list whose name equals ``list_name`` ignoring case (the
     first in ``pos`` order if several).  ``first``: the first list of the
-    board in ``pos`` order, whatever its name.
+    board in ``pos`` order, whatever its name.  Lists without ``pos`` come
+    last; ties go to the smaller id.
     """
     if pick not in PICK_LIST:
         raise ValueError(f"pick must be one of {PICK_LIST}")
@@ -63,20 +65,18 @@ def list_lookup(lists: DataFrame, list_name: str | None = None, pick: str = "nam
             raise ValueError("list_name is required with pick='name'")
         chosen = lists.where(F.lower(F.col(name_col)) == F.lit(list_name.lower()))
     return (chosen.groupBy(F.col(board_col).alias("idBoard"))
-            .agg(F.min_by(F.col(id_col), F.struct(F.col(pos_col), F.col(id_col))).alias("list_id")))
+            .agg(F.min_by(F.col(id_col), F.struct(F.col(pos_col).isNull(), F.col(pos_col), F.col(id_col))).alias("list_id")))
 
 
 def with_board_name(cards: DataFrame, boards: DataFrame | None = None,
                     board_name: str | None = None, board_col: str = "idBoard",
-                    id_col: str = "id", name_col: str = "name",
-                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                    id_col: str = "id", name_col: str = "name") -> DataFrame:
     """Add ``board_name``: a constant when ``board_name`` is given, otherwise a
-    left join to ``boards`` on the board id (broadcast when proven small;
-    otherwise a shuffle join in which AQE splits a hot board)."""
+    left join to ``boards`` on the board id (AQE broadcasts a measured small
+    side and splits a hot board otherwise)."""
     if board_name is not None:
         return cards.withColumn("board_name", F.lit(board_name))
     if boards is None:
         raise ValueError("give boards or board_name")
     b = boards.select(F.col(id_col).alias("__board_id"), F.col(name_col).alias("board_name"))
-    b = broadcast_if_small(b, max_broadcast_rows)
     return (cards.join(b, cards[board_col] == b["__board_id"], "left").drop("__board_id"))

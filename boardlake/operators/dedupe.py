@@ -30,8 +30,9 @@ def latest_per_key_agg(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     ``max_by(struct(row), struct(order))`` per key with partial aggregation
     before the shuffle.  ``order`` names columns; ``descending=True`` picks
-    the greatest.  Rows whose order columns are all null lose to any row
-    with a value, as with ``NULLS LAST``.
+    the greatest, ``False`` the smallest.  A null in an order column is
+    smaller than any value: it loses under ``True`` (``NULLS LAST``) and wins
+    under ``False`` (``NULLS FIRST``).
     """
     cols = [c for c in df.columns]
     row = F.struct(*[F.col(c) for c in cols])

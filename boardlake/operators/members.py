@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boardlake.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 from boardlake.schemas import MEMBER_NAME_SEPARATOR
 
 _CID = "__card_id"
@@ -30,19 +29,17 @@ def card_member_pairs(cards: DataFrame, id_col: str = "id",
 
 def names_per_card(pairs: DataFrame, members: DataFrame, member_id: str = "id",
                    member_name: str = "fullName", pair_card: str = _CID,
-                   pair_member: str = _MID,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                   pair_member: str = _MID) -> DataFrame:
     """``(card id, card_members)`` for every card with at least one known member.
 
     ``pairs`` may repeat a (card, member) pair; it counts once.  Members
-    whose name is null are matched but contribute no name.  The member
-    side is broadcast when its row count is proven small; otherwise the
-    join shuffles on member id and AQE splits a skewed (very popular)
-    member.  ``collect_set`` deduplicates map-side, so a card's group is
+    whose name is null are matched but contribute no name.  The join
+    shuffles on member id; AQE turns it into a broadcast when the measured
+    member side is small, and splits a skewed (very popular) member
+    otherwise.  ``collect_set`` deduplicates map-side, so a card's group is
     bounded by its number of distinct members.
     """
     m = members.select(F.col(member_id).alias(_MID), F.col(member_name).alias(_MNAME))
-    m = broadcast_if_small(m, max_broadcast_rows)
     # A null card id can never attach to a card; dropping it here also keeps
     # all such pairs from forming one hot group.
     p = (pairs.select(F.col(pair_card).alias(_CID), F.col(pair_member).alias(_MID))
@@ -71,21 +68,17 @@ def attach_member_names(cards: DataFrame, names: DataFrame, id_col: str = "id",
 
 def member_names(cards: DataFrame, members: DataFrame, keep_unmatched: bool = False,
                  id_col: str = "id", members_col: str = "idMembers",
-                 member_id: str = "id", member_name: str = "fullName",
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                 member_id: str = "id", member_name: str = "fullName") -> DataFrame:
     """Cards with a ``card_members`` column resolved from their ``idMembers`` array."""
     pairs = card_member_pairs(cards, id_col, members_col)
-    names = names_per_card(pairs, members, member_id, member_name,
-                           max_broadcast_rows=max_broadcast_rows)
+    names = names_per_card(pairs, members, member_id, member_name)
     return attach_member_names(cards, names, id_col, keep_unmatched)
 
 
 def member_names_from_pairs(cards: DataFrame, pairs: DataFrame, members: DataFrame,
                             pair_card: str, pair_member: str, keep_unmatched: bool = False,
                             id_col: str = "id", member_id: str = "id",
-                            member_name: str = "fullName",
-                            max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                            member_name: str = "fullName") -> DataFrame:
     """As :func:`member_names` when membership is a separate (card, member) table."""
-    names = names_per_card(pairs, members, member_id, member_name, pair_card, pair_member,
-                           max_broadcast_rows)
+    names = names_per_card(pairs, members, member_id, member_name, pair_card, pair_member)
     return attach_member_names(cards, names, id_col, keep_unmatched)

@@ -9,16 +9,14 @@ from boardlake.functions.dates import last_updated
 from boardlake.operators.boards import with_board_name
 from boardlake.operators.dedupe import latest_per_key
 from boardlake.operators.members import member_names, member_names_from_pairs
-from boardlake.operators.sizing import broadcast_if_small
 
 
 def board_filter(cards: DataFrame, board: str | DataFrame, board_col: str = "idBoard") -> DataFrame:
     """Cards of a board.  ``board`` is an id, or a DataFrame of board ids in
     an ``id`` column (e.g. the one-row :func:`current_board`), applied as a
-    semi join (broadcast when proven small) so no value travels through
-    the driver."""
+    semi join so no value travels through the driver."""
     if isinstance(board, DataFrame):
-        b = broadcast_if_small(board.select(F.col("id").alias("__board_id")))
+        b = board.select(F.col("id").alias("__board_id"))
         return cards.join(b, cards[board_col] == b["__board_id"], "left_semi")
     return cards.where(F.col(board_col) == F.lit(board))
 
@@ -38,8 +36,7 @@ def refine_cards(cards: DataFrame, members: DataFrame, board: str | DataFrame |
     if named_here:
         # One join both keeps the board's cards and names them (the board
         # DataFrame, e.g. the one-row current board, is computed once).
-        b = broadcast_if_small(board.select(F.col("id").alias("__board_id"),
-                                            F.col("name").alias("board_name")))
+        b = board.select(F.col("id").alias("__board_id"), F.col("name").alias("board_name"))
         cards = cards.join(b, cards["idBoard"] == b["__board_id"], "inner").drop("__board_id")
     elif board is not None:
         cards = board_filter(cards, board)

@@ -10,25 +10,30 @@ with schema evolution on:
 * a column only in the source is added (null for rows it does not touch),
   a column only in the target keeps its value on update and is null on insert.
 
-By default one full outer join on the key shuffles each side once.  For a
-batch merged into a large table, a source proven small is broadcast and
-the target streamed without a shuffle.  See :func:`upsert`.
+The plan is named by a parameter, never chosen by size: ``shuffle`` (the
+default) is one full outer join on the key, ``stream_target`` streams the
+target past a stored source that its file sizes prove small.  See :func:`upsert`.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boardlake.operators.dedupe import latest_per_key
-from boardlake.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, fits
+from boardlake.session import checkpoint_root
+
+PLANS = ("shuffle", "stream_target")
+#: Bytes of Parquet files a stored source may have and still be broadcast by ``stream_target``.
+MAX_SOURCE_FILE_BYTES = 16 << 20
 
 _T = "t__"
 _S = "s__"
 _SEEN = "__in_source"
-_SALT = "__salt"
+_HELD = "__in_target"
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
@@ -42,28 +47,19 @@ def _key_present(keys: Sequence[str]) -> Column:
     return present
 
 
-def _salted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``__salt``: 0 for rows with a full key, a hash of the row otherwise.
-
-    Null keys never match, but hashing them would send every such row to
-    one shuffle partition, which AQE cannot split in a full outer join.
-    Partitioning on (key, salt) spreads them and keeps real keys together.
-    The salt is a deterministic 64-bit hash of the row's content, so a task
-    retried after a lost executor sends every row where it went before;
-    distinct null-key rows get distinct salts and stay separate rows.
-    """
-    row_hash = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    return df.withColumn(_SALT, F.when(_key_present(keys), F.lit(0).cast("long")).otherwise(row_hash))
+def _checked_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df``; a null in a key declared non-null fails the job."""
+    failure = F.when(~_key_present(keys), F.raise_error(F.lit("upsert: null in a key declared non-null")))
+    return df.where(failure.isNull())
 
 
-def _unique_salted(source: DataFrame, keys: Sequence[str],
-                   order_by: Sequence[Column | str] | None) -> DataFrame:
-    salted = _salted(source, keys)
-    part = [*keys, _SALT]
+def _unique_keyed(source: DataFrame, keys: Sequence[str],
+                  order_by: Sequence[Column | str] | None) -> DataFrame:
+    """One row per key of a source whose keys are all present."""
     if order_by:
-        return latest_per_key(salted, part, order_by)
-    counted = salted.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*part)))
-    failure = F.when(_key_present(keys) & (F.col("__n") > 1),
+        return latest_per_key(source, list(keys), order_by)
+    counted = source.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    failure = F.when(F.col("__n") > 1,
                      F.raise_error(F.concat(F.lit("upsert: source repeats key "),
                                             F.to_json(F.struct(*[F.col(k) for k in keys])))))
     # A filter (not a dropped column) so that column pruning cannot remove the check.
@@ -72,32 +68,16 @@ def _unique_salted(source: DataFrame, keys: Sequence[str],
 
 def unique_source(source: DataFrame, keys: Sequence[str],
                   order_by: Sequence[Column | str] | None = None) -> DataFrame:
-    """One source row per non-null key.
+    """One source row per non-null key, and every row with a null key.
 
     With ``order_by`` the first row under that order wins (put a unique
     column last so a retried task picks the same row).  Without it a
     repeated non-null key fails the job (as MERGE does when two source rows
-    match one target row); the check is a window count on the key, which
-    shares the join's shuffle.  Rows with a null key are kept; with
-    ``order_by``, exact duplicates among them count once (the pipeline's
-    sources never carry such rows: bronze rejects null keys, and a refined
-    silver row is unique in all its columns).
-    """
-    return _unique_salted(source, list(keys), order_by).drop(_SALT)
-
-
-def _materialized(df: DataFrame) -> DataFrame:
-    """Compute the deduplicated source once.
-
-    The broadcast plan reads it up to four times (size check, the join, the key
-    semi join, the inserts), and it is often itself a join (a refined board).
-    A reliable checkpoint in the cluster's ``spark.checkpoint.dir`` computes
-    it once and cuts its lineage; without a checkpoint folder it is
-    recomputed instead.
+    match one target row).  Null-key rows take no part in either.
     """
-    if df.sparkSession.sparkContext.getCheckpointDir():
-        return df.checkpoint(eager=True)
-    return df
+    present = _key_present(keys)
+    keyed = _unique_keyed(source.where(present), keys, order_by)
+    return keyed.unionByName(source.where(~present))
 
 
 def _project(t_schema, s_schema, take_source: Column, target_present: bool = True) -> list[Column]:
@@ -130,56 +110,90 @@ def _take_source(keep_newer: str | None) -> Column:
     """True where the merged row takes the source side."""
     take = F.col(_SEEN).isNotNull()
     if keep_newer:
-        target_newer = F.col(_T + keep_newer) > F.col(_S + keep_newer)
-        # Matched and the stored row is newer -> keep the stored row.
-        matched = F.col(_SEEN).isNotNull() & F.col(_T + _SALT).isNotNull()
-        take = take & ~(matched & F.coalesce(target_newer, F.lit(False)))
+        t, s = F.col(_T + keep_newer), F.col(_S + keep_newer)
+        # A dated stored row is newer than an older and than an undated source row.
+        target_newer = t.isNotNull() & (s.isNull() | (t > s))
+        take = take & ~(F.col(_HELD).isNotNull() & target_newer)
     return take
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] = ("id",),
            order_by: Sequence[Column | str] | None = None,
-           keep_newer: str | None = None, broadcast_source: bool = False,
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+           keep_newer: str | None = None, plan: str = "shuffle",
+           keys_not_null: bool = False) -> DataFrame:
     """Return the target table after upserting ``source`` on ``keys``.
 
     ``keep_newer`` names a timestamp column: a matched row keeps its target
-    version when the target's value is strictly newer (late data does not
-    overwrite fresher state).
-
-    Two plans give the same rows.  By default both sides shuffle once on
-    the key for a full outer join.  ``broadcast_source=True`` is for a
-    batch merged into a large table: the deduplicated source is computed
-    once (checkpointed) and, when a bounded count proves it has at most
-    ``max_broadcast_rows`` rows, broadcast while the target is only
-    streamed -- one left outer join for kept and updated rows and a semi
-    join on the key columns alone for the matched keys -- so the large
-    table is never shuffled.  A source above the bound falls back to the
-    shuffle plan.
+    version when the target's value is strictly newer, or when the source
+    has none (late or undated data does not overwrite dated state).
+
+    ``keys_not_null=True`` declares that no key is null on either side (as
+    bronze, which rejects such rows, guarantees for every pipeline table):
+    then the tables are read once.  Otherwise rows with a null key, which
+    never match, pass by the join in a branch of their own, however many
+    there are; a null that breaks the declaration fails the job.
+
+    Two plans give the same rows.  ``shuffle``: both sides are dealt out by
+    key once for a full outer join; the uniqueness check of the source
+    shares that exchange.  ``stream_target``, for a small batch and a large
+    table: the source is written to the cluster's checkpoint folder, and if
+    its files hold at most MAX_SOURCE_FILE_BYTES it is broadcast while the
+    target is only streamed -- one left outer join for kept and updated
+    rows, and a semi join on the key columns for the matched keys.  A larger
+    source, or a session without that folder, gets the ``shuffle`` plan.
     """
+    if plan not in PLANS:
+        raise ValueError(f"plan must be one of {PLANS}, got {plan!r}")
     keys = list(keys)
     t_cols, s_cols = target.columns, source.columns
     if keep_newer and (keep_newer not in t_cols or keep_newer not in s_cols):
         raise ValueError(f"keep_newer column {keep_newer!r} must exist on both sides")
-    src = _unique_salted(source, keys, order_by)
     t_schema, s_schema = target.schema, source.schema
-    if broadcast_source:
-        src = _materialized(src)
-        if fits(src, max_broadcast_rows):
-            return _upsert_small_source(target, src, keys, keep_newer, t_schema, s_schema)
-
-    t = _prefixed(_salted(target, keys), _T)
-    s = _prefixed(src, _S).withColumn(_SEEN, F.lit(True))
-    cond = [t[_T + k] == s[_S + k] for k in keys] + [t[_T + _SALT] == s[_S + _SALT]]
-    joined = t.join(s, on=cond, how="full_outer")
-    return joined.select(*_project(t_schema, s_schema, _take_source(keep_newer)))
-
-
-def _upsert_small_source(target: DataFrame, src: DataFrame, keys: list[str],
-                         keep_newer: str | None, t_schema, s_schema) -> DataFrame:
-    src = src.drop(_SALT)
-    # The target side needs a non-null marker column for _take_source.
-    t = _prefixed(target.withColumn(_SALT, F.lit(0).cast("long")), _T)
+    present = _key_present(keys)
+    t_keyed = _checked_keys(target, keys) if keys_not_null else target.where(present)
+    s_keyed = _checked_keys(source, keys) if keys_not_null else source.where(present)
+    src = _unique_keyed(s_keyed, keys, order_by)
+    small = _stored_small(src) if plan == "stream_target" else None
+    if small is not None:
+        out = _upsert_streamed(t_keyed, small, keys, keep_newer, t_schema, s_schema)
+    else:
+        t = _prefixed(t_keyed, _T).withColumn(_HELD, F.lit(True))
+        s = _prefixed(src, _S).withColumn(_SEEN, F.lit(True))
+        joined = t.join(s, on=[t[_T + k] == s[_S + k] for k in keys], how="full_outer")
+        out = joined.select(*_project(t_schema, s_schema, _take_source(keep_newer)))
+    if keys_not_null:
+        return out
+    held = _widened(target.where(~present), t_schema, s_schema)
+    inserted = _prefixed(source.where(~present), _S).select(*_project(t_schema, s_schema, F.lit(True), target_present=False))
+    return out.unionByName(held).unionByName(inserted)
+
+
+def _widened(target: DataFrame, t_schema, s_schema) -> DataFrame:
+    """Target rows under the merged schema: source-only columns are null."""
+    have = {f.name for f in t_schema.fields}
+    return target.select(*[F.col(f"`{f.name}`") for f in t_schema.fields],
+                         *[F.lit(None).cast(f.dataType).alias(f.name) for f in s_schema.fields if f.name not in have])
+
+
+def _stored_small(src: DataFrame) -> DataFrame | None:
+    """``src`` written to the checkpoint folder, if its files prove it small."""
+    spark = src.sparkSession
+    try:
+        root = checkpoint_root(spark)
+    except ValueError:
+        return None
+    path = f"{root}/boardlake/upsert-source-{uuid.uuid4().hex}"
+    src.write.parquet(path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.getContentSummary(target).getLength() > MAX_SOURCE_FILE_BYTES:
+        return None
+    return spark.read.schema(src.schema).parquet(path)
+
+
+def _upsert_streamed(target: DataFrame, src: DataFrame, keys: list[str],
+                     keep_newer: str | None, t_schema, s_schema) -> DataFrame:
+    t = _prefixed(target, _T).withColumn(_HELD, F.lit(True))
     s = F.broadcast(_prefixed(src, _S).withColumn(_SEEN, F.lit(True)))
     cond = [t[_T + k] == s[_S + k] for k in keys]
     kept_or_updated = (t.join(s, on=cond, how="left")

@@ -18,21 +18,26 @@ from boardlake.functions.dates import last_updated, range_filter
 from boardlake.operators.activity import MemberSpec, idle_cards, member_activity, member_activity_many
 from boardlake.operators.boards import current_board, dated_boards, list_lookup, with_board_name
 from boardlake.operators.dedupe import latest_per_key, latest_per_key_agg
-from boardlake.operators.members import attach_member_names, names_per_card
-from boardlake.operators.refine import board_filter, refine_cards
+from boardlake.operators.members import attach_member_names, member_names, names_per_card
+from boardlake.operators.refine import board_filter, refine_cards, unique_cards
 from boardlake.operators.upsert import upsert
 from boardlake.plans import standins as si
-from boardlake.schemas import GOLD_A, GOLD_B, GOLD_C
-from boardlake.sources.landing import parse_cards_column, parse_json_field, parse_members_column
+from boardlake.schemas import GOLD_A, GOLD_B, GOLD_C, MEMBERS_JSON
+from boardlake.sources.landing import (parse_boards_column, parse_cards_column, parse_json_field, parse_lists_column,
+                                       parse_members_column)
 from boardlake.sources.tables import widen
 
 # Parameters of the stand-in queries.
 BOARD = "1-URGENT"
-MEMBER = "Supplier#000000003"
+MEMBER = "Supplier#0000000"             # a substring that very many cards carry
 LIKE_MEMBER = "Supplier#0000000_3"     # '_' is a wildcard under like
-ACT_START, ACT_END = "1996-01-01", "1999-12-31"
-EV_START, EV_END = "2024-01-05", "2024-01-10"
+# Both days have cards at 00:00 and later, so the three bound variants differ.
+ACT_START, ACT_END = "1999-11-14", "2001-05-15"
+# Day-first text whose swapped form is a date too (5 September, 4 May).
+DAYFIRST_START, DAYFIRST_END = "05-09-1999", "04-05-2001"
 IDLE_AS_OF, IDLE_DAYS = _dt.datetime(1998, 1, 1), 30
+# The whole pipeline: from before the stored cards end to the batch's last ones.
+E2E_START, E2E_END = "1997-06-01", "2000-12-31"
 UPSERT_TARGET_BEFORE = "1998-01-01"
 UPSERT_SOURCE_FROM = "1997-01-01"
 
@@ -75,12 +80,18 @@ def q_bronze_cards_json(spark: SparkSession, d: str) -> DataFrame:
         F.col("o_orderpriority").alias("idBoard"),
         F.concat(F.col("o_orderpriority"), F.lit("/"), status).alias("idList"),
         F.col("o_custkey").cast("string").alias("name"),
+        F.concat(F.lit("order \"\n"), "o_orderkey").alias("desc"),
+        F.array(F.col("o_custkey").cast("string"), F.lit("x")).alias("idMembers"),
+        F.hex("o_orderkey").alias("shortLink"),
+        F.concat(F.lit("https://b.example/"), F.hex("o_orderkey")).alias("shortUrl"),
+        F.when(status != "F", F.concat(F.lit("https://b.example/c/"), F.hex("o_orderkey"))).alias("url"),
     ))
     cards = parse_cards_column(o.select(payload.alias("value")), "value")
     return cards.select("id", "closed",
                         F.col("dateLastActivity").cast("timestamp_ntz").alias("dateLastActivity"),
                         F.col("due").cast("timestamp_ntz").alias("due"),
-                        "idBoard", "idList", "name")
+                        "idBoard", "idList", "name", "desc", F.array_join("idMembers", ",").alias("idMembers"),
+                        "shortLink", "shortUrl", "url")
 
 
 def q_bronze_members_json(spark, d):
@@ -158,9 +169,11 @@ def q_silver_cards_keep(spark, d):
 
 def q_silver_upsert(spark, d):
     """R3's MERGE: today's refined board upserted into yesterday's silver."""
+    # The stored table is a stand-in too: all boards, as far as they were known yesterday.
     yesterday = si.silver(spark, d).where(F.col("dateLastActivity") < _ntz(UPSERT_TARGET_BEFORE))
-    today = si.silver(spark, d, board=BOARD, keep_unmatched=True)
-    return upsert(yesterday, today, ["id"])
+    today = refine_cards(si.cards(spark, d), si.members(spark, d), board=BOARD, board_name=f"Board {BOARD}",
+                         keep_unmatched=True, pairs=si.memberships(spark, d))
+    return upsert(yesterday, today, ["id"], keys_not_null=True)
 
 
 def q_silver_current_board(spark, d):
@@ -200,15 +213,16 @@ def q_upsert(spark, d):
     """Matched rows take the source (nulls too), new keys insert, others stay."""
     c = si.cards(spark, d)
     target = c.where(F.col("dateLastActivity") < _ntz(UPSERT_TARGET_BEFORE))
-    return upsert(target, _upsert_source(c), ["id"])
+    return upsert(target, _upsert_source(c), ["id"], keys_not_null=True)
 
 
 def q_upsert_small_batch(spark, d):
-    """U1 with the broadcast-source plan (a batch merged into a large table):
+    """U1 with the ``stream_target`` plan (a batch merged into a large table):
+    where the session has a checkpoint folder, the batch is stored there and
     the target is streamed, not shuffled.  Same rows as ``upsert``."""
     c = si.cards(spark, d)
     target = c.where(F.col("dateLastActivity") < _ntz(UPSERT_TARGET_BEFORE))
-    return upsert(target, _upsert_source(c), ["id"], broadcast_source=True)
+    return upsert(target, _upsert_source(c), ["id"], plan="stream_target", keys_not_null=True)
 
 
 def q_upsert_evolve(spark, d):
@@ -216,7 +230,7 @@ def q_upsert_evolve(spark, d):
     c = si.cards(spark, d, with_price=True)
     target = c.where(F.col("dateLastActivity") < _ntz(UPSERT_TARGET_BEFORE))
     source = _upsert_source(c).withColumn("due", F.col("dateLastActivity") + F.expr("INTERVAL 30 DAYS"))
-    return upsert(target, source, ["id"])
+    return upsert(target, source, ["id"], keys_not_null=True)
 
 
 def q_upsert_latest(spark, d):
@@ -229,7 +243,7 @@ def q_upsert_latest(spark, d):
     # ends with idList: rows still tied then agree in every output column.
     return upsert(si.cards(spark, d), source, ["id"],
                   order_by=[F.col("dateLastActivity").desc(), F.col("lastLine").desc(),
-                            F.col("idList").desc()])
+                            F.col("idList").desc()], keys_not_null=True)
 
 
 def q_overwrite_widen(spark, d):
@@ -303,28 +317,28 @@ def q_activity_optional(spark, d):
 
 def q_activity_dayfirst(spark, d):
     """G1-type: day-first date arguments."""
-    return member_activity(si.unique(spark, d), MEMBER, "01-01-1996", "31-12-1999", "like", "closed_ts",
+    return member_activity(si.unique(spark, d), MEMBER, DAYFIRST_START, DAYFIRST_END, "like", "closed_ts",
                            GOLD_A, date_format="%d-%m-%Y")
 
 
-def _event_range(spark, d, bounds):
-    e = si.table(spark, d, "events").select("event_id", "ts")
-    return range_filter(e, "ts", EV_START, EV_END, bounds)
+def _card_range(spark, d, bounds):
+    c = si.cards(spark, d).select("id", "dateLastActivity")
+    return range_filter(c, "dateLastActivity", ACT_START, ACT_END, bounds)
 
 
 def q_range_closed_ts(spark, d):
     """F7 on time-of-day data: activity during the end day is outside."""
-    return _event_range(spark, d, "closed_ts")
+    return _card_range(spark, d, "closed_ts")
 
 
 def q_range_open_ts(spark, d):
     """F8."""
-    return _event_range(spark, d, "open_ts")
+    return _card_range(spark, d, "open_ts")
 
 
 def q_range_closed_date(spark, d):
     """the whole end day is inside."""
-    return _event_range(spark, d, "closed_date")
+    return _card_range(spark, d, "closed_date")
 
 
 def q_activity_all_members(spark, d):
@@ -332,9 +346,61 @@ def q_activity_all_members(spark, d):
     return member_activity_many(si.unique(spark, d), REPORT_SPECS, GOLD_A)
 
 
+def q_range_tz(spark, d):
+    """Activity shifted from UTC to a zone before the dates are compared."""
+    c = si.cards(spark, d).select("id", "dateLastActivity")
+    return range_filter(c, "dateLastActivity", ACT_START, ACT_END, "closed_date", tz="+07:00")
+
+
+def q_member_names_array(spark, d):
+    """J1 on real id arrays: repeated ids count once, unknown ones not at all."""
+    return member_names(si.cards_with_members(spark, d), si.members(spark, d)).select("id", "card_members")
+
+
+def q_bronze_members_latest(spark, d):
+    """Of the records landed for one member id the last one wins."""
+    li = si.table(spark, d, "lineitem")
+    payload = F.to_json(F.struct(
+        F.col("l_suppkey").cast("string").alias("id"),
+        F.concat_ws("-", F.lit("Member"), "l_orderkey", "l_linenumber").alias("fullName")))
+    landed = ["l_shipdate", "l_orderkey", "l_linenumber"]
+    parsed = li.select(payload.alias("value"), *landed).select(
+        F.struct(F.from_json("value", MEMBERS_JSON).alias("m"), *landed).alias("r"))
+    rows = parsed.select("r.m.*", *[f"r.{c}" for c in landed])
+    return latest_per_key(rows, ["id"], [F.col(c).desc() for c in landed]).select("id", "fullName")
+
+
+def q_list_lookup_json(spark, d):
+    """List JSON with fractional and missing positions; the first list of every board."""
+    li = si.lists(spark, d)
+    pos = F.when(F.col("name") != "Done", F.lit(1 << 47) + F.lit(4.5) - F.col("pos"))
+    text = li.select(F.to_json(F.struct("id", "idBoard", "name", pos.alias("pos"))).alias("value"))
+    return list_lookup(parse_lists_column(text, "value"), pick="first")
+
+
+def q_current_board_json(spark, d):
+    """Board JSON with large, fractional and missing positions; the dated board listed last."""
+    b = si.sprint_boards(spark, d)
+    pos = F.when(F.col("pos") % 3 != 0, F.lit(1 << 40) + F.col("pos") / 4)
+    text = b.select(F.to_json(F.struct(F.col("id").cast("string").alias("id"), "name", pos.alias("pos"))).alias("value"))
+    return current_board(parse_boards_column(text, "value"), "last_listed").select("id", "board_date")
+
+
 def q_medallion_e2e(spark, d):
-    """Bronze -> silver (all boards) -> unique -> one member's gold table."""
-    return member_activity(si.unique(spark, d), MEMBER, ACT_START, ACT_END, "contains", "closed_ts", GOLD_A)
+    """All layers: card and member JSON text -> typed bronze -> bronze upsert of
+    a later batch -> silver of all boards, then of one board upserted into it
+    -> newest card per name -> one member's gold table."""
+    landed = parse_cards_column(si.cards_json(spark, d), "value")
+    members = parse_members_column(si.members_json(spark, d), "value")
+    boards = si.boards(spark, d)
+    stored = landed.where(F.col("dateLastActivity") < F.lit(UPSERT_TARGET_BEFORE).cast("timestamp"))
+    batch = landed.where(F.col("dateLastActivity") >= F.lit(UPSERT_SOURCE_FROM).cast("timestamp")).withColumn(
+        "name", F.when(F.col("closed"), F.concat("name", F.lit(" (closed)"))).otherwise(F.col("name")))
+    bronze = upsert(stored, batch, ["id"], keys_not_null=True)
+    yesterday = refine_cards(stored, members, boards=boards)
+    today = refine_cards(bronze, members, board=BOARD, boards=boards)
+    silver = upsert(yesterday, today, ["id"], keys_not_null=True)
+    return member_activity(unique_cards(silver), MEMBER, E2E_START, E2E_END, "contains", "closed_ts", GOLD_A)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -376,5 +442,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_closed_ts": q_range_closed_ts,
     "range_open_ts": q_range_open_ts,
     "range_closed_date": q_range_closed_date,
+    "range_tz": q_range_tz,
     "activity_all_members": q_activity_all_members,
+    "member_names_array": q_member_names_array,
+    "bronze_members_latest": q_bronze_members_latest,
+    "list_lookup_json": q_list_lookup_json,
+    "current_board_json": q_current_board_json,
 }

@@ -5,13 +5,15 @@
                                 [--keep-unmatched]
     python -m boardlake unique  --root R [--full]
     python -m boardlake idle    --root R --days N [--as-of YYYY-MM-DD] [--list doing] [--list-pick name|first]
+                                [--board ID] [--board-pick latest|last_listed]
     python -m boardlake member  --root R --report NAME --member TEXT [--start_date D --end_date D]
                                 [--date-format %Y-%m-%d] [--match contains|like]
                                 [--bounds closed_ts|open_ts|closed_date] [--columns A|B|C]
     python -m boardlake reports --root R --specs specs.json
     python -m boardlake stream  --landing L --root R [--kind cards|members] [--checkpoint C]
     python -m boardlake prune   --root R [--keep 3] [--table NAME]
-    python -m boardlake run-all --landing-root L --root R [--days N]
+    python -m boardlake run-all --landing-root L --root R [--days N] [--as-of T] [--specs specs.json]
+                                [--board-pick P] [--list doing] [--list-pick P] [--keep-unmatched]
 
 Each command builds its session with :func:`boardlake.session.build_session`
 and leaves master, memory and checkpoint settings to ``spark-submit``.
@@ -54,9 +56,7 @@ def _parser() -> argparse.ArgumentParser:
     s = sub.add_parser("idle", help="gold: cards idle for more than N days in a list")
     s.add_argument("--root", required=True)
     s.add_argument("--days", required=True, type=int)
-    s.add_argument("--as-of", default=None, help="YYYY-MM-DD[THH:MM:SS]; default: now")
-    s.add_argument("--list", dest="list_name", default="doing")
-    s.add_argument("--list-pick", default="name", choices=["name", "first"])
+    _idle_options(s)
     s.add_argument("--board", default=None)
 
     s = sub.add_parser("member", help="gold: one member's cards in a date range")
@@ -69,12 +69,13 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--match", default="contains", choices=["contains", "like"])
     s.add_argument("--bounds", default="closed_ts", choices=["closed_ts", "open_ts", "closed_date"])
     s.add_argument("--columns", default="A", choices=sorted(COLUMN_ORDERS))
+    s.add_argument("--tz", default=None, help="zone the activity times are shifted to before they are compared")
 
     s = sub.add_parser("reports", help="gold: every member report in one scan")
     s.add_argument("--root", required=True)
     s.add_argument("--specs", required=True, help="JSON file: a list of MemberSpec fields")
 
-    s = sub.add_parser("stream", help="incremental bronze ingest (processes what has landed, then stops)")
+    s = sub.add_parser("stream", help="incremental bronze ingest (logs what has landed, then merges it)")
     s.add_argument("--landing", required=True)
     s.add_argument("--kind", default="cards", choices=["cards", "members"])
     s.add_argument("--root", required=True)
@@ -89,12 +90,32 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--landing-root", required=True)
     s.add_argument("--root", required=True)
     s.add_argument("--days", type=int, default=7)
+    _idle_options(s)
+    s.add_argument("--specs", default=None, help="JSON file: a list of MemberSpec fields")
+    s.add_argument("--keep-unmatched", action="store_true")
     return p
 
 
+def _idle_options(s: argparse.ArgumentParser) -> None:
+    s.add_argument("--as-of", default=None, help="YYYY-MM-DD[THH:MM:SS[+HH:MM]], UTC without a zone; default: now")
+    s.add_argument("--list", dest="list_name", default="doing")
+    s.add_argument("--list-pick", default="name", choices=["name", "first"])
+    s.add_argument("--board-pick", default="latest", choices=["latest", "last_listed"])
+
+
 def load_specs(path: str) -> list[MemberSpec]:
+    """Specs of a JSON file; ``columns`` may be a list of names or A, B or C."""
     with open(path) as f:
-        return [MemberSpec(**item) for item in json.load(f)]
+        items = json.load(f)
+    for item in items:
+        if "columns" in item:
+            item["columns"] = tuple(COLUMN_ORDERS.get(item["columns"], item["columns"])
+                                    if isinstance(item["columns"], str) else item["columns"])
+    return [MemberSpec(**item) for item in items]
+
+
+def _as_of(args) -> _dt.datetime | None:
+    return _dt.datetime.fromisoformat(args.as_of) if args.as_of else None
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:
@@ -114,25 +135,27 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     elif args.cmd == "unique":
         v = P.build_unique(spark, args.root, incremental=not args.full)
     elif args.cmd == "idle":
-        as_of = _dt.datetime.fromisoformat(args.as_of) if args.as_of else None
-        v = P.gold_idle(spark, args.root, args.days, as_of, args.list_name, args.list_pick, args.board)
+        v = P.gold_idle(spark, args.root, args.days, _as_of(args), args.list_name, args.list_pick, args.board,
+                        args.board_pick)
     elif args.cmd == "member":
         spec = MemberSpec(args.report, args.member, args.start_date, args.end_date, args.match,
-                          args.bounds, args.date_format)
-        v = P.gold_member(spark, args.root, spec, COLUMN_ORDERS[args.columns])
+                          args.bounds, args.date_format, args.tz, tuple(COLUMN_ORDERS[args.columns]))
+        v = P.gold_member(spark, args.root, spec)
     elif args.cmd == "reports":
         v = P.gold_member_reports(spark, args.root, load_specs(args.specs))
     elif args.cmd == "stream":
-        from boardlake.streaming.ingest import stream_cards, stream_members
+        from boardlake.streaming.ingest import compact_changes, stream_cards, stream_members
         start = stream_cards if args.kind == "cards" else stream_members
         start(spark, args.landing, args.root, args.checkpoint).awaitTermination()
-        v = None
+        v = compact_changes(spark, args.root, args.kind)
     elif args.cmd == "prune":
         from boardlake.sources.tables import list_tables, prune_versions
         names = [args.table] if args.table else list_tables(spark, args.root)
         v = {n: prune_versions(spark, args.root, n, args.keep) for n in names}
     else:
-        P.run_all(spark, args.landing_root, args.root, args.days)
+        P.run_all(spark, args.landing_root, args.root, args.days, _as_of(args),
+                  load_specs(args.specs) if args.specs else (), args.board_pick, args.list_name, args.list_pick,
+                  args.keep_unmatched)
         v = None
     print(json.dumps({"command": args.cmd, "version": v}))
     return 0

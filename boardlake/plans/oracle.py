@@ -11,7 +11,8 @@ import datetime as dt
 from boardlake.plans import catalog as c
 
 CARDS = """cards AS (
-  SELECT o_orderkey AS id, o_orderstatus = 'F' AS closed, o_orderdate AS dateLastActivity,
+  SELECT o_orderkey AS id, o_orderstatus = 'F' AS closed,
+         o_orderdate + to_hours(CAST(o_orderkey % 4 * 6 AS INTEGER)) AS dateLastActivity,
          o_orderpriority AS idBoard, o_orderpriority || '/' || o_orderstatus AS idList,
          CAST(o_custkey AS VARCHAR) AS name
   FROM orders)"""
@@ -82,8 +83,27 @@ def _all_members() -> str:
     return SILVER_CHAIN + "\nUNION ALL\n".join(parts)
 
 
-def _events(bounds: str) -> str:
-    return f"SELECT event_id, ts FROM events WHERE {_range(c.EV_START, c.EV_END, bounds, col='ts')}"
+def _card_range(bounds: str) -> str:
+    return f"WITH {CARDS} SELECT id, dateLastActivity FROM cards WHERE {_range(c.ACT_START, c.ACT_END, bounds)}"
+
+
+# Bronze ids are text: the newest card of a name is decided by text on equal dates.
+E2E = f"""WITH {CARDS},
+{NAMES},
+stored AS (SELECT * REPLACE (CAST(id AS VARCHAR) AS id) FROM cards
+           WHERE dateLastActivity < TIMESTAMP '{c.UPSERT_TARGET_BEFORE}'),
+batch AS (SELECT * REPLACE (CAST(id AS VARCHAR) AS id, CASE WHEN closed THEN name || ' (closed)' ELSE name END AS name)
+          FROM cards WHERE dateLastActivity >= TIMESTAMP '{c.UPSERT_SOURCE_FROM}'),
+bronze AS (SELECT * FROM batch UNION ALL SELECT * FROM stored WHERE id NOT IN (SELECT id FROM batch)),
+today AS (SELECT * FROM bronze WHERE idBoard = '{c.BOARD}'),
+silver AS (SELECT * FROM today UNION ALL SELECT * FROM stored WHERE id NOT IN (SELECT id FROM today)),
+named AS (SELECT s.id, s.name, n.card_members, strftime(s.dateLastActivity, '%d-%m-%Y') AS LastUpdated,
+                 'Board ' || s.idBoard AS board_name, s.dateLastActivity
+          FROM silver s JOIN names n ON s.id = CAST(n.id AS VARCHAR)),
+uniq AS (SELECT * FROM named
+         QUALIFY row_number() OVER (PARTITION BY name ORDER BY dateLastActivity DESC, id DESC) = 1)
+SELECT {', '.join(c.GOLD_A)} FROM uniq
+WHERE {_match(c.MEMBER, 'contains')} AND {_range(c.E2E_START, c.E2E_END, 'closed_ts')}"""
 
 
 UPSERT_SQL = f"""WITH {CARDS},
@@ -95,12 +115,15 @@ SELECT t.* FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.id = t.id)"""
 
 
 ORACLE: dict[str, str] = {
-    "medallion_e2e": _activity(c.MEMBER, c.ACT_START, c.ACT_END, "contains", "closed_ts", c.GOLD_A),
+    "medallion_e2e": E2E,
     "bronze_cards_json": """
 SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus = 'F' AS closed, o_orderdate AS dateLastActivity,
        CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderdate + INTERVAL 30 DAY END AS due,
        o_orderpriority AS idBoard, o_orderpriority || '/' || o_orderstatus AS idList,
-       CAST(o_custkey AS VARCHAR) AS name
+       CAST(o_custkey AS VARCHAR) AS name, 'order "' || chr(10) || o_orderkey AS desc,
+       o_custkey || ',x' AS idMembers, hex(o_orderkey) AS shortLink,
+       'https://b.example/' || hex(o_orderkey) AS shortUrl,
+       CASE WHEN o_orderstatus <> 'F' THEN 'https://b.example/c/' || hex(o_orderkey) END AS url
 FROM orders""",
     "bronze_members_json": """
 SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS fullName, 'S' || right(s_name, 3) AS initials,
@@ -204,11 +227,25 @@ WHERE idList = '{c.BOARD}/F'
     "activity_open_ts": _activity(c.MEMBER, c.ACT_START, c.ACT_END, "like", "open_ts", c.GOLD_B),
     "activity_closed_date": _activity(c.MEMBER, c.ACT_START, c.ACT_END, "contains", "closed_date", c.GOLD_C),
     "activity_optional": _activity(c.MEMBER, None, None, "contains", "closed_ts", c.GOLD_A),
-    "activity_dayfirst": _activity(c.MEMBER, "01-01-1996", "31-12-1999", "like", "closed_ts", c.GOLD_A,
+    "activity_dayfirst": _activity(c.MEMBER, c.DAYFIRST_START, c.DAYFIRST_END, "like", "closed_ts", c.GOLD_A,
                                    "%d-%m-%Y"),
-    "range_closed_ts": _events("closed_ts"),
-    "range_open_ts": _events("open_ts"),
-    "range_closed_date": _events("closed_date"),
+    "range_closed_ts": _card_range("closed_ts"),
+    "range_open_ts": _card_range("open_ts"),
+    "range_closed_date": _card_range("closed_date"),
+    "range_tz": f"WITH {CARDS} SELECT id, dateLastActivity FROM cards WHERE "
+                + _range(c.ACT_START, c.ACT_END, "closed_date", col="(dateLastActivity + INTERVAL 7 HOUR)"),
     "activity_all_members": _all_members(),
+    "member_names_array": f"WITH {CARDS},\n{NAMES}\nSELECT c.id, n.card_members FROM cards c JOIN names n ON c.id = n.id",
+    "bronze_members_latest": """SELECT CAST(l_suppkey AS VARCHAR) AS id, 'Member-' || l_orderkey || '-' || l_linenumber AS fullName
+FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) = 1""",
+    "list_lookup_json": """WITH l AS (
+  SELECT DISTINCT o_orderpriority AS idBoard, o_orderpriority || '/' || o_orderstatus AS id,
+         CASE o_orderstatus WHEN 'O' THEN -2 WHEN 'P' THEN -3 END AS pos
+  FROM orders)
+SELECT idBoard, id AS list_id FROM l
+QUALIFY row_number() OVER (PARTITION BY idBoard ORDER BY pos ASC NULLS LAST, id) = 1""",
+    "current_board_json": SPRINT_DATED.replace("o_orderkey AS id", "CAST(o_orderkey AS VARCHAR) AS id")
+                          + " ORDER BY CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey END DESC NULLS LAST, id DESC LIMIT 1",
 }
 

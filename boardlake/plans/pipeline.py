@@ -3,8 +3,7 @@
 Each job reads the latest committed snapshots, builds one Spark plan and
 writes one new snapshot (see :mod:`boardlake.sources.tables`).  No data
 rows reach the driver: the current board and the chosen list are one-row
-DataFrames joined into the plan; only version numbers and bounded row counts
-(size checks) are read.
+DataFrames joined into the plan; only version numbers are read.
 """
 
 from __future__ import annotations
@@ -18,10 +17,10 @@ from pyspark.sql import functions as F
 from boardlake.operators.activity import MemberSpec, idle_cards, member_activity, member_activity_many
 from boardlake.operators.boards import current_board, list_lookup
 from boardlake.operators.refine import refine_cards, unique_cards
-from boardlake.operators.sizing import broadcast_if_small
 from boardlake.schemas import GOLD_A
-from boardlake.sources.landing import CORRUPT, read_boards, read_cards, read_lists, read_members
-from boardlake.sources.tables import latest_version, merge_into, read_table, write_snapshot
+from boardlake.sources.landing import CORRUPT, LANDED, newest_landed, read_boards, read_cards, read_lists, read_members
+from boardlake.sources.tables import (delete_parts, latest_version, merge_into, read_parts, read_table, write_part,
+                                      write_snapshot)
 
 # Table names under the pipeline root.
 BRONZE_CARDS = "bronze_cards"
@@ -52,50 +51,90 @@ def _require(spark: SparkSession, root: str, name: str) -> DataFrame:
     return t
 
 
-def _row_fingerprint(df: DataFrame):
-    """A deterministic last tie-break between distinct rows with one key."""
-    return F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+#: Job kinds of the landing: reader, table, and what comes before the landing order of a repeated id.
+KINDS = {
+    "cards": (read_cards, BRONZE_CARDS, ["dateLastActivity"]),
+    "members": (read_members, BRONZE_MEMBERS, []),
+}
+LISTINGS = {"boards": (read_boards, BOARDS), "lists": (read_lists, LISTS)}
+
+
+def _bad(df: DataFrame):
+    """Rows without an id (a null key would be inserted again on every run) or malformed.
+
+    The predicate names the corrupt column: a filter on parsed fields alone is
+    pushed into the JSON reader, which then skips malformed records.
+    """
+    return F.col("id").isNull() | F.col(CORRUPT).isNotNull()
+
+
+def newest_first(kind: str) -> list:
+    """Order of the records of one id: cards by last activity, then, as all kinds, by landing."""
+    return [F.col(c).desc_nulls_last() for c in KINDS[kind][2]] + newest_landed()
+
+
+def _run_key(spark: SparkSession, root: str, table: str) -> str:
+    """Name of a batch run: the version of ``table`` it is about to write."""
+    return f"batch-{(latest_version(spark, root, table) or 0) + 1:08d}"
+
+
+def _staged(raw: DataFrame, root: str, kind: str, run: str) -> DataFrame:
+    """``raw`` with a ``__bad`` flag, written once, so that its JSON is parsed once.
+
+    A run that is started again writes the same part again.
+    """
+    spark = raw.sparkSession
+    write_part(raw.withColumn("__bad", _bad(raw)), root, f"staged_{kind}", run)
+    return read_parts(spark, root, f"staged_{kind}", [run])
+
+
+def keep_rejects(staged: DataFrame, root: str, kind: str, run: str) -> None:
+    """Write the run's unusable records as a part of ``rejected_<kind>``; other runs' parts stay."""
+    rejects = staged.where("__bad").drop("__bad", *LANDED)
+    write_part(rejects, root, f"rejected_{kind}", run)
+
+
+def read_rejects(spark: SparkSession, root: str, kind: str) -> DataFrame | None:
+    """Rejected records of all runs."""
+    return read_parts(spark, root, f"rejected_{kind}")
 
 
 def ingest_bronze(spark: SparkSession, landing: str, root: str, kind: str = "cards",
-                  multi_line: bool = False) -> int:
+                  multi_line: bool = False, plan: str = "shuffle") -> int:
     """Upsert a landing directory of card or member JSON into bronze.
 
     The whole batch is one upsert (the reference ran one MERGE per object).
-    Rows without an id are written to ``rejected_<kind>`` instead: a null
-    key never matches, so it would be inserted again on every run.  A key
-    repeated in the batch keeps its newest row (cards: by last activity).
+    Rows without an id and malformed records go to ``rejected_<kind>``.  A
+    key repeated in the batch keeps its newest row: cards by last activity,
+    then, as members, by the landing time of the file, its path, and the
+    record's place in it, so the last landed one wins.  ``plan`` names the
+    plan of the upsert.
     """
-    if kind == "cards":
-        raw = read_cards(spark, landing, multi_line, keep_corrupt=True)
-        table = BRONZE_CARDS
-    elif kind == "members":
-        raw = read_members(spark, landing, multi_line, keep_corrupt=True)
-        table = BRONZE_MEMBERS
-    else:
+    if kind not in KINDS:
         raise ValueError("kind must be 'cards' or 'members'")
-    # Malformed records arrive with their raw text in _corrupt_record; they and
-    # rows without an id are kept in the rejected table, not dropped.  Both
-    # predicates name the corrupt column: a filter on parsed fields alone is
-    # pushed into the JSON reader, which then skips malformed records.
-    bad = F.col("id").isNull() | F.col(CORRUPT).isNotNull()
-    write_snapshot(raw.where(bad), root, f"rejected_{kind}", merge_schema=False)
-    good = raw.where(~bad).drop(CORRUPT)
-    order = ([F.col("dateLastActivity").desc_nulls_last()] if kind == "cards" else []) + \
-        [_row_fingerprint(good).desc()]
-    return merge_into(spark, root, table, good, ["id"], order_by=order, cluster_by=CLUSTER.get(table))
+    reader, table, _ = KINDS[kind]
+    run = _run_key(spark, root, table)
+    staged = _staged(reader(spark, landing, multi_line, keep_corrupt=True, landed=True), root, kind, run)
+    keep_rejects(staged, root, kind, run)
+    good = staged.where("NOT __bad").drop("__bad", CORRUPT)
+    version = merge_into(spark, root, table, good, ["id"], order_by=newest_first(kind),
+                         cluster_by=CLUSTER.get(table), plan=plan, drop=tuple(LANDED))
+    delete_parts(spark, root, f"staged_{kind}", [run])
+    return version
 
 
 def ingest_listing(spark: SparkSession, landing: str, root: str, kind: str = "boards",
                    multi_line: bool = False) -> int:
-    """Board or list listing (S7/S8): replaced as a whole on every run."""
-    if kind == "boards":
-        df, table = read_boards(spark, landing, multi_line), BOARDS
-    elif kind == "lists":
-        df, table = read_lists(spark, landing, multi_line), LISTS
-    else:
+    """Board or list listing (S7/S8): replaced as a whole on every run; rejects as in bronze."""
+    if kind not in LISTINGS:
         raise ValueError("kind must be 'boards' or 'lists'")
-    return write_snapshot(df, root, table, merge_schema=False)
+    reader, table = LISTINGS[kind]
+    run = _run_key(spark, root, table)
+    staged = _staged(reader(spark, landing, multi_line, keep_corrupt=True), root, kind, run)
+    keep_rejects(staged, root, kind, run)
+    version = write_snapshot(staged.where("NOT __bad").drop("__bad", CORRUPT), root, table, merge_schema=False)
+    delete_parts(spark, root, f"staged_{kind}", [run])
+    return version
 
 
 def _board(spark: SparkSession, root: str, board: str | None, pick: str) -> DataFrame:
@@ -136,7 +175,7 @@ def refine_silver(spark: SparkSession, root: str, board: str | None = None,
     previous = read_table(spark, root, SILVER_CARDS)
     touched = refined.select("name")
     if previous is not None:
-        ids = broadcast_if_small(refined.select("id"))
+        ids = refined.select("id")
         touched = touched.unionByName(previous.join(ids, "id", "left_semi").select("name"))
     touched = _checkpointed(touched.distinct())
     version = merge_into(spark, root, SILVER_CARDS, refined, ["id"], cluster_by=CLUSTER[SILVER_CARDS])
@@ -156,8 +195,8 @@ def _changed_names(spark: SparkSession, root: str, built_from: int, silver_versi
         return None
     window = changes.where((F.col("silver_version") > built_from) &
                            (F.col("silver_version") <= silver_version))
-    logged = {r[0] for r in window.select("silver_version").distinct().collect()}
-    if logged != set(range(built_from + 1, silver_version + 1)):
+    # One row: the log has every version in the range exactly if it has as many.
+    if window.agg(F.count_distinct("silver_version")).first()[0] != silver_version - built_from:
         return None
     return window.select("name").distinct()
 
@@ -167,9 +206,9 @@ def build_unique(spark: SparkSession, root: str, incremental: bool = True) -> in
 
     Incremental when possible: only the name groups logged by
     :func:`refine_silver` since the last build are recomputed, from silver
-    rows found by a (null-safe) broadcast semi join, and the other rows of
-    the previous table are kept by the matching anti join -- silver is
-    streamed, never shuffled.  Otherwise (first build, or a silver version
+    rows found by a (null-safe) semi join, and the other rows of the
+    previous table are kept by the matching anti join; AQE broadcasts the
+    names when they measure small.  Otherwise (first build, or a silver version
     without a change log) the whole table is rebuilt with one shuffle by
     name.  Either way the result equals a full rebuild.
     """
@@ -187,7 +226,7 @@ def build_unique(spark: SparkSession, root: str, incremental: bool = True) -> in
     if changed is None:
         out = unique_cards(silver)
     else:
-        names = broadcast_if_small(changed.select(F.col("name").alias("__name")))
+        names = changed.select(F.col("name").alias("__name"))
         same = F.col("name").eqNullSafe(F.col("__name"))
         recomputed = unique_cards(silver.join(names, same, "left_semi"))
         kept = previous.join(names, same, "left_anti")
@@ -208,17 +247,20 @@ def gold_idle(spark: SparkSession, root: str, days: int, as_of: _dt.datetime | N
     """Cards in the board's chosen list idle for more than ``days`` days."""
     silver = _require(spark, root, SILVER_CARDS)
     lists = _require(spark, root, LISTS)
-    the_board = broadcast_if_small(_board(spark, root, board, board_pick).select(F.col("id").alias("idBoard")))
+    the_board = _board(spark, root, board, board_pick).select(F.col("id").alias("idBoard"))
     chosen = list_lookup(lists, list_name, list_pick).join(the_board, "idBoard", "left_semi")
     return write_snapshot(idle_cards(silver, chosen, days, as_of), root, GOLD_IDLE)
 
 
 def gold_member(spark: SparkSession, root: str, spec: MemberSpec,
-                columns: Sequence[str] = GOLD_A) -> int:
-    """One member's cards in a date range, to ``gold_<report>``."""
+                columns: Sequence[str] | None = None) -> int:
+    """One member's cards in a date range, to ``gold_<report>``.
+
+    ``columns`` defaults to the spec's own.
+    """
     unique = _require(spark, root, SILVER_UNIQUE)
     out = member_activity(unique, spec.member, spec.start, spec.end, spec.match, spec.bounds,
-                          columns, spec.date_format)
+                          columns or spec.columns, spec.date_format, spec.tz)
     return write_snapshot(out, root, f"gold_{spec.report}")
 
 
@@ -231,16 +273,19 @@ def gold_member_reports(spark: SparkSession, root: str, specs: Sequence[MemberSp
 
 
 def run_all(spark: SparkSession, landing_root: str, root: str, idle_days: int = 7,
-            as_of: _dt.datetime | None = None, specs: Sequence[MemberSpec] = ()) -> None:
+            as_of: _dt.datetime | None = None, specs: Sequence[MemberSpec] = (),
+            board_pick: str = "latest", list_name: str = "doing", list_pick: str = "name",
+            keep_unmatched: bool = False) -> None:
     """Every layer once, in order.  ``landing_root`` holds ``cards/``,
-    ``members/``, ``boards/`` and ``lists/`` subdirectories."""
+    ``members/``, ``boards/`` and ``lists/`` subdirectories.  ``board_pick``
+    holds for refining and for the idle cards alike."""
     lr = landing_root.rstrip("/")
     ingest_listing(spark, f"{lr}/boards", root, "boards")
     ingest_listing(spark, f"{lr}/lists", root, "lists")
     ingest_bronze(spark, f"{lr}/members", root, "members")
     ingest_bronze(spark, f"{lr}/cards", root, "cards")
-    refine_silver(spark, root)
+    refine_silver(spark, root, board_pick=board_pick, keep_unmatched=keep_unmatched)
     build_unique(spark, root)
-    gold_idle(spark, root, idle_days, as_of)
+    gold_idle(spark, root, idle_days, as_of, list_name, list_pick, board_pick=board_pick)
     if specs:
         gold_member_reports(spark, root, specs)

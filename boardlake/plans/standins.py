@@ -5,7 +5,8 @@ analogous table and every operator runs on data whose size grows with the
 scale factor:
 
   card        = orders   (id = o_orderkey, name = o_custkey as text,
-                          dateLastActivity = o_orderdate, board = o_orderpriority,
+                          dateLastActivity = o_orderdate at one of four times of
+                          day (00:00, 06:00, 12:00, 18:00) by o_orderkey, board = o_orderpriority,
                           list = priority/status, closed = status 'F')
   member      = supplier (id = s_suppkey, fullName = s_name)
   membership  = lineitem (l_orderkey, l_suppkey)
@@ -26,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def activity():
+    """A card's last activity: order dates are all at midnight, so the key gives the time of day."""
+    return F.col("o_orderdate") + F.make_interval(hours=(F.col("o_orderkey") % 4 * 6).cast("int"))
+
+
 def cards(spark: SparkSession, sf_dir: str, with_price: bool = False) -> DataFrame:
     """Bronze cards (without the id array; membership is a separate table).
     ``with_price`` adds ``o_totalprice`` as an extra ``price`` column."""
@@ -33,7 +39,7 @@ def cards(spark: SparkSession, sf_dir: str, with_price: bool = False) -> DataFra
     cols = [
         F.col("o_orderkey").alias("id"),
         (F.col("o_orderstatus") == "F").alias("closed"),
-        F.col("o_orderdate").alias("dateLastActivity"),
+        activity().alias("dateLastActivity"),
         F.col("o_orderpriority").alias("idBoard"),
         F.concat(F.col("o_orderpriority"), F.lit("/"), F.col("o_orderstatus")).alias("idList"),
         F.col("o_custkey").cast("string").alias("name"),
@@ -48,6 +54,31 @@ def memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("card_id"), F.col("l_suppkey").alias("member_id"))
 
 
+def cards_with_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards with their id array, from every line item: ids repeat as suppliers
+    do within an order, and each array ends with an id that no member has."""
+    ids = memberships(spark, sf_dir).groupBy("card_id").agg(F.collect_list("member_id").alias("idMembers"))
+    unknown = F.array(F.lit(-1).cast(ids.schema["idMembers"].dataType.elementType))
+    return cards(spark, sf_dir).join(ids, F.col("id") == F.col("card_id"), "left").drop("card_id").withColumn(
+        "idMembers", F.concat("idMembers", "idMembers", unknown))
+
+
+def cards_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed card records: JSON text of every card, id array included."""
+    c = cards_with_members(spark, sf_dir)
+    iso = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+    return c.select(F.to_json(F.struct(
+        F.col("id").cast("string").alias("id"), "closed",
+        F.date_format("dateLastActivity", iso).alias("dateLastActivity"), "idBoard", "idList",
+        F.transform("idMembers", lambda m: m.cast("string")).alias("idMembers"), "name")).alias("value"))
+
+
+def members_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed member records."""
+    return members(spark, sf_dir).select(F.to_json(F.struct(
+        F.col("id").cast("string").alias("id"), "fullName")).alias("value"))
+
+
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("id"), F.col("s_name").alias("fullName"))

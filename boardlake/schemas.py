@@ -6,7 +6,7 @@ reference's table contracts for results to line up.
 
 from __future__ import annotations
 
-from pyspark.sql.types import (ArrayType, BooleanType, IntegerType, StringType,
+from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, StringType,
                                StructField, StructType)
 
 # --- fixed values: bronze card columns, in table order -------------------
@@ -60,17 +60,18 @@ MEMBERS_JSON = StructType([
     StructField("idOrganizations", ArrayType(StringType())),
 ])
 
+# Positions are numbers that may be fractional or large.
 BOARDS_JSON = StructType([
     StructField("id", StringType()),
     StructField("name", StringType()),
-    StructField("pos", IntegerType()),
+    StructField("pos", DoubleType()),
 ])
 
 LISTS_JSON = StructType([
     StructField("id", StringType()),
     StructField("idBoard", StringType()),
     StructField("name", StringType()),
-    StructField("pos", IntegerType()),
+    StructField("pos", DoubleType()),
 ])
 
 # Timestamp fields of the card JSON, parsed at bronze.

@@ -15,7 +15,7 @@ SEMANTIC_CONF = {
 # Execution settings: AQE re-plans joins from runtime sizes, coalesces
 # small shuffle partitions and splits skewed ones.  Broadcasts come only
 # from sizes that are measured (AQE, after a shuffle stage has run) or
-# proven by a row count (operators.sizing); the static planner's guess from
+# proven by file sizes (operators.upsert); the static planner's guess from
 # compressed file sizes is switched off.
 EXECUTION_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -29,30 +29,18 @@ EXECUTION_CONF = {
 }
 
 
-# Delta Lake session extension (public delta-spark settings); used only with
-# table_format="delta", which needs the delta-spark package and jar.
-DELTA_CONF = {
-    "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",
-    "spark.sql.catalog.spark_catalog": "org.apache.spark.sql.delta.catalog.DeltaCatalog",
-    "spark.databricks.delta.schema.autoMerge.enabled": "true",
-}
-
-
 def build_session(app_name: str = "boardlake", master: str | None = None,
-                  conf: dict | None = None, table_format: str = "parquet") -> SparkSession:
+                  conf: dict | None = None) -> SparkSession:
     """Return a session with the pipeline's settings.
 
     ``master`` is only set when given (tests and bench pass ``local[N]``);
     on a cluster the submitter decides.  Cluster-wide settings such as
-    ``spark.checkpoint.dir`` are never overridden here.  ``table_format``
-    selects the table backend (``parquet`` snapshots or ``delta``).
+    ``spark.checkpoint.dir`` are never overridden here.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    extra = dict(DELTA_CONF) if table_format == "delta" else {}
-    extra["boardlake.tables.format"] = table_format
-    for key, value in {**EXECUTION_CONF, **SEMANTIC_CONF, **extra, **(conf or {})}.items():
+    for key, value in {**EXECUTION_CONF, **SEMANTIC_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     for key, value in SEMANTIC_CONF.items():

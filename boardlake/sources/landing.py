@@ -38,33 +38,71 @@ def _typed_cards(raw: DataFrame) -> DataFrame:
     cols = []
     for c in CARD_COLUMNS:
         cols.append(parse_timestamp_text(c).alias(c) if c in CARD_TIMESTAMP_FIELDS else F.col(f"`{c}`"))
-    if CORRUPT in raw.columns:
-        cols.append(F.col(CORRUPT))
+    cols += [F.col(c) for c in (CORRUPT, *LANDED) if c in raw.columns]
     return raw.select(*cols)
 
 
 def read_cards(spark: SparkSession, path: str, multi_line: bool = False,
-               keep_corrupt: bool = False) -> DataFrame:
+               keep_corrupt: bool = False, landed: bool = False) -> DataFrame:
     """Bronze card rows (12 columns, plus ``_corrupt_record`` with
-    ``keep_corrupt``) from a landing directory of card JSON."""
-    return _typed_cards(read_json(spark, path, CARDS_JSON, multi_line, keep_corrupt))
+    ``keep_corrupt`` and the LANDED columns with ``landed``) from a landing
+    directory of card JSON."""
+    raw = read_json(spark, path, CARDS_JSON, multi_line, keep_corrupt)
+    return _typed_cards(with_landed(raw) if landed else raw)
 
 
 def read_members(spark: SparkSession, path: str, multi_line: bool = False,
-                 keep_corrupt: bool = False) -> DataFrame:
-    """Bronze member rows (9 columns, plus ``_corrupt_record`` with ``keep_corrupt``)."""
+                 keep_corrupt: bool = False, landed: bool = False) -> DataFrame:
+    """Bronze member rows (9 columns, plus the same extras as :func:`read_cards`)."""
     raw = read_json(spark, path, MEMBERS_JSON, multi_line, keep_corrupt)
-    return raw.select(*MEMBER_COLUMNS, *([CORRUPT] if keep_corrupt else []))
+    raw = with_landed(raw) if landed else raw
+    return raw.select(*MEMBER_COLUMNS, *[c for c in (CORRUPT, *LANDED) if c in raw.columns])
+
+
+def read_boards(spark: SparkSession, path: str, multi_line: bool = False,
+                keep_corrupt: bool = False) -> DataFrame:
+    """Board listing ``(id, name, pos)``, plus ``_corrupt_record`` with ``keep_corrupt``."""
+    return read_json(spark, path, BOARDS_JSON, multi_line, keep_corrupt)
+
+
+def read_lists(spark: SparkSession, path: str, multi_line: bool = False,
+               keep_corrupt: bool = False) -> DataFrame:
+    """List listing ``(id, idBoard, name, pos)``, plus ``_corrupt_record`` with ``keep_corrupt``."""
+    return read_json(spark, path, LISTS_JSON, multi_line, keep_corrupt)
+
+
+def parse_boards_column(df: DataFrame, column: str | Column) -> DataFrame:
+    """Board rows from a column of board JSON text."""
+    c = F.col(column) if isinstance(column, str) else column
+    return df.select(F.from_json(c, BOARDS_JSON).alias("__b")).select("__b.*")
+
+
+def parse_lists_column(df: DataFrame, column: str | Column) -> DataFrame:
+    """List rows from a column of list JSON text."""
+    c = F.col(column) if isinstance(column, str) else column
+    return df.select(F.from_json(c, LISTS_JSON).alias("__l")).select("__l.*")
+
+
+# Where a landed record came from: the time and path of its file, the place of
+# its split in the file, and its place in the split.
+LANDED = ["__landed_at", "__landed_file", "__landed_block", "__landed_row"]
+
 
+def with_landed(raw: DataFrame) -> DataFrame:
+    """``raw``, as read from files, with the LANDED columns.
 
-def read_boards(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Board listing ``(id, name, pos)``."""
-    return read_json(spark, path, BOARDS_JSON, multi_line)
+    Of two records, the later landed one has the greater
+    ``(LANDED...)`` tuple; a retried task gives a record the same one.
+    """
+    m = F.col("_metadata")
+    return raw.withColumns({
+        "__landed_at": m["file_modification_time"], "__landed_file": m["file_path"],
+        "__landed_block": m["file_block_start"], "__landed_row": F.monotonically_increasing_id()})
 
 
-def read_lists(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """List listing ``(id, idBoard, name, pos)``."""
-    return read_json(spark, path, LISTS_JSON, multi_line)
+def newest_landed() -> list[Column]:
+    """Sort order that puts the last landed record first."""
+    return [F.col(c).desc() for c in LANDED]
 
 
 def parse_cards_column(df: DataFrame, column: str | Column) -> DataFrame:

@@ -1,21 +1,15 @@
 """Versioned table snapshots on any Hadoop-compatible file system.
 
-Two table formats sit behind the same functions, chosen by the session
-setting ``boardlake.tables.format``:
-
-* ``parquet`` (default) -- the snapshot layout described below;
-* ``delta`` -- Delta Lake tables at ``<root>/<name>``, when the
-  ``delta-spark`` package and jar are installed.  Overwrites use
-  ``mergeSchema`` and upserts use ``MERGE`` (which rewrites only the files
-  holding matched keys).  Not installed in this repository's test image,
-  so that path is not exercised by its tests.
-
 Spark cannot overwrite a Parquet path it is reading, and an upsert reads
 the table it replaces.  So every write goes to a new directory
 ``<root>/<name>/version=<n>`` and readers take the newest version that has
 a ``_SUCCESS`` marker.  A write that dies half way leaves no marker and is
 never read; task retries after a lost executor are handled by Spark's
 commit protocol.  Single writer per table is assumed.
+
+Beside snapshots there are logs: a table of parts ``<root>/<name>/part=<key>``
+that are each written whole, so writing a part again (a replayed batch)
+changes nothing, and earlier parts stay.
 """
 
 from __future__ import annotations
@@ -25,25 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _PREFIX = "version="
-FORMAT_CONF = "boardlake.tables.format"
-# Above this size on disk a stored table is merged with the broadcast-source
-# upsert plan, so that the table itself is streamed rather than shuffled.
-LARGE_TARGET_BYTES = 1 << 30
-
-
-def table_format(spark: SparkSession) -> str:
-    fmt = (spark.conf.get(FORMAT_CONF, None) or "parquet").lower()
-    if fmt not in ("parquet", "delta"):
-        raise ValueError(f"{FORMAT_CONF} must be 'parquet' or 'delta', got {fmt!r}")
-    return fmt
-
-
-def _delta_table(spark: SparkSession, path: str):
-    try:
-        from delta.tables import DeltaTable
-    except ImportError as err:   # pragma: no cover - depends on the installation
-        raise RuntimeError("boardlake.tables.format=delta needs the delta-spark package") from err
-    return DeltaTable.forPath(spark, path) if DeltaTable.isDeltaTable(spark, path) else None
+_PART = "part="
 
 
 def _fs_and_path(spark: SparkSession, path: str):
@@ -56,18 +32,32 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def committed_versions(spark: SparkSession, root: str, name: str) -> list[int]:
-    """Versions of ``name`` whose write completed, ascending."""
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_and_path(spark, path)
+    fs.delete(p, True)
+
+
+def _folders(spark: SparkSession, root: str, name: str, prefix: str) -> list[str]:
+    """Names after ``prefix`` of the table's folders."""
     fs, base = _fs_and_path(spark, table_path(root, name))
     if not fs.exists(base):
         return []
-    out = []
-    for st in fs.listStatus(base):
-        leaf = st.getPath().getName()
-        if st.isDirectory() and leaf.startswith(_PREFIX) and leaf[len(_PREFIX):].isdigit():
-            if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(leaf[len(_PREFIX):]))
-    return sorted(out)
+    names = [st.getPath().getName() for st in fs.listStatus(base) if st.isDirectory()]
+    return [n[len(prefix):] for n in names if n.startswith(prefix)]
+
+
+def _committed(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_and_path(spark, path + "/_SUCCESS")
+    return fs.exists(p)
+
+
+def _versions(spark: SparkSession, root: str, name: str) -> list[int]:
+    return sorted(int(v) for v in _folders(spark, root, name, _PREFIX) if v.isdigit())
+
+
+def committed_versions(spark: SparkSession, root: str, name: str) -> list[int]:
+    """Versions of ``name`` whose write completed, ascending (one look-up per version kept)."""
+    return [v for v in _versions(spark, root, name) if _committed(spark, version_path(root, name, v))]
 
 
 def list_tables(spark: SparkSession, root: str) -> list[str]:
@@ -76,7 +66,7 @@ def list_tables(spark: SparkSession, root: str) -> list[str]:
     if not fs.exists(base):
         return []
     return sorted(st.getPath().getName() for st in fs.listStatus(base)
-                  if st.isDirectory() and committed_versions(spark, root, st.getPath().getName()))
+                  if st.isDirectory() and latest_version(spark, root, st.getPath().getName()) is not None)
 
 
 def version_path(root: str, name: str, version: int) -> str:
@@ -84,29 +74,24 @@ def version_path(root: str, name: str, version: int) -> str:
 
 
 def latest_version(spark: SparkSession, root: str, name: str) -> int | None:
-    """Number of the newest committed version of ``name``; None when absent."""
-    if table_format(spark) == "delta":
-        t = _delta_table(spark, table_path(root, name))
-        return None if t is None else t.history(1).collect()[0]["version"]
-    versions = committed_versions(spark, root, name)
-    return versions[-1] if versions else None
+    """Number of the newest committed version of ``name``; None when absent.
+
+    Looks from the newest folder down, so it takes one look-up however many
+    versions are kept, unless writes have failed.
+    """
+    for v in reversed(_versions(spark, root, name)):
+        if _committed(spark, version_path(root, name, v)):
+            return v
+    return None
 
 
 def read_table(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame | None:
     """Latest committed snapshot (or ``version``); None when the table does not exist."""
-    if table_format(spark) == "delta":
-        path = table_path(root, name)
-        if _delta_table(spark, path) is None:
-            return None
-        reader = spark.read.format("delta")
-        if version is not None:
-            reader = reader.option("versionAsOf", version)
-        return reader.load(path)
-    versions = committed_versions(spark, root, name)
-    if not versions:
+    newest = latest_version(spark, root, name)
+    if newest is None:
         return None
-    v = versions[-1] if version is None else version
-    if v not in versions:
+    v = newest if version is None else version
+    if v != newest and not _committed(spark, version_path(root, name, v)):
         raise ValueError(f"table {name!r} has no committed version {v}")
     return spark.read.parquet(version_path(root, name, v))
 
@@ -136,85 +121,76 @@ def write_snapshot(df: DataFrame, root: str, name: str, merge_schema: bool = Tru
     data.
     """
     spark = df.sparkSession
+    newest = latest_version(spark, root, name)
+    if merge_schema and newest is not None:
+        df = widen(df, spark.read.parquet(version_path(root, name, newest)).schema)
     if cluster_by:
         df = df.sortWithinPartitions(*cluster_by)
-    if table_format(spark) == "delta":
-        writer = df.write.format("delta").mode("overwrite").option("mergeSchema", str(merge_schema).lower())
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.save(table_path(root, name))
-        return _delta_table(spark, table_path(root, name)).history(1).collect()[0]["version"]
-    versions = committed_versions(spark, root, name)
-    if merge_schema and versions:
-        df = widen(df, spark.read.parquet(version_path(root, name, versions[-1])).schema)
-    nxt = (versions[-1] + 1) if versions else 1
+    version = 1 if newest is None else newest + 1
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(version_path(root, name, nxt))
-    return nxt
+    writer.parquet(version_path(root, name, version))
+    return version
 
 
 def merge_into(spark: SparkSession, root: str, name: str, source: DataFrame, keys,
                order_by=None, keep_newer: str | None = None,
-               cluster_by: list[str] | None = None) -> int:
+               cluster_by: list[str] | None = None, plan: str = "shuffle",
+               drop: tuple[str, ...] = ()) -> int:
     """Upsert ``source`` into table ``name`` and commit a new version.
 
-    Parquet: :func:`boardlake.operators.upsert.upsert` against the latest
-    snapshot, written as the next snapshot (the table is created on first
-    use).  Delta: ``MERGE`` with update-all / insert-all and schema
-    evolution, after the same source deduplication.
+    :func:`boardlake.operators.upsert.upsert` against the latest snapshot,
+    written as the next one (the table is created on first use).  Keys are
+    declared non-null.  ``plan`` names the upsert's plan; ``drop`` names
+    source columns that ``order_by`` needs and the table does not hold.
     """
-    from boardlake.operators.upsert import empty_like, unique_source, upsert
+    from boardlake.operators.dedupe import latest_per_key
+    from boardlake.operators.upsert import empty_like, upsert
     keys = list(keys)
-    if table_format(spark) == "delta":
-        path = table_path(root, name)
-        source = unique_source(source, keys, order_by)
-        target = _delta_table(spark, path)
-        if target is None:
-            return write_snapshot(source, root, name, cluster_by=cluster_by)
-        cond = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
-        builder = target.alias("t").merge(source.alias("s"), cond)
-        upd = None if keep_newer is None else f"NOT coalesce(t.`{keep_newer}` > s.`{keep_newer}`, false)"
-        builder = builder.whenMatchedUpdateAll(condition=upd) if upd else builder.whenMatchedUpdateAll()
-        spark.conf.set("spark.databricks.delta.schema.autoMerge.enabled", "true")
-        builder.whenNotMatchedInsertAll().execute()
-        return target.history(1).collect()[0]["version"]
-    versions = committed_versions(spark, root, name)
-    if versions:
-        target = spark.read.parquet(version_path(root, name, versions[-1]))
-        fs, path = _fs_and_path(spark, version_path(root, name, versions[-1]))
-        large = fs.getContentSummary(path).getLength() >= LARGE_TARGET_BYTES
-    else:
-        target, large = empty_like(spark, source.schema), False
-    merged = upsert(target, source, keys, order_by=order_by, keep_newer=keep_newer,
-                    broadcast_source=large)
+    if drop:
+        source, order_by = latest_per_key(source, keys, order_by).drop(*drop), None
+    target = read_table(spark, root, name)
+    if target is None:
+        target = empty_like(spark, source.schema)
+    merged = upsert(target, source, keys, order_by=order_by, keep_newer=keep_newer, plan=plan, keys_not_null=True)
     return write_snapshot(merged, root, name, cluster_by=cluster_by)
 
 
+def write_part(df: DataFrame, root: str, name: str, key: str) -> None:
+    """Write part ``key`` of log ``name``, replacing only that part."""
+    df.write.mode("overwrite").parquet(f"{table_path(root, name)}/{_PART}{key}")
+
+
+def parts(spark: SparkSession, root: str, name: str) -> list[str]:
+    """Keys of the committed parts of log ``name``."""
+    return sorted(k for k in _folders(spark, root, name, _PART)
+                  if _committed(spark, f"{table_path(root, name)}/{_PART}{k}"))
+
+
+def read_parts(spark: SparkSession, root: str, name: str, keys: list[str] | None = None) -> DataFrame | None:
+    """The rows of the parts ``keys`` (all, if not given); None when there is none."""
+    keys = parts(spark, root, name) if keys is None else keys
+    if not keys:
+        return None
+    return spark.read.option("mergeSchema", "true").parquet(*[f"{table_path(root, name)}/{_PART}{k}" for k in keys])
+
+
+def delete_parts(spark: SparkSession, root: str, name: str, keys: list[str]) -> None:
+    for k in keys:
+        delete_path(spark, f"{table_path(root, name)}/{_PART}{k}")
+
+
 def prune_versions(spark: SparkSession, root: str, name: str, keep: int = 3) -> list[int]:
     """Delete all but the newest ``keep`` committed versions of ``name``, and
     any uncommitted (failed) version directory older than the newest
-    committed one.  Returns the versions deleted.  (Delta tables keep their
-    own history; use the table's VACUUM there.)"""
-    if table_format(spark) == "delta":
-        raise ValueError("prune_versions applies to parquet snapshots; use VACUUM on Delta tables")
+    committed one.  Returns the versions deleted."""
     if keep < 1:
         raise ValueError("keep must be at least 1")
-    fs, base = _fs_and_path(spark, table_path(root, name))
     committed = committed_versions(spark, root, name)
     if not committed:
         return []
-    keep_set = set(committed[-keep:])
-    newest = committed[-1]
-    gone = []
-    for st in fs.listStatus(base):
-        leaf = st.getPath().getName()
-        if not (st.isDirectory() and leaf.startswith(_PREFIX) and leaf[len(_PREFIX):].isdigit()):
-            continue
-        v = int(leaf[len(_PREFIX):])
-        if v in keep_set or v > newest:
-            continue
-        fs.delete(st.getPath(), True)
-        gone.append(v)
-    return sorted(gone)
+    gone = [v for v in _versions(spark, root, name) if v not in committed[-keep:] and v < committed[-1]]
+    for v in gone:
+        delete_path(spark, version_path(root, name, v))
+    return gone

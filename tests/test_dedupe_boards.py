@@ -122,13 +122,28 @@ def test_board_date_round_trip(spark, days, which):
     assert all(r["got"] == r["want"] for r in got)
 
 
-def test_board_name_join_same_with_and_without_broadcast(spark):
+def test_board_name_join(spark):
     from boardlake.operators.boards import with_board_name
     cards = spark.createDataFrame([("c1", "b1"), ("c2", "b2"), ("c3", None), ("c4", "zz")],
                                   "id string, idBoard string")
     boards = spark.createDataFrame([("b1", "One"), ("b2", "Two")], "id string, name string")
-    small = with_board_name(cards, boards=boards)
-    large = with_board_name(cards, boards=boards, max_broadcast_rows=1)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    assert rows(small) == rows(large) == [("c1", "b1", "One"), ("c2", "b2", "Two"), ("c3", None, None),
-                                          ("c4", "zz", None)]
+    assert rows(with_board_name(cards, boards=boards)) == [
+        ("c1", "b1", "One"), ("c2", "b2", "Two"), ("c3", None, None), ("c4", "zz", None)]
+
+
+def test_positions_may_be_fractional_large_equal_or_missing(spark, tmp_path):
+    from boardlake.operators.boards import current_board, list_lookup
+    from boardlake.sources.landing import read_boards, read_lists
+    (tmp_path / "lists.json").write_text("\n".join([
+        '{"id": "l1", "idBoard": "b", "name": "backlog", "pos": 49152.5}',
+        '{"id": "l2", "idBoard": "b", "name": "doing", "pos": 65536}',
+        '{"id": "l3", "idBoard": "b", "name": "done", "pos": 140737488355328}',
+        '{"id": "l0", "idBoard": "b", "name": "unplaced"}']))
+    lists = read_lists(spark, str(tmp_path / "lists.json"))
+    assert rows(list_lookup(lists, pick="first")) == [("b", "l1")]
+    (tmp_path / "boards.json").write_text("\n".join([
+        '{"id": "b1", "name": "S (1-Jan-2023)", "pos": 7.5}', '{"id": "b3", "name": "S (1-Jan-2023)", "pos": 7.5}',
+        '{"id": "b2", "name": "S (1-Jan-2023)", "pos": 7.5}', '{"id": "b9", "name": "S (1-Jan-2023)"}']))
+    boards = read_boards(spark, str(tmp_path / "boards.json"))
+    for pick in ("latest", "last_listed"):
+        assert current_board(boards, pick).first()["id"] == "b3"

@@ -72,7 +72,7 @@ def test_end_to_end_twice(spark, tmp_path):
     bronze = read_table(spark, root, P.BRONZE_CARDS)
     assert bronze.columns[:3] == ["id", "closed", "dateLastActivity"]
     assert bronze.where("id = 'c6'").select("dateLastActivity").first()[0] is None   # bad text -> null
-    assert read_table(spark, root, "rejected_members").count() == 1
+    assert P.read_rejects(spark, root, "members").count() == 2    # one for each run
 
     silver = read_table(spark, root, P.SILVER_CARDS)
     got = rows(silver, "id", "card_members", "LastUpdated", "board_name")
@@ -172,16 +172,38 @@ def test_cli(spark, tmp_path, capsys):
     assert rows(read_table(spark, root, P.GOLD_IDLE), "id") == [("c1",), ("c3",)]
 
 
-def test_table_format_setting(spark, tmp_path):
-    from boardlake.sources.tables import FORMAT_CONF, table_format
-    assert table_format(spark) == "parquet"
-    spark.conf.set(FORMAT_CONF, "orc")
-    try:
-        import pytest
-        with pytest.raises(ValueError):
-            table_format(spark)
-    finally:
-        spark.conf.unset(FORMAT_CONF)
+def test_idle_resolves_the_board_as_refine_does(spark, tmp_path):
+    from boardlake.plans.cli import main
+    lr, root = str(tmp_path / "landing"), str(tmp_path / "tables")
+    _write(f"{lr}/boards", [{"id": "b2", "name": "Sprint (4-JAN-2023)", "pos": 1.5},
+                            {"id": "b1", "name": "Sprint (14-Sept-2022)", "pos": 2}])
+    _write(f"{lr}/lists", LISTS + [{"id": "l9", "idBoard": "b1", "name": "doing", "pos": 1}])
+    _write(f"{lr}/members", MEMBERS)
+    _write(f"{lr}/cards", CARDS + [card("c9", "on b1", "2022-12-01T00:00:00.000Z", lst="l9", board="b1")])
+    specs = tmp_path / "specs.json"
+    specs.write_text(json.dumps([{"report": "ann", "member": "Ann Lee", "columns": "C"}]))
+    main(["run-all", "--landing-root", lr, "--root", root, "--days", "5", "--as-of", "2023-01-09T05:30:00+05:30",
+          "--board-pick", "last_listed", "--specs", str(specs)], spark=spark)
+    assert rows(read_table(spark, root, P.GOLD_IDLE), "id") == [("c9",)]
+    assert rows(read_table(spark, root, P.GOLD_REPORTS), "report", "id") == [("ann", "c5"), ("ann", "c9")]
+    main(["idle", "--root", root, "--days", "5", "--as-of", "2023-01-09", "--board-pick", "last_listed"], spark=spark)
+    assert rows(read_table(spark, root, P.GOLD_IDLE), "id") == [("c9",)]
+
+
+def test_member_spec_columns_and_zone(spark, tmp_path):
+    from boardlake.plans.cli import load_specs
+    from boardlake.schemas import GOLD_C
+    lr, root = _landing(tmp_path), str(tmp_path / "tables")
+    P.run_all(spark, lr, root, idle_days=5, as_of=dt.datetime(2023, 1, 9))
+    specs = tmp_path / "specs.json"
+    specs.write_text(json.dumps([{"report": "bo", "member": "Bo Li", "start": "2023-01-07", "end": "2023-01-07",
+                                  "bounds": "closed_date", "tz": "-10:00", "columns": "C"}]))
+    (spec,) = load_specs(str(specs))
+    P.gold_member(spark, root, spec)
+    assert read_table(spark, root, "gold_bo").columns == GOLD_C
+    assert rows(read_table(spark, root, "gold_bo"), "id") == [("c2",)]     # 09:00 UTC is the day before there
+    P.gold_member_reports(spark, root, [spec])
+    assert rows(read_table(spark, root, P.GOLD_REPORTS), "id") == [("c2",)]
 
 
 def test_refine_all_boards(spark, tmp_path):
@@ -204,8 +226,56 @@ def test_malformed_landing_rows_are_kept(spark, tmp_path):
     P.ingest_bronze(spark, f"{lr}/cards", root, "cards")
     assert read_table(spark, root, P.BRONZE_CARDS).count() == len(CARDS)
     assert "_corrupt_record" not in read_table(spark, root, P.BRONZE_CARDS).columns
-    rejected = read_table(spark, root, "rejected_cards").collect()
+    rejected = P.read_rejects(spark, root, "cards").collect()
     assert len(rejected) == 1 and rejected[0]["_corrupt_record"].startswith('{"id": "c9"')
+    os.remove(f"{lr}/cards/part-9999.json")
+    P.ingest_bronze(spark, f"{lr}/cards", root, "cards")
+    assert P.read_rejects(spark, root, "cards").count() == 1      # a later run keeps them
+    with open(f"{lr}/lists/part-9999.json", "w") as f:
+        f.write('{"id": "l9", oops\n')
+    P.ingest_listing(spark, f"{lr}/lists", root, "lists")
+    assert read_table(spark, root, P.LISTS).count() == len(LISTS)
+    assert P.read_rejects(spark, root, "lists").first()["_corrupt_record"] == '{"id": "l9", oops'
+
+
+def test_the_last_landed_record_of_an_id_wins(spark, tmp_path):
+    from boardlake.streaming.ingest import compact_changes, stream_members
+    landing, root = str(tmp_path / "members"), str(tmp_path / "tables")
+    # Named so that the later file comes first by name.
+    for age, (name, suffix) in enumerate([("z.json", "old"), ("a.json", "new")]):
+        os.makedirs(landing, exist_ok=True)
+        with open(f"{landing}/{name}", "w") as f:
+            for k in range(20):
+                f.write(json.dumps({"id": f"m{k}", "fullName": f"{k} older {suffix}"}) + "\n")
+                f.write(json.dumps({"id": f"m{k}", "fullName": f"{k} {suffix}"}) + "\n")
+        os.utime(f"{landing}/{name}", (1_700_000_000 + age, 1_700_000_000 + age))
+    P.ingest_bronze(spark, landing, root, "members")
+    want = sorted((f"m{k}", f"{k} new") for k in range(20))
+    assert rows(read_table(spark, root, P.BRONZE_MEMBERS), "id", "fullName") == want
+    stream_members(spark, landing, str(tmp_path / "s"), checkpoint=str(tmp_path / "c")).awaitTermination()
+    compact_changes(spark, str(tmp_path / "s"), "members")
+    assert rows(read_table(spark, str(tmp_path / "s"), P.BRONZE_MEMBERS), "id", "fullName") == want
+
+
+def test_cards_of_one_date_go_by_landing(spark, tmp_path):
+    landing, root = str(tmp_path / "cards"), str(tmp_path / "tables")
+    _write(landing, [card("c1", "first", "2023-01-02T00:00:00.000Z"), card("c1", "second", "2023-01-02T00:00:00.000Z"),
+                     card("c1", "undated", None)])
+    P.ingest_bronze(spark, landing, root, "cards")
+    assert rows(read_table(spark, root, P.BRONZE_CARDS), "name") == [("second",)]
+
+
+def test_json_is_parsed_once(spark, tmp_path, monkeypatch):
+    lr, root = _landing(tmp_path), str(tmp_path / "tables")
+    seen = []
+    real = P.write_part
+    monkeypatch.setattr(P, "write_part", lambda df, *a: (seen.append(df._jdf.queryExecution().executedPlan().toString()),
+                                                         real(df, *a)))
+    real_merge = P.merge_into
+    monkeypatch.setattr(P, "merge_into", lambda s, r, n, source, *a, **k: (
+        seen.append(source._jdf.queryExecution().executedPlan().toString()), real_merge(s, r, n, source, *a, **k))[1])
+    P.ingest_bronze(spark, f"{lr}/cards", root, "cards")
+    assert [plan.count("Scan json") + plan.count("FileScan json") > 0 for plan in seen] == [True, False, False]
 
 
 def test_clustered_snapshot_files_are_sorted(spark, tmp_path):
@@ -222,17 +292,15 @@ def test_clustered_snapshot_files_are_sorted(spark, tmp_path):
     assert read_table(spark, root, "x").count() == 5000
 
 
-def test_large_target_uses_broadcast_source_plan(spark, tmp_path, monkeypatch):
-    import boardlake.sources.tables as T
+def test_upsert_plans_give_the_same_tables(spark, tmp_path):
     lr = _landing(tmp_path)
-    roots = {}
-    for label, limit in (("shuffle", 1 << 60), ("broadcast", 0)):
-        monkeypatch.setattr(T, "LARGE_TARGET_BYTES", limit)
-        root = str(tmp_path / label)
-        P.run_all(spark, lr, root, idle_days=5, as_of=dt.datetime(2023, 1, 9))
-        P.run_all(spark, lr, root, idle_days=5, as_of=dt.datetime(2023, 1, 9))
-        roots[label] = _snapshot(spark, root)
-    assert roots["shuffle"] == roots["broadcast"]
+    tables = {}
+    for plan in ("shuffle", "stream_target"):
+        root = str(tmp_path / plan)
+        for _ in range(2):
+            P.ingest_bronze(spark, f"{lr}/cards", root, "cards", plan=plan)
+        tables[plan] = rows(read_table(spark, root, P.BRONZE_CARDS))
+    assert tables["shuffle"] == tables["stream_target"]
 
 
 def test_incremental_unique_equals_full_rebuild(spark, tmp_path):

@@ -43,14 +43,14 @@ SCRIPT = textwrap.dedent(r"""
             s = s.withColumn("n", flaky("n"))
         return t, s
 
-    def result(fault, bs):
+    def result(fault, plan):
         t, s = tables(fault)
-        out = upsert(t, s, ["id"], order_by=[F.col("n").desc()], broadcast_source=bs)
+        out = upsert(t, s, ["id"], order_by=[F.col("n").desc()], plan=plan)
         return sorted((r.id or "", r.v, r.n) for r in out.collect())
 
-    for bs in (False, True):
-        assert result(True, bs) == result(False, bs), bs
-    assert result(False, False) == result(False, True)
+    for plan in ("shuffle", "stream_target"):
+        assert result(True, plan) == result(False, plan), plan
+    assert result(False, "shuffle") == result(False, "stream_target")
 
     from boardlake.operators.members import member_names
     from boardlake.operators.refine import unique_cards
@@ -60,14 +60,15 @@ SCRIPT = textwrap.dedent(r"""
         "array(cast(id % 50 as string), cast(id % 7 as string), 'zz') as idMembers")
     members = spark.range(0, 50).selectExpr("cast(id as string) as id", "concat('M', id) as fullName")
 
-    def silver(fault, max_rows):
+    def silver(fault, size):
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", size)
         c = cards.where(flaky(F.col("id").cast("long")) >= 0) if fault else cards
-        named = member_names(c, members, max_broadcast_rows=max_rows)
+        named = member_names(c, members)
         return (sorted(tuple(r) for r in named.select("id", "card_members").collect()),
                 sorted(r[0] for r in unique_cards(named).select("id").collect()))
 
-    for max_rows in (1, 1_000_000):    # shuffle join, then broadcast join
-        assert silver(True, max_rows) == silver(False, max_rows), max_rows
+    for size in ("-1", "64MB"):    # shuffle join, then AQE's broadcast join
+        assert silver(True, size) == silver(False, size), size
     print("RETRIES-OK")
 """).replace("REPO", repr(REPO))
 

@@ -1,6 +1,6 @@
 from boardlake.plans import pipeline as P
 from boardlake.sources.tables import read_table
-from boardlake.streaming.ingest import stream_cards
+from boardlake.streaming.ingest import compact_changes, log_batch, stream_cards
 from conftest import rows
 from test_pipeline import CARDS, _write, card
 
@@ -12,12 +12,16 @@ def test_available_now_twice_equals_batch(spark, tmp_path):
 
     _write(landing, CARDS[:3])
     stream_cards(spark, landing, root_stream, checkpoint=ckpt).awaitTermination()
+    compact_changes(spark, root_stream)
     later = [card("c1", "fix login", "2023-01-20T00:00:00.000Z", members=("m2",)),
-             card("c2", "fix login", "2022-06-01T00:00:00.000Z")] + CARDS[3:]   # c2 arrives late
+             card("c3", "undated", None), card("c2", "fix login", "2022-06-01T00:00:00.000Z")] + CARDS[3:]   # c2 arrives late
     _write(landing, later)
     stream_cards(spark, landing, root_stream, checkpoint=ckpt).awaitTermination()
+    assert rows(read_table(spark, root_stream, P.BRONZE_CARDS), "id") == [("c1",), ("c2",), ("c3",)]   # logged only
+    assert compact_changes(spark, root_stream) == 2
     # A third run finds nothing new and writes nothing.
     stream_cards(spark, landing, root_stream, checkpoint=ckpt).awaitTermination()
+    assert compact_changes(spark, root_stream) == 2
 
     P.ingest_bronze(spark, landing, root_batch, "cards")
     streamed = rows(read_table(spark, root_stream, P.BRONZE_CARDS))
@@ -25,6 +29,7 @@ def test_available_now_twice_equals_batch(spark, tmp_path):
     assert streamed == batched
     by_id = {r[0]: r for r in streamed}
     assert str(by_id["c2"][2]).startswith("2023-01-08")        # the late, older update lost
+    assert by_id["c3"][8] == "write docs"                      # the undated record lost
     assert by_id["c1"][7] == ["m2"]                            # the newer update won
 
 
@@ -38,7 +43,27 @@ def test_member_stream_equals_batch(spark, tmp_path):
     with open(f"{landing}/part-9999.json", "w") as f:
         f.write('{"id": "m9", oops\n')
     stream_members(spark, landing, str(tmp_path / "s"), checkpoint=str(tmp_path / "c")).awaitTermination()
+    compact_changes(spark, str(tmp_path / "s"), "members")
     got = rows(read_table(spark, str(tmp_path / "s"), P.BRONZE_MEMBERS), "id", "fullName")
     assert got == [("m1", "Ann Lee-Smith"), ("m2", "Bo Li")]
-    rejected = rows(read_table(spark, str(tmp_path / "s"), "rejected_members"), "fullName", "_corrupt_record")
+    rejected = rows(P.read_rejects(spark, str(tmp_path / "s"), "members"), "fullName", "_corrupt_record")
     assert set(rejected) == {(None, '{"id": "m9", oops'), ("no id", None)}
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    from boardlake.sources.landing import read_cards
+    landing, root = str(tmp_path / "cards"), str(tmp_path / "t")
+    _write(landing, CARDS)
+    with open(f"{landing}/part-9999.json", "w") as f:
+        f.write('{"id": "c9", oops\n')
+    batch = read_cards(spark, landing, keep_corrupt=True, landed=True)
+    for batch_id in (0, 0, 1):                 # the first one is written twice, then logged anew
+        log_batch(batch, root, "cards", batch_id)
+    assert P.read_rejects(spark, root, "cards").count() == 2     # one for each batch id
+    compact_changes(spark, root)
+    first = rows(read_table(spark, root, P.BRONZE_CARDS))
+    assert len(first) == len(CARDS)
+    log_batch(batch, root, "cards", 1)
+    compact_changes(spark, root)
+    assert rows(read_table(spark, root, P.BRONZE_CARDS)) == first
+    assert P.read_rejects(spark, root, "cards").count() == 2
