@@ -43,12 +43,12 @@ MIN_TOXIC_DOCS, LEXICON, WEAK = 4, 50_000, 1.0
 #: Bounds of the evidence levels; evidence from STRONG on marks a token of a toxic document.
 LEVELS = np.array([1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0, 5.0, 6.0])
 STRONG = 2.5
-SAMPLE_DOCS, SAMPLE_TOKENS = 1500, 2000
+SAMPLE_DOCS, SAMPLE_TOKENS = 800, 1000
 #: Marginals that count towards the score, and that mark a span.
 COUNTED_CHANCE, SPAN_CHANCE = 0.02, 0.5
-RIDGE, ROUNDS = 1e-2, 60
-#: Words of a chunk of the chain, bytes of text scored together, words a task remembers, longest word remembered.
-CHUNK, TEXT_BYTES, CACHE_WORDS, CACHED_CHARS = 128, 4 << 20, 400_000, 64
+RIDGE, ROUNDS = 1e-2, 40
+#: Words of a chunk of the chain, bytes of text scored together, words a task remembers.
+CHUNK, TEXT_BYTES, CACHE_WORDS = 128, 4 << 20, 400_000
 
 
 def features(word: str) -> list[str]:
