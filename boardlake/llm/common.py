@@ -3,7 +3,9 @@ null-tolerant column picks and connected components."""
 
 from __future__ import annotations
 
+import atexit
 import contextlib
+import shutil
 import sys
 import tempfile
 import types
@@ -21,14 +23,19 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: ``spark.checkpoint.dir``.
 
     A single-process session (``local[...]``) without that setting gets a
-    temporary folder; a cluster without it is an error.
+    temporary folder, removed when the process ends; a cluster without it is
+    an error.
     """
     master = spark.sparkContext.master
     local = master == "local" or master.startswith("local[")
     context_dir = spark.sparkContext.getCheckpointDir()
     if context_dir and not spark.sparkContext.getConf().get("spark.checkpoint.dir", None):
         return context_dir.rstrip("/")
-    return checkpoint_root(spark, default=tempfile.mkdtemp(prefix="boardlake-llm-") if local else None)
+    own = tempfile.mkdtemp(prefix="boardlake-llm-") if local else None
+    root = checkpoint_root(spark, default=own)
+    if own:
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -43,6 +50,14 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this package from the shared folder.
+
+    For the end of a job: results that were not written elsewhere read from them.
+    """
+    delete_path(spark, f"{scratch_root(spark)}/boardlake-llm")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` as a Parquet table in the shared folder and read it.
 
