@@ -26,16 +26,16 @@ def scratch_root(spark: SparkSession) -> str:
     temporary folder, removed when the process ends; a cluster without it is
     an error.
     """
-    master = spark.sparkContext.master
-    local = master == "local" or master.startswith("local[")
-    context_dir = spark.sparkContext.getCheckpointDir()
-    if context_dir and not spark.sparkContext.getConf().get("spark.checkpoint.dir", None):
-        return context_dir.rstrip("/")
-    own = tempfile.mkdtemp(prefix="boardlake-llm-") if local else None
-    root = checkpoint_root(spark, default=own)
-    if own:
-        atexit.register(shutil.rmtree, own, ignore_errors=True)
-    return root
+    context, key = spark.sparkContext, "spark.checkpoint.dir"
+    named = spark.conf.get(key, None) or context.getConf().get(key, None)
+    local = context.master == "local" or context.master.startswith("local[")
+    if named or not (local or context.getCheckpointDir()):
+        return checkpoint_root(spark)
+    if context.getCheckpointDir():
+        return context.getCheckpointDir().rstrip("/")
+    own = tempfile.mkdtemp(prefix="boardlake-llm-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    return checkpoint_root(spark, default=own)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
