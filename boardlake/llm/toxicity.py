@@ -12,7 +12,9 @@ SPAN_CHANCE are its offending offsets.
 
 Fitting is cross-fitted: the field sees evidence that was counted on the
 other half of the labelled documents, so that it learns how far to trust it;
-scoring uses evidence counted on all of them.  Model bounds: LEXICON features,
+scoring uses evidence counted on all of them.  Model bounds: LEXICON features
+(the 4 x LEXICON of the largest lift over an equal number of clean documents are
+counted in all clean ones),
 SAMPLE_DOCS documents of each class of up to SAMPLE_TOKENS words each for the
 field's few weights.  Everything else reads all rows and whole texts.
 
@@ -37,7 +39,9 @@ from boardlake.llm.token_text import text_parts
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Prefix lengths that are features beside the word itself.
-PREFIXES = range(3, 9)
+PREFIXES = (4, 6)
+#: Bits of the id filter that keeps texts without a label out of the join: bounds its broadcast.
+FILTER_BITS = 1 << 25
 #: Toxic documents a feature must be in, features kept, and log odds from which one is kept.
 MIN_TOXIC_DOCS, LEXICON, WEAK = 4, 50_000, 1.0
 #: Bounds of the evidence levels; evidence from STRONG on marks a token of a toxic document.
@@ -244,7 +248,12 @@ def labelled_docs(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out:
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
     marks = marks.where(fold != held_out).groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
     half = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int")
-    return stored(rows.where(fold != held_out).join(marks, "doc_id").select("doc_id", "text", "toxic", half.alias("half")),
+    # A bitmap of the labelled ids' hashes, FILTER_BITS / 64 rows at most, spares most other texts the shuffle.
+    bit = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(FILTER_BITS))
+    word, mask = F.shiftright(bit, 6), F.expr(f"shiftleft(1L, cast(pmod(pmod(xxhash64(doc_id, 3), {FILTER_BITS}L), 64) as int))")
+    bitmap = marks.select(word.alias("word"), mask.alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("bits"))
+    rows = rows.where(fold != held_out).join(F.broadcast(bitmap), word == F.col("word")).where(F.col("bits").bitwiseAND(mask) != 0)
+    return stored(rows.join(marks, "doc_id").select("doc_id", "text", "toxic", half.alias("half")),
                   "labelled")
 
 
@@ -276,7 +285,13 @@ def lexicons(rows: DataFrame, sizes: dict) -> list[dict[str, float]]:
     """Evidence of features, counted on half 0, half 1, and both; at most LEXICON features each."""
     toxic = feature_counts(rows.where("toxic")).groupBy("feature").pivot("half", [0, 1]).agg(F.first("n"))
     toxic = toxic.na.fill(0).withColumn("n", F.col("0") + F.col("1")).where(F.col("n") >= MIN_TOXIC_DOCS)
-    held = toxic.orderBy(F.col("n").desc(), "feature").limit(4 * LEXICON).toPandas().set_index("feature")
+    # As many clean documents as toxic ones, by hash, rule out words that both kinds share; the rest is counted in all.
+    n_toxic, n_clean = (sum(n for (_, t), n in sizes.items() if t == kind) for kind in (True, False))
+    share = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(2)), 11) * F.lit(2.0 ** -53) < F.lit(n_toxic / n_clean)
+    some = feature_counts(rows.where(~F.col("toxic") & share)).groupBy("feature").agg(F.sum("n").alias("clean"))
+    odd = toxic.join(some, "feature", "left").where(F.col("n") > F.coalesce("clean", F.lit(0)))
+    lift = F.col("n") / (F.coalesce("clean", F.lit(0)) + 1.0)
+    held = odd.orderBy(lift.desc(), "feature").limit(4 * LEXICON).select("feature", "0", "1").toPandas().set_index("feature")
     wanted = frozenset(held.index)
     clean = feature_counts(rows.where("NOT toxic"), wanted).toPandas()
     out = []
