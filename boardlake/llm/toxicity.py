@@ -39,7 +39,7 @@ from boardlake.llm.token_text import text_parts
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Prefix lengths that are features beside the word itself.
-PREFIXES = (4, 6)
+PREFIXES = (5, 7)
 #: Bits of the id filter that keeps texts without a label out of the join: bounds its broadcast.
 FILTER_BITS = 1 << 25
 #: Toxic documents a feature must be in, features kept, and log odds from which one is kept.
