@@ -24,6 +24,9 @@ EXECUTION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Member names are gathered by collect_set with a group for each card; the
+    # default of 128 groups would leave hash aggregation for a sort in every task.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
     # Checkpoints written by upserts are removed once no plan refers to them.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
