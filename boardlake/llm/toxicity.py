@@ -15,8 +15,8 @@ other half of the labelled documents, so that it learns how far to trust it;
 scoring uses evidence counted on all of them.  Model bounds: LEXICON features
 (the 4 x LEXICON of the largest lift over an equal number of clean documents are
 counted in all clean ones),
-SAMPLE_DOCS documents of each class of up to SAMPLE_TOKENS words each for the
-field's few weights.  Everything else reads all rows and whole texts.
+about SAMPLE_DOCS documents of each class (by hash) of up to SAMPLE_TOKENS words
+each for the field's few weights.  Everything else reads all rows and whole texts.
 
 Defined results: null and empty texts score as a text without evidence; rows
 repeating a doc_id in the labels count once, toxic if any says so; null labels
@@ -31,7 +31,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardlake.llm.common import pick, stored, with_fields
@@ -253,7 +253,8 @@ def labelled_docs(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out:
     word, mask = F.shiftright(bit, 6), F.expr(f"shiftleft(1L, cast(pmod(pmod(xxhash64(doc_id, 3), {FILTER_BITS}L), 64) as int))")
     bitmap = marks.select(word.alias("word"), mask.alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("bits"))
     rows = rows.where(fold != held_out).join(F.broadcast(bitmap), word == F.col("word")).where(F.col("bits").bitwiseAND(mask) != 0)
-    return stored(rows.join(marks, "doc_id").select("doc_id", "text", "toxic", half.alias("half")),
+    # The labels grow with the data, so they are merged, never broadcast.
+    return stored(rows.join(marks.hint("merge"), "doc_id").select("doc_id", "text", "toxic", half.alias("half")),
                   "labelled")
 
 
@@ -287,8 +288,7 @@ def lexicons(rows: DataFrame, sizes: dict) -> list[dict[str, float]]:
     toxic = toxic.na.fill(0).withColumn("n", F.col("0") + F.col("1")).where(F.col("n") >= MIN_TOXIC_DOCS)
     # As many clean documents as toxic ones, by hash, rule out words that both kinds share; the rest is counted in all.
     n_toxic, n_clean = (sum(n for (_, t), n in sizes.items() if t == kind) for kind in (True, False))
-    share = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(2)), 11) * F.lit(2.0 ** -53) < F.lit(n_toxic / n_clean)
-    some = feature_counts(rows.where(~F.col("toxic") & share)).groupBy("feature").agg(F.sum("n").alias("clean"))
+    some = feature_counts(rows.where(~F.col("toxic") & (hash_share(2) < F.lit(n_toxic / n_clean)))).groupBy("feature").agg(F.sum("n").alias("clean"))
     odd = toxic.join(some, "feature", "left").where(F.col("n") > F.coalesce("clean", F.lit(0)))
     lift = F.col("n") / (F.coalesce("clean", F.lit(0)) + 1.0)
     held = odd.orderBy(lift.desc(), "feature").limit(4 * LEXICON).select("feature", "0", "1").toPandas().set_index("feature")
@@ -320,8 +320,13 @@ class Evidence:
         return list(map(known.__getitem__, words))
 
 
-def sample_evidence(rows: DataFrame, by_half: list[dict[str, float]]):
-    """Cross-fitted evidence of a bounded sample: (evidence, sizes, toxic)."""
+def hash_share(salt: int) -> Column:
+    """A number in [0, 1) for each doc_id."""
+    return F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(salt)), 11) * F.lit(2.0 ** -53)
+
+
+def sample_evidence(rows: DataFrame, by_half: list[dict[str, float]], n_toxic: int, n_clean: int):
+    """Cross-fitted evidence of about SAMPLE_DOCS documents of each class: (evidence, sizes, toxic)."""
     def run(batches):
         of = [Evidence(by_half[1]), Evidence(by_half[0])]
         for batch in batches:
@@ -331,12 +336,10 @@ def sample_evidence(rows: DataFrame, by_half: list[dict[str, float]]):
                     yield pa.record_batch([pa.array([toxic]), pa.array([of[half].of(words)], pa.list_(pa.float64()))],
                                           ["toxic", "evidence"])
 
-    chosen = None
-    # A text of up to SAMPLE_TOKENS short words; ties in the hash go to the smaller id.
+    # A hash picks them where they lie; a text has room for SAMPLE_TOKENS short words.
+    share = F.when(F.col("toxic"), F.lit(SAMPLE_DOCS / n_toxic)).otherwise(F.lit(SAMPLE_DOCS / n_clean))
     short = rows.where(F.coalesce(F.length("text"), F.lit(0)) <= 16 * SAMPLE_TOKENS)
-    for toxic in (True, False):
-        part = short.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(SAMPLE_DOCS)
-        chosen = part if chosen is None else chosen.union(part)
+    chosen = short.where(hash_share(1) < share)
     found = chosen.select("half", "toxic", "text").mapInArrow(run, "toxic boolean, evidence array<double>").toPandas()
     if not len(found):
         return np.zeros(0), np.zeros(0, np.int64), np.zeros(0, bool)
@@ -353,7 +356,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], Weights
     if not n_toxic or not n_clean:
         return None
     *halves, lexicon = lexicons(rows, sizes)
-    evidence, lengths, toxic = sample_evidence(rows, halves)
+    evidence, lengths, toxic = sample_evidence(rows, halves, n_toxic, n_clean)
     return lexicon, fit(evidence, lengths, toxic, (n_clean, n_toxic))
 
 
