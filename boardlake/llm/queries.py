@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from boardlake.llm.chunk_dedup import chunk_dedup
 from boardlake.llm.langid import language_id
-from boardlake.llm.mixing import mixing_plan
+from boardlake.llm.mixing import SHARE, mixing_plan
 from boardlake.llm.sampling import sampled_digest
 from boardlake.llm.simhash import simhash_components
 from boardlake.llm.token_counts import token_counts
@@ -85,8 +85,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sampling probabilities and draws of all documents, raked to tempered margins."""
-    return mixing_plan(_table(spark, sf_dir, "documents"))
+    """Expected and drawn copies of all documents, raked to tempered margins, SHARE of the corpus's tokens in all."""
+    return mixing_plan(_table(spark, sf_dir, "documents"), share=SHARE)
 
 
 QUERIES = {

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from boardlake.llm.chunk_dedup import keep_first
 from boardlake.llm.common import free_name, scratch_path
 from boardlake.llm.langid import keep_identified
-from boardlake.llm.mixing import mix
+from boardlake.llm.mixing import SHARE, mix
 from boardlake.llm.queries import tokenizer_path
 from boardlake.llm.sampling import sample_pieces
 from boardlake.llm.simhash import simhash_dedup
@@ -38,8 +38,8 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample with raked shares of sources, languages and topics."""
-    return mix(docs)
+    """SHARE of the tokens in raked shares of sources, languages and topics; scarce cells whole, no document twice."""
+    return mix(docs, share=SHARE, repeats=False)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

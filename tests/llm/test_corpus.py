@@ -9,11 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from boardlake.llm import mixing
 from boardlake.llm import toxicity as T
 from boardlake.llm import warc as W
 from boardlake.llm.chunk_dedup import chunk_dedup
 from boardlake.llm.langid import keep_identified
-from boardlake.llm.mixing import mix, mixing_plan, word_count
+from boardlake.llm.mixing import margin_shares, mix, mixing_plan, word_count
 from boardlake.llm.queries import ORACLE, QUERIES
 from boardlake.llm.simhash import simhash_components
 
@@ -193,6 +194,44 @@ def test_mix_keeps_columns_and_agrees_with_the_plan(spark):
     assert sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in mixing_plan(docs).collect() if r.kept)
 
 
+def rare_cell_docs(spark):
+    """Documents of which three tiny ones are alone with their source and language, and one cell has no token."""
+    docs = mix_docs(spark)
+    rare = [(10_000 + k, "w w w w w", "xx", "rare", 1, 2.0) for k in range(3)] + [(10_003, "", "xx", "c", 1, 2.0)]
+    return docs.union(spark.createDataFrame(rare, docs.schema))
+
+
+def test_a_rare_cell_does_not_set_the_size_of_the_sample(spark):
+    docs, targets = rare_cell_docs(spark), {"source": 0.5}
+    plan = mixing_plan(docs, targets, share=0.5)
+    rows = plan.collect()
+    total = sum(r.n_tokens for r in rows)
+    assert sum(r.n_tokens * r.expected for r in rows) == pytest.approx(total / 2, rel=1e-5)
+    assert sum(r.n_tokens * r.copies for r in rows) == pytest.approx(total / 2, rel=0.1)
+    assert all(abs(r.copies - r.expected) < 1 and r.kept == (r.copies > 0) for r in rows)
+    assert max(r.copies for r in rows) > 1 and all(r.expected <= 1 for r in rows if r.doc_id == 10_003)
+    for m in margin_shares(plan, targets).collect():
+        assert m.expected == pytest.approx(m.target, rel=1e-5)
+    drawn = [r.doc_id for r in mix(docs, targets, share=0.5).collect()]
+    assert sorted(drawn) == sorted(r.doc_id for r in rows for _ in range(r.copies))
+
+
+def test_without_repeats_scarce_cells_are_whole_and_the_size_is_kept(spark, monkeypatch):
+    docs, targets = rare_cell_docs(spark), {"source": 0.5}
+    plan = mixing_plan(docs, targets, share=0.5, repeats=False)
+    rows = plan.collect()
+    total = sum(r.n_tokens for r in rows)
+    assert sum(r.n_tokens * r.expected for r in rows) == pytest.approx(total / 2, rel=1e-5)
+    assert all(r.expected == 1 and r.copies == 1 for r in rows if r.source == "rare")
+    assert "=rare" in {m.value for m in margin_shares(plan, targets).collect() if m.expected < 0.99 * m.target}
+    full = {r.doc_id: r.expected for r in mixing_plan(docs, targets, share=0.5).collect()}
+    assert len({round(r.expected / full[r.doc_id], 5) for r in rows if 0 < r.expected < 1 and r.n_tokens}) == 1
+    monkeypatch.setattr(mixing, "default_targets", lambda: targets)
+    kept = corpus_pipeline.mixing(spark, docs, SF).collect()
+    assert len({r.doc_id for r in kept}) == len(kept)
+    assert sum(len(r.text.split()) for r in kept) == pytest.approx(total / 2, rel=0.1)
+
+
 def test_word_count(spark):
     texts = [None, "", " \t", "a", " a\x0bb c\n"]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
