@@ -15,8 +15,8 @@ other half of the labelled documents, so that it learns how far to trust it;
 scoring uses evidence counted on all of them.  Model bounds: LEXICON features
 (the 4 x LEXICON of the largest lift over an equal number of clean documents are
 counted in all clean ones),
-about SAMPLE_DOCS documents of each class (by hash) of up to SAMPLE_TOKENS words
-each for the field's few weights.  Everything else reads all rows and whole texts.
+about SAMPLE_DOCS whole documents of each class, of every length (by hash; fewer where
+these would hold more than SAMPLE_CHARS characters), for the field's few weights.  Everything else reads all rows and whole texts.
 
 Defined results: null and empty texts score as a text without evidence; rows
 repeating a doc_id in the labels count once, toxic if any says so; null labels
@@ -47,7 +47,7 @@ MIN_TOXIC_DOCS, LEXICON, WEAK = 4, 50_000, 1.0
 #: Bounds of the evidence levels; evidence from STRONG on marks a token of a toxic document.
 LEVELS = np.array([1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0, 5.0, 6.0])
 STRONG = 2.5
-SAMPLE_DOCS, SAMPLE_TOKENS = 800, 1000
+SAMPLE_DOCS, SAMPLE_CHARS = 800, 3_000_000
 #: Marginals that count towards the score, and that mark a span.
 COUNTED_CHANCE, SPAN_CHANCE = 0.02, 0.5
 RIDGE, ROUNDS = 1e-2, 40
@@ -325,24 +325,26 @@ def hash_share(salt: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(salt)), 11) * F.lit(2.0 ** -53)
 
 
-def sample_evidence(rows: DataFrame, by_half: list[dict[str, float]], n_toxic: int, n_clean: int):
-    """Cross-fitted evidence of about SAMPLE_DOCS documents of each class: (evidence, sizes, toxic)."""
+def sample_evidence(rows: DataFrame, by_half: list[dict[str, float]]):
+    """Cross-fitted evidence of about SAMPLE_DOCS whole documents of each class: (evidence, sizes, toxic).
+
+    A hash alone picks them, at one rate for all lengths of a class, which
+    falls where SAMPLE_DOCS of them would hold more than SAMPLE_CHARS.  The one of the smallest hash is always in.
+    """
     def run(batches):
         of = [Evidence(by_half[1]), Evidence(by_half[0])]
         for batch in batches:
-            for half, toxic, text in zip(*(batch.column(c).to_pylist() for c in ("half", "toxic", "text"))):
-                words = WORD.findall((text or "").lower())
-                if len(words) <= SAMPLE_TOKENS:
+            for part, texts in text_parts(batch, TEXT_BYTES):
+                for half, toxic, text in zip(part.column("half").to_pylist(), part.column("toxic").to_pylist(), texts):
+                    words = WORD.findall((text or "").lower())
                     yield pa.record_batch([pa.array([toxic]), pa.array([of[half].of(words)], pa.list_(pa.float64()))],
                                           ["toxic", "evidence"])
 
-    # A hash picks them where they lie; a text has room for SAMPLE_TOKENS short words.
-    share = F.when(F.col("toxic"), F.lit(SAMPLE_DOCS / n_toxic)).otherwise(F.lit(SAMPLE_DOCS / n_clean))
-    short = rows.where(F.coalesce(F.length("text"), F.lit(0)) <= 16 * SAMPLE_TOKENS)
-    chosen = short.where(hash_share(1) < share)
+    number = hash_share(1)
+    rates = {r["toxic"]: max(min(SAMPLE_DOCS / r["n"], SAMPLE_CHARS / max(r["chars"], 1)), r["least"]) for r in rows.groupBy("toxic").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.length("text"), F.lit(0))).alias("chars"), F.min(number).alias("least")).collect()}
+    chosen = rows.where(number <= F.when(F.col("toxic"), F.lit(rates[True])).otherwise(F.lit(rates[False])))
     found = chosen.select("half", "toxic", "text").mapInArrow(run, "toxic boolean, evidence array<double>").toPandas()
-    if not len(found):
-        return np.zeros(0), np.zeros(0, np.int64), np.zeros(0, bool)
     lists = [np.asarray(x, float) for x in found["evidence"]]
     return np.concatenate(lists), np.array([len(x) for x in lists]), found["toxic"].to_numpy(bool)
 
@@ -356,7 +358,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], Weights
     if not n_toxic or not n_clean:
         return None
     *halves, lexicon = lexicons(rows, sizes)
-    evidence, lengths, toxic = sample_evidence(rows, halves, n_toxic, n_clean)
+    evidence, lengths, toxic = sample_evidence(rows, halves)
     return lexicon, fit(evidence, lengths, toxic, (n_clean, n_toxic))
 
 

@@ -140,6 +140,25 @@ def test_toxicity_on_held_out_documents_and_edges(spark):
     assert all(0 <= r.score <= 1 for r in found.values())
 
 
+def test_toxicity_is_learnt_from_long_documents(spark):
+    docs, labels = toxic_corpus(spark)
+    long = docs.where("doc_id < 600").withColumn("text", F.concat("text", F.lit(" "), F.expr("repeat('quiet plain ', 700)")))
+    evidence, sizes, toxic = T.sample_evidence(T.labelled_docs(long, labels), [{}, {}])
+    assert set(toxic.tolist()) == {True, False} and sizes.min() > 1000 and len(evidence) == sizes.sum()
+    found = [r for r in T.toxicity(long, labels).collect() if r.held_out]
+    assert sum(r.predicted == (r.doc_id % 6 == 0) for r in found) / len(found) > 0.97
+
+
+def test_a_sample_over_its_characters_has_fewer_whole_documents(spark, monkeypatch):
+    docs, labels = toxic_corpus(spark)
+    rows = T.labelled_docs(docs.where("doc_id < 600"), labels)
+    monkeypatch.setattr(T, "SAMPLE_CHARS", 3000)
+    _, sizes, toxic = T.sample_evidence(rows, [{}, {}])
+    assert 2 <= len(sizes) < 60 and set(toxic.tolist()) == {True, False} and sizes.min() == 40
+    monkeypatch.setattr(T, "SAMPLE_CHARS", 1)
+    assert set(T.sample_evidence(rows, [{}, {}])[2].tolist()) == {True, False}
+
+
 def test_toxicity_without_labels_or_documents(spark):
     docs, labels = toxic_corpus(spark)
     assert {r.score for r in T.toxicity(docs, labels.where("toxic = 0")).collect()} == {0.0}
