@@ -12,9 +12,9 @@ SPAN_CHANCE are its offending offsets.
 
 Fitting is cross-fitted: the field sees evidence that was counted on the
 other half of the labelled documents, so that it learns how far to trust it;
-scoring uses evidence counted on all of them.  Model bounds: LEXICON features
-(the 4 x LEXICON of the largest lift over an equal number of clean documents are
-counted in all clean ones),
+scoring uses evidence counted on all of them.  Model bounds: the LEXICON features of
+the largest exact log odds (every feature of MIN_TOXIC_DOCS toxic documents is
+counted in all clean ones before any is dropped),
 about SAMPLE_DOCS whole documents of each class, of every length (by hash; fewer where
 these would hold more than SAMPLE_CHARS characters), for the field's few weights.  Everything else reads all rows and whole texts.
 
@@ -31,6 +31,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,16 +54,14 @@ COUNTED_CHANCE, SPAN_CHANCE = 0.02, 0.5
 RIDGE, ROUNDS = 1e-2, 40
 #: Words of a chunk of the chain, bytes of text scored together, words a task remembers.
 CHUNK, TEXT_BYTES, CACHE_WORDS = 128, 4 << 20, 400_000
+#: Features a task adds up, and words it remembers, before it passes their counts on.
+COUNTED = 200_000
 
 
 def features(word: str) -> list[str]:
     return [word, *(word[:k] + "~" for k in PREFIXES if len(word) > k)]
 
 
-def doc_features(text: str | None) -> set[str]:
-    return {f for w in set(WORD.findall((text or "").lower())) for f in features(w)}
-
-
 # --- the chain -----------------------------------------------------------------
 
 
@@ -258,50 +257,70 @@ def labelled_docs(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out:
                   "labelled")
 
 
-def feature_counts(rows: DataFrame, wanted: frozenset | None = None) -> DataFrame:
-    """(feature, half, n): documents that have it; only of ``wanted`` if given."""
+def feature_bits(names: DataFrame) -> bytes:
+    """Bitmap of FILTER_BITS bits with the hashes of ``names(feature)``."""
+    bit = F.pmod(F.xxhash64("feature"), F.lit(FILTER_BITS))
+    mask = F.expr(f"shiftleft(1L, cast(pmod(pmod(xxhash64(feature), {FILTER_BITS}L), 64) as int))")
+    found = names.select(F.shiftright(bit, 6).alias("word"), mask.alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("bits")).toPandas()
+    out = np.zeros(FILTER_BITS // 64, "<i8")
+    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    return out.tobytes()
+
+
+def may_hold(bits: bytes, feature: str) -> bool:
+    at = xxhash.xxh64_intdigest(feature.encode("utf-8"), 42) % FILTER_BITS
+    return bool(bits[at >> 3] >> (at & 7) & 1)
+
+
+def feature_counts(rows: DataFrame, wanted: bytes | None = None) -> DataFrame:
+    """(feature, n0, n1): documents of each half that have it; ``wanted`` is a bitmap that spares most others the shuffle."""
     shared = None if wanted is None else rows.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
+        bits, known, count = None if shared is None else shared.value, {}, (Counter(), Counter())
+
+        def counted():
+            names = list(count[0].keys() | count[1].keys())
+            out = pa.record_batch([pa.array(names, pa.string()), *(pa.array([c[f] for f in names], pa.int64()) for c in count)],
+                                  ["feature", "n0", "n1"])
+            for c in count:
+                c.clear()
+            return out
+
         for batch in batches:
             for part, texts in text_parts(batch, TEXT_BYTES):
-                count = (Counter(), Counter())
                 for half, text in zip(part.column("half").to_pylist(), texts):
-                    found = doc_features(text)
-                    count[half].update(found if shared is None else found & shared.value)
-                for half in (0, 1):
-                    n = len(count[half])
-                    yield pa.record_batch([pa.array(list(count[half]), pa.string()), pa.array([half] * n, pa.int32()),
-                                           pa.array(list(count[half].values()), pa.int64())], ["feature", "half", "n"])
+                    words = set(WORD.findall((text or "").lower()))
+                    if len(known) > COUNTED:
+                        known.clear()
+                    for w in words.difference(known):
+                        known[w] = [f for f in features(w) if bits is None or may_hold(bits, f)]
+                    count[half].update(set().union(*map(known.__getitem__, words)))
+                    if len(count[0]) + len(count[1]) > COUNTED:
+                        yield counted()
+        yield counted()
 
-    return rows.select("half", "text").mapInArrow(run, "feature string, half int, n long").groupBy("feature", "half").agg(
-        F.sum("n").alias("n"))
+    return rows.select("half", "text").mapInArrow(run, "feature string, n0 long, n1 long").groupBy("feature").agg(
+        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
-def log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
-    return np.log((toxic + 0.1) / (n_toxic + 1)) - np.log((clean + 1.0) / (n_clean + 1))
+def log_odds(toxic: Column, clean: Column, n_toxic: int, n_clean: int) -> Column:
+    return F.log((toxic + 0.1) / (n_toxic + 1.0)) - F.log((clean + 1.0) / (n_clean + 1.0))
 
 
 def lexicons(rows: DataFrame, sizes: dict) -> list[dict[str, float]]:
     """Evidence of features, counted on half 0, half 1, and both; at most LEXICON features each."""
-    toxic = feature_counts(rows.where("toxic")).groupBy("feature").pivot("half", [0, 1]).agg(F.first("n"))
-    toxic = toxic.na.fill(0).withColumn("n", F.col("0") + F.col("1")).where(F.col("n") >= MIN_TOXIC_DOCS)
-    # As many clean documents as toxic ones, by hash, rule out words that both kinds share; the rest is counted in all.
-    n_toxic, n_clean = (sum(n for (_, t), n in sizes.items() if t == kind) for kind in (True, False))
-    some = feature_counts(rows.where(~F.col("toxic") & (hash_share(2) < F.lit(n_toxic / n_clean)))).groupBy("feature").agg(F.sum("n").alias("clean"))
-    odd = toxic.join(some, "feature", "left").where(F.col("n") > F.coalesce("clean", F.lit(0)))
-    lift = F.col("n") / (F.coalesce("clean", F.lit(0)) + 1.0)
-    held = odd.orderBy(lift.desc(), "feature").limit(4 * LEXICON).select("feature", "0", "1").toPandas().set_index("feature")
-    wanted = frozenset(held.index)
-    clean = feature_counts(rows.where("NOT toxic"), wanted).toPandas()
+    toxic = stored(feature_counts(rows.where("toxic")).where(F.col("n0") + F.col("n1") >= MIN_TOXIC_DOCS), "toxic-features")
+    # Every candidate is counted in all clean documents; the join drops what the bitmap let through by chance.
+    clean = feature_counts(rows.where("NOT toxic"), feature_bits(toxic)).select("feature", F.col("n0").alias("c0"), F.col("n1").alias("c1"))
+    counts = stored(toxic.join(clean, "feature", "left").na.fill(0), "feature-counts")
     out = []
     for halves in ([0], [1], [0, 1]):
-        t = held[[str(h) for h in halves]].sum(axis=1)
-        c = clean[clean["half"].isin(halves)].groupby("feature")["n"].sum().reindex(held.index).fillna(0)
-        odds = log_odds(t.to_numpy(float), c.to_numpy(float), sum(sizes[h, True] for h in halves), sum(sizes[h, False] for h in halves))
-        good = np.flatnonzero((odds >= WEAK) & (t.to_numpy() >= (MIN_TOXIC_DOCS if len(halves) == 2 else 2)))
-        good = good[np.argsort(-odds[good], kind="stable")][:LEXICON]
-        out.append(dict(zip(held.index[good], odds[good].tolist())))
+        t, c = (sum((F.col(f"{kind}{h}") for h in halves[1:]), F.col(f"{kind}{halves[0]}")) for kind in "nc")
+        odds = log_odds(t, c, sum(sizes[h, True] for h in halves), sum(sizes[h, False] for h in halves))
+        good = counts.where(t >= (MIN_TOXIC_DOCS if len(halves) == 2 else 2)).select("feature", odds.alias("odds")).where(F.col("odds") >= WEAK)
+        best = good.orderBy(F.col("odds").desc(), "feature").limit(LEXICON).toPandas()
+        out.append(dict(zip(best["feature"], best["odds"].tolist())))
     return out
 
 

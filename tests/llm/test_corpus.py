@@ -159,6 +159,22 @@ def test_a_sample_over_its_characters_has_fewer_whole_documents(spark, monkeypat
     assert set(T.sample_evidence(rows, [{}, {}])[2].tolist()) == {True, False}
 
 
+@pytest.mark.parametrize("bits, counted", [(T.FILTER_BITS, T.COUNTED), (64, 3)])
+def test_the_lexicon_is_picked_by_counts_over_all_clean_documents(spark, monkeypatch, bits, counted):
+    monkeypatch.setattr(T, "FILTER_BITS", bits)
+    monkeypatch.setattr(T, "COUNTED", counted)
+    rows = spark.range(700).select(F.col("id").alias("doc_id"), (F.col("id") < 100).alias("toxic"), F.pmod("id", F.lit(2)).cast("int").alias("half"))
+    # Six words of toxic documents are in nearly all clean ones, but not in those of the smallest hashes.
+    decoys = "alfa bravo carlo delta echo golf é"
+    text = (F.when(F.col("toxic"), F.concat(F.when(F.col("doc_id") < 40, F.lit("vile ")).otherwise(F.lit("")), F.when(F.col("doc_id") < 60, F.lit(decoys)).otherwise(F.lit(""))))
+            .when(T.hash_share(2) >= 1 / 6, F.lit(decoys)).otherwise(F.lit("calm")))
+    rows = rows.withColumn("text", text)
+    monkeypatch.setattr(T, "LEXICON", 1)
+    sizes = {(h, t): 50 if t else 300 for h in (0, 1) for t in (True, False)}
+    *_, both = T.lexicons(rows, sizes)
+    assert both == pytest.approx({"vile": math.log(40.1 / 101) - math.log(1 / 601)})
+
+
 def test_toxicity_without_labels_or_documents(spark):
     docs, labels = toxic_corpus(spark)
     assert {r.score for r in T.toxicity(docs, labels.where("toxic = 0")).collect()} == {0.0}
