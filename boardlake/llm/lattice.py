@@ -3,7 +3,7 @@
 Works on many words at once: lattice nodes are the places between characters,
 edges the pieces that fit, found with a trie kept as sorted arrays.  A
 character that is no piece itself has one edge that stands for its bytes.
-No piece has a word mark anywhere but at its start, so a text's lattice is
+No piece has a word mark behind another character, so a text's lattice is
 the chain of the lattices of its words.  Runs of over WORD_CHARS characters
 without white space are cut every WORD_CHARS characters.
 """
@@ -158,7 +158,9 @@ class Lattice:
         head = tail + length
         by_head = np.argsort(head, kind="stable")
         self.tail, self.head, self.piece = tail[by_head], head[by_head], piece[by_head]
-        offset = (self.head - self.start[owner[by_head]]).astype(np.uint16)
+        offset = self.head - self.start[owner[by_head]]
+        # Small integers sort faster; a word may have any number of spaces before it.
+        offset = offset.astype(np.min_scalar_type(offset.max(initial=0)))
         self.by_place = np.argsort(offset, kind="stable")
         self.steps = np.cumsum(np.bincount(offset, minlength=1))
 

@@ -31,7 +31,7 @@ from boardlake.llm.lattice import FOREIGN, WORDS, Lattice, Pieces, pieces_of, ut
 from boardlake.llm.token_text import text_parts
 
 ALPHA, ZIPF_SHIFT, SEED = 1.0, 2.0, 42
-#: Bytes of text drawn together, words drawn together, and draws a word may need (its characters at most).
+#: Bytes of text drawn together, words drawn together, and draws numbered in a row for a word; further ones (long runs of spaces) go on from 2^40.
 TEXT_BYTES, WORDS_AT_ONCE, DRAWS = 3 << 20, 400_000, 2048
 
 
@@ -74,7 +74,7 @@ def draw(pieces: Pieces, logp: np.ndarray, words: list[str], seeds: np.ndarray,
     owners, drawn, step = [], [], 0
     stream, number = seeds[who], places[who] * DRAWS
     while len(who):
-        edge, chosen = first[node], uniform(stream, number + step)
+        edge, chosen = first[node], uniform(stream, number + step % DRAWS + (step // DRAWS << 40))
         more = np.flatnonzero(upto[edge] <= chosen)
         while len(more):
             edge[more] += 1

@@ -227,3 +227,34 @@ def test_language_id_edge_cases(spark):
     with pytest.raises(ValueError):
         from boardlake.llm.langid import learn
         learn(docs, MODEL, max_languages=1)
+
+
+def brute_draw(pieces, logp, word, seed, place):
+    """Pieces of one word, character by character."""
+    names = {pieces.library.id_to_piece(i): i for i in range(pieces.size) if pieces.surface[i] and not pieces.library.is_byte(i)}
+    word = word.replace(" ", "▁")
+    edges = [[(e - n, names[word[e - n:e]]) for n in range(1, min(e, pieces.longest) + 1) if word[e - n:e] in names] for e in range(len(word) + 1)]
+    alpha = [0.0]
+    for found in edges[1:]:
+        alpha.append(float(np.logaddexp.reduce([alpha[a] + logp[i] for a, i in found])))
+    out, at, step = [], len(word), 0
+    while at:
+        chosen = sampling.uniform(np.array([seed], np.uint64), np.array([place * sampling.DRAWS + step % sampling.DRAWS + (step // sampling.DRAWS << 40)]))[0]
+        upto = np.cumsum([math.exp(alpha[a] + logp[i] - alpha[at]) for a, i in edges[at]])
+        upto[-1] = 1.0
+        at, i = edges[at][int(np.argmax(upto > chosen))]
+        out.append(i)
+        step += 1
+    return out[::-1]
+
+
+def test_long_runs_of_spaces_draw_as_brute_force_in_any_batch():
+    pieces = pieces_of(MODEL)
+    assert not any("▁" in pieces.library.id_to_piece(i).lstrip("▁") for i in range(pieces.size) if pieces.surface[i] and not pieces.library.is_byte(i))
+    logp, texts = sampling.zipf_logp(pieces), [" " * 70_000 + "international understanding", "an unbelievable representation of conversations"]
+    both = sampling.segment(pieces, logp, [1, 2], texts)
+    for key, text, ids in zip([1, 2], texts, both):
+        assert sampling.segment(pieces, logp, [key], [text])[0].tolist() == ids.tolist()
+        seed = sampling.xxhash.xxh64_intdigest(str(key).encode(), sampling.SEED)
+        want = [i for place, word in enumerate(sampling.WORDS.findall(" " + text)) for i in brute_draw(pieces, logp, word, seed, place)]
+        assert ids.tolist() == want and sampling.decode(pieces, ids) == text
