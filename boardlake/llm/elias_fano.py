@@ -73,3 +73,35 @@ class EliasFano:
         start = i * self.bits
         span = int.from_bytes(self.low[start // 8:(start + self.bits + 7) // 8], "little")
         return (one - i) << self.bits | span >> start % 8 & (1 << self.bits) - 1
+
+    def select_many(self, wanted: np.ndarray) -> np.ndarray:
+        """Values ``wanted``, each found from the sampled place before it.
+
+        Set bits are counted by byte from the first wanted sample to the last;
+        a value's byte is the one whose count passes it.
+        """
+        wanted = np.asarray(wanted, np.int64)
+        if not len(wanted):
+            return wanted
+        if wanted.min() < 0 or wanted.max() >= self.n:
+            raise IndexError(int(wanted.max()))
+        sample, last = int(wanted.min()) // SAMPLE, int(wanted.max()) // SAMPLE + 1
+        place = int(self.places[sample])
+        stop = int(self.places[last]) // 8 + 1 if last < len(self.places) else len(self.high)
+        high = np.frombuffer(self.high, np.uint8)[place // 8:stop]
+        bits = np.unpackbits(high, bitorder="little").reshape(-1, 8).cumsum(axis=1, dtype=np.uint8)
+        ones = np.concatenate([[0], np.cumsum(bits[:, 7], dtype=np.int64)])
+        # Bits of the first byte before the sample belong to earlier values.
+        rank = wanted - sample * SAMPLE + int(np.bitwise_count(high[0] & np.uint8((1 << place % 8) - 1)))
+        at = np.searchsorted(ones, rank, side="right") - 1
+        bit = (bits[at] > (rank - ones[at])[:, None]).argmax(axis=1)
+        return ((8 * (at + place // 8) + bit - wanted) << self.bits) | self._low_at(wanted)
+
+    def _low_at(self, wanted: np.ndarray) -> np.ndarray:
+        if not self.bits:
+            return np.zeros(len(wanted), np.int64)
+        flat = np.unpackbits(np.frombuffer(self.low, np.uint8), bitorder="little")
+        out = np.zeros(len(wanted), np.int64)
+        for k in range(self.bits):
+            out |= flat[wanted * self.bits + k].astype(np.int64) << k
+        return out

@@ -8,14 +8,15 @@ documents in ascending doc_id order:
     Elias-Fano sequence of end offsets into the id array, one for each document
     the id array, little-endian
 
-Boundary ``i`` is ``select(i - 1)``, so no table of 64-bit offsets is stored.
+Document ``i`` starts at ``select(i - 1)`` of its block's end offsets, which is how the
+reader finds it, so no table of 64-bit offsets is stored.
 Shards ascend with doc_id, blocks with their place in the shard.  Spark's own
 file writer puts the blocks out, so half-written files of lost executors never
 show, and any file system that Spark can write holds them.
 
 Defined results: a null text is empty and has the end id alone; repeated
-doc_ids keep one entry for each row, equal ones in no particular order but
-the same text order on rewriting; a document longer than BLOCK_IDS is a block
+doc_ids keep one entry for each row, in the order of a hash of their texts,
+then of the texts (a range of one doc_id can span shards); a document longer than BLOCK_IDS is a block
 of its own; an empty table writes no block.  Columns besides doc_id and text
 are ignored.
 """
@@ -32,14 +33,25 @@ from pyspark.sql import functions as F
 
 from boardlake.llm.common import pick, scratch_path, stored
 from boardlake.llm.elias_fano import EliasFano, encode
-from boardlake.llm.token_text import PieceEncoder, text_parts
+from boardlake.llm.token_text import IdEncoder, text_slices
 
 MAGIC = b"TOKIDS01"
 HEAD = "<8sBQIIqQQ"
 #: Ids after which a block ends, and blocks after which a file does.
 BLOCK_IDS, FILE_BLOCKS = 1 << 20, 16
 #: Bytes of text encoded together.
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 8 << 20
+
+
+def ended(ids: np.ndarray, counts: np.ndarray, end_id: int, width: int) -> list[bytes]:
+    """The documents' ids, ``width`` bytes each, every document with ``end_id`` behind it."""
+    ends = np.cumsum(counts + 1)
+    out = np.full(len(ids) + len(counts), end_id, f"<u{width}")
+    inside = np.ones(len(out), bool)
+    inside[ends - 1] = False
+    out[inside] = ids
+    data, cuts = out.tobytes(), (ends * width).tolist()
+    return [data[a:b] for a, b in zip([0, *cuts[:-1]], cuts)]
 
 
 def pack_block(doc_ids: list[int | None], ids: list[bytes], width: int, shard: int, block: int) -> bytes:
@@ -54,7 +66,7 @@ def pack_block(doc_ids: list[int | None], ids: list[bytes], width: int, shard: i
 
 
 def unpack_blocks(content: bytes):
-    """(shard, block, doc_ids, ends, id array) of each block of a file."""
+    """(shard, block, doc_ids, end offsets, id array) of each block of a file."""
     at = 0
     while at < len(content):
         magic, width, nulls, shard, block, base, n_ids, size = struct.unpack_from(HEAD, content, at)
@@ -65,24 +77,22 @@ def unpack_blocks(content: bytes):
         start = at + struct.calcsize(HEAD) + size
         ids = np.frombuffer(content, f"<u{width}", n_ids, start)
         doc_ids = [None] * nulls + (keys.all() + base).tolist()
-        yield shard, block, doc_ids, ends.all(), ids
+        yield shard, block, doc_ids, ends.select_many(np.arange(ends.n)), ids
         at = start + n_ids * width + 1
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, block_ids: int = BLOCK_IDS) -> None:
     """Encode ``docs(doc_id, text)`` and write token files to ``path`` in ascending doc_id order."""
     def blocks(batches):
-        encoder = PieceEncoder(tokenizer, lambda ids: np.asarray(ids, kind).tobytes(), "ids")
-        vocabulary = max(encoder.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
-        width = 2 if vocabulary <= 1 << 16 else 4
-        kind, shard, number = f"<u{width}", TaskContext.get().partitionId(), 0
-        end, keys, held, size = np.array([end_id], kind).tobytes(), [], [], 0
+        encoder = IdEncoder(tokenizer)
+        width = 2 if max(encoder.vocabulary, end_id + 1) <= 1 << 16 else 4
+        shard, number, keys, held, size = TaskContext.get().partitionId(), 0, [], [], 0
         for batch in batches:
-            for part, texts in text_parts(batch, TEXT_BYTES):
-                for doc_id, parts in zip(part.column("doc_id").to_pylist(), encoder.values(texts)):
+            for part in text_slices(batch, TEXT_BYTES):
+                for doc_id, data in zip(part.column("doc_id").to_pylist(), ended(*encoder.ids(part.column("text")), end_id, width)):
                     keys.append(doc_id)
-                    held.append(b"".join(parts) + end)
-                    size += len(held[-1]) // width
+                    held.append(data)
+                    size += len(data) // width
                     if size >= block_ids:
                         yield pa.record_batch([pa.array([pack_block(keys, held, width, shard, number)], pa.binary())], ["value"])
                         number, keys, held, size = number + 1, [], [], 0
@@ -90,7 +100,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, b
             yield pa.record_batch([pa.array([pack_block(keys, held, width, shard, number)], pa.binary())], ["value"])
 
     rows = pick(docs, doc_id="doc_id", text="text")
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    order = [F.col("doc_id"), F.xxhash64("text")]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
     # A cast to string keeps the bytes as they are, and the text writer puts them out unchanged.
     (ordered.mapInArrow(blocks, "value binary").select(F.col("value").cast("string"))
      .write.option("maxRecordsPerFile", FILE_BLOCKS).text(path))
