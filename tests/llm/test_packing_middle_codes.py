@@ -1,0 +1,405 @@
+"""Packing, fill-in-the-middle and vector codes against brute force."""
+
+import hashlib
+import itertools
+import math
+import random
+import re
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from boardlake.llm import vector_codes as vc
+from boardlake.llm.elias_fano import EliasFano, encode
+from boardlake.llm.fill_middle import Units, WaveletMatrix, fill_middle, fill_middle_digest, restore
+from boardlake.llm.packing import pack_documents, packed_sequences, plan_packing
+from boardlake.llm.queries import op2_token_files, op8_token_counts, op11_packing, op12_fill_middle, op13_vector_codes, tokenizer_path
+from boardlake.llm.token_text import IdEncoder, load_tokenizer
+
+BYTES = tokenizer_path("byte_bpe_50k.json")
+SF = "/root/testdata/sf0.01"
+ODD = ["", None, " ", "a", "  Two  spaces\n\n\ttabs ", "don't we'll, x''t rock'n'roll's", "Ça été œuvre ΑΣ ß 你好 世界。 ok", "a<|endoftext|>b <|endoftext|>c|d",
+       "x  y  z　 w\u0085 v᠎ u", "😀 é ́x \x1c\x85 z", "x" * 30_000, "w, " * 30_000, "\r\n\x00\x0b", "<P>", "a <S> b", "<", "S>a<"]
+SCHEMA = "doc_id long, text string, n int, form string, output string, h1 string, shard int, ids binary"
+
+
+def docs_of(spark, texts, ids=None):
+    ids = range(len(texts)) if ids is None else ids
+    return spark.createDataFrame([(i, t, 1, "f", "o", "h", 2, b"x") for i, t in zip(ids, texts)], SCHEMA)
+
+
+# Token ids on Arrow buffers, and offsets by select
+
+def test_id_encoder_gives_the_librarys_ids():
+    import pyarrow as pa
+    library, encoder = load_tokenizer(BYTES), IdEncoder(BYTES)
+    for texts in (ODD, ODD[::-1], [None], [""], []):
+        column = pa.array(["cut off", *texts, "too"], pa.string()).slice(1, len(texts))
+        for _ in range(2):  # the second time from memory
+            ids, counts = encoder.ids(column)
+            want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+            assert counts.tolist() == [len(w) for w in want] and ids.tolist() == list(itertools.chain(*want))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("aé'sLt9!|<> \t\n\r\x0b\x0c\x1c\x1f\x7f\x85\xa0   　你,")))
+def test_id_encoder_cuts_are_safe(text):
+    import pyarrow as pa
+    encoder = IdEncoder(BYTES)
+    ids, _ = encoder.ids(pa.array([text]))
+    assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_id_encoder_memory_is_bounded(monkeypatch):
+    import pyarrow as pa
+    from boardlake.llm import token_text
+    monkeypatch.setattr(token_text, "GENERATION", 50)
+    encoder = IdEncoder(BYTES)
+    encoder.memory = [{}, {}]
+    for k in range(20):
+        texts = [f"frequent w{k}x{j}" for j in range(30)]
+        ids, _ = encoder.ids(pa.array(texts))
+        assert ids.tolist() == [i for t in texts for i in encoder.tokenizer.encode(t, add_special_tokens=False).ids]
+        assert all(len(m) <= 50 + 31 for m in encoder.memory)
+    assert b"frequent" in encoder.memory[0] or b"frequent" in encoder.memory[1]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 2 ** 40), min_size=1, max_size=2500), st.randoms())
+def test_select_many_is_select(values, rng):
+    values = np.array(sorted(values), np.int64)
+    coded = EliasFano(b"xx" + encode(values), 2)
+    wanted = np.array([rng.randrange(len(values)) for _ in range(9)])
+    assert coded.select_many(wanted).tolist() == values[wanted].tolist()
+    assert coded.select_many(np.arange(len(values))).tolist() == values.tolist()
+    with pytest.raises(IndexError):
+        coded.select_many(np.array([len(values)]))
+
+
+def test_token_queries_against_the_library(spark):
+    """All documents of a table: starts, lengths, checksums and counts."""
+    byte, word = load_tokenizer(BYTES), load_tokenizer(tokenizer_path("word_bpe_49k.json"))
+    texts = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
+    want, at = {}, 0
+    for doc_id, text in texts:
+        ids = byte.encode(text, add_special_tokens=False).ids + [2]
+        want[doc_id] = (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+    assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in op2_token_files(spark, SF).collect()} == want
+    counts = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in op8_token_counts(spark, SF).collect()}
+    for doc_id, text in texts:
+        n = len(word.encode(text, add_special_tokens=False).ids)
+        assert counts[doc_id] == (len(text.encode()), n, n > 2048)
+
+
+# Packing
+
+def check_packing(counts, capacity):
+    """Every piece placed once, sequences filled from 0 without gaps; returns how many sequences."""
+    ranges, fill, placed = plan_packing(np.array(counts), capacity), {}, [0] * len(counts)
+    for length, first, n, sequence, each, offset in ranges.tolist():
+        assert first == placed[length] and n % each == 0
+        placed[length] += n
+        for r in range(n):
+            fill.setdefault(sequence + r // each, []).append((offset + r % each * length, length))
+    assert placed == list(counts)
+    for items in fill.values():
+        at = 0
+        for offset, length in sorted(items):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    assert sorted(fill) == list(range(len(fill)))
+    return len(fill), fill
+
+
+def best_fit(lengths, capacity):
+    rooms = []
+    for length in sorted(lengths, reverse=True):
+        fits = [k for k, room in enumerate(rooms) if room >= length]
+        if fits:
+            rooms[min(fits, key=lambda k: rooms[k])] -= length
+        else:
+            rooms.append(capacity - length)
+    return len(rooms)
+
+
+def fewest(lengths, capacity):
+    """Brute force: the fewest sequences for a handful of pieces."""
+    best = [len(lengths)]
+
+    def go(k, rooms):
+        if len(rooms) >= best[0]:
+            return
+        if k == len(lengths):
+            best[0] = len(rooms)
+            return
+        for room in set(rooms):
+            if room >= lengths[k]:
+                rest = list(rooms)
+                rest.remove(room)
+                go(k + 1, [*rest, room - lengths[k]])
+        go(k + 1, [*rooms, capacity - lengths[k]])
+
+    go(0, [])
+    return best[0]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 40).flatmap(lambda c: st.tuples(st.just(c), st.lists(st.integers(1, c), max_size=40))))
+def test_packing_places_every_piece(case):
+    capacity, lengths = case
+    n, _ = check_packing(np.bincount(lengths, minlength=capacity + 1).tolist(), capacity)
+    assert -(-sum(lengths) // capacity) <= n <= best_fit(lengths, capacity) + 1
+
+
+@settings(max_examples=120, deadline=None)
+@given(st.lists(st.integers(9, 24), max_size=9))
+def test_large_pieces_are_matched_best(lengths):
+    """Above a third of the capacity the matching leaves the fewest sequences there can be."""
+    n, fill = check_packing(np.bincount(lengths, minlength=25).tolist(), 24)
+    assert n == fewest(lengths, 24) and all(len(items) <= 2 for items in fill.values())
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(1, 12), max_size=9))
+def test_packing_is_near_the_fewest(lengths):
+    n, _ = check_packing(np.bincount(lengths, minlength=13).tolist(), 12)
+    assert n <= fewest(lengths, 12) + 1
+
+
+def test_plan_size_is_bounded_by_the_capacity():
+    counts = np.random.default_rng(1).integers(0, 10 ** 12, 1025)
+    counts[0] = 0
+    ranges = plan_packing(counts)
+    assert len(ranges) < 5 * 1024
+    assert all(ranges[ranges[:, 0] == k, 2].sum() == counts[k] for k in range(1025))
+    counts = np.random.default_rng(2).integers(0, 4, 1025)
+    counts[0] = 0
+    n, _ = check_packing(counts.tolist(), 1024)
+    assert n <= best_fit(np.repeat(np.arange(1025), counts).tolist(), 1024)
+
+
+def packed_brute(spark, docs, found, capacity):
+    """Holds packed rows against the library's ids of each document."""
+    library, by_doc, fill = load_tokenizer(BYTES), {}, {}
+    for r in found:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        fill.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for doc_id, text in docs:
+        ids = library.encode(text or "", add_special_tokens=False).ids + [2]
+        pieces = sorted(by_doc[doc_id], key=lambda r: r.piece)
+        assert [r.piece for r in pieces] == list(range(-(-len(ids) // capacity)))
+        assert [r.length for r in pieces[1:]] == [capacity] * (len(pieces) - 1)
+        at = 0
+        for r in pieces:
+            assert r.start == at and r.ids_crc32 == zlib.crc32(np.array(ids[at:at + r.length], "<u4").tobytes())
+            at += r.length
+        assert at == len(ids)
+    for items in fill.values():
+        at = 0
+        for offset, length in sorted(items):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(fill)
+
+
+def test_packing_query_against_the_library(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    found = op11_packing(spark, SF).collect()
+    sequences = packed_brute(spark, docs, found, 1024)
+    assert sequences <= best_fit([r.length for r in found], 1024) and sequences <= sum(r.length for r in found) / 1024 * 1.01 + 1
+
+
+def test_packing_odd_rows_and_shards(spark):
+    texts = ODD * 3
+    docs = docs_of(spark, texts).repartition(5)
+    found = pack_documents(docs, BYTES, 2, 64).collect()
+    packed_brute(spark, list(enumerate(texts)), found, 64)
+    # null and repeated ids are documents of their own
+    same = pack_documents(docs_of(spark, ["a b", "a b", "c", "d"], [None, None, 7, 7]), BYTES, 2, 8).collect()
+    assert len(same) == 4 and len({(r.sequence_id, r.offset) for r in same}) == 4
+    assert pack_documents(docs_of(spark, []), BYTES, 2).collect() == []
+
+
+def test_packed_sequences_hold_the_ids(spark):
+    library, texts = load_tokenizer(BYTES), ODD
+    want = {k: library.encode(t or "", add_special_tokens=False).ids + [2] for k, t in enumerate(texts)}
+    seen = dict.fromkeys(want, 0)
+    for row in packed_sequences(docs_of(spark, texts).repartition(3), BYTES, 2, 100).collect():
+        ids = np.frombuffer(bytes(row.ids), "<u4").tolist()
+        assert len(ids) == sum(p.length for p in row.pieces) <= 100
+        for p in row.pieces:
+            assert ids[p.offset:p.offset + p.length] == want[p.doc_id][p.start:p.start + p.length]
+            seen[p.doc_id] += p.length
+    assert seen == {k: len(ids) for k, ids in want.items()}
+
+
+# Fill in the middle
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 7), max_size=300), st.data())
+def test_wavelet_ranks(symbols, data):
+    matrix = WaveletMatrix(np.array(symbols, np.uint8), 3)
+    a = data.draw(st.integers(0, len(symbols)))
+    b = data.draw(st.integers(a, len(symbols)))
+    for symbol in range(8):
+        assert matrix.rank(symbol, np.array([a]), np.array([b])).tolist() == [symbols[a:b].count(symbol)]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abZ@[`{ é你😀\n_9")), min_size=1, max_size=6))
+def test_units_and_cuts(texts):
+    units = Units(texts)
+    cut = [re.findall(r"[A-Za-z]+|[^A-Za-z]", t) for t in texts]
+    assert units.n.tolist() == [len(c) for c in cut]
+    for k in range(max(map(len, cut)) + 1):
+        n = np.minimum(k, units.n)
+        assert units.cut_after(n).tolist() == [sum(map(len, c[:m])) for c, m in zip(cut, n)]
+
+
+def middle_brute(doc_id, text):
+    text = text or ""
+    cut = re.findall(r"[A-Za-z]+|[^A-Za-z]", text)
+    digest = hashlib.sha256(f"1:{'null' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(digest[8 * k:8 * k + 8], 16) for k in range(4))
+    a, b = sorted((h1 % (len(cut) + 1), h2 % (len(cut) + 1)))
+    prefix, middle, suffix = ("".join(cut[x:y]) for x, y in ((0, a), (a, b), (b, len(cut))))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        return len(cut), "plain", None, None, text
+    spm = h4 % 100 < 20
+    out = f"<S>{suffix}<P>{prefix}<M>{middle}" if spm else f"<P>{prefix}<S>{suffix}<M>{middle}"
+    return len(cut), "spm" if spm else "psm", len(prefix), len(middle), out
+
+
+def test_fill_middle_against_brute_force(spark):
+    rng = random.Random(5)
+    texts = ODD + ["".join(rng.choice("ab <>PSM\n你😀") for _ in range(rng.randrange(60))) for _ in range(150)]
+    ids = [None if k % 17 == 3 else 7 * k for k in range(len(texts))]
+    out = fill_middle(docs_of(spark, texts, ids))
+    assert out.columns == [*docs_of(spark, []).columns, "n_", "form_", "prefix_chars", "middle_chars", "output_"]
+    found = sorted(tuple(r) for r in out.select(
+        F.coalesce("doc_id", F.lit(-1)), F.coalesce("text", F.lit("")), "n_", "form_", F.coalesce("prefix_chars", F.lit(-1)),
+        F.coalesce("middle_chars", F.lit(-1)), "output_", restore(F.col("output_"), F.col("form_"))).collect())
+    want = []
+    for doc_id, text in zip(ids, texts):
+        n, form, p, m, output = middle_brute(doc_id, text)
+        want.append((-1 if doc_id is None else doc_id, text or "", n, form, -1 if p is None else p, -1 if m is None else m, output, text or ""))
+    assert found == sorted(want)
+    assert {w[3] for w in want} == {"plain", "psm", "spm"}
+
+
+def test_fill_middle_query(spark):
+    """All documents of a table; copies are cut by their own ids and give the text back."""
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    found = op12_fill_middle(spark, SF).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        n, form, p, m, output = middle_brute(r.doc_id, texts[r.doc_id])
+        assert (r.n, r.form, r.prefix_chars, r.middle_chars) == (n, form, p, m)
+        assert r.output_sha256 == hashlib.sha256(output.encode()).hexdigest()
+        assert r.restored_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()
+    assert fill_middle_digest(docs_of(spark, [])).collect() == []
+
+
+# Vector codes
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(1, 9), st.integers(1, 16), st.integers(0, 2 ** 31), st.booleans())
+def test_nearest_is_exact(size, entries, seed, wide):
+    rng = np.random.default_rng(seed)
+    x, c = (rng.integers(-4, 5, (n, size)) for n in (40, entries))  # small numbers make ties
+    if wide:
+        x, c = x.astype(object) * 10 ** 30, c.astype(object) * 10 ** 30
+    entry, distance = vc.nearest(x, c)
+    for row, e, d in zip(x.tolist(), entry.tolist(), distance.tolist()):
+        each = [sum((a - b) ** 2 for a, b in zip(row, other)) for other in c.tolist()]
+        assert d == min(each) and e == each.index(d)
+
+
+def test_hadamard_rows_are_orthogonal_and_in_sequency_order():
+    for n in (1, 2, 4, 8, 32):
+        h = vc.sequency_hadamard(n)
+        assert (h @ h.T == n * np.eye(n)).all() and (np.diff(h, axis=1) != 0).sum(axis=1).tolist() == list(range(n))
+
+
+def codes_brute(rows, parts=8, entries=16, rounds=6):
+    kept = [(i, lab, v) for i, v, lab in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    if not kept:
+        return {}
+    size = -(-max(len(v) for _, _, v in kept) // parts)
+    # The order of the codebook's start: ids, null ones last, then components.
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[2]))
+    ints = [[math.floor(Fraction(x) * 4096) for x in v] + [0] * (parts * size - len(v)) for _, _, v in kept]
+    cut = [[v[p * size:(p + 1) * size] for v in ints] for p in range(parts)]
+    books = [[list(v) for v in cut[p][:entries]] for p in range(parts)]
+
+    def assign(p):
+        return [min((sum((a - b) ** 2 for a, b in zip(v, c)), e) for e, c in enumerate(books[p])) for v in cut[p]]
+
+    for _ in range(rounds):
+        for p in range(parts):
+            found = assign(p)
+            for e in range(len(books[p])):
+                mine = [v for v, (_, best) in zip(cut[p], found) if best == e]
+                if mine:
+                    books[p][e] = [sum(col) // len(mine) for col in zip(*mine)]
+    final = [assign(p) for p in range(parts)]
+    errors = [sum(final[p][k][0] for p in range(parts)) for k in range(len(kept))]
+    sha = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    by_label = {}
+    for (_, lab, _), e in zip(kept, errors):
+        by_label[lab] = by_label.get(lab, 0) + e
+    bounded = lambda e: e if e < 2 ** 63 else None
+    out = []
+    for k, (i, lab, _) in enumerate(kept):
+        code = "".join(f"{final[p][k][1]:02x}" for p in range(parts))
+        fits = all(e < 2 ** 63 for e, (_, other, _) in zip(errors, kept) if other == lab)
+        out.append((i, code, bounded(errors[k]), bounded(by_label[lab]) if fits else None, sha))
+    return out
+
+
+def vectors_of(spark, rows):
+    return spark.createDataFrame([(i, v, lab, "x", 0) for i, v, lab in rows],
+                                 "vec_id long, embedding array<double>, label int, code string, error int")
+
+
+@pytest.mark.parametrize("case", ["plain", "odd", "huge", "few"])
+def test_vector_codes_against_brute_force(spark, case):
+    rng = np.random.default_rng(8)
+    n, dim = {"plain": (120, 16), "odd": (60, 13), "huge": (40, 9), "few": (5, 8)}[case]
+    rows = [(int(k * 37 % 1000), rng.normal(size=dim).tolist(), int(k % 3) if k % 5 else None) for k in range(n)]
+    if case == "odd":
+        rows += [(1, None, 1), (2, [None] * dim, 1), (3, [math.nan] * dim, 0), (4, [math.inf] * dim, 0), (5, [], 2), (6, [0.5], None),
+                 (None, [1.0] * dim, None), (7, [0.1] * dim, 1), (7, [0.1] * dim, 1), (8, [-0.0] * dim, 2)]
+    if case == "huge":
+        rows += [(2000, [1e300] * dim, 7), (2001, [-1e18] * dim, 8), (2002, [1e5] * dim, 9), (2003, [1e308] * dim, 7)]
+    found = vc.vector_codes(vectors_of(spark, rows).repartition(3)).collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, codes_brute(rows)))
+
+
+def test_vector_codes_of_nothing(spark):
+    assert vc.vector_codes(vectors_of(spark, [])).collect() == []
+    assert vc.vector_codes(vectors_of(spark, [(1, None, 1)])).collect() == []
+    (row,) = vc.vector_codes(vectors_of(spark, [(1, [], 1)])).collect()
+    assert (row.code, row.error, row.label_error) == ("00" * 8, 0, 0)
+
+
+def test_vector_codes_query(spark):
+    """All embeddings of a table, and the distance of the decoded vectors."""
+    rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    found = op13_vector_codes(spark, SF)
+    assert sorted(map(tuple, found.collect())) == sorted(codes_brute(rows))
+    kept = vc.usable(spark.read.parquet(f"{SF}/embeddings.parquet")).cache()
+    codec = vc.train(kept)
+    back = {r.vec_id: r for r in vc.decode(vc.encode(kept, codec), codec).collect()}
+    for vec_id, v, _ in rows:
+        if vec_id in back:
+            off = sum((math.floor(4096 * a) - 4096 * b) ** 2 for a, b in zip(v, back[vec_id].embedding))
+            assert off == back[vec_id].error
