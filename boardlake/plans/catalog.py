@@ -18,6 +18,7 @@ from boardlake.functions.dates import last_updated, range_filter
 from boardlake.operators.activity import MemberSpec, idle_cards, member_activity, member_activity_many
 from boardlake.operators.boards import current_board, dated_boards, list_lookup, with_board_name
 from boardlake.operators.dedupe import latest_per_key, latest_per_key_agg
+from boardlake.operators.member_table import member_activity_table
 from boardlake.operators.members import attach_member_names, member_names, names_per_card
 from boardlake.operators.refine import board_filter, refine_cards, unique_cards
 from boardlake.operators.upsert import upsert
@@ -25,6 +26,7 @@ from boardlake.plans import standins as si
 from boardlake.schemas import GOLD_A, GOLD_B, GOLD_C, MEMBERS_JSON
 from boardlake.sources.landing import (parse_boards_column, parse_cards_column, parse_json_field, parse_lists_column,
                                        parse_members_column)
+from boardlake.sources.scratch import stored
 from boardlake.sources.tables import widen
 
 # Parameters of the stand-in queries.
@@ -346,6 +348,29 @@ def q_activity_all_members(spark, d):
     return member_activity_many(si.unique(spark, d), REPORT_SPECS, GOLD_A)
 
 
+def member_rows(spark, d):
+    """A report for every supplier and every customer: full names, parts of them, wildcards, texts of
+    one to three characters and ones that no card holds, over ranges of all kinds."""
+    s = si.table(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("full"))
+    c = si.table(spark, d, "customer").select((-F.col("c_custkey")).alias("k"), F.concat(F.lit("Supplier#"), F.right("c_name", F.lit(9))).alias("full"))
+    kind = F.pmod(F.col("k"), F.lit(10))
+    member = (F.when(kind == 1, F.concat(F.lit("lier#%"), F.right("full", F.lit(4)))).when(kind == 2, F.concat(F.lit("#00000_"), F.right("full", F.lit(3))))
+              .when(kind == 3, F.concat(F.right("full", F.lit(2)), F.lit(", "))).when((kind == 4) & (F.col("k") % 50 == 4), F.right("full", F.lit(2)))
+              .when((kind == 5) & (F.col("k") % 250 == 5), F.right("full", F.lit(1))).when((F.col("k") == 7), F.lit("_%")).otherwise(F.col("full")))
+    day = F.date_add(F.lit("1993-01-01").cast("date"), F.pmod(F.col("k") * 13, F.lit(1500)).cast("int"))
+    return s.unionByName(c).select(
+        F.concat(F.lit("r"), F.col("k")).alias("report"), member.alias("member"),
+        F.when(kind.isin(1, 2, 7), "like").otherwise("contains").alias("match"),
+        F.element_at(F.array(*[F.lit(b) for b in ("closed_ts", "open_ts", "closed_date")]), F.pmod("k", F.lit(3)).cast("int") + 1).alias("bounds"),
+        day.alias("start"), F.when(F.pmod("k", F.lit(11)) != 0, F.date_add(day, 1200)).alias("end"))
+
+
+def q_activity_member_table(spark, d):
+    """The reports of a members table, joined to the cards by their rarest three characters."""
+    cards = stored(si.unique(spark, d), "unique-cards")
+    return member_activity_table(cards, member_rows(spark, d), GOLD_A)
+
+
 def q_range_tz(spark, d):
     """Activity shifted from UTC to a zone before the dates are compared."""
     c = si.cards(spark, d).select("id", "dateLastActivity")
@@ -444,6 +469,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_closed_date": q_range_closed_date,
     "range_tz": q_range_tz,
     "activity_all_members": q_activity_all_members,
+    "activity_member_table": q_activity_member_table,
     "member_names_array": q_member_names_array,
     "bronze_members_latest": q_bronze_members_latest,
     "list_lookup_json": q_list_lookup_json,

@@ -41,6 +41,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--root", required=True)
     s.add_argument("--kind", required=True, choices=["cards", "members", "boards", "lists"])
     s.add_argument("--multi-line", action="store_true", help="one JSON object per file")
+    _bucket_option(s)
 
     s = sub.add_parser("refine", help="bronze -> silver for one board")
     s.add_argument("--root", required=True)
@@ -48,6 +49,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--board-pick", default="latest", choices=["latest", "last_listed"])
     s.add_argument("--keep-unmatched", action="store_true")
     s.add_argument("--all-boards", action="store_true", help="refine every board in one pass")
+    s.add_argument("--changes", action="store_true", help="refine the cards of all boards that changes since the last such run touch")
+    _bucket_option(s)
 
     s = sub.add_parser("unique", help="silver -> newest card per name")
     s.add_argument("--root", required=True)
@@ -73,7 +76,8 @@ def _parser() -> argparse.ArgumentParser:
 
     s = sub.add_parser("reports", help="gold: every member report in one scan")
     s.add_argument("--root", required=True)
-    s.add_argument("--specs", required=True, help="JSON file: a list of MemberSpec fields")
+    s.add_argument("--specs", default=None, help="JSON file: a list of MemberSpec fields")
+    s.add_argument("--members", default=None, help="folder of Parquet files: a table with a row for each report")
 
     s = sub.add_parser("stream", help="incremental bronze ingest (logs what has landed, then merges it)")
     s.add_argument("--landing", required=True)
@@ -96,6 +100,10 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _bucket_option(s: argparse.ArgumentParser) -> None:
+    s.add_argument("--buckets", type=int, default=None, help="cut the card tables into so many buckets by board; 0: keep them whole")
+
+
 def _idle_options(s: argparse.ArgumentParser) -> None:
     s.add_argument("--as-of", default=None, help="YYYY-MM-DD[THH:MM:SS[+HH:MM]], UTC without a zone; default: now")
     s.add_argument("--list", dest="list_name", default="doing")
@@ -126,12 +134,15 @@ def main(argv: list[str] | None = None, spark=None) -> int:
 
     if args.cmd == "ingest":
         if args.kind in ("cards", "members"):
-            v = P.ingest_bronze(spark, args.landing, args.root, args.kind, args.multi_line)
+            v = P.ingest_bronze(spark, args.landing, args.root, args.kind, args.multi_line, buckets=args.buckets)
         else:
             v = P.ingest_listing(spark, args.landing, args.root, args.kind, args.multi_line)
+    elif args.cmd == "refine" and args.changes:
+        from boardlake.plans.incremental import refine_changes
+        v = refine_changes(spark, args.root, args.keep_unmatched, args.buckets)
     elif args.cmd == "refine":
         v = P.refine_silver(spark, args.root, args.board, args.board_pick, args.keep_unmatched,
-                            args.all_boards)
+                            args.all_boards, args.buckets)
     elif args.cmd == "unique":
         v = P.build_unique(spark, args.root, incremental=not args.full)
     elif args.cmd == "idle":
@@ -142,7 +153,12 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                           args.bounds, args.date_format, args.tz, tuple(COLUMN_ORDERS[args.columns]))
         v = P.gold_member(spark, args.root, spec)
     elif args.cmd == "reports":
-        v = P.gold_member_reports(spark, args.root, load_specs(args.specs))
+        if not (args.specs or args.members):
+            raise SystemExit("reports: give --specs or --members")
+        if args.members:
+            v = P.gold_member_table(spark, args.root, spark.read.parquet(args.members))
+        else:
+            v = P.gold_member_reports(spark, args.root, load_specs(args.specs))
     elif args.cmd == "stream":
         from boardlake.streaming.ingest import compact_changes, stream_cards, stream_members
         start = stream_cards if args.kind == "cards" else stream_members

@@ -235,6 +235,23 @@ WHERE idList = '{c.BOARD}/F'
     "range_tz": f"WITH {CARDS} SELECT id, dateLastActivity FROM cards WHERE "
                 + _range(c.ACT_START, c.ACT_END, "closed_date", col="(dateLastActivity + INTERVAL 7 HOUR)"),
     "activity_all_members": _all_members(),
+    "activity_member_table": SILVER_CHAIN + """, people AS (
+  SELECT s_suppkey AS k, s_name AS full_name FROM supplier
+  UNION ALL SELECT -c_custkey, 'Supplier#' || right(c_name, 9) FROM customer
+), kinds AS (SELECT *, ((k % 10) + 10) % 10 AS kind, DATE '1993-01-01' + CAST((((k * 13) % 1500) + 1500) % 1500 AS INTEGER) AS d FROM people
+), specs AS (
+  SELECT 'r' || k AS report,
+         CASE WHEN kind = 1 THEN 'lier#%' || right(full_name, 4) WHEN kind = 2 THEN '#00000_' || right(full_name, 3)
+              WHEN kind = 3 THEN right(full_name, 2) || ', ' WHEN kind = 4 AND k % 50 = 4 THEN right(full_name, 2)
+              WHEN kind = 5 AND k % 250 = 5 THEN right(full_name, 1) WHEN k = 7 THEN '_%' ELSE full_name END AS member,
+         kind IN (1, 2, 7) AS is_like, ((k % 3) + 3) % 3 AS bound, d AS lo, CASE WHEN ((k % 11) + 11) % 11 <> 0 THEN d + 1200 END AS hi
+  FROM kinds)
+SELECT report, member, u.id, u.name, u.card_members, u.LastUpdated, u.board_name
+FROM uniq u JOIN specs s
+  ON CASE WHEN is_like THEN u.card_members LIKE '%' || member || '%' ELSE contains(u.card_members, member) END
+ AND (hi IS NULL OR CASE bound WHEN 0 THEN dateLastActivity >= lo AND dateLastActivity <= hi
+                               WHEN 1 THEN dateLastActivity > lo AND dateLastActivity < hi
+                               ELSE CAST(dateLastActivity AS DATE) BETWEEN lo AND hi END)""",
     "member_names_array": f"WITH {CARDS},\n{NAMES}\nSELECT c.id, n.card_members FROM cards c JOIN names n ON c.id = n.id",
     "bronze_members_latest": """SELECT CAST(l_suppkey AS VARCHAR) AS id, 'Member-' || l_orderkey || '-' || l_linenumber AS fullName
 FROM lineitem

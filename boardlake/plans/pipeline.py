@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 
 from boardlake.operators.activity import MemberSpec, idle_cards, member_activity, member_activity_many
 from boardlake.operators.boards import current_board, list_lookup
+from boardlake.operators.dedupe import latest_per_key
+from boardlake.operators.member_table import member_activity_table
 from boardlake.operators.refine import refine_cards, unique_cards
 from boardlake.schemas import GOLD_A
 from boardlake.sources.landing import CORRUPT, LANDED, newest_landed, read_boards, read_cards, read_lists, read_members
-from boardlake.sources.tables import (delete_parts, latest_version, merge_into, read_parts, read_table, write_part,
-                                      write_snapshot)
+from boardlake.sources.tables import (BUCKET, bucket_count, bucket_of, delete_parts, latest_version, merge_into,
+                                      read_parts, read_table, write_part, write_snapshot)
 
 # Table names under the pipeline root.
 BRONZE_CARDS = "bronze_cards"
@@ -43,9 +45,19 @@ CLUSTER = {
     SILVER_UNIQUE: ["dateLastActivity"],
 }
 
+# Columns whose hash cuts a table into buckets, where buckets are asked for.  Both tables
+# are refined a board at a time: a run reads and writes that board's buckets alone.
+BUCKETS_BY = {BRONZE_CARDS: ["idBoard"], BRONZE_MEMBERS: ["id"], SILVER_CARDS: ["idBoard"]}
 
-def _require(spark: SparkSession, root: str, name: str) -> DataFrame:
-    t = read_table(spark, root, name)
+
+def _buckets(spark: SparkSession, root: str, table: str, asked: int | None) -> tuple[list[str], int] | None:
+    """Columns and count of the table's buckets: as asked, else as it is cut already (0: not cut)."""
+    n = bucket_count(spark, root, table) if asked is None else asked
+    return (BUCKETS_BY[table], n) if n else None
+
+
+def _require(spark: SparkSession, root: str, name: str, keep_bucket: bool = False) -> DataFrame:
+    t = read_table(spark, root, name, keep_bucket=keep_bucket)
     if t is None:
         raise FileNotFoundError(f"table {name!r} has no committed version under {root}")
     return t
@@ -100,7 +112,7 @@ def read_rejects(spark: SparkSession, root: str, kind: str) -> DataFrame | None:
 
 
 def ingest_bronze(spark: SparkSession, landing: str, root: str, kind: str = "cards",
-                  multi_line: bool = False, plan: str = "shuffle") -> int:
+                  multi_line: bool = False, plan: str = "shuffle", buckets: int | None = None) -> int:
     """Upsert a landing directory of card or member JSON into bronze.
 
     The whole batch is one upsert (the reference ran one MERGE per object).
@@ -108,7 +120,9 @@ def ingest_bronze(spark: SparkSession, landing: str, root: str, kind: str = "car
     key repeated in the batch keeps its newest row: cards by last activity,
     then, as members, by the landing time of the file, its path, and the
     record's place in it, so the last landed one wins.  ``plan`` names the
-    plan of the upsert.
+    plan of the upsert.  ``buckets`` cuts the table into so many buckets (cards
+    by board, members by id), of which a batch rewrites only its own; a table
+    that is cut stays so, and 0 makes it whole again.
     """
     if kind not in KINDS:
         raise ValueError("kind must be 'cards' or 'members'")
@@ -118,21 +132,27 @@ def ingest_bronze(spark: SparkSession, landing: str, root: str, kind: str = "car
     keep_rejects(staged, root, kind, run)
     good = staged.where("NOT __bad").drop("__bad", CORRUPT)
     version = merge_into(spark, root, table, good, ["id"], order_by=newest_first(kind),
-                         cluster_by=CLUSTER.get(table), plan=plan, drop=tuple(LANDED))
+                         cluster_by=CLUSTER.get(table), plan=plan, drop=tuple(LANDED),
+                         buckets=_buckets(spark, root, table, buckets))
     delete_parts(spark, root, f"staged_{kind}", [run])
     return version
 
 
 def ingest_listing(spark: SparkSession, landing: str, root: str, kind: str = "boards",
                    multi_line: bool = False) -> int:
-    """Board or list listing (S7/S8): replaced as a whole on every run; rejects as in bronze."""
+    """Board or list listing (S7/S8): replaced as a whole on every run; rejects as in bronze.
+
+    A folder may hold the listings of several days: of the records of one id
+    the last landed one stays, so a renamed board or list has its new name alone.
+    """
     if kind not in LISTINGS:
         raise ValueError("kind must be 'boards' or 'lists'")
     reader, table = LISTINGS[kind]
     run = _run_key(spark, root, table)
-    staged = _staged(reader(spark, landing, multi_line, keep_corrupt=True), root, kind, run)
+    staged = _staged(reader(spark, landing, multi_line, keep_corrupt=True, landed=True), root, kind, run)
     keep_rejects(staged, root, kind, run)
-    version = write_snapshot(staged.where("NOT __bad").drop("__bad", CORRUPT), root, table, merge_schema=False)
+    good = latest_per_key(staged.where("NOT __bad").drop("__bad", CORRUPT), ["id"], newest_landed()).drop(*LANDED)
+    version = write_snapshot(good, root, table, merge_schema=False)
     delete_parts(spark, root, f"staged_{kind}", [run])
     return version
 
@@ -149,28 +169,48 @@ def _checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True) if df.sparkSession.sparkContext.getCheckpointDir() else df
 
 
+def cards_of_board(cards: DataFrame, board: DataFrame, buckets: int) -> DataFrame:
+    """Cards of the one-row ``board``, read from its bucket alone.
+
+    The board is one row by construction (a global aggregate, or a look-up in
+    a listing of one row an id), so it may be broadcast; its bucket then prunes
+    the scan's folders while the query runs, and no value goes through the driver.
+    """
+    one = F.broadcast(board.select(F.col("id").alias("__of"), bucket_of(["id"], buckets).alias("__in")).where("__in >= 0"))
+    return cards.join(one, (cards[BUCKET] == one["__in"]) & (cards["idBoard"] == one["__of"]), "left_semi").drop(BUCKET)
+
+
 def refine_silver(spark: SparkSession, root: str, board: str | None = None,
                   board_pick: str = "latest", keep_unmatched: bool = False,
-                  all_boards: bool = False) -> int:
+                  all_boards: bool = False, buckets: int | None = None) -> int:
     """Refine bronze cards and upsert them into silver.
 
     By default one board is refined: ``board``, or the current sprint board
     (``board_pick``).  ``all_boards=True`` refines every board in one pass,
-    with names joined from the boards table.
+    with names joined from the boards table.  ``buckets`` is as in
+    :func:`ingest_bronze`; one board is read from its bucket of bronze alone.
 
     The names whose newest-card group this batch can change -- the batch's
     names and the previous names of its cards -- are logged in
     ``silver_changes`` with the new silver version, for the incremental
     :func:`build_unique`.
     """
-    cards = _require(spark, root, BRONZE_CARDS)
+    cut = bucket_count(spark, root, BRONZE_CARDS)
+    cards = _require(spark, root, BRONZE_CARDS, keep_bucket=bool(cut) and not all_boards)
     members = _require(spark, root, BRONZE_MEMBERS)
     if all_boards:
         boards = _require(spark, root, BOARDS).select("id", "name")
         refined = refine_cards(cards, members, boards=boards, keep_unmatched=keep_unmatched)
     else:
         the_board = _board(spark, root, board, board_pick)
+        if cut:
+            cards = cards_of_board(cards, the_board, cut)
         refined = refine_cards(cards, members, board=the_board, keep_unmatched=keep_unmatched)
+    return merge_refined(spark, root, refined, buckets)
+
+
+def merge_refined(spark: SparkSession, root: str, refined: DataFrame, buckets: int | None = None) -> int:
+    """Upsert refined cards into silver and log the names whose newest card they can change."""
     refined = _checkpointed(refined)
     previous = read_table(spark, root, SILVER_CARDS)
     touched = refined.select("name")
@@ -178,7 +218,8 @@ def refine_silver(spark: SparkSession, root: str, board: str | None = None,
         ids = refined.select("id")
         touched = touched.unionByName(previous.join(ids, "id", "left_semi").select("name"))
     touched = _checkpointed(touched.distinct())
-    version = merge_into(spark, root, SILVER_CARDS, refined, ["id"], cluster_by=CLUSTER[SILVER_CARDS])
+    version = merge_into(spark, root, SILVER_CARDS, refined, ["id"], cluster_by=CLUSTER[SILVER_CARDS],
+                         buckets=_buckets(spark, root, SILVER_CARDS, buckets))
     log = touched.withColumn("silver_version", F.lit(version).cast("long"))
     earlier = read_table(spark, root, SILVER_CHANGES)
     if earlier is not None:
@@ -272,19 +313,32 @@ def gold_member_reports(spark: SparkSession, root: str, specs: Sequence[MemberSp
     return write_snapshot(out, root, GOLD_REPORTS, merge_schema=False, partition_by=["report"])
 
 
+def gold_member_table(spark: SparkSession, root: str, members: DataFrame,
+                      columns: Sequence[str] = GOLD_A) -> int:
+    """G14 for members given as a table: every report, sorted by report over all files.
+
+    A reader of one report skips the other files by their statistics.
+    """
+    unique = _require(spark, root, SILVER_UNIQUE)
+    out = member_activity_table(unique, members, columns)
+    return write_snapshot(out.repartitionByRange("report", columns[0]), root, GOLD_REPORTS, merge_schema=False,
+                          cluster_by=["report", columns[0]])
+
+
 def run_all(spark: SparkSession, landing_root: str, root: str, idle_days: int = 7,
             as_of: _dt.datetime | None = None, specs: Sequence[MemberSpec] = (),
             board_pick: str = "latest", list_name: str = "doing", list_pick: str = "name",
-            keep_unmatched: bool = False) -> None:
+            keep_unmatched: bool = False, buckets: int | None = None) -> None:
     """Every layer once, in order.  ``landing_root`` holds ``cards/``,
     ``members/``, ``boards/`` and ``lists/`` subdirectories.  ``board_pick``
-    holds for refining and for the idle cards alike."""
+    holds for refining and for the idle cards alike, ``buckets`` for the card
+    tables."""
     lr = landing_root.rstrip("/")
     ingest_listing(spark, f"{lr}/boards", root, "boards")
     ingest_listing(spark, f"{lr}/lists", root, "lists")
     ingest_bronze(spark, f"{lr}/members", root, "members")
-    ingest_bronze(spark, f"{lr}/cards", root, "cards")
-    refine_silver(spark, root, board_pick=board_pick, keep_unmatched=keep_unmatched)
+    ingest_bronze(spark, f"{lr}/cards", root, "cards", buckets=buckets)
+    refine_silver(spark, root, board_pick=board_pick, keep_unmatched=keep_unmatched, buckets=buckets)
     build_unique(spark, root)
     gold_idle(spark, root, idle_days, as_of, list_name, list_pick, board_pick=board_pick)
     if specs:

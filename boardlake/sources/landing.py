@@ -60,15 +60,17 @@ def read_members(spark: SparkSession, path: str, multi_line: bool = False,
 
 
 def read_boards(spark: SparkSession, path: str, multi_line: bool = False,
-                keep_corrupt: bool = False) -> DataFrame:
-    """Board listing ``(id, name, pos)``, plus ``_corrupt_record`` with ``keep_corrupt``."""
-    return read_json(spark, path, BOARDS_JSON, multi_line, keep_corrupt)
+                keep_corrupt: bool = False, landed: bool = False) -> DataFrame:
+    """Board listing ``(id, name, pos)``, plus the same extras as :func:`read_cards`."""
+    raw = read_json(spark, path, BOARDS_JSON, multi_line, keep_corrupt)
+    return with_landed(raw) if landed else raw
 
 
 def read_lists(spark: SparkSession, path: str, multi_line: bool = False,
-               keep_corrupt: bool = False) -> DataFrame:
-    """List listing ``(id, idBoard, name, pos)``, plus ``_corrupt_record`` with ``keep_corrupt``."""
-    return read_json(spark, path, LISTS_JSON, multi_line, keep_corrupt)
+               keep_corrupt: bool = False, landed: bool = False) -> DataFrame:
+    """List listing ``(id, idBoard, name, pos)``, plus the same extras as :func:`read_cards`."""
+    raw = read_json(spark, path, LISTS_JSON, multi_line, keep_corrupt)
+    return with_landed(raw) if landed else raw
 
 
 def parse_boards_column(df: DataFrame, column: str | Column) -> DataFrame:

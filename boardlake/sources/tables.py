@@ -7,6 +7,12 @@ a ``_SUCCESS`` marker.  A write that dies half way leaves no marker and is
 never read; task retries after a lost executor are handled by Spark's
 commit protocol.  Single writer per table is assumed.
 
+A table can be cut into buckets by a hash of some columns.  A version then
+holds only the buckets it rewrote, ``version=<n>/__bucket_<N>=<b>/``, and readers
+take each bucket from the newest version that has it, back to the last full
+one.  So a small batch writes its buckets alone, a write that dies half way
+leaves all old rows, and a filter on the bucket prunes folders.
+
 Beside snapshots there are logs: a table of parts ``<root>/<name>/part=<key>``
 that are each written whole, so writing a part again (a replayed batch)
 changes nothing, and earlier parts stay.
@@ -14,12 +20,17 @@ changes nothing, and earlier parts stay.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from boardlake.sources.scratch import stored
 
 _PREFIX = "version="
 _PART = "part="
+#: Folder names of buckets, with their number; markers of a version that holds a whole table, and of a bucket left empty.
+_BUCKET, _FULL, _EMPTY = "__bucket_", "_FULL", "_EMPTY_"
+BUCKET = "__bucket"
 
 
 def _fs_and_path(spark: SparkSession, path: str):
@@ -85,15 +96,66 @@ def latest_version(spark: SparkSession, root: str, name: str) -> int | None:
     return None
 
 
-def read_table(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame | None:
-    """Latest committed snapshot (or ``version``); None when the table does not exist."""
+def bucket_of(columns: list[str | Column], n: int) -> Column:
+    """Bucket, from 0 to ``n - 1``, of a row."""
+    return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs_and_path(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p)]
+
+
+def bucket_count(spark: SparkSession, root: str, name: str, version: int | None = None) -> int | None:
+    """Into how many buckets table ``name`` is cut; None when it is not, or absent."""
+    version = latest_version(spark, root, name) if version is None else version
+    if version is None:
+        return None
+    found = [x for x in _names(spark, version_path(root, name, version)) if x.startswith((_BUCKET, _EMPTY))]
+    if not found:
+        return None
+    # Both names carry the count: __bucket_64=5 and _EMPTY_64_5.
+    first = found[0]
+    return int(first[len(_BUCKET):].split("=")[0] if first.startswith(_BUCKET) else first[len(_EMPTY):].split("_")[0])
+
+
+def bucket_paths(spark: SparkSession, root: str, name: str, version: int) -> dict[int, str]:
+    """Folder of each bucket of a bucketed table at ``version``, those written last first."""
+    n, found, seen = bucket_count(spark, root, name, version), {}, set()
+    for v in reversed([v for v in committed_versions(spark, root, name) if v <= version]):
+        path = version_path(root, name, v)
+        names = _names(spark, path)
+        here = {int(x.split("=")[1]): f"{path}/{x}" for x in names if x.startswith(f"{_BUCKET}{n}=")}
+        found.update({b: p for b, p in sorted(here.items()) if b not in seen})
+        seen.update(here, (int(x.split("_")[-1]) for x in names if x.startswith(f"{_EMPTY}{n}_")))
+        if _FULL in names:
+            break
+    return found
+
+
+def read_table(spark: SparkSession, root: str, name: str, version: int | None = None,
+               keep_bucket: bool = False) -> DataFrame | None:
+    """Latest committed snapshot (or ``version``); None when the table does not exist.
+
+    ``keep_bucket`` leaves the BUCKET column of a bucketed table in place; a
+    filter on it reads only the folders of its buckets.
+    """
     newest = latest_version(spark, root, name)
     if newest is None:
         return None
     v = newest if version is None else version
     if v != newest and not _committed(spark, version_path(root, name, v)):
         raise ValueError(f"table {name!r} has no committed version {v}")
-    return spark.read.parquet(version_path(root, name, v))
+    n = bucket_count(spark, root, name, v)
+    if n is None:
+        return spark.read.parquet(version_path(root, name, v))
+    paths = list(bucket_paths(spark, root, name, v).values())
+    # Versions only widen the schema, so the bucket written last has all columns.
+    schema = spark.read.parquet(paths[0]).schema
+    full = StructType(schema.fields + [StructField(_PREFIX[:-1], IntegerType()), StructField(f"{_BUCKET}{n}", IntegerType())])
+    rows = spark.read.option("basePath", table_path(root, name)).schema(full).parquet(*paths)
+    own = [F.col(f"`{c}`") for c in schema.names]
+    return rows.select(*own, F.col(f"{_BUCKET}{n}").alias(BUCKET)) if keep_bucket else rows.select(*own)
 
 
 def widen(df: DataFrame, old_schema: StructType | None) -> DataFrame:
@@ -123,7 +185,7 @@ def write_snapshot(df: DataFrame, root: str, name: str, merge_schema: bool = Tru
     spark = df.sparkSession
     newest = latest_version(spark, root, name)
     if merge_schema and newest is not None:
-        df = widen(df, spark.read.parquet(version_path(root, name, newest)).schema)
+        df = widen(df, read_table(spark, root, name, newest).schema)
     if cluster_by:
         df = df.sortWithinPartitions(*cluster_by)
     version = 1 if newest is None else newest + 1
@@ -134,27 +196,86 @@ def write_snapshot(df: DataFrame, root: str, name: str, merge_schema: bool = Tru
     return version
 
 
+def write_buckets(df: DataFrame, root: str, name: str, by: list[str], n: int, touched: list[int] | None = None,
+                  cluster_by: list[str] | None = None) -> int:
+    """New version of a table in ``n`` buckets by ``by``; returns the version number.
+
+    ``touched`` names the buckets that ``df`` holds all rows of; other
+    buckets stay as they are.  Without it ``df`` is the whole table.  Rows are
+    dealt out by bucket, so a bucket is one file, or several of AQE's advisory
+    size.  The version counts once its ``_SUCCESS`` is there, which is put
+    last, when all files and markers are in place.
+    """
+    spark, column = df.sparkSession, f"{_BUCKET}{n}"
+    version = (latest_version(spark, root, name) or 0) + 1
+    path = version_path(root, name, version)
+    rows = df.withColumn(column, bucket_of(by, n)).hint("rebalance", column)
+    if cluster_by:
+        rows = rows.sortWithinPartitions(column, *cluster_by)
+    writer = rows.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    writer.partitionBy(column).parquet(path)
+    fs, folder = _fs_and_path(spark, path)
+    fs.mkdirs(folder)
+    written = {int(x.split("=")[1]) for x in _names(spark, path) if x.startswith(f"{column}=")}
+    if not written and touched is None:  # an empty table still has a schema
+        df.limit(0).coalesce(1).write.mode("overwrite").option(
+            "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/{column}=0")
+    empty = [f"{_EMPTY}{n}_{b}" for b in touched or () if b not in written]
+    for marker in (*empty, *([_FULL] if touched is None else []), "_SUCCESS"):
+        _touch(spark, f"{path}/{marker}")
+    return version
+
+
+def _touch(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_and_path(spark, path)
+    fs.create(p, True).close()
+
+
 def merge_into(spark: SparkSession, root: str, name: str, source: DataFrame, keys,
                order_by=None, keep_newer: str | None = None,
                cluster_by: list[str] | None = None, plan: str = "shuffle",
-               drop: tuple[str, ...] = ()) -> int:
+               drop: tuple[str, ...] = (), buckets: tuple[list[str], int] | None = None) -> int:
     """Upsert ``source`` into table ``name`` and commit a new version.
 
     :func:`boardlake.operators.upsert.upsert` against the latest snapshot,
     written as the next one (the table is created on first use).  Keys are
     declared non-null.  ``plan`` names the upsert's plan; ``drop`` names
     source columns that ``order_by`` needs and the table does not hold.
+
+    With ``buckets``, (columns, count), the table is cut into buckets and only
+    those are read and written that hold, or get, a row of the source.
     """
     from boardlake.operators.dedupe import latest_per_key
     from boardlake.operators.upsert import empty_like, upsert
     keys = list(keys)
     if drop:
         source, order_by = latest_per_key(source, keys, order_by).drop(*drop), None
-    target = read_table(spark, root, name)
-    if target is None:
-        target = empty_like(spark, source.schema)
-    merged = upsert(target, source, keys, order_by=order_by, keep_newer=keep_newer, plan=plan, keys_not_null=True)
-    return write_snapshot(merged, root, name, cluster_by=cluster_by)
+    target = read_table(spark, root, name, keep_bucket=bool(buckets))
+    if buckets is None:
+        target = empty_like(spark, source.schema) if target is None else target
+        merged = upsert(target, source, keys, order_by=order_by, keep_newer=keep_newer, plan=plan, keys_not_null=True)
+        return write_snapshot(merged, root, name, cluster_by=cluster_by)
+
+    by, n = list(buckets[0]), buckets[1]
+    if target is None or bucket_count(spark, root, name) != n:
+        target = empty_like(spark, source.schema) if target is None else target.drop(BUCKET)
+        merged = upsert(target, source, keys, order_by=order_by, keep_newer=keep_newer, plan=plan, keys_not_null=True)
+        return write_buckets(merged, root, name, by, n, cluster_by=cluster_by)
+    if order_by:
+        source = latest_per_key(source, keys, order_by)
+    # The batch is read three times: for its buckets, for its keys, and to be merged.
+    source = stored(source, f"batch-{name}")
+    touched = source.select(bucket_of(by, n).alias(BUCKET))
+    if not set(by) <= set(keys):
+        # A row may have moved to another bucket: those of the stored rows count too (key and bucket alone are read).
+        held = target.select(BUCKET, *keys).join(source.select(*keys), keys, "left_semi")
+        touched = touched.union(held.select(BUCKET))
+    touched = sorted(r[0] for r in touched.distinct().collect())  # ``n`` numbers at most
+    if not touched:
+        return latest_version(spark, root, name)
+    part = target.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+    merged = upsert(part, source, keys, keep_newer=keep_newer, plan=plan, keys_not_null=True)
+    return write_buckets(merged, root, name, by, n, touched, cluster_by)
 
 
 def write_part(df: DataFrame, root: str, name: str, key: str) -> None:
@@ -181,16 +302,25 @@ def delete_parts(spark: SparkSession, root: str, name: str, keys: list[str]) ->
         delete_path(spark, f"{table_path(root, name)}/{_PART}{k}")
 
 
+def _version_of(bucket_path: str) -> int:
+    return int(bucket_path.rsplit("/", 2)[1][len(_PREFIX):])
+
+
 def prune_versions(spark: SparkSession, root: str, name: str, keep: int = 3) -> list[int]:
-    """Delete all but the newest ``keep`` committed versions of ``name``, and
-    any uncommitted (failed) version directory older than the newest
+    """Delete all but the newest ``keep`` committed versions of ``name`` (and
+    older ones of which these show buckets), and any uncommitted (failed) version directory older than the newest
     committed one.  Returns the versions deleted."""
     if keep < 1:
         raise ValueError("keep must be at least 1")
     committed = committed_versions(spark, root, name)
     if not committed:
         return []
-    gone = [v for v in _versions(spark, root, name) if v not in committed[-keep:] and v < committed[-1]]
+    needed = set(committed[-keep:])
+    for v in committed[-keep:]:  # and the older versions whose buckets they still show
+        if bucket_count(spark, root, name, v) is not None:
+            needed.update(_version_of(p) for p in bucket_paths(spark, root, name, v).values())
+            needed.add(max((w for w in committed if w <= v and _FULL in _names(spark, version_path(root, name, w))), default=v))
+    gone = [v for v in _versions(spark, root, name) if v not in needed and v < committed[-1]]
     for v in gone:
         delete_path(spark, version_path(root, name, v))
     return gone

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from boardlake.plans.pipeline import CLUSTER, KINDS, _bad, keep_rejects, newest_first
+from boardlake.plans.pipeline import CLUSTER, KINDS, _bad, _buckets, keep_rejects, newest_first
 from boardlake.schemas import CARDS_JSON, MEMBER_COLUMNS, MEMBERS_JSON
 from boardlake.session import checkpoint_root
 from boardlake.sources.landing import CORRUPT, LANDED, _typed_cards
@@ -50,7 +50,8 @@ def compact_changes(spark: SparkSession, root: str, kind: str = "cards", plan: s
     good = read_parts(spark, root, name, keys).where("NOT __bad").drop("__bad", CORRUPT)
     version = merge_into(spark, root, table, good, ["id"], order_by=newest_first(kind),
                          keep_newer="dateLastActivity" if kind == "cards" else None,
-                         cluster_by=CLUSTER.get(table), plan=plan, drop=tuple(LANDED))
+                         cluster_by=CLUSTER.get(table), plan=plan, drop=tuple(LANDED),
+                         buckets=_buckets(spark, root, table, None))
     delete_parts(spark, root, name, keys)
     return version
 

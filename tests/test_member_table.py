@@ -1,0 +1,117 @@
+"""Reports of a members table against the single reports, one member at a time."""
+
+import datetime as dt
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from boardlake.operators import member_table as mt
+from boardlake.operators.activity import MemberSpec, member_activity, member_activity_many
+from boardlake.operators.member_table import member_activity_table, specs_table
+from boardlake.plans import pipeline as P
+from boardlake.plans.catalog import REPORT_SPECS
+from boardlake.plans import standins as si
+from boardlake.schemas import GOLD_A
+from boardlake.sources.tables import read_table, write_snapshot
+from conftest import rows
+
+NAMES = ["Ann Lee", "Bo Li", "Ann Lee, Bo Li", "", None, "a_b%c, Émile Ωmega", "x\\y", "Al", "日本 太郎", "anna\nbell", "Ann Lee" * 40]
+TEXTS = ["Ann Lee", "Ann", "Li", "L", "", "Lee, B", "_", "%", "_n", "a_b%c", "A__ L", "b\\%c", "\\\\", "本 太", "nobody at all", "e, É", "x\\\\y", "a%l"]
+
+
+def cards_of(spark, kind="timestamp"):
+    day = dt.datetime(2023, 1, 1)
+    data = [(f"c{k}", f"n{k}", text, None if k % 4 == 3 else day + dt.timedelta(hours=6 * k), "d", "b")
+            for k, text in enumerate(NAMES * 3)]
+    df = spark.createDataFrame(data, "id string, name string, card_members string, t timestamp, LastUpdated string, board_name string")
+    return df.withColumn("dateLastActivity", F.col("t").cast(kind)).drop("t")
+
+
+def one_by_one(cards, specs):
+    out = []
+    for s in specs:
+        if s.member is not None:
+            got = member_activity(cards, s.member, s.start, s.end, s.match, s.bounds, GOLD_A, s.date_format, s.tz)
+            out += [(s.report, s.member, *r) for r in map(tuple, got.collect())]
+    return sorted(out, key=repr)
+
+
+def all_specs():
+    ranges = [(None, None), ("2023-01-02", "2023-01-05"), ("2023-01-03", None), ("2023-01-04", "2023-01-04")]
+    specs = []
+    for k, text in enumerate(TEXTS):
+        for match in ("contains", "like"):
+            lo, hi = ranges[(k + len(specs)) % len(ranges)]
+            bounds = ("closed_ts", "open_ts", "closed_date")[len(specs) % 3]
+            specs.append(MemberSpec(f"r{len(specs)}", text, lo, hi, match, bounds, tz="+07:00" if len(specs) % 5 == 2 else None))
+    return specs
+
+
+def usable(spec):
+    # LIKE fails on a backslash before other characters; 'contains' takes any text.
+    return spec.match == "contains" or "\\" not in spec.member.replace("\\\\", "").replace("\\%", "").replace("\\_", "")
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("probe_bytes", [0, mt.PROBE_BYTES])
+def test_table_equals_single_reports(spark, kind, probe_bytes):
+    cards, specs = cards_of(spark, kind).cache(), [s for s in all_specs() if usable(s)]
+    specs += specs[:3] + [MemberSpec("null", None)]  # repeated rows count each, a null member matches nothing
+    got = member_activity_table(cards, specs_table(spark, specs), GOLD_A, probe_bytes=probe_bytes)
+    assert got.columns == ["report", "member", *GOLD_A]
+    assert rows(got) == one_by_one(cards, specs)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.text("ab_% é", max_size=6), st.sampled_from(["contains", "like"])), min_size=1, max_size=8),
+       st.lists(st.one_of(st.none(), st.text("ab_% é", max_size=9)), max_size=8))
+def test_table_equals_single_reports_on_any_text(spark, members, names):
+    cards = spark.createDataFrame([(f"c{k}", "n", t, dt.datetime(2023, 1, 1), "d", "b") for k, t in enumerate(names)],
+                                  "id string, name string, card_members string, dateLastActivity timestamp, LastUpdated string, board_name string")
+    specs = [MemberSpec(f"r{k}", m, match=how) for k, (m, how) in enumerate(members)]
+    assert rows(member_activity_table(cards, specs_table(spark, specs))) == one_by_one(cards, specs)
+
+
+def test_thirteen_reports_and_the_scan_of_specs(spark):
+    unique = si.unique(spark, "/root/testdata/sf0.001").cache()
+    got = member_activity_table(unique, specs_table(spark, REPORT_SPECS))
+    assert rows(got) == rows(member_activity_many(unique, REPORT_SPECS)) and got.count() > 0
+
+
+def test_ten_thousand_members_are_no_literals_of_the_plan(spark):
+    cards = spark.range(3000).select(
+        F.col("id").cast("string").alias("id"), F.lit("n").alias("name"), F.lit("d").alias("LastUpdated"), F.lit("b").alias("board_name"),
+        F.concat_ws(", ", *[F.format_string("Person %05d", F.pmod(F.col("id") * k, F.lit(10_000))) for k in (1, 7, 31)]).alias("card_members"),
+        F.lit(dt.datetime(2023, 1, 1)).alias("dateLastActivity")).cache()
+    members = spark.range(10_000).select(F.concat(F.lit("r"), "id").alias("report"), F.format_string("Person %05d", "id").alias("member"))
+    got = member_activity_table(cards, members)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Person 0" not in plan and "Join Inner" in plan and "Cartesian" not in got._jdf.queryExecution().executedPlan().toString()
+    names = cards.select("id", F.explode(F.split("card_members", ", ")).alias("member")).distinct()
+    want = names.join(members, "member").select("report", "member", "id")
+    assert rows(got, "report", "member", "id") == rows(want, "report", "member", "id")
+
+
+def test_members_table_of_dates_and_defaults(spark):
+    cards = cards_of(spark)
+    members = spark.createDataFrame([("a", "Ann Lee", "01-01-2023", "03-01-2023", "dd-MM-yyyy"), ("b", "Bo Li", None, None, "yyyy-MM-dd")],
+                                    "report string, member string, start string, end string, date_format string")
+    want = one_by_one(cards, [MemberSpec("a", "Ann Lee", "2023-01-01", "2023-01-03"), MemberSpec("b", "Bo Li")])
+    assert rows(member_activity_table(cards, members)) == want
+    plain = members.select("report", "member", F.to_date("start", "dd-MM-yyyy").alias("start"), F.to_date("end", "dd-MM-yyyy").alias("end"))
+    assert rows(member_activity_table(cards, plain.where("report = 'a'"))) == [w for w in want if w[0] == "a"]
+    assert rows(member_activity_table(cards, members.where("false"))) == []
+    assert rows(member_activity_table(cards.where("false"), members)) == []
+    for column in ("match", "bounds"):
+        with pytest.raises(Exception, match=f"{column} must be one of"):
+            member_activity_table(cards, members.withColumn(column, F.lit("wrong"))).collect()
+
+
+def test_report_job_from_a_members_table(spark, tmp_path):
+    root = str(tmp_path / "t")
+    write_snapshot(cards_of(spark), root, P.SILVER_UNIQUE)
+    specs = [s for s in all_specs() if usable(s)]
+    P.gold_member_table(spark, root, specs_table(spark, specs))
+    assert rows(read_table(spark, root, P.GOLD_REPORTS)) == one_by_one(cards_of(spark), specs)
