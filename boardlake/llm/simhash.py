@@ -18,7 +18,9 @@ a bucket leave its task, never all its pairs.
 Defined results: a null text counts as empty; a text without words has
 fingerprint zero and links like any other; a null doc_id is never a
 component_id unless a component holds no other id; repeated rows come back
-as often as they came in; an empty table gives an empty result.
+as often as they came in (``simhash_dedup`` keeps one of them); very long texts
+are hashed SHINGLES_AT_ONCE shingles at a time; extra columns are ignored, and
+kept by ``simhash_dedup``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,10 +30,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from boardlake.llm.common import components, pick, stored
+from boardlake.llm.common import components, free_name, pick, sql_name, stored, with_fields
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -74,17 +77,17 @@ def fingerprint(text: str | None, words_per_shingle: int = SHINGLE_WORDS, seed:
     return int.from_bytes(np.packbits(counts * 2 > len(starts), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) for every row; ``fp`` holds the 64 bits as a signed long."""
-    rows = pick(docs, doc_id="doc_id", text="text")
+def fingerprints(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(*keep, fp) for every row of ``docs``; ``fp`` holds the 64 bits as a signed long."""
+    rows = pick(docs, text="text", **{c: c for c in keep})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
             found = np.array([fingerprint(t.as_py(), words_per_shingle) for t in texts], np.uint64)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.record_batch([*(batch.column(c) for c in keep), pa.array(found.view(np.int64))], [*keep, "fp"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
+    return rows.mapInArrow(run, with_fields(rows, "fp long", ("text",)))
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -269,25 +272,53 @@ def near_links(codes: DataFrame, max_bits: int = MAX_BITS, bucket_max: int = BUC
             return done
 
 
+def _tagged(docs: DataFrame, keep: tuple[str, ...], words_per_shingle: int, max_bits: int, bucket_max: int) -> DataFrame:
+    """(*keep, fp, component) for every row of ``docs``; ``component`` is the smallest fingerprint reachable."""
+    fps = stored(fingerprints(docs, words_per_shingle, keep), "fingerprints")
+    comps = components(near_links(fps, max_bits, bucket_max), "simhash-components")
+    return fps.join(comps, fps.fp == comps.node, "left").select(*keep, "fp", F.coalesce("component", "fp").alias("component"))
+
+
 def simhash_components(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                        bucket_max: int = BUCKET_MAX) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs(doc_id, text)``."""
-    fps = stored(fingerprints(docs, words_per_shingle), "fingerprints")
-    links = near_links(fps, max_bits, bucket_max)
-    comps = components(links, "simhash-components")
-    tagged = fps.join(comps, fps.fp == comps.node, "left").select(
-        "doc_id", "fp", F.coalesce("component", "fp").alias("component"))
+    tagged = _tagged(docs, ("doc_id",), words_per_shingle, max_bits, bucket_max)
     # Stored, so that the join deals both sides itself and can split a component of very many rows.
     least = stored(tagged.groupBy("component").agg(F.min("doc_id").alias("component_id")), "simhash-least")
     return tagged.join(least, "component").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def simhash_dedup(docs: DataFrame, **params) -> DataFrame:
-    """One document of each component stays: the rows of its smallest doc_id, all columns.
+def simhash_dedup(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+                  bucket_max: int = BUCKET_MAX) -> DataFrame:
+    """One row of each component stays, with all its columns: that of the smallest doc_id.
 
-    Rows without a doc_id stay only if their component has no doc_id at all.
+    Rows without a doc_id come after all others; of rows that share their id
+    the one of the smaller text hash stays, and of rows that share their text
+    too, the first by their other columns.
     """
-    stay = simhash_components(docs, **params).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = stored(stay.select(F.col("doc_id").alias("__stay_id")).distinct(), "simhash-stay")
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__stay_id")), "left_semi")
+    hashes = [F.xxhash64("text"), F.xxhash64("text", F.lit(7))]
+    key = [free_name(docs, n) for n in ("__text_hash", "__text_hash2")]
+    keyed = docs.withColumns(dict(zip(key, hashes)))
+    tagged = _tagged(keyed, ("doc_id", *key), words_per_shingle, max_bits, bucket_max)
+    each = tagged.groupBy("component", "doc_id", *key).agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *key, "n")).alias("s")
+    stay = stored(each.groupBy("component").agg(first).select(
+        *[F.col(f"s.{c}").alias(f"__stay_{k}") for k, c in enumerate(("doc_id", *key, "n"))]), "simhash-stay")
+
+    def rows_of(chosen: DataFrame) -> DataFrame:
+        match = F.col("doc_id").eqNullSafe(F.col("__stay_0"))
+        for k, c in enumerate(key):
+            match = match & F.col(c).eqNullSafe(F.col(f"__stay_{k + 1}"))
+        return keyed.join(chosen, match, "left_semi")
+
+    out = rows_of(stay.where("__stay_3 = 1"))
+    again = stay.where("__stay_3 > 1")
+    if not again.isEmpty():
+        # Rows that agree in id and text; a partial limit leaves one of them a task before the shuffle.
+        rest = [c for c in docs.columns if c not in ("doc_id", "text") and not isinstance(docs.schema[c].dataType, T.MapType)]
+        order = F.xxhash64(*[F.col(sql_name(c)) for c in rest]) if rest else F.lit(0)
+        number = free_name(docs, "__number")
+        numbered = rows_of(again).withColumn(number, F.row_number().over(Window.partitionBy("doc_id", *key).orderBy(order)))
+        out = out.unionByName(numbered.where(F.col(number) == 1).drop(number))
+    return out.drop(*key)

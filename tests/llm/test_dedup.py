@@ -208,3 +208,28 @@ def test_many_copies_of_a_vector_and_an_empty_table(spark):
     assert found[0].n_links == 319 and found[310].n_links == 319 and found[900].n_links == 0
     assert {r.component_id for r in found.values()} == {0, 900}
     assert vector_components(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_simhash_dedup_keeps_one_row_of_each_component(spark):
+    """Null and repeated ids: components 3, 3, null and null, null leave two rows."""
+    near = "one two three four five six seven eight nine ten eleven twelve"
+    far = "quite another text about the sea and the mountains beyond it with many other words"
+    rows = [(3, near, "a"), (3, near, "b"), (None, near, "c"), (None, far, "d"), (None, far, "e")]
+    for data in (rows, rows[::-1], rows * 3):
+        docs = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(3)
+        kept = S.simhash_dedup(docs)
+        assert kept.columns == docs.columns
+        assert sorted((r.doc_id is None, r.text) for r in kept.collect()) == [(False, near), (True, far)]
+    # a null id stays behind other ids, equal ids by their texts
+    same = spark.createDataFrame([(5, near, "x"), (5, near + " ", "y"), (None, near, "z")], "doc_id long, text string, source string")
+    assert [r.doc_id for r in S.simhash_dedup(same).collect()] == [5]
+    one = S.simhash_dedup(same).collect()
+    assert one == S.simhash_dedup(same.orderBy(F.desc("source"))).collect()
+    assert S.simhash_dedup(same.limit(0)).collect() == []
+
+
+def test_simhash_dedup_is_the_smallest_id_of_each_component(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = {r.component_id for r in S.simhash_components(docs).collect()}
+    kept = S.simhash_dedup(docs)
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(want) and kept.columns == docs.columns
