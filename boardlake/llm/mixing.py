@@ -20,8 +20,12 @@ A target is given as shares by value (any positive numbers; values it leaves
 out get nothing), or as a power: shares proportional to the margin's own
 tokens to that power, which lifts small values.
 
+Targets that contradict each other (a source in one language only, wanted at
+three times that language's share) have no such weights: given ones raise
+InfeasibleTargets, and the default ones warn and give the last round's factors.
+
 Cells, margins and factors stay Spark tables, so no number of sources is too
-many; the driver reads two numbers a round, the largest misfit and factor.
+many; the driver reads one number a round, the largest misfit.
 
 Defined results: null is a value of its own in each margin; documents without
 tokens take their cell's number, those of a cell without any token at most
@@ -33,6 +37,7 @@ besides those named are kept by ``mix`` and ignored by the rest.
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -45,8 +50,8 @@ POWER = 0.7
 SEED = 42
 #: Tokens of the registered samples, as a share of the corpus's.
 SHARE = 0.5
-#: Largest relative misfit of a margin, and rounds at most.
-TOLERANCE, ROUNDS = 1e-6, 60
+#: Relative misfit of a margin at which raking ends, rounds without a better one after which it gives up, and misfit taken as met.
+TOLERANCE, STALL, MAX_MISFIT = 1e-6, 8, 1e-3
 
 
 def word_count(text: Column) -> Column:
@@ -84,28 +89,52 @@ def target_shares(cells: DataFrame, margin: str, target: float | dict) -> DataFr
     return wanted.select(margin, (F.col("share") / total).alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict, tolerance: float = TOLERANCE, rounds: int = ROUNDS) -> DataFrame:
-    """``cells(source, lang, topic, tokens)`` with ``factor``, the raked tokens over the cell's own."""
+class InfeasibleTargets(ValueError):
+    """No weights of the cells have all target shares."""
+
+
+def rake(cells: DataFrame, targets: dict, tolerance: float = TOLERANCE, stall: int = STALL) -> tuple[DataFrame, float]:
+    """``cells(source, lang, topic, tokens)`` with ``factor``, the raked tokens over the cell's own; and the misfit left.
+
+    The misfit is the largest relative change that a margin still asked for
+    in the last round.  Rounds go on until it is at most ``tolerance``, or
+    has not fallen by a hundredth in ``stall`` rounds: then the targets
+    contradict each other.
+    """
     margins = list(targets)
     shares = {m: target_shares(cells, m, targets[m]) for m in margins}
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    current = held = stored(cells.withColumn("factor", F.lit(1.0)), "raked")
-
-    for _ in range(rounds):
-        current = current.withColumn("gap", F.lit(0.0))
+    held = stored(cells.withColumn("factor", F.lit(1.0)), "raked")
+    best, since = float("inf"), 0
+    while True:
+        current = held.withColumn("gap", F.lit(0.0))
         for m in margins:
             sums = current.groupBy(m).agg(F.sum(F.col("tokens") * F.col("factor")).alias("t"))
             # A value that the target leaves out gets nothing; one without tokens stays as it is.
             step = F.when(F.col("t") > 0, F.coalesce("share", F.lit(0.0)) * total / F.col("t")).otherwise(1.0)
             step = sums.join(shares[m], m, "left").select(m, step.alias("step"))
             gap = F.when(F.col("step") > 0, F.greatest("gap", F.abs(F.col("step") - 1))).otherwise(F.col("gap"))
-            after = current.join(step, m).withColumns({"factor": F.col("factor") * F.col("step"), "gap": gap}).drop("step")
-            current = stored(after, "raked")
-            discard(held)
-            held = current
-        if (current.agg(F.max("gap")).first()[0] or 0.0) <= tolerance:
-            break
-    return current.drop("gap")
+            current = current.join(step, m).withColumns({"factor": F.col("factor") * F.col("step"), "gap": gap}).drop("step")
+        # One table a round: cells are few, so its three margins are cheaper to do again than to store.
+        after = stored(current, "raked")
+        misfit = after.agg(F.max("gap")).first()[0] or 0.0
+        discard(held)
+        held = after.drop("gap")
+        held._scratch_path = after._scratch_path
+        best, since = (misfit, 0) if misfit < 0.99 * best else (best, since + 1)
+        if misfit <= tolerance or since >= stall:
+            return held, misfit
+
+
+def fitted(cells: DataFrame, targets: dict | None, max_misfit: float = MAX_MISFIT) -> DataFrame:
+    """``rake``'s factors.  Targets that can't all be met raise InfeasibleTargets; the default ones, which nobody asked for, only warn."""
+    raked, misfit = rake(cells, targets or default_targets())
+    if misfit > max_misfit:
+        says = f"the targets contradict each other: a margin is still off by {misfit:.3g} of its share"
+        if targets:
+            raise InfeasibleTargets(says)
+        warnings.warn(says, stacklevel=2)
+    return raked
 
 
 def default_targets(power: float = POWER) -> dict:
@@ -132,12 +161,12 @@ def scale_of(raked: DataFrame, share: float | None, repeats: bool) -> float:
     return scale
 
 
-def with_expected(rows: DataFrame, targets: dict, names: dict[str, str], share: float | None, repeats: bool) -> DataFrame:
+def with_expected(rows: DataFrame, targets: dict | None, names: dict[str, str], share: float | None, repeats: bool) -> DataFrame:
     """``rows`` with expected copies; ``names`` gives the columns of source, lang, topic, tokens and the new one."""
     keys = {m: F.col(sql_name(names[m])) for m in MARGINS}
     cells = stored(rows.select(*[named(c).alias(m) for m, c in keys.items()], F.col(sql_name(names["tokens"])).alias("tokens"))
                    .groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "cells")
-    raked = rake(cells, targets)
+    raked = fitted(cells, targets)
     expected = F.col("factor") * F.lit(scale_of(raked, share, repeats))
     if share is None or not repeats:
         expected = F.least(expected, F.lit(1.0))
@@ -174,7 +203,7 @@ def mixing_plan(docs: DataFrame, targets: dict | None = None, seed: int = SEED,
     rows = docs.select("doc_id", F.col("source").alias("source"), F.col("lang").alias("lang"), "text", tokens.alias("n_tokens"))
     rows = rows.select("doc_id", "source", "lang", layout_topic(F.col("text"), F.col("n_tokens")).alias("topic"), "n_tokens",
                        draw(F.col("doc_id"), F.col("text"), seed).alias("u"))
-    found = with_expected(stored(rows, "mixing-rows"), targets or default_targets(),
+    found = with_expected(stored(rows, "mixing-rows"), targets,
                           {"source": "source", "lang": "lang", "topic": "topic", "tokens": "n_tokens", "expected": "expected"},
                           share, repeats).withColumn("copies", copies_of(F.col("expected"), F.col("u")))
     return found.select("doc_id", "source", "lang", "topic", "n_tokens", F.least("expected", F.lit(1.0)).alias("probability"),
@@ -200,7 +229,7 @@ def mix(docs: DataFrame, targets: dict | None = None, seed: int = SEED, share: f
     tokens, topic, expected = (free_name(docs, n) for n in ("__tokens", "__topic", "__expected"))
     rows = docs.withColumn(tokens, word_count(F.col("text")))
     rows = rows.withColumn(topic, layout_topic(F.col("text"), F.col(tokens)))
-    found = with_expected(rows, targets or default_targets(),
+    found = with_expected(rows, targets,
                           {"source": "source", "lang": "lang", "topic": topic, "tokens": tokens, "expected": expected}, share, repeats)
     copies = copies_of(F.col(expected), draw(F.col("doc_id"), F.col("text"), seed))
     columns = [F.col(sql_name(c)) for c in docs.columns]

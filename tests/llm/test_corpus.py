@@ -215,6 +215,47 @@ def test_raked_probabilities_meet_every_margin(spark):
     assert kept == pytest.approx(sum(r.n_tokens * r.probability for r in rows), rel=0.1)
 
 
+def raked_by_hand(cells, targets, rounds=4000):
+    """Iterative proportional fitting over a dict of cells, margin by margin."""
+    weight, total = dict(cells), sum(cells.values())
+    for _ in range(rounds):
+        for m, shares_of in enumerate(targets):
+            sums = {}
+            for cell, w in weight.items():
+                sums[cell[m]] = sums.get(cell[m], 0.0) + w
+            weight = {cell: w * shares_of.get(cell[m], 0.0) * total / sums[cell[m]] if sums[cell[m]] else w for cell, w in weight.items()}
+    return {cell: weight[cell] / n for cell, n in cells.items()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_factors_are_those_of_raking_by_hand(spark, seed):
+    rng = np.random.default_rng(seed)
+    cells = {(f"=s{a}", f"=l{b}", f"=t{c}"): int(rng.integers(1, 500)) for a in range(4) for b in range(3) for c in range(3) if rng.random() < 0.8}
+    given = [{f"s{a}": float(rng.integers(1, 9)) for a in range(4)}, {f"l{b}": float(rng.integers(1, 9)) for b in range(3)},
+             {f"t{c}": float(rng.integers(1, 9)) for c in range(3)}]
+    table = spark.createDataFrame([(*k, n) for k, n in cells.items()], "source string, lang string, topic string, tokens long")
+    raked, misfit = mixing.rake(table, dict(zip(mixing.MARGINS, given)))
+    assert misfit <= mixing.TOLERANCE
+    want = raked_by_hand(cells, [{f"={k}": w / sum(t.values()) for k, w in t.items()} for t in given])
+    got = {(r.source, r.lang, r.topic): r.factor for r in raked.collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], rel=1e-4) for k in want)
+
+
+def test_targets_that_contradict_each_other_are_reported(spark, monkeypatch):
+    """Two sources, each in one language, wanted 3 to 1 and 1 to 3: no weights have both margins."""
+    docs = spark.createDataFrame([(k, "some words here and there", f"l{k % 2}", "AB"[k % 2], 5) for k in range(200)],
+                                 "doc_id long, text string, lang string, source string, n_chars int")
+    targets = {"source": {"A": 3, "B": 1}, "lang": {"l0": 1, "l1": 3}, "topic": 1.0}
+    for make in (mixing_plan, mix):
+        with pytest.raises(mixing.InfeasibleTargets, match="contradict"):
+            make(docs, targets)
+    monkeypatch.setattr(mixing, "default_targets", lambda: targets)
+    with pytest.warns(UserWarning, match="contradict"):
+        assert mixing_plan(docs).count() == 200
+    fits = {"source": {"A": 3, "B": 1}, "lang": {"l0": 3, "l1": 1}, "topic": 1.0}
+    assert {r.source: round(r.probability, 6) for r in mixing_plan(docs, fits).collect()} == {"A": 1.0, "B": 0.333333}
+
+
 def test_unwanted_values_and_empty_tables(spark):
     docs = mix_docs(spark, 300)
     rows = mixing_plan(docs, {"source": {"a": 1, "b": 1}, "lang": 1.0, "topic": 1.0}).collect()
