@@ -4,8 +4,8 @@ Works on many words at once: lattice nodes are the places between characters,
 edges the pieces that fit, found with a trie kept as sorted arrays.  A
 character that is no piece itself has one edge that stands for its bytes.
 No piece has a word mark behind another character, so a text's lattice is
-the chain of the lattices of its words.  Runs of over WORD_CHARS characters
-without white space are cut every WORD_CHARS characters.
+the chain of the lattices of its words.  A word is as long as it is: time
+and memory are linear in the characters of the words worked on together.
 """
 
 from __future__ import annotations
@@ -18,9 +18,8 @@ from boardlake.llm.common import worker_cache
 
 #: The vocabulary's word mark, which stands for a space, and what a word mark in a text is read as.
 MARK, FOREIGN = 0x2581, 0x1FFFFF
-WORD_CHARS = 1000
 #: Words with the spaces before them; line breaks, which no piece holds, are words.
-WORDS = re.compile(f" *[^ \\n]{{1,{WORD_CHARS}}}| {{1,{WORD_CHARS}}}|\\n")
+WORDS = re.compile(r" *[^ \n]+| +|\n")
 
 
 class Pieces:

@@ -32,7 +32,7 @@ from boardlake.llm.token_text import text_parts
 
 ALPHA, ZIPF_SHIFT, SEED = 1.0, 2.0, 42
 #: Bytes of text drawn together, words drawn together, and draws numbered in a row for a word; further ones (long runs of spaces) go on from 2^40.
-TEXT_BYTES, WORDS_AT_ONCE, DRAWS = 3 << 20, 400_000, 2048
+TEXT_BYTES, WORDS_AT_ONCE, DRAWS = 3 << 19, 200_000, 2048
 
 
 def zipf_logp(pieces: Pieces, alpha: float = ALPHA) -> np.ndarray:
@@ -65,8 +65,12 @@ def draw(pieces: Pieces, logp: np.ndarray, words: list[str], seeds: np.ndarray,
     change = np.concatenate([[True], head[1:] != head[:-1]])
     first = np.zeros(lattice.nodes, np.int64)
     first[head[change]] = np.flatnonzero(change)
-    total = np.cumsum(chance)
-    upto = total - np.repeat((total - chance)[change], np.diff(np.append(np.flatnonzero(change), len(head))))
+    # Summed inside each node, so that no other word of the slice touches a digit; a node has ``longest`` edges at most.
+    upto, begins = chance.copy(), np.flatnonzero(change)
+    rank = np.arange(len(head)) - np.repeat(begins, np.diff(np.append(begins, len(head))))
+    for k in range(1, int(rank.max(initial=0)) + 1):
+        at = np.flatnonzero(rank == k)
+        upto[at] += upto[at - 1]
     upto[np.append(change[1:], True)] = 1.0
     # Words of a kind side by side keep the look-ups close together.
     who = np.argsort(kind, kind="stable")

@@ -7,11 +7,13 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from boardlake.llm import sampling
 from boardlake.llm.elias_fano import EliasFano, encode
-from boardlake.llm.langid import WordScores, keep_identified, language_id, score_texts
+from boardlake.llm.langid import LETTERS, WordScores, keep_identified, language_id, learn, predict, score_texts
 from boardlake.llm.lattice import FOREIGN, Lattice, Pieces, pieces_of
+from boardlake.llm.lattice import WORDS as WORDS_PATTERN
 from boardlake.llm.queries import tokenizer_path
 from boardlake.llm.token_counts import token_counts
 from boardlake.llm.token_files import document_starts, pack_block, read_token_files, unpack_blocks, write_token_files
@@ -224,9 +226,66 @@ def test_language_id_edge_cases(spark):
     assert language_id(docs_of(spark, []), MODEL).collect() == []
     unlabelled = language_id(docs_of(spark, [english]), MODEL).collect()
     assert (unlabelled[0].lang_pred, unlabelled[0].score) == ("und", 0.0)
-    with pytest.raises(ValueError):
-        from boardlake.llm.langid import learn
-        learn(docs, MODEL, max_languages=1)
+
+
+def test_language_blocks_give_what_all_languages_at_once_give(spark):
+    """More languages than a block holds: the same languages and posteriors, in blocks of any size."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang IS NOT NULL").select(
+        "doc_id", F.when(F.col("doc_id") % 9 == 0, F.lit("12")).otherwise(F.col("text")).alias("text"),
+        F.concat("lang", F.lit("-"), F.col("doc_id") % 5).alias("lang"))
+    whole = {r.doc_id: r for r in predict(docs, learn(docs, MODEL)).collect()}
+    assert len({r.lang_pred for r in whole.values()}) > 8
+    for block in (1, 3, 7):
+        languages = learn(docs, MODEL, block)
+        assert max(map(len, languages.blocks)) <= block < 9
+        for r in predict(docs, languages).collect():
+            assert r.lang_pred == whole[r.doc_id].lang_pred and r.score == pytest.approx(whole[r.doc_id].score, rel=1e-9)
+
+
+def test_more_languages_than_one_block_give_a_result(spark):
+    texts = [f"word{chr(97 + k % 26)}{chr(97 + k // 26)} the same words in all of them" for k in range(300)]
+    docs = docs_of(spark, texts, range(300), [f"l{k:03d}" for k in range(300)])
+    found = predict(docs.select("doc_id", "text"), learn(docs, MODEL)).collect()
+    assert len(learn(docs, MODEL).blocks) == 2 and sum(r.lang_pred == f"l{r.doc_id:03d}" for r in found) > 200
+
+
+def test_word_scores_do_not_depend_on_the_memory(monkeypatch):
+    from boardlake.llm import langid
+    monkeypatch.setattr(langid, "CACHE_WORDS", 5)
+    logp = np.log(np.random.default_rng(3).dirichlet(np.ones(pieces_of(MODEL).size), 4).T)
+    scores, words = WordScores(MODEL, logp), [f"w{chr(97 + k % 7)}x{chr(97 + k % 11)}" for k in range(60)]
+    for k in range(0, 60, 6):
+        part = words[k:k + 6] + ["frequent"]
+        assert np.array_equal(scores.of(part), WordScores(MODEL, logp).of(part))
+        assert len(scores.at) <= 5 + 7
+
+
+def test_words_of_any_length_are_one_lattice():
+    """No cut inside a run without white space: the sum over all segmentations of a word beyond the old bound of 1,000."""
+    pieces = pieces_of(MODEL)
+    logp = np.log(np.random.default_rng(1).dirichlet(np.ones(pieces.size), 2).T)
+    word = "学校" * 700 + "internationalisation" * 10
+    assert LETTERS.findall(word) == [word] and WORDS_PATTERN.findall(" " + word) == [" " + word]
+    lattice = Lattice(pieces, [" " + word])
+    got = lattice.forward(lattice.weights(logp))[lattice.stop][0]
+    names = {pieces.library.id_to_piece(i): i for i in range(pieces.size) if pieces.surface[i] and not pieces.library.is_byte(i)}
+    text, alpha = "▁" + word, [np.zeros(2)]
+    for end in range(1, len(text) + 1):
+        paths = [alpha[end - n] + logp[names[text[end - n:end]]] for n in range(1, min(end, pieces.longest) + 1) if text[end - n:end] in names]
+        if text[end - 1] not in names:
+            paths.append(alpha[end - 1] + logp[pieces.byte_id[list(text[end - 1].encode())]].sum(axis=0))
+        alpha.append(np.logaddexp.reduce(paths))
+    assert got == pytest.approx(alpha[-1])
+    draws, counts = sampling.draw(pieces, sampling.zipf_logp(pieces), [" " + word], np.array([5], np.uint64), np.array([0]))
+    assert pieces.decode(draws).decode() == " " + word
+
+
+def test_draws_do_not_depend_on_other_rows():
+    pieces = pieces_of(MODEL)
+    logp, texts = sampling.zipf_logp(pieces), [f"unbelievable conversations number {k} of many representations" for k in range(40)]
+    both = sampling.segment(pieces, logp, list(range(40)), texts)
+    for k in (0, 17, 39):
+        assert sampling.segment(pieces, logp, [k], [texts[k]])[0].tolist() == both[k].tolist()
 
 
 def brute_draw(pieces, logp, word, seed, place):
