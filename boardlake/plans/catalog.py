@@ -24,7 +24,7 @@ from boardlake.operators.refine import board_filter, refine_cards, unique_cards
 from boardlake.operators.upsert import upsert
 from boardlake.plans import standins as si
 from boardlake.schemas import GOLD_A, GOLD_B, GOLD_C, MEMBERS_JSON
-from boardlake.sources.landing import (parse_boards_column, parse_cards_column, parse_json_field, parse_lists_column,
+from boardlake.sources.landing import (cast_failures, parse_boards_column, parse_cards_column, parse_json_field, parse_lists_column,
                                        parse_members_column)
 from boardlake.sources.scratch import stored
 from boardlake.sources.tables import widen
@@ -68,8 +68,7 @@ def _ntz(text: str):
 
 # ---------------------------------------------------------------- queries
 
-def q_bronze_cards_json(spark: SparkSession, d: str) -> DataFrame:
-    """Card JSON text -> typed bronze rows; bad timestamp text -> null."""
+def _card_texts(spark: SparkSession, d: str) -> DataFrame:
     o = si.table(spark, d, "orders")
     iso = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
     status = F.col("o_orderstatus")
@@ -88,7 +87,17 @@ def q_bronze_cards_json(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit("https://b.example/"), F.hex("o_orderkey")).alias("shortUrl"),
         F.when(status != "F", F.concat(F.lit("https://b.example/c/"), F.hex("o_orderkey"))).alias("url"),
     ))
-    cards = parse_cards_column(o.select(payload.alias("value")), "value")
+    return o.select(payload.alias("value"))
+
+
+def q_bronze_cast_failures(spark, d):
+    """Every text that could not be read, with its row's id and its field."""
+    return cast_failures(parse_cards_column(_card_texts(spark, d), "value", failures=True))
+
+
+def q_bronze_cards_json(spark: SparkSession, d: str) -> DataFrame:
+    """Card JSON text -> typed bronze rows; bad timestamp text -> null."""
+    cards = parse_cards_column(_card_texts(spark, d), "value")
     return cards.select("id", "closed",
                         F.col("dateLastActivity").cast("timestamp_ntz").alias("dateLastActivity"),
                         F.col("due").cast("timestamp_ntz").alias("due"),
@@ -255,6 +264,21 @@ def q_overwrite_widen(spark, d):
     return widen(new, old.schema)
 
 
+def q_overwrite_widen_types(spark, d):
+    """An int column becomes long, a decimal gets more digits, and a struct a field and a wider one."""
+    o = si.table(spark, d, "orders")
+    old = o.select(F.col("o_orderkey").cast("int").alias("id"), F.col("o_totalprice").cast("decimal(12,1)").alias("price"),
+                   F.struct(F.col("o_custkey").cast("int").alias("customer"), F.col("o_orderstatus").alias("status")).alias("badge"))
+    new = o.select(F.col("o_orderkey").cast("long").alias("id"), F.col("o_totalprice").cast("decimal(14,2)").alias("price"),
+                   F.when(F.col("o_orderkey") % 3 != 0, F.struct(
+                       (F.col("o_custkey").cast("long") + (1 << 40)).alias("customer"), F.col("o_orderpriority").alias("priority"))).alias("badge"))
+    # What the table would hold: the rows before, read under the new schema, and the new ones.
+    schema = widen(new, old.schema).schema
+    rows = widen(new, old.schema).unionByName(widen(old, schema))
+    return rows.select("id", F.col("price").cast("double").alias("price"), F.col("badge.customer").alias("customer"),
+                       F.col("badge.status").alias("status"), F.col("badge.priority").alias("priority"), F.col("badge").isNull().alias("unmarked"))
+
+
 def q_board_date(spark, d):
     """Sprint date parsed from board names in five spellings."""
     return dated_boards(si.sprint_boards(spark, d)).select("id", "board_date")
@@ -431,6 +455,7 @@ def q_medallion_e2e(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "medallion_e2e": q_medallion_e2e,
     "bronze_cards_json": q_bronze_cards_json,
+    "bronze_cast_failures": q_bronze_cast_failures,
     "bronze_members_json": q_bronze_members_json,
     "json_parse": q_json_parse,
     "project_cards": q_project_cards,
@@ -451,6 +476,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_evolve": q_upsert_evolve,
     "upsert_latest": q_upsert_latest,
     "overwrite_widen": q_overwrite_widen,
+    "overwrite_widen_types": q_overwrite_widen_types,
     "board_date": q_board_date,
     "current_board": q_current_board,
     "current_board_last_listed": q_current_board_last_listed,

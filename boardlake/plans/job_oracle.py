@@ -66,6 +66,12 @@ WHERE idList = (SELECT id FROM cur) || '/O' AND dateLastActivity < TIMESTAMP '{c
     "job_member_reports": _reports(),
     "job_overwrite": f"WITH {CARDS}\nSELECT id, NULL::BOOLEAN AS closed, dateLastActivity, idBoard, idList, name, o_totalprice AS price\n"
                      "FROM cards JOIN orders ON id = o_orderkey WHERE NOT closed",
+    "job_idle_stream": f"""{FIRST},
+{SECOND},
+latest AS (SELECT * FROM day2 WHERE CAST(id AS BIGINT) % 2 = 0 UNION ALL SELECT * FROM day1 WHERE NOT closed OR CAST(id AS BIGINT) % 2 <> 0),
+clock AS (SELECT max(dateLastActivity + to_days(CAST(CAST(id AS BIGINT) % 20 AS INTEGER) + n)) AS t
+       FROM (SELECT id, dateLastActivity, 0 AS n FROM day1 UNION ALL SELECT id, dateLastActivity, 1 FROM day2))
+SELECT id, name, idBoard, idList, dateLastActivity FROM latest, clock WHERE dateLastActivity < t - INTERVAL {c.IDLE_DAYS} DAY""",
     "job_stream": f"{FIRST},\n{SECOND}\nSELECT * FROM day2 WHERE CAST(id AS BIGINT) % 2 = 0 UNION ALL "
                   "SELECT * FROM day1 WHERE NOT closed OR CAST(id AS BIGINT) % 2 <> 0",
 }

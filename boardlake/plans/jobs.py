@@ -20,6 +20,7 @@ from boardlake.plans import standins as si
 from boardlake.plans.incremental import refine_changes
 from boardlake.sources.scratch import scratch_path
 from boardlake.sources.tables import prune_versions, read_table, write_snapshot
+from boardlake.streaming.idle import RECORD, idle_now, log_idle
 from boardlake.streaming.ingest import compact_changes, stream_cards
 
 #: Buckets of the card tables.
@@ -200,6 +201,19 @@ def q_job_stream(spark, d):
     return _plain(read_table(spark, root, P.BRONZE_CARDS), *CARD)
 
 
+def q_job_idle_stream(spark, d):
+    """ST1, G0 with state: cards idle when the last record landed; a record lands up to 20 days after its activity."""
+    root, (first, second) = scratch_path(spark, "lake"), cards_of_days(spark, d)
+    for n, cards in enumerate((first, second)):
+        days = F.make_interval(days=F.pmod(F.col("id").cast("long"), F.lit(20)).cast("int") + n)
+        cards.select("id", "name", "idBoard", "idList", F.col("dateLastActivity").cast("timestamp").alias("activity"),
+                     (F.col("dateLastActivity") + days).cast("timestamp").alias("landed"), F.lit(f"file-{n}").alias("file")
+                     ).write.parquet(f"{root}/land/records/day={n}")
+    records = spark.readStream.schema(RECORD).parquet(f"{root}/land/records/day=*")
+    log_idle(records, root, c.IDLE_DAYS, checkpoint=f"{root}/checkpoint").awaitTermination()
+    return _plain(idle_now(spark, root), "id", "name", "idBoard", "idList", "dateLastActivity")
+
+
 QUERIES = {f"job_{name}": globals()[f"q_job_{name}"] for name in (
     "bronze_cards", "bronze_members", "boards", "lists", "silver", "refine_changes", "unique", "gold_idle", "gold_member", "member_reports",
-    "overwrite", "stream")}
+    "overwrite", "stream", "idle_stream")}

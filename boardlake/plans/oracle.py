@@ -235,6 +235,11 @@ WHERE idList = '{c.BOARD}/F'
     "range_tz": f"WITH {CARDS} SELECT id, dateLastActivity FROM cards WHERE "
                 + _range(c.ACT_START, c.ACT_END, "closed_date", col="(dateLastActivity + INTERVAL 7 HOUR)"),
     "activity_all_members": _all_members(),
+    "bronze_cast_failures": "SELECT CAST(o_orderkey AS VARCHAR) AS id, 'due' AS field, 'garbage' AS raw FROM orders WHERE o_orderstatus = 'P'",
+    "overwrite_widen_types": """SELECT CAST(o_orderkey AS BIGINT) AS id, CAST(CAST(o_totalprice AS DECIMAL(14, 2)) AS DOUBLE) AS price,
+  CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_custkey AS BIGINT) + 1099511627776 END AS customer, NULL::VARCHAR AS status,
+  CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS priority, o_orderkey % 3 = 0 AS unmarked FROM orders
+UNION ALL SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12, 1)) AS DOUBLE), o_custkey, o_orderstatus, NULL, FALSE FROM orders""",
     "activity_member_table": SILVER_CHAIN + """, people AS (
   SELECT s_suppkey AS k, s_name AS full_name FROM supplier
   UNION ALL SELECT -c_custkey, 'Supplier#' || right(c_name, 9) FROM customer

@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from boardlake.operators.activity import MemberSpec, idle_cards, member_activity, member_activity_many
@@ -20,7 +20,8 @@ from boardlake.operators.dedupe import latest_per_key
 from boardlake.operators.member_table import member_activity_table
 from boardlake.operators.refine import refine_cards, unique_cards
 from boardlake.schemas import GOLD_A
-from boardlake.sources.landing import CORRUPT, LANDED, newest_landed, read_boards, read_cards, read_lists, read_members
+from boardlake.sources.landing import (CORRUPT, FAILURES, LANDED, cast_failures, newest_landed, read_boards, read_cards,
+                                       read_lists, read_members)
 from boardlake.sources.tables import (BUCKET, bucket_count, bucket_of, delete_parts, latest_version, merge_into,
                                       read_parts, read_table, write_part, write_snapshot)
 
@@ -90,20 +91,34 @@ def _run_key(spark: SparkSession, root: str, table: str) -> str:
     return f"batch-{(latest_version(spark, root, table) or 0) + 1:08d}"
 
 
-def _staged(raw: DataFrame, root: str, kind: str, run: str) -> DataFrame:
+def _staged(raw: DataFrame, root: str, kind: str, run: str, metrics: dict | None = None) -> DataFrame:
     """``raw`` with a ``__bad`` flag, written once, so that its JSON is parsed once.
 
-    A run that is started again writes the same part again.
+    A run that is started again writes the same part again.  ``metrics`` gets
+    the counts of rows, rejects and unreadable fields, observed while writing.
     """
-    spark = raw.sparkSession
-    write_part(raw.withColumn("__bad", _bad(raw)), root, f"staged_{kind}", run)
+    spark, flagged = raw.sparkSession, raw.withColumn("__bad", _bad(raw))
+    failures = F.sum(F.size(FAILURES) if FAILURES in raw.columns else F.lit(0))
+    counts = Observation(f"{kind}-{run}")
+    observed = flagged.observe(counts, F.count(F.lit(1)).alias("rows"), F.count_if("__bad").alias("rejected"),
+                               F.coalesce(failures, F.lit(0)).cast("long").alias("cast_failures"))
+    write_part(observed if metrics is not None else flagged, root, f"staged_{kind}", run)
+    if metrics is not None:
+        metrics.update(counts.get)
     return read_parts(spark, root, f"staged_{kind}", [run])
 
 
 def keep_rejects(staged: DataFrame, root: str, kind: str, run: str) -> None:
     """Write the run's unusable records as a part of ``rejected_<kind>``; other runs' parts stay."""
-    rejects = staged.where("__bad").drop("__bad", *LANDED)
+    rejects = staged.where("__bad").drop("__bad", FAILURES, *LANDED)
     write_part(rejects, root, f"rejected_{kind}", run)
+    if FAILURES in staged.columns:
+        write_part(cast_failures(staged.where("NOT __bad")), root, f"cast_failures_{kind}", run)
+
+
+def read_cast_failures(spark: SparkSession, root: str, kind: str = "cards") -> DataFrame | None:
+    """(id, field, raw): text of kept rows that could not be read and is null in its column, of all runs."""
+    return read_parts(spark, root, f"cast_failures_{kind}")
 
 
 def read_rejects(spark: SparkSession, root: str, kind: str) -> DataFrame | None:
@@ -112,7 +127,8 @@ def read_rejects(spark: SparkSession, root: str, kind: str) -> DataFrame | None:
 
 
 def ingest_bronze(spark: SparkSession, landing: str, root: str, kind: str = "cards",
-                  multi_line: bool = False, plan: str = "shuffle", buckets: int | None = None) -> int:
+                  multi_line: bool = False, plan: str = "shuffle", buckets: int | None = None,
+                  metrics: dict | None = None) -> int:
     """Upsert a landing directory of card or member JSON into bronze.
 
     The whole batch is one upsert (the reference ran one MERGE per object).
@@ -123,14 +139,20 @@ def ingest_bronze(spark: SparkSession, landing: str, root: str, kind: str = "car
     plan of the upsert.  ``buckets`` cuts the table into so many buckets (cards
     by board, members by id), of which a batch rewrites only its own; a table
     that is cut stays so, and 0 makes it whole again.
+
+    A row with an unreadable date stays, with a null; the text goes to
+    ``cast_failures_<kind>`` with the row's id and the field's name.
+    ``metrics``, a dict, gets the counts of rows, rejects and such fields.
     """
     if kind not in KINDS:
         raise ValueError("kind must be 'cards' or 'members'")
     reader, table, _ = KINDS[kind]
     run = _run_key(spark, root, table)
-    staged = _staged(reader(spark, landing, multi_line, keep_corrupt=True, landed=True), root, kind, run)
+    extra = {"failures": True} if kind == "cards" else {}
+    raw = reader(spark, landing, multi_line, keep_corrupt=True, landed=True, **extra)
+    staged = _staged(raw, root, kind, run, metrics)
     keep_rejects(staged, root, kind, run)
-    good = staged.where("NOT __bad").drop("__bad", CORRUPT)
+    good = staged.where("NOT __bad").drop("__bad", CORRUPT, FAILURES)
     version = merge_into(spark, root, table, good, ["id"], order_by=newest_first(kind),
                          cluster_by=CLUSTER.get(table), plan=plan, drop=tuple(LANDED),
                          buckets=_buckets(spark, root, table, buckets))

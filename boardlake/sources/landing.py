@@ -19,6 +19,8 @@ from boardlake.schemas import (BOARDS_JSON, CARD_COLUMNS, CARD_TIMESTAMP_FIELDS,
 
 
 CORRUPT = "_corrupt_record"
+#: Fields of a row whose text could not be read: (field, raw) of each.
+FAILURES = "__cast_failures"
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False,
@@ -34,21 +36,29 @@ def read_json(spark: SparkSession, path: str, schema: StructType, multi_line: bo
     return reader.json(path)
 
 
-def _typed_cards(raw: DataFrame) -> DataFrame:
-    cols = []
+def _typed_cards(raw: DataFrame, failures: bool = False) -> DataFrame:
+    """Card columns with parsed timestamps; ``failures`` adds the FAILURES array.
+
+    Unreadable text is null in its column and kept, with the field's name, in
+    the array, in the same pass that parses it.
+    """
+    cols, failed = [], []
     for c in CARD_COLUMNS:
-        cols.append(parse_timestamp_text(c).alias(c) if c in CARD_TIMESTAMP_FIELDS else F.col(f"`{c}`"))
+        text, parsed = F.col(f"`{c}`"), parse_timestamp_text(c)
+        cols.append(parsed.alias(c) if c in CARD_TIMESTAMP_FIELDS else text)
+        if c in CARD_TIMESTAMP_FIELDS:
+            failed.append(F.when(text.isNotNull() & parsed.isNull(), F.struct(F.lit(c).alias("field"), text.alias("raw"))))
     cols += [F.col(c) for c in (CORRUPT, *LANDED) if c in raw.columns]
-    return raw.select(*cols)
+    return raw.select(*cols, *([F.array_compact(F.array(*failed)).alias(FAILURES)] if failures else []))
 
 
 def read_cards(spark: SparkSession, path: str, multi_line: bool = False,
-               keep_corrupt: bool = False, landed: bool = False) -> DataFrame:
+               keep_corrupt: bool = False, landed: bool = False, failures: bool = False) -> DataFrame:
     """Bronze card rows (12 columns, plus ``_corrupt_record`` with
-    ``keep_corrupt`` and the LANDED columns with ``landed``) from a landing
-    directory of card JSON."""
+    ``keep_corrupt``, the LANDED columns with ``landed`` and FAILURES with
+    ``failures``) from a landing directory of card JSON."""
     raw = read_json(spark, path, CARDS_JSON, multi_line, keep_corrupt)
-    return _typed_cards(with_landed(raw) if landed else raw)
+    return _typed_cards(with_landed(raw) if landed else raw, failures)
 
 
 def read_members(spark: SparkSession, path: str, multi_line: bool = False,
@@ -107,10 +117,15 @@ def newest_landed() -> list[Column]:
     return [F.col(c).desc() for c in LANDED]
 
 
-def parse_cards_column(df: DataFrame, column: str | Column) -> DataFrame:
-    """Card rows from a column of card JSON text (e.g. a message payload)."""
+def parse_cards_column(df: DataFrame, column: str | Column, failures: bool = False) -> DataFrame:
+    """Card rows from a column of card JSON text (e.g. a message payload); FAILURES too with ``failures``."""
     c = F.col(column) if isinstance(column, str) else column
-    return _typed_cards(df.select(F.from_json(c, CARDS_JSON).alias("__card")).select("__card.*"))
+    return _typed_cards(df.select(F.from_json(c, CARDS_JSON).alias("__card")).select("__card.*"), failures)
+
+
+def cast_failures(rows: DataFrame) -> DataFrame:
+    """(id, field, raw) of every field of ``rows`` that could not be read."""
+    return rows.select("id", F.explode(FAILURES).alias("f")).select("id", "f.field", "f.raw")
 
 
 def parse_members_column(df: DataFrame, column: str | Column) -> DataFrame:

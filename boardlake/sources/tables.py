@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from boardlake.sources.scratch import stored
+from boardlake.sources.widening import common_type, widened
 
 _PREFIX = "version="
 _PART = "part="
@@ -160,12 +161,21 @@ def read_table(spark: SparkSession, root: str, name: str, version: int | None =
 
 def widen(df: DataFrame, old_schema: StructType | None) -> DataFrame:
     """Schema-widening overwrite: keep every old column (null where the new
-    data lacks it), in the old order, then append the new columns."""
+    data lacks it), in the old order, then append the new columns.
+
+    A column in both gets their common type, structs field by field; types
+    without one raise ``WideningError``, so no column silently changes its type.
+    """
     if old_schema is None:
         return df
-    new_cols = set(df.columns)
-    cols = [F.col(f"`{f.name}`") if f.name in new_cols else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in old_schema.fields]
+    new = {f.name: f.dataType for f in df.schema.fields}
+    cols = []
+    for f in old_schema.fields:
+        if f.name in new:
+            kind = common_type(f.dataType, new[f.name], f.name)
+            cols.append(widened(F.col(f"`{f.name}`"), new[f.name], kind).alias(f.name))
+        else:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     old_names = {f.name for f in old_schema.fields}
     cols += [F.col(f"`{c}`") for c in df.columns if c not in old_names]
     return df.select(*cols)

@@ -21,7 +21,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from boardlake.plans.pipeline import CLUSTER, KINDS, _bad, _buckets, keep_rejects, newest_first
 from boardlake.schemas import CARDS_JSON, MEMBER_COLUMNS, MEMBERS_JSON
 from boardlake.session import checkpoint_root
-from boardlake.sources.landing import CORRUPT, LANDED, _typed_cards
+from boardlake.sources.landing import CORRUPT, FAILURES, LANDED, _typed_cards
 from boardlake.sources.tables import delete_parts, latest_version, merge_into, parts, read_parts, write_part
 
 
@@ -47,7 +47,7 @@ def compact_changes(spark: SparkSession, root: str, kind: str = "cards", plan: s
     keys = parts(spark, root, name)
     if not keys:
         return latest_version(spark, root, table)
-    good = read_parts(spark, root, name, keys).where("NOT __bad").drop("__bad", CORRUPT)
+    good = read_parts(spark, root, name, keys).where("NOT __bad").drop("__bad", CORRUPT, FAILURES)
     version = merge_into(spark, root, table, good, ["id"], order_by=newest_first(kind),
                          keep_newer="dateLastActivity" if kind == "cards" else None,
                          cluster_by=CLUSTER.get(table), plan=plan, drop=tuple(LANDED),
@@ -67,7 +67,7 @@ def _stream(spark: SparkSession, landing: str, root: str, kind: str, checkpoint:
     meta = F.col("_metadata")
     rows = reader.json(landing).select("*", meta["file_modification_time"].alias(LANDED[0]),
                                        meta["file_path"].alias(LANDED[1]), meta["file_block_start"].alias(LANDED[2]))
-    rows = _typed_cards(rows) if kind == "cards" else rows.select(*MEMBER_COLUMNS, CORRUPT, *LANDED[:3])
+    rows = _typed_cards(rows, failures=True) if kind == "cards" else rows.select(*MEMBER_COLUMNS, CORRUPT, *LANDED[:3])
 
     def log(batch: DataFrame, batch_id: int) -> None:
         # The place in the split is numbered here: a stream's plan may not number rows.
