@@ -12,7 +12,7 @@ with schema evolution on:
 
 The plan is named by a parameter, never chosen by size: ``shuffle`` (the
 default) is one full outer join on the key, ``stream_target`` streams the
-target past a stored source that its file sizes prove small.  See :func:`upsert`.
+target past a stored source that its measured size proves small.  See :func:`upsert`.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ from boardlake.operators.dedupe import latest_per_key
 from boardlake.session import checkpoint_root
 
 PLANS = ("shuffle", "stream_target")
-#: Bytes of Parquet files a stored source may have and still be broadcast by ``stream_target``.
-MAX_SOURCE_FILE_BYTES = 16 << 20
+#: Bytes that a source broadcast by ``stream_target`` may have: of its files, and of its rows as JSON text, which no compression hides.
+MAX_SOURCE_FILE_BYTES, MAX_SOURCE_BYTES = 16 << 20, 64 << 20
 
 _T = "t__"
 _S = "s__"
@@ -137,7 +137,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] = ("id",),
     key once for a full outer join; the uniqueness check of the source
     shares that exchange.  ``stream_target``, for a small batch and a large
     table: the source is written to the cluster's checkpoint folder, and if
-    its files hold at most MAX_SOURCE_FILE_BYTES it is broadcast while the
+    its measured rows hold at most MAX_SOURCE_BYTES it is broadcast while the
     target is only streamed -- one left outer join for kept and updated
     rows, and a semi join on the key columns for the matched keys.  A larger
     source, or a session without that folder, gets the ``shuffle`` plan.
@@ -188,7 +188,9 @@ def _stored_small(src: DataFrame) -> DataFrame | None:
     files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if files.getContentSummary(target).getLength() > MAX_SOURCE_FILE_BYTES:
         return None
-    return spark.read.schema(src.schema).parquet(path)
+    small = spark.read.schema(src.schema).parquet(path)
+    size = small.agg(F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in src.columns]))))).first()[0]
+    return small if (size or 0) <= MAX_SOURCE_BYTES else None
 
 
 def _upsert_streamed(target: DataFrame, src: DataFrame, keys: list[str],

@@ -41,6 +41,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--root", required=True)
     s.add_argument("--kind", required=True, choices=["cards", "members", "boards", "lists"])
     s.add_argument("--multi-line", action="store_true", help="one JSON object per file")
+    s.add_argument("--new-files", action="store_true", help="take in only files that no earlier run took in (cards, members)")
     _bucket_option(s)
 
     s = sub.add_parser("refine", help="bronze -> silver for one board")
@@ -133,7 +134,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     spark = spark or build_session(f"boardlake-{args.cmd}")
 
     if args.cmd == "ingest":
-        if args.kind in ("cards", "members"):
+        if args.kind in ("cards", "members") and args.new_files:
+            v = P.ingest_new(spark, args.landing, args.root, args.kind, args.multi_line, buckets=args.buckets)
+        elif args.kind in ("cards", "members"):
             v = P.ingest_bronze(spark, args.landing, args.root, args.kind, args.multi_line, buckets=args.buckets)
         else:
             v = P.ingest_listing(spark, args.landing, args.root, args.kind, args.multi_line)

@@ -48,8 +48,11 @@ def _reports() -> str:
         f"WHERE {_match(s.member, s.match)} AND {_range(s.start, s.end, s.bounds, s.date_format)}" for s in c.REPORT_SPECS)
 
 
+BRONZE = f"{FIRST},\n{SECOND}\nSELECT * FROM day2 UNION ALL SELECT * FROM day1 WHERE NOT closed"
+
 ORACLE = {
-    "job_bronze_cards": f"{FIRST},\n{SECOND}\nSELECT * FROM day2 UNION ALL SELECT * FROM day1 WHERE NOT closed",
+    "job_bronze_cards": BRONZE,
+    "job_ingest_new": BRONZE,
     "job_bronze_members": """SELECT CAST(s_suppkey AS VARCHAR) AS id, CASE WHEN s_acctbal < 0 THEN s_name || ' jr' ELSE s_name END AS fullName
 FROM supplier""",
     "job_boards": f"WITH {BOARDS}\nSELECT id, name, pos FROM boards",

@@ -22,6 +22,8 @@ from boardlake.operators.refine import refine_cards, unique_cards
 from boardlake.schemas import GOLD_A
 from boardlake.sources.landing import (CORRUPT, FAILURES, LANDED, cast_failures, newest_landed, read_boards, read_cards,
                                        read_lists, read_members)
+from boardlake.sources.manifest import consumed, unconsumed
+from boardlake.sources.scratch import stored
 from boardlake.sources.tables import (BUCKET, bucket_count, bucket_of, delete_parts, latest_version, merge_into,
                                       read_parts, read_table, write_part, write_snapshot)
 
@@ -126,7 +128,7 @@ def read_rejects(spark: SparkSession, root: str, kind: str) -> DataFrame | None:
     return read_parts(spark, root, f"rejected_{kind}")
 
 
-def ingest_bronze(spark: SparkSession, landing: str, root: str, kind: str = "cards",
+def ingest_bronze(spark: SparkSession, landing: str | list[str], root: str, kind: str = "cards",
                   multi_line: bool = False, plan: str = "shuffle", buckets: int | None = None,
                   metrics: dict | None = None) -> int:
     """Upsert a landing directory of card or member JSON into bronze.
@@ -160,6 +162,25 @@ def ingest_bronze(spark: SparkSession, landing: str, root: str, kind: str = "car
     return version
 
 
+def ingest_new(spark: SparkSession, landing: str, root: str, kind: str = "cards", multi_line: bool = False,
+               pattern: str = "*.json*", **options) -> int | None:
+    """R1/R2 over a folder that grows: :func:`ingest_bronze` of the files that no earlier run took in.
+
+    Returns the table's version, which stays as it is when there is no new
+    file (None before the first).  The driver reads the new files' paths, as
+    Spark's own listing does.
+    """
+    _, table, _ = KINDS[kind]
+    files = stored(unconsumed(spark, landing, root, kind, pattern), f"landing-{kind}")
+    paths = sorted(r["path"] for r in files.select("path").collect())
+    if not paths:
+        return latest_version(spark, root, table)
+    run = _run_key(spark, root, table)
+    version = ingest_bronze(spark, paths, root, kind, multi_line, **options)
+    consumed(files, root, kind, run)
+    return version
+
+
 def ingest_listing(spark: SparkSession, landing: str, root: str, kind: str = "boards",
                    multi_line: bool = False) -> int:
     """Board or list listing (S7/S8): replaced as a whole on every run; rejects as in bronze.
