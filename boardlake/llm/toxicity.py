@@ -7,21 +7,25 @@ toxic document with evidence of at least STRONG is toxic, any other word is
 not.  The field has two states; its features are the word's evidence level,
 whether its neighbours are strong, and the transitions.  Forward-backward
 marginals give each word its chance of being toxic; a document's score is the
-calibrated noisy-or of its marginals, and words with a marginal of at least
-SPAN_CHANCE are its offending offsets.
+calibrated noisy-or of its marginals from COUNTED_CHANCE on (the very many
+small ones of a long clean text would add up to a toxic one), and words with a
+marginal of at least SPAN_CHANCE are its offending offsets.
 
 Fitting is cross-fitted: the field sees evidence that was counted on the
 other half of the labelled documents, so that it learns how far to trust it;
-scoring uses evidence counted on all of them.  Model bounds: the LEXICON features of
-the largest exact log odds (every feature of MIN_TOXIC_DOCS toxic documents is
-counted in all clean ones before any is dropped),
+scoring uses evidence counted on all of them.  Every feature of MIN_TOXIC_DOCS
+toxic documents is counted in all clean ones, and every one whose exact log
+odds are at least WEAK is kept, however many there are: the lexicon that goes
+to the workers has 16 bytes a feature, a 64-bit hash and its odds, and grows
+with the vocabulary of toxic documents, not with the documents.  Model bounds:
 about SAMPLE_DOCS whole documents of each class, of every length (by hash; fewer where
 these would hold more than SAMPLE_CHARS characters), for the field's few weights.  Everything else reads all rows and whole texts.
 
 Defined results: null and empty texts score as a text without evidence; rows
 repeating a doc_id in the labels count once, toxic if any says so; null labels
 and null ids teach nothing; without both classes every score is 0; repeated
-documents are scored each; only the columns named are looked at.
+documents are scored each, very long ones whole; an empty table gives no row;
+only the columns named are looked at.
 """
 
 from __future__ import annotations
@@ -43,8 +47,8 @@ WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (5, 7)
 #: Bits of the id filter that keeps texts without a label out of the join: bounds its broadcast.
 FILTER_BITS = 1 << 25
-#: Toxic documents a feature must be in, features kept, and log odds from which one is kept.
-MIN_TOXIC_DOCS, LEXICON, WEAK = 4, 50_000, 1.0
+#: Toxic documents a feature must be in, and log odds from which one is kept.
+MIN_TOXIC_DOCS, WEAK = 4, 1.0
 #: Bounds of the evidence levels; evidence from STRONG on marks a token of a toxic document.
 LEVELS = np.array([1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0, 5.0, 6.0])
 STRONG = 2.5
@@ -308,8 +312,8 @@ def log_odds(toxic: Column, clean: Column, n_toxic: int, n_clean: int) -> Column
     return F.log((toxic + 0.1) / (n_toxic + 1.0)) - F.log((clean + 1.0) / (n_clean + 1.0))
 
 
-def lexicons(rows: DataFrame, sizes: dict) -> list[dict[str, float]]:
-    """Evidence of features, counted on half 0, half 1, and both; at most LEXICON features each."""
+def lexicons(rows: DataFrame, sizes: dict) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Evidence of features, counted on half 0, half 1, and both: (hashes, ascending, and log odds)."""
     toxic = stored(feature_counts(rows.where("toxic")).where(F.col("n0") + F.col("n1") >= MIN_TOXIC_DOCS), "toxic-features")
     # Every candidate is counted in all clean documents; the join drops what the bitmap let through by chance.
     clean = feature_counts(rows.where("NOT toxic"), feature_bits(toxic)).select("feature", F.col("n0").alias("c0"), F.col("n1").alias("c1"))
@@ -318,24 +322,38 @@ def lexicons(rows: DataFrame, sizes: dict) -> list[dict[str, float]]:
     for halves in ([0], [1], [0, 1]):
         t, c = (sum((F.col(f"{kind}{h}") for h in halves[1:]), F.col(f"{kind}{halves[0]}")) for kind in "nc")
         odds = log_odds(t, c, sum(sizes[h, True] for h in halves), sum(sizes[h, False] for h in halves))
-        good = counts.where(t >= (MIN_TOXIC_DOCS if len(halves) == 2 else 2)).select("feature", odds.alias("odds")).where(F.col("odds") >= WEAK)
-        best = good.orderBy(F.col("odds").desc(), "feature").limit(LEXICON).toPandas()
-        out.append(dict(zip(best["feature"], best["odds"].tolist())))
+        good = counts.where(t >= (MIN_TOXIC_DOCS if len(halves) == 2 else 2)).select(F.xxhash64("feature").alias("hash"), odds.alias("odds")).where(F.col("odds") >= WEAK)
+        kept = good.toPandas()
+        order = np.argsort(kept["hash"].to_numpy(np.int64), kind="stable")
+        out.append((kept["hash"].to_numpy(np.int64)[order], kept["odds"].to_numpy(float)[order]))
     return out
 
 
 class Evidence:
     """Largest log odds of words, remembered."""
 
-    def __init__(self, lexicon: dict[str, float]):
-        self.lexicon, self.known = lexicon, {}
+    def __init__(self, lexicon: tuple[np.ndarray, np.ndarray]):
+        self.hashes, self.odds = lexicon or (np.empty(0, np.int64), np.empty(0))
+        self.known: dict[str, float] = {}
+
+    def of_features(self, names: list[str]) -> np.ndarray:
+        """Log odds of each feature, 0 for one that is not kept."""
+        hashes = np.fromiter((xxhash.xxh64_intdigest(f.encode("utf-8"), 42) for f in names), np.uint64, len(names)).view(np.int64)
+        if not len(self.hashes):
+            return np.zeros(len(names))
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.odds[at], 0.0)
 
     def of(self, words: list[str]) -> list[float]:
-        known, get = self.known, self.lexicon.get
+        known = self.known
         if len(known) > CACHE_WORDS:
             known.clear()
-        for w in set(words).difference(known):
-            known[w] = max(0.0, *(get(f, 0.0) for f in features(w)))
+        new = list(set(words).difference(known))
+        if new:
+            each = [features(w) for w in new]
+            sizes = np.fromiter(map(len, each), np.int64, len(each))
+            odds = self.of_features([f for e in each for f in e])
+            known.update(zip(new, np.maximum.reduceat(odds, np.cumsum(sizes) - sizes).clip(0).tolist()))
         return list(map(known.__getitem__, words))
 
 
@@ -344,7 +362,7 @@ def hash_share(salt: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(salt)), 11) * F.lit(2.0 ** -53)
 
 
-def sample_evidence(rows: DataFrame, by_half: list[dict[str, float]]):
+def sample_evidence(rows: DataFrame, by_half: list):
     """Cross-fitted evidence of about SAMPLE_DOCS whole documents of each class: (evidence, sizes, toxic).
 
     A hash alone picks them, at one rate for all lengths of a class, which
@@ -368,7 +386,7 @@ def sample_evidence(rows: DataFrame, by_half: list[dict[str, float]]):
     return np.concatenate(lists), np.array([len(x) for x in lists]), found["toxic"].to_numpy(bool)
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], Weights] | None:
+def learn(docs: DataFrame, labels: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray], Weights] | None:
     """Lexicon and weights, or None without documents of both classes."""
     rows = labelled_docs(docs, labels)
     sizes = dict.fromkeys([(h, t) for h in (0, 1) for t in (True, False)], 0)
@@ -385,7 +403,7 @@ def offending(words: list[tuple[int, int]], chances: np.ndarray) -> list[dict]:
     return [{"start": a, "end": b, "chance": float(c)} for (a, b), c in zip(words, chances) if c >= SPAN_CHANCE]
 
 
-def tag(docs: DataFrame, model: tuple[dict[str, float], Weights] | None) -> DataFrame:
+def tag(docs: DataFrame, model: tuple[tuple[np.ndarray, np.ndarray], Weights] | None) -> DataFrame:
     """All columns of ``docs`` but ``text``, with ``score`` and ``spans``.
 
     A span is a word's character offsets in the text and its marginal.

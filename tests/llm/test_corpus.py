@@ -169,10 +169,22 @@ def test_the_lexicon_is_picked_by_counts_over_all_clean_documents(spark, monkeyp
     text = (F.when(F.col("toxic"), F.concat(F.when(F.col("doc_id") < 40, F.lit("vile ")).otherwise(F.lit("")), F.when(F.col("doc_id") < 60, F.lit(decoys)).otherwise(F.lit(""))))
             .when(T.hash_share(2) >= 1 / 6, F.lit(decoys)).otherwise(F.lit("calm")))
     rows = rows.withColumn("text", text)
-    monkeypatch.setattr(T, "LEXICON", 1)
     sizes = {(h, t): 50 if t else 300 for h in (0, 1) for t in (True, False)}
     *_, both = T.lexicons(rows, sizes)
-    assert both == pytest.approx({"vile": math.log(40.1 / 101) - math.log(1 / 601)})
+    assert len(both[0]) == 1 and T.Evidence(both).of(["vile", "alfa", "golf", "calm"]) == pytest.approx(
+        [math.log(40.1 / 101) - math.log(1 / 601), 0, 0, 0])
+
+
+def test_the_lexicon_has_no_bound(spark):
+    """More features than the 50,000 that were once kept: each is found again."""
+    rows = spark.range(8).select(F.col("id").alias("doc_id"), F.lit(True).alias("toxic"), F.pmod("id", F.lit(2)).cast("int").alias("half"),
+                                 F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(60_000)), lambda k: F.translate(
+                                     F.concat(F.lit("w"), k.cast("string"), F.lit("z")), "0123456789", "abcdefghij"))).alias("text"))
+    clean = spark.range(8, 16).select(F.col("id").alias("doc_id"), F.lit(False).alias("toxic"), F.pmod("id", F.lit(2)).cast("int").alias("half"),
+                                      F.lit("calm").alias("text"))
+    *_, both = T.lexicons(rows.union(clean), {(h, t): 4 for h in (0, 1) for t in (True, False)})
+    assert len(both[0]) > 60_000
+    assert min(T.Evidence(both).of(["wfiidz", "waz", "wgaaaaz"])) > 1 and T.Evidence(both).of(["calm", "wkz"]) == [0, 0]
 
 
 def test_toxicity_without_labels_or_documents(spark):
