@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from boardlake.operators.members import card_member_pairs
 from boardlake.operators.refine import refine_cards
@@ -50,7 +51,9 @@ def changed_keys(spark: SparkSession, root: str, name: str, since: int, until: i
 
     def prints(side: DataFrame, label: str) -> DataFrame:
         # A null hashes to the seed whatever its type, so its place is hashed too.
-        given = [F.col(f"`{c}`") if c in side.columns else F.lit(None) for c in compared]
+        # Maps (of extra keys) have no hash; their text has.
+        given = [F.lit(None) if c not in side.columns else F.to_json(F.col(f"`{c}`")) if isinstance(side.schema[c].dataType, MapType)
+                 else F.col(f"`{c}`") for c in compared]
         nulls = F.concat_ws("", *[F.when(c.isNull(), "0").otherwise("1") for c in given])
         print_ = F.struct(F.xxhash64(*given, nulls), F.xxhash64(nulls, *given, F.lit(1)))
         return side.select(F.col(f"`{key}`").alias(f"{label}_key"), print_.alias(f"{label}_print"))

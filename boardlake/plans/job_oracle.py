@@ -53,6 +53,12 @@ BRONZE = f"{FIRST},\n{SECOND}\nSELECT * FROM day2 UNION ALL SELECT * FROM day1 W
 ORACLE = {
     "job_bronze_cards": BRONZE,
     "job_ingest_new": BRONZE,
+    "job_extras": """SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS name,
+  CASE WHEN o_orderkey % 3 = 0 THEN CAST(floor(o_totalprice) AS BIGINT) END AS price,
+  CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS rank, CASE WHEN o_orderstatus = 'O' THEN CAST(o_custkey AS INTEGER) END AS who
+FROM orders""",
+    "job_drift_report": """SELECT 'price' AS key, count(*) AS n, 'VARIANT' AS type FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL SELECT 'cover', count(*), 'OBJECT<rank: STRING, who: BIGINT>' FROM orders WHERE o_orderstatus = 'O'""",
     "job_bronze_members": """SELECT CAST(s_suppkey AS VARCHAR) AS id, CASE WHEN s_acctbal < 0 THEN s_name || ' jr' ELSE s_name END AS fullName
 FROM supplier""",
     "job_boards": f"WITH {BOARDS}\nSELECT id, name, pos FROM boards",

@@ -18,6 +18,7 @@ from boardlake.plans import catalog as c
 from boardlake.plans import pipeline as P
 from boardlake.plans import standins as si
 from boardlake.plans.incremental import refine_changes
+from boardlake.sources.drift import drift_report, promote
 from boardlake.sources.scratch import scratch_path
 from boardlake.sources.tables import prune_versions, read_table, write_snapshot
 from boardlake.streaming.idle import RECORD, idle_now, log_idle
@@ -120,6 +121,32 @@ def q_job_ingest_new(spark, d):
     return _plain(read_table(spark, root, P.BRONZE_CARDS), *CARD)
 
 
+def _drifted(spark, d) -> str:
+    """Root of a lake whose card files hold keys that no schema declares, of two types on the two days."""
+    root, price = scratch_path(spark, "lake"), F.col("o_totalprice")
+    cards = si.table(spark, d, "orders").select(
+        F.col("o_orderkey").cast("string").alias("id"), F.col("o_custkey").cast("string").alias("name"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.floor(price)).alias("price"),
+        F.when(F.col("o_orderstatus") == "O", F.struct(F.col("o_orderpriority").alias("rank"), F.col("o_custkey").alias("who"))).alias("cover"))
+    _json(cards, f"{root}/land/cards-1")
+    _json(cards.where("id % 6 = 0").withColumn("price", F.col("price").cast("string")), f"{root}/land/cards-2")
+    for day in (1, 2):
+        P.ingest_bronze(spark, f"{root}/land/cards-{day}", root, "cards", buckets=BUCKETS, extras=True)
+    return root
+
+
+def q_job_extras(spark, d):
+    """Keys new upstream, promoted to columns from bronze; numbers that came as text are cast."""
+    bronze = read_table(spark, _drifted(spark, d), P.BRONZE_CARDS)
+    rows = promote(promote(bronze, "price", "long"), "cover", "string", "$.rank", "rank")
+    return promote(rows, "cover", "int", "$.who", "who").select("id", "name", "price", "rank", "who")
+
+
+def q_job_drift_report(spark, d):
+    """S3: the unknown keys of all card records, how many have them and of which type."""
+    return drift_report(read_table(spark, _drifted(spark, d), P.BRONZE_CARDS))
+
+
 def q_job_bronze_members(spark, d):
     """Two days of member files."""
     root = scratch_path(spark, "lake")
@@ -225,5 +252,5 @@ def q_job_idle_stream(spark, d):
 
 
 QUERIES = {f"job_{name}": globals()[f"q_job_{name}"] for name in (
-    "bronze_cards", "ingest_new", "bronze_members", "boards", "lists", "silver", "refine_changes", "unique", "gold_idle", "gold_member", "member_reports",
+    "bronze_cards", "ingest_new", "extras", "drift_report", "bronze_members", "boards", "lists", "silver", "refine_changes", "unique", "gold_idle", "gold_member", "member_reports",
     "overwrite", "stream", "idle_stream")}

@@ -130,7 +130,7 @@ def read_rejects(spark: SparkSession, root: str, kind: str) -> DataFrame | None:
 
 def ingest_bronze(spark: SparkSession, landing: str | list[str], root: str, kind: str = "cards",
                   multi_line: bool = False, plan: str = "shuffle", buckets: int | None = None,
-                  metrics: dict | None = None) -> int:
+                  metrics: dict | None = None, extras: bool = False) -> int:
     """Upsert a landing directory of card or member JSON into bronze.
 
     The whole batch is one upsert (the reference ran one MERGE per object).
@@ -145,12 +145,14 @@ def ingest_bronze(spark: SparkSession, landing: str | list[str], root: str, kind
     A row with an unreadable date stays, with a null; the text goes to
     ``cast_failures_<kind>`` with the row's id and the field's name.
     ``metrics``, a dict, gets the counts of rows, rejects and such fields.
+    ``extras`` keeps the keys that the schema lacks (see ``sources.drift``).
     """
     if kind not in KINDS:
         raise ValueError("kind must be 'cards' or 'members'")
     reader, table, _ = KINDS[kind]
     run = _run_key(spark, root, table)
     extra = {"failures": True} if kind == "cards" else {}
+    extra |= {"extras": True} if extras else {}
     raw = reader(spark, landing, multi_line, keep_corrupt=True, landed=True, **extra)
     staged = _staged(raw, root, kind, run, metrics)
     keep_rejects(staged, root, kind, run)

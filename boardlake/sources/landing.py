@@ -48,25 +48,34 @@ def _typed_cards(raw: DataFrame, failures: bool = False) -> DataFrame:
         cols.append(parsed.alias(c) if c in CARD_TIMESTAMP_FIELDS else text)
         if c in CARD_TIMESTAMP_FIELDS:
             failed.append(F.when(text.isNotNull() & parsed.isNull(), F.struct(F.lit(c).alias("field"), text.alias("raw"))))
-    cols += [F.col(c) for c in (CORRUPT, *LANDED) if c in raw.columns]
+    cols += [F.col(c) for c in (CORRUPT, *LANDED, "extras") if c in raw.columns]
     return raw.select(*cols, *([F.array_compact(F.array(*failed)).alias(FAILURES)] if failures else []))
 
 
 def read_cards(spark: SparkSession, path: str, multi_line: bool = False,
-               keep_corrupt: bool = False, landed: bool = False, failures: bool = False) -> DataFrame:
+               keep_corrupt: bool = False, landed: bool = False, failures: bool = False,
+               extras: bool = False) -> DataFrame:
     """Bronze card rows (12 columns, plus ``_corrupt_record`` with
-    ``keep_corrupt``, the LANDED columns with ``landed`` and FAILURES with
-    ``failures``) from a landing directory of card JSON."""
-    raw = read_json(spark, path, CARDS_JSON, multi_line, keep_corrupt)
-    return _typed_cards(with_landed(raw) if landed else raw, failures)
+    ``keep_corrupt``, the LANDED columns with ``landed``, FAILURES with
+    ``failures`` and unknown keys with ``extras``) from a landing directory of
+    card JSON."""
+    return _typed_cards(_raw(spark, path, CARDS_JSON, multi_line, keep_corrupt, landed, extras), failures)
+
+
+def _raw(spark: SparkSession, path: str, schema: StructType, multi_line: bool, keep_corrupt: bool, landed: bool,
+         extras: bool) -> DataFrame:
+    if extras:
+        from boardlake.sources.drift import read_json_with_extras
+        return read_json_with_extras(spark, path, schema, multi_line, keep_corrupt, landed)
+    raw = read_json(spark, path, schema, multi_line, keep_corrupt)
+    return with_landed(raw) if landed else raw
 
 
 def read_members(spark: SparkSession, path: str, multi_line: bool = False,
-                 keep_corrupt: bool = False, landed: bool = False) -> DataFrame:
-    """Bronze member rows (9 columns, plus the same extras as :func:`read_cards`)."""
-    raw = read_json(spark, path, MEMBERS_JSON, multi_line, keep_corrupt)
-    raw = with_landed(raw) if landed else raw
-    return raw.select(*MEMBER_COLUMNS, *[c for c in (CORRUPT, *LANDED) if c in raw.columns])
+                 keep_corrupt: bool = False, landed: bool = False, extras: bool = False) -> DataFrame:
+    """Bronze member rows (9 columns, plus the same options as :func:`read_cards`)."""
+    raw = _raw(spark, path, MEMBERS_JSON, multi_line, keep_corrupt, landed, extras)
+    return raw.select(*MEMBER_COLUMNS, *[c for c in (CORRUPT, *LANDED, "extras") if c in raw.columns])
 
 
 def read_boards(spark: SparkSession, path: str, multi_line: bool = False,
