@@ -91,6 +91,11 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--keep", type=int, default=3)
     s.add_argument("--table", default=None, help="one table; default: every table under the root")
 
+    s = sub.add_parser("optimize", help="write a table's newest version again in Z-order")
+    s.add_argument("--root", required=True)
+    s.add_argument("--table", required=True)
+    s.add_argument("--by", required=True, help="columns, separated by commas")
+
     s = sub.add_parser("run-all", help="every layer once")
     s.add_argument("--landing-root", required=True)
     s.add_argument("--root", required=True)
@@ -167,6 +172,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         start = stream_cards if args.kind == "cards" else stream_members
         start(spark, args.landing, args.root, args.checkpoint).awaitTermination()
         v = compact_changes(spark, args.root, args.kind)
+    elif args.cmd == "optimize":
+        from boardlake.sources.zorder import optimize
+        v = optimize(spark, args.root, args.table, args.by.split(","))
     elif args.cmd == "prune":
         from boardlake.sources.tables import list_tables, prune_versions
         names = [args.table] if args.table else list_tables(spark, args.root)

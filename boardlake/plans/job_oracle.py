@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from boardlake.plans import catalog as c
 from boardlake.plans.jobs import MOVED_TO
-from boardlake.plans.oracle import CARDS, NAMES, _match, _range
+from boardlake.plans.oracle import CARDS, NAMES, SILVER_CHAIN, _match, _range
 
 FIRST = f"""WITH {CARDS},
 day1 AS (SELECT CAST(id AS VARCHAR) AS id, closed, dateLastActivity, idBoard, idList, name FROM cards)"""
@@ -75,6 +75,8 @@ WHERE idList = (SELECT id FROM cur) || '/O' AND dateLastActivity < TIMESTAMP '{c
     "job_member_reports": _reports(),
     "job_overwrite": f"WITH {CARDS}\nSELECT id, NULL::BOOLEAN AS closed, dateLastActivity, idBoard, idList, name, o_totalprice AS price\n"
                      "FROM cards JOIN orders ON id = o_orderkey WHERE NOT closed",
+    "job_zorder": SILVER_CHAIN + f"""SELECT {GOLD} FROM silver
+WHERE idList LIKE '%/O' AND dateLastActivity < TIMESTAMP '{c.IDLE_AS_OF}' - INTERVAL {c.IDLE_DAYS} DAY""",
     "job_idle_stream": f"""{FIRST},
 {SECOND},
 latest AS (SELECT * FROM day2 WHERE CAST(id AS BIGINT) % 2 = 0 UNION ALL SELECT * FROM day1 WHERE NOT closed OR CAST(id AS BIGINT) % 2 <> 0),

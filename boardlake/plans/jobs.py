@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardlake.operators.activity import MemberSpec
+from boardlake.operators.activity import MemberSpec, idle_cards
+from boardlake.operators.boards import list_lookup
 from boardlake.operators.member_table import specs_table
 from boardlake.plans import catalog as c
 from boardlake.plans import pipeline as P
@@ -21,6 +22,7 @@ from boardlake.plans.incremental import refine_changes
 from boardlake.sources.drift import drift_report, promote
 from boardlake.sources.scratch import scratch_path
 from boardlake.sources.tables import prune_versions, read_table, write_snapshot
+from boardlake.sources.zorder import optimize
 from boardlake.streaming.idle import RECORD, idle_now, log_idle
 from boardlake.streaming.ingest import compact_changes, stream_cards
 
@@ -227,6 +229,14 @@ def q_job_overwrite(spark, d):
     return read_table(spark, root, "t")
 
 
+def q_job_zorder(spark, d):
+    """Silver in Z-order of list and date, and the idle cards of every doing list read from it."""
+    root = scratch_path(spark, "lake")
+    write_snapshot(si.silver(spark, d), root, P.SILVER_CARDS, cluster_by=P.CLUSTER[P.SILVER_CARDS])
+    optimize(spark, root, P.SILVER_CARDS, ["idList", "dateLastActivity"])
+    return idle_cards(read_table(spark, root, P.SILVER_CARDS), list_lookup(si.lists(spark, d), "doing"), c.IDLE_DAYS, c.IDLE_AS_OF)
+
+
 def q_job_stream(spark, d):
     """ST1: two days of card files through the stream's change log; an older card does not replace a newer one."""
     root = scratch_path(spark, "lake")
@@ -253,4 +263,4 @@ def q_job_idle_stream(spark, d):
 
 QUERIES = {f"job_{name}": globals()[f"q_job_{name}"] for name in (
     "bronze_cards", "ingest_new", "extras", "drift_report", "bronze_members", "boards", "lists", "silver", "refine_changes", "unique", "gold_idle", "gold_member", "member_reports",
-    "overwrite", "stream", "idle_stream")}
+    "overwrite", "zorder", "stream", "idle_stream")}

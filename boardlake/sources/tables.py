@@ -20,6 +20,8 @@ changes nothing, and earlier parts stay.
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -181,6 +183,22 @@ def widen(df: DataFrame, old_schema: StructType | None) -> DataFrame:
     return df.select(*cols)
 
 
+@contextlib.contextmanager
+def timestamps_with_statistics(spark: SparkSession):
+    """Tables are written with timestamps in microseconds.
+
+    Spark's default, INT96, has no minimum and maximum in the file, so a
+    filter on a date would skip nothing.
+    """
+    key = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "TIMESTAMP_MICROS")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def write_snapshot(df: DataFrame, root: str, name: str, merge_schema: bool = True,
                    partition_by: list[str] | None = None,
                    cluster_by: list[str] | None = None) -> int:
@@ -202,7 +220,8 @@ def write_snapshot(df: DataFrame, root: str, name: str, merge_schema: bool = Tru
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(version_path(root, name, version))
+    with timestamps_with_statistics(spark):
+        writer.parquet(version_path(root, name, version))
     return version
 
 
@@ -223,7 +242,8 @@ def write_buckets(df: DataFrame, root: str, name: str, by: list[str], n: int, to
     if cluster_by:
         rows = rows.sortWithinPartitions(column, *cluster_by)
     writer = rows.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-    writer.partitionBy(column).parquet(path)
+    with timestamps_with_statistics(spark):
+        writer.partitionBy(column).parquet(path)
     fs, folder = _fs_and_path(spark, path)
     fs.mkdirs(folder)
     written = {int(x.split("=")[1]) for x in _names(spark, path) if x.startswith(f"{column}=")}
