@@ -41,7 +41,7 @@ def test_building_a_query_runs_no_job_and_no_guard(spark):
     from boardlake.plans.catalog import QUERIES
     tracker = spark.sparkContext.statusTracker()
     for name, query in QUERIES.items():
-        if name == "upsert_small_batch":
+        if name in ("upsert_small_batch", "activity_member_table"):   # the latter stores its members' probes
             continue
         for table in ("orders", "lineitem", "supplier", "events"):   # schema reads are known now
             spark.read.parquet(f"{SF}/{table}.parquet").schema
