@@ -13,8 +13,8 @@ UTF-8 bytes, so decoding gives back every text.
 
 Defined results: null and empty texts have no pieces and decode to an empty
 text; a null key counts as the text "null"; repeated rows have the same
-pieces; very long texts are drawn in groups of WORDS_AT_ONCE words; all
-columns of the input are kept, and a clash of names is an error only for the
+pieces; very long texts are drawn in groups of WORDS_AT_ONCE words, and a word
+of any length whole; an empty table gives no row; all columns of the input are kept, and a clash of names is an error only for the
 output names asked for.
 """
 

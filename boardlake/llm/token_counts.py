@@ -7,7 +7,9 @@ of ``token_text``.  Only lengths come back.
 
 Defined results: a null or empty text has no bytes and no tokens; strings of
 special tokens inside a text count as the library's default has them; repeated
-rows are counted each; only the columns doc_id and text are looked at.
+rows are counted each, in any order, so there are no ties; very long texts are
+counted whole; an empty table gives no row; only the columns doc_id and text
+are looked at, and a null doc_id is kept.
 """
 
 from __future__ import annotations

@@ -19,8 +19,9 @@ Defined results: a vector that is null, empty, zero or holds null or
 non-finite components, or whose label is null, links with nothing and is its
 own component; vectors of different length never link; rows without a vec_id
 take part and are kept only if their component has no vec_id; repeated rows
-are separate vectors that link; columns besides vec_id, embedding and label
-are ignored.
+are separate vectors that link; equally small vec_ids are one component_id; an
+empty table gives no row; columns besides vec_id, embedding and label are
+ignored.
 """
 
 from __future__ import annotations
