@@ -5,6 +5,14 @@ exact dedup, SimHash near-dedup (one document of each group stays), mixing of
 sources to target weights, and sampled SentencePiece segmentation.  Each stage
 gets all documents that the one before it kept, as a Parquet table; all but
 the last return the columns of ``documents``.
+
+Defined results: a null or empty text, and one without letters, has no
+language and goes in the first stage; rows without an id or with one that
+repeats pass as rows of their own until a dedup stage finds their text again,
+where the row with the smallest id stays (the longest original in exact dedup
+before that), then the one with the smallest text hash; very long texts are
+worked on whole; an empty table passes all stages empty; further columns, also
+ones named like a stage's own, are kept, and the last stage's two get a free name.
 """
 
 from __future__ import annotations
