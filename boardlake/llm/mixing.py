@@ -114,16 +114,14 @@ def rake(cells: DataFrame, targets: dict, tolerance: float = TOLERANCE, stall: i
             step = F.when(F.col("t") > 0, F.coalesce("share", F.lit(0.0)) * total / F.col("t")).otherwise(1.0)
             step = sums.join(shares[m], m, "left").select(m, step.alias("step"))
             gap = F.when(F.col("step") > 0, F.greatest("gap", F.abs(F.col("step") - 1))).otherwise(F.col("gap"))
-            current = current.join(step, m).withColumns({"factor": F.col("factor") * F.col("step"), "gap": gap}).drop("step")
-        # One table a round: cells are few, so its three margins are cheaper to do again than to store.
-        after = stored(current, "raked")
-        misfit = after.agg(F.max("gap")).first()[0] or 0.0
-        discard(held)
-        held = after.drop("gap")
-        held._scratch_path = after._scratch_path
+            # Stored, as the next margin reads it twice.
+            current = stored(current.join(step, m).withColumns({"factor": F.col("factor") * F.col("step"), "gap": gap}).drop("step"), "raked")
+            discard(held)
+            held = current
+        misfit = held.agg(F.max("gap")).first()[0] or 0.0
         best, since = (misfit, 0) if misfit < 0.99 * best else (best, since + 1)
         if misfit <= tolerance or since >= stall:
-            return held, misfit
+            return held.drop("gap"), misfit
 
 
 def fitted(cells: DataFrame, targets: dict | None, max_misfit: float = MAX_MISFIT) -> DataFrame:
