@@ -1,15 +1,22 @@
-"""Near-duplicate vectors by an exact metric range join over pivot cells.
+"""Near-duplicate vectors by an exact metric range join over a tree of pivot cells.
 
 Vectors are scaled to unit length; cosine >= c is a distance of at most
-``sqrt(2 - 2c)``.  PIVOTS vectors cut the space into cells (each vector's home
-is its nearest pivot), rings of one radius' width cut a cell by the distance
-to its pivot, and hash blocks of about BLOCK_ROWS vectors cut a full ring.  A
-vector is copied from its home block to a later block only if the triangle
-inequality lets a vector there be in range: its distance to the pivot lies
-within the ring widened by the radius, and it lies within the radius of the
-cell's bounding plane.  Every pair within range so meets in exactly one block,
-and blocks are joined independently: a block's own vectors are held (a bounded
-number), copies stream past them, and the cosine in double precision decides.
+``sqrt(2 - 2c)``.  The vectors of a label and length are cut into cells by
+pivots of their own (each vector's home is its nearest pivot), and a cell of
+more vectors than a block holds is cut again by pivots drawn from inside it.
+A cell keeps the interval of its vectors' distances to every pivot of its
+node.  A vector is copied from its home to a later cell only if a vector there
+can be in range: by the triangle inequality its distance to each of the pivots
+lies within the cell's interval widened by the radius, and it lies within the
+radius of the plane that bounds the cell.  Copies go down the tree by the same
+test.  Every pair within range so meets in exactly one leaf.
+
+Leaves are joined independently, and no task gets an unbounded group: a leaf
+that pivots can't divide (LEVELS deep, or a node whose vectors all have one
+home) is cut into hash blocks, each met by all copies and by the blocks before
+it; the copies that meet a block are dealt over slices, each holding the
+block's vectors anew.  A task holds one block while copies stream past it, and
+the cosine in double precision decides.
 
 Equal vectors of a label are one class first, so many copies of a vector are
 one row of the join.  Blocks put out link counts and spanning links, never all
@@ -26,25 +33,31 @@ ignored.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from boardlake.llm.common import components, pick, stored
+from boardlake.llm.common import components, discard, pick, stored
 from boardlake.llm.simhash import _flatten, unite
 
 COSINE = 0.93
-#: Pivots (a bounded sample: the vectors of the smallest hashes), and vectors of a block.
-PIVOTS, BLOCK_ROWS = 16, 2048
-#: Guard against rounding in the cell bounds; the cosine test itself has none.
-SLACK = 1e-9
-KEY = ["label", "dim", "cell", "ring"]
+#: Pivots of a node (at most), components that a block holds (16 MiB of doubles), and levels of the tree.
+PIVOTS, BLOCK_VALUES, LEVELS = 16, 1 << 21, 8
+#: Copies that meet a block in one task, in blocks; and scalar products worked out at once.
+SLICE_BLOCKS, PRODUCTS = 8, 1 << 22
+#: Tables of pivots, cells or leaves up to this size are broadcast, larger ones joined.
+BROADCAST_BYTES = 32 << 20
+#: Guard against rounding in the cell bounds (a distance near zero is known to 2e-8); the cosine test itself has none.
+SLACK = 1e-7
+NODE = ["label", "dim", "path"]
 
 
-def unit_rows(lists: list) -> np.ndarray:
+def unit_rows(x: np.ndarray) -> np.ndarray:
     """Rows scaled to length one, safe for very large and very small components."""
-    x = np.array(lists, np.float64)
+    x = x.astype(np.float64)
     x /= np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
@@ -58,58 +71,128 @@ def vector_classes(rows: DataFrame) -> DataFrame:
     return rows.withColumn("key", F.when(F.coalesce(usable, F.lit(False)), key))
 
 
-def _place(vectors: DataFrame, pivots: DataFrame, radius: float) -> DataFrame:
-    """Each class in its home and in the cells and rings it may have links in."""
-    found = [list(r[0]) for r in pivots.collect()]
-    by_dim = {n: unit_rows([p for p in found if len(p) == n]) for n in {len(p) for p in found}}
-    shared = vectors.sparkSession.sparkContext.broadcast(by_dim)
-
+def unit_vectors(classes: DataFrame) -> DataFrame:
+    """(key, label, n, dim, unit, path, own): the classes at the root of their tree."""
     def run(batches):
         for batch in batches:
-            lists = batch.column("embedding").to_pylist()
-            dims = np.array([len(x) for x in lists])
+            lists = batch.column("embedding")
+            dims = lists.value_lengths().to_numpy()
             for dim in np.unique(dims):
                 at = np.flatnonzero(dims == dim)
-                x = unit_rows([lists[i] for i in at])
-                # A length without a pivot of its own is one cell around the origin's first axis.
-                p = shared.value.get(int(dim), np.eye(1, int(dim)))
-                dist = np.sqrt(np.maximum(2 - 2 * np.clip(x @ p.T, -1, 1), 0))
-                home = dist.argmin(axis=1)
-                near = dist[np.arange(len(at)), home]
-                apart = np.sqrt(np.maximum(2 - 2 * np.clip(p @ p.T, -1, 1), 0))[home]
-                # Distance to the plane between a cell and home; pivots that fall together bound nothing.
-                plane = np.where(apart > 1e-6, (dist ** 2 - near[:, None] ** 2) / (2 * np.maximum(apart, 1e-6)), -np.inf)
-                ring = np.floor(near / radius).astype(int)
-                low = np.floor(np.maximum(dist - radius - SLACK, 0) / radius).astype(int)
-                high = np.floor((dist + radius + SLACK) / radius).astype(int)
-                who, cells, rings = [], [], []
-                for cell in range(len(p)):
-                    open_ = (plane[:, cell] <= radius + SLACK) & (cell >= home)
-                    for shift in range(int((high - low)[:, cell].max()) + 1):
-                        r = low[:, cell] + shift
-                        # Later places only, and the home itself.
-                        on = np.flatnonzero(open_ & (r <= high[:, cell]) & ((cell > home) | (r >= ring)))
-                        who.append(on)
-                        cells.append(np.full(len(on), cell))
-                        rings.append(r[on])
-                who, cells, rings = map(np.concatenate, (who, cells, rings))
-                part = batch.take(pa.array(at[who]))
-                own = (cells == home[who]) & (rings == ring[who])
-                yield pa.record_batch([*part.columns, pa.array(np.full(len(who), dim), pa.int32()), pa.array(cells, pa.int32()),
-                                       pa.array(rings, pa.int32()), pa.array(own)],
-                                      [*part.schema.names, "dim", "cell", "ring", "own"])
-
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vectors.schema.fields)
-    return vectors.mapInArrow(run, f"{fields}, dim int, cell int, ring int, own boolean")
-
-
-def _join_blocks(placed: DataFrame, cosine: float) -> DataFrame:
-    """(key, links, to): link counts of classes and one link of each, by block."""
-    names = ["label", "dim", "cell", "ring", "block"]
+                part = batch.take(pa.array(at))
+                x = unit_rows(part.column("embedding").flatten().to_numpy(zero_copy_only=False).reshape(len(at), dim))
+                unit = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * dim, pa.int32()), pa.array(x.ravel()))
+                yield pa.record_batch([*(part.column(c) for c in ("key", "label", "n")),
+                                       pa.array(np.full(len(at), dim), pa.int32()), unit],
+                                      ["key", "label", "n", "dim", "unit"])
+
+    label = classes.schema["label"].dataType.simpleString()
+    units = classes.select("key", "label", "n", "embedding").mapInArrow(
+        run, f"key string, label {label}, n long, dim int, unit array<double>")
+    return units.withColumns({"path": F.lit(""), "own": F.lit(True)})
+
+
+def _distances(x: Column, pivots: Column) -> Column:
+    """Distances of a unit vector to each pivot."""
+    def one(p: Column) -> Column:
+        cosine = F.aggregate(F.zip_with(x, p, lambda a, b: a * b), F.lit(0.0), lambda total, y: total + y)
+        return F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * cosine))
+    return F.transform(pivots, one)
+
+
+def _hint(df: DataFrame, size: int) -> DataFrame:
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
+def _split(vectors: DataFrame, radius: float, pivots: int, capacity: Column) -> tuple[DataFrame, list[DataFrame]] | None:
+    """The visits of ``vectors`` to the children of their nodes, and tables to discard after use."""
+    own = vectors.where("own")
+    sizes = own.groupBy(*NODE).agg(F.count(F.lit(1)).alias("node_rows"))
+    wanted = F.least(F.lit(pivots), F.greatest(F.lit(2), F.ceil(2 * F.col("node_rows") / capacity)))
+    order = Window.partitionBy(*NODE).orderBy(F.xxhash64("key"), "key")
+    first = own.select(*NODE, "key", "unit").withColumn("place", F.row_number().over(order)).where(F.col("place") <= pivots)
+    found = first.join(sizes, NODE).where(F.col("place") <= wanted).groupBy(*NODE, "node_rows").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("place", "unit"))), lambda p: p["unit"]).alias("pivots"))
+    chosen = stored(found, "vector-pivots")
+    # Upper bound of what a join with the pivots, or with the cells' intervals, ships.
+    k = F.size("pivots").cast("long")
+    size = chosen.agg(F.sum(k * (F.col("dim") + 3 * k) * 8 + 200)).first()[0]
+    if size is None:
+        return None
+    measured = stored(vectors.join(_hint(chosen.select(*NODE, "pivots"), size), NODE).withColumn(
+        "dists", _distances(F.col("unit"), F.col("pivots"))).drop("pivots"), "vector-distances")
+    home = F.array_position("dists", F.array_min("dists")).cast("int") - 1
+    at_home = measured.withColumn("home", home)
+    ends = [F.array(*(end(F.get("dists", F.lit(i))) for i in range(pivots))).alias(name)
+            for end, name in ((F.min, "low"), (F.max, "high"))]
+    cells = at_home.where("own").groupBy(*NODE, "home").agg(F.count(F.lit(1)).alias("rows"), *ends)
+    apart = _distances(F.get("pivots", F.col("home")), F.col("pivots")).alias("apart")
+    cells = cells.join(chosen, NODE).select(*NODE, "node_rows", F.struct("home", "rows", "low", "high", apart).alias("cell"))
+    cells = stored(cells.groupBy(*NODE, "node_rows").agg(F.collect_list("cell").alias("cells")), "vector-cells")
+    reach = radius + SLACK
+
+    def meets(cell: Column) -> Column:
+        def near(i: Column) -> Column:
+            dist = F.get("dists", i)
+            return (dist + reach >= F.get(cell["low"], i)) & (dist - reach <= F.get(cell["high"], i))
+        own_dist, cell_dist = F.array_min("dists"), F.get("dists", cell["home"])
+        plane = cell_dist * cell_dist - own_dist * own_dist <= 2 * radius * F.get(cell["apart"], F.col("home")) + SLACK
+        return plane & F.forall(F.sequence(F.lit(0), F.size("dists") - 1), near)
+
+    # A vector at home goes to its own cell and to later ones, a copy to all.
+    open_ = F.filter("cells", lambda c: F.when(F.col("own") & (c["home"] <= F.col("home")), c["home"] == F.col("home"))
+                     .otherwise(meets(c)))
+    visits = at_home.join(_hint(cells, size), NODE).withColumn("cell", F.explode(open_)).select(
+        "key", "label", "n", "dim", "unit", F.concat_ws(".", "path", F.col("cell.home")).alias("path"),
+        (F.col("own") & (F.col("cell.home") == F.col("home"))).alias("own"),
+        F.col("cell.rows").alias("rows"), "node_rows")
+    return visits, [chosen, measured, cells]
+
+
+def _leaves(classes: DataFrame, radius: float, pivots: int, capacity: Column) -> DataFrame:
+    """(key, label, n, dim, unit, path, own, rows): every class in its leaf, and its copies in others."""
+    current, leaves = stored(unit_vectors(classes), "vector-units"), []
+    for level in range(LEVELS):
+        split = _split(current, radius, pivots, capacity)
+        if split is None:
+            break
+        visits, used = split
+        visits = stored(visits, "vector-visits")
+        for table in used:
+            discard(table)
+        again = (F.col("rows") > capacity) & (F.col("rows") < F.col("node_rows")) & F.lit(level + 1 < LEVELS)
+        leaves.append(visits.where(~again).drop("node_rows"))
+        current = visits.where(again).drop("rows", "node_rows")
+    if not leaves:  # an empty table
+        return current.withColumn("rows", F.lit(0).cast("long"))
+    return functools.reduce(DataFrame.unionByName, leaves)
+
+
+def _deal(leaves: DataFrame, capacity: Column) -> DataFrame:
+    """Leaves cut into blocks, and the copies that meet a block into slices."""
+    counts = stored(leaves.groupBy(*NODE).agg(F.count_if(~F.col("own")).alias("copies"), F.max("rows").alias("held")), "vector-leaves")
+    blocks = F.ceil(F.col("rows") / capacity)
+    # Earlier blocks of a leaf are copies to the later ones.
+    met = F.col("copies") + F.when(blocks > 1, F.col("rows")).otherwise(F.lit(0))
+    slices = F.greatest(F.lit(1), F.ceil(met / (SLICE_BLOCKS * capacity)))
+    dealt = leaves.join(_hint(counts.select(*NODE, "copies"), counts.count() * 200), NODE)
+    dealt = dealt.withColumns({"blocks": blocks.cast("int"), "slices": slices.cast("int")})
+    dealt = dealt.withColumn("own_block", F.pmod(F.xxhash64("key", F.lit(2)), F.col("blocks")).cast("int"))
+    into = F.sequence(F.when(F.col("own"), F.col("own_block")).otherwise(F.lit(0)), F.col("blocks") - 1)
+    dealt = dealt.withColumn("block", F.explode(into)).withColumn("own", F.col("own") & (F.col("block") == F.col("own_block")))
+    one = F.array(F.pmod(F.xxhash64("key", F.lit(3)), F.col("slices")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("slices") - 1)
+    return dealt.withColumn("slice", F.explode(F.when(F.col("own"), every).otherwise(one))).select(
+        "key", "label", "n", "dim", "unit", "path", "own", "block", "slice")
+
+
+def _join_blocks(dealt: DataFrame, cosine: float) -> DataFrame:
+    """(key, links, to): link counts of classes and one link of each, by block and slice."""
+    names = [*NODE, "block", "slice"]
 
     class Block:
-        def __init__(self):
-            self.keys, self.parts, self.sizes, self.x = [], [], [], None
+        def __init__(self, inner: bool):
+            self.keys, self.parts, self.sizes, self.x, self.inner = [], [], [], None, inner
 
         def hold(self, keys, sizes, x):
             self.keys += keys
@@ -117,28 +200,36 @@ def _join_blocks(placed: DataFrame, cosine: float) -> DataFrame:
             self.parts.append(x)
 
         def close(self):
-            """Links among the held vectors."""
+            """Links among the held vectors, found in the first slice alone."""
             self.x, self.n = np.concatenate(self.parts), np.concatenate(self.sizes)
+            self.parts, self.step = [], max(1, PRODUCTS // len(self.n))
             self.links, self.roots = np.zeros(len(self.n), np.int64), np.arange(len(self.n))
-            for a in range(0, len(self.n), 1024):
-                i, j = np.nonzero(self.x[a:a + 1024] @ self.x.T >= cosine)
-                i, j = (i + a)[i + a != j], j[i + a != j]
+            for a in range(0, len(self.n) if self.inner else 0, self.step):
+                i, j = np.nonzero(self.x[a:a + self.step] @ self.x[a:].T >= cosine)
+                i, j = (i + a)[i < j], (j + a)[i < j]
                 self.count(self.links, i, self.n[j])
-                unite(self.roots, i[i < j], j[i < j])
+                self.count(self.links, j, self.n[i])
+                unite(self.roots, i, j)
 
         @staticmethod
         def count(links, at, n):
             links += np.bincount(at, weights=n, minlength=len(links)).astype(np.int64)
 
         def meet(self, keys, sizes, x):
-            i, j = np.nonzero(x @ self.x.T >= cosine)
-            links = np.zeros(len(keys), np.int64)
-            self.count(links, i, self.n[j])
-            self.count(self.links, j, sizes[i])
-            some, first = np.unique(i, return_index=True)
-            to = j[first]
-            unite(self.roots, j, to[np.searchsorted(some, i)])
-            return self.batch([keys[k] for k in some], links[some], [self.keys[k] for k in to])
+            if self.x is None:
+                self.close()
+            for a in range(0, len(keys), self.step):
+                i, j = np.nonzero(x[a:a + self.step] @ self.x.T >= cosine)
+                if not len(i):
+                    continue
+                i += a
+                links = np.zeros(len(keys), np.int64)
+                self.count(links, i, self.n[j])
+                self.count(self.links, j, sizes[i])
+                some, first = np.unique(i, return_index=True)
+                to = j[first]
+                unite(self.roots, j, to[np.searchsorted(some, i)])
+                yield self.batch([keys[k] for k in some], links[some], [self.keys[k] for k in to])
 
         @staticmethod
         def batch(keys, links, to):
@@ -156,45 +247,40 @@ def _join_blocks(placed: DataFrame, cosine: float) -> DataFrame:
         held, at = None, None
         for batch in batches:
             keys, own = batch.column("key").to_pylist(), batch.column("own").to_numpy(zero_copy_only=False)
-            sizes, lists = batch.column("n").to_numpy(), batch.column("embedding").to_pylist()
+            sizes, units = batch.column("n").to_numpy(), batch.column("unit")
             where = list(zip(*(batch.column(c).to_pylist() for c in names)))
             cuts = [0, *(k for k in range(1, len(where)) if where[k] != where[k - 1] or own[k] != own[k - 1]), len(where)]
             for a, b in zip(cuts[:-1], cuts[1:]):
+                if a == b:
+                    continue
                 if where[a] != at:
-                    if held and held.keys:  # a block may get copies only
+                    if held:
                         yield held.rest()
-                    held, at = Block(), where[a]
-                x = unit_rows(lists[a:b])
+                    held, at = None, where[a]
+                x = units.slice(a, b - a).flatten().to_numpy().reshape(b - a, -1)
                 if own[a]:
+                    held = held or Block(where[a][-1] == 0)
                     held.hold(keys[a:b], sizes[a:b], x)
-                elif held.keys:
-                    if held.x is None:
-                        held.close()
-                    yield held.meet(keys[a:b], sizes[a:b], x)
-        if held and held.keys:
+                elif held:  # a block may get copies only
+                    yield from held.meet(keys[a:b], sizes[a:b], x)
+        if held:
             yield held.rest()
 
-    dealt = placed.repartition(*names).sortWithinPartitions(*names, F.col("own").desc())
+    dealt = dealt.repartition(*names).sortWithinPartitions(*names, F.col("own").desc())
     return dealt.mapInArrow(run, "key string, links long, to string")
 
 
-def range_links(classes: DataFrame, cosine: float = COSINE, pivots: int = PIVOTS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(key, links, to) over ``classes(key, label, embedding, n)``: parts of link counts, and spanning links."""
+def range_links(classes: DataFrame, cosine: float = COSINE, pivots: int = PIVOTS, block_rows: int | None = None) -> DataFrame:
+    """(key, links, to) over ``classes(key, label, embedding, n)``: parts of link counts, and spanning links.
+
+    A block holds ``block_rows`` vectors, BLOCK_VALUES components where that is not given.
+    """
     radius = float(np.sqrt(2 - 2 * cosine))
-    chosen = classes.orderBy(F.xxhash64("key"), "key").limit(pivots).select("embedding")
-    placed = stored(_place(classes.select("key", "label", "embedding", "n"), chosen, radius), "placed-vectors")
-    # Blocks of each ring by the vectors at home there; places where no vector is at home drop out.
-    full = stored(placed.where("own").groupBy(*KEY).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks")),
-                  "vector-blocks")
-    own_block = F.pmod(F.xxhash64("key", F.lit(2)), F.col("blocks")).cast("int")
-    dealt = placed.join(full, KEY).withColumn("own_block", own_block)
-    # A vector at home goes to its own block and the later ones, a copy to all of them.
-    blocks = F.sequence(F.when(F.col("own"), F.col("own_block")).otherwise(F.lit(0)), F.col("blocks") - 1)
-    dealt = dealt.withColumn("block", F.explode(blocks)).withColumn("own", F.col("own") & (F.col("block") == F.col("own_block")))
-    return _join_blocks(dealt.select("key", "label", "embedding", "n", "dim", "cell", "ring", "block", "own"), cosine)
-
-
-def vector_components(vectors: DataFrame, cosine: float = COSINE, pivots: int = PIVOTS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    capacity = F.lit(block_rows) if block_rows else F.greatest(F.lit(1), F.floor(F.lit(BLOCK_VALUES) / F.col("dim")))
+    return _join_blocks(_deal(_leaves(classes, radius, pivots, capacity), capacity), cosine)
+
+
+def vector_components(vectors: DataFrame, cosine: float = COSINE, pivots: int = PIVOTS, block_rows: int | None = None) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors(vec_id, embedding, label)``."""
     rows = vector_classes(pick(vectors, vec_id="vec_id", embedding="embedding", label="label"))
     classes = stored(rows.where("key IS NOT NULL").groupBy("key", "label", "embedding").agg(
