@@ -4,6 +4,9 @@ Vectors are scaled to unit length; cosine >= c is a distance of at most
 ``sqrt(2 - 2c)``.  The vectors of a label and length are cut into cells by
 pivots of their own (each vector's home is its nearest pivot), and a cell of
 more vectors than a block holds is cut again by pivots drawn from inside it.
+Where a node has clusters (a tenth of its vectors lie within NEAR radii of a
+pivot), the vectors further off share one cell of their own, so that clusters
+without a pivot stay whole until one of the next pivots is theirs.
 A cell keeps the interval of its vectors' distances to every pivot of its
 node.  A vector is copied from its home to a later cell only if a vector there
 can be in range: by the triangle inequality its distance to each of the pivots
@@ -46,6 +49,8 @@ from boardlake.llm.simhash import _flatten, unite
 COSINE = 0.93
 #: Pivots of a node (at most), components that a block holds (16 MiB of doubles), and levels of the tree.
 PIVOTS, BLOCK_VALUES, LEVELS = 16, 1 << 21, 8
+#: Radii around a pivot that count as near, and the share of near vectors that makes a node clustered.
+NEAR, CLUSTERED = 2, 0.1
 #: Copies that meet a block in one task, in blocks; and scalar products worked out at once.
 SLICE_BLOCKS, PRODUCTS = 8, 1 << 22
 #: Tables of pivots, cells or leaves up to this size are broadcast, larger ones joined.
@@ -121,8 +126,11 @@ def _split(vectors: DataFrame, radius: float, pivots: int, capacity: Column) ->
         return None
     measured = stored(vectors.join(_hint(chosen.select(*NODE, "pivots"), size), NODE).withColumn(
         "dists", _distances(F.col("unit"), F.col("pivots"))).drop("pivots"), "vector-distances")
-    home = F.array_position("dists", F.array_min("dists")).cast("int") - 1
-    at_home = measured.withColumn("home", home)
+    far = F.array_min("dists") > NEAR * radius
+    kinds = stored(measured.where("own").groupBy(*NODE).agg((F.avg((~far).cast("int")) >= CLUSTERED).alias("clustered")), "vector-kinds")
+    nearest = F.array_position("dists", F.array_min("dists")).cast("int") - 1
+    at_home = measured.join(_hint(kinds, size), NODE).withColumn("nearest", nearest).withColumn(
+        "home", F.when(F.col("clustered") & far, F.size("dists")).otherwise(F.col("nearest")))
     ends = [F.array(*(end(F.get("dists", F.lit(i))) for i in range(pivots))).alias(name)
             for end, name in ((F.min, "low"), (F.max, "high"))]
     cells = at_home.where("own").groupBy(*NODE, "home").agg(F.count(F.lit(1)).alias("rows"), *ends)
@@ -136,8 +144,9 @@ def _split(vectors: DataFrame, radius: float, pivots: int, capacity: Column) ->
             dist = F.get("dists", i)
             return (dist + reach >= F.get(cell["low"], i)) & (dist - reach <= F.get(cell["high"], i))
         own_dist, cell_dist = F.array_min("dists"), F.get("dists", cell["home"])
-        plane = cell_dist * cell_dist - own_dist * own_dist <= 2 * radius * F.get(cell["apart"], F.col("home")) + SLACK
-        return plane & F.forall(F.sequence(F.lit(0), F.size("dists") - 1), near)
+        plane = cell_dist * cell_dist - own_dist * own_dist <= 2 * radius * F.get(cell["apart"], F.col("nearest")) + SLACK
+        # The cell of the vectors far from every pivot has no plane.
+        return F.coalesce(plane, F.lit(True)) & F.forall(F.sequence(F.lit(0), F.size("dists") - 1), near)
 
     # A vector at home goes to its own cell and to later ones, a copy to all.
     open_ = F.filter("cells", lambda c: F.when(F.col("own") & (c["home"] <= F.col("home")), c["home"] == F.col("home"))
@@ -146,7 +155,7 @@ def _split(vectors: DataFrame, radius: float, pivots: int, capacity: Column) ->
         "key", "label", "n", "dim", "unit", F.concat_ws(".", "path", F.col("cell.home")).alias("path"),
         (F.col("own") & (F.col("cell.home") == F.col("home"))).alias("own"),
         F.col("cell.rows").alias("rows"), "node_rows")
-    return visits, [chosen, measured, cells]
+    return visits, [chosen, measured, kinds, cells]
 
 
 def _leaves(classes: DataFrame, radius: float, pivots: int, capacity: Column) -> DataFrame:

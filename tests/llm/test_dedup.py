@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from boardlake.llm import simhash as S
+from boardlake.llm import vector_join
 from boardlake.llm.chunk_dedup import MAX_CHUNK, chunk_dedup, hash64, keep_first, verified_width
 from boardlake.llm.common import components
 from boardlake.llm.vector_join import vector_components
@@ -201,6 +202,47 @@ def test_vector_components_match_brute_force(spark, params):
     assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in found) == brute_vectors(rows)
 
 
+def vector_frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+
+
+def clustered(n, seed=5, centres=12, dim=16):
+    """Vectors around a fixed number of centres, as many of them as are asked for."""
+    rng = np.random.default_rng(seed)
+    middle = rng.normal(size=(centres, dim))
+    return (middle[np.arange(n) % centres] + rng.normal(size=(n, dim)) * 0.18).tolist()
+
+
+@pytest.mark.parametrize("slice_blocks", [1, 8])
+def test_deep_trees_and_slices_match_brute_force(spark, monkeypatch, slice_blocks):
+    monkeypatch.setattr(vector_join, "SLICE_BLOCKS", slice_blocks)
+    rows = [(k, v, 1 + k % 2) for k, v in enumerate(clustered(160))]
+    found = vector_components(vector_frame(spark, rows), pivots=3, block_rows=5).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in found) == brute_vectors(rows)
+
+
+def test_vectors_of_1024_dimensions(spark):
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(30, 1024))
+    near = base[:15] + rng.normal(size=(15, 1024)) * rng.uniform(0.2, 0.5, (15, 1))
+    rows = [(k, v.tolist(), 0) for k, v in enumerate([*base, *near])]
+    found = vector_components(vector_frame(spark, rows), block_rows=8).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in found) == brute_vectors(rows)
+
+
+def test_copies_of_clustered_vectors_do_not_grow_with_the_table(spark):
+    def copies(n):
+        classes = vector_frame(spark, [(k, v, 1) for k, v in enumerate(clustered(n))]).select(
+            F.col("vec_id").cast("string").alias("key"), "label", "embedding", F.lit(1).cast("long").alias("n"))
+        radius, rows = float(np.sqrt(2 - 2 * 0.93)), F.lit(n // 8)
+        dealt = vector_join._deal(vector_join._leaves(classes, radius, 16, rows), rows)
+        homes, blocks = dealt.where("own AND slice = 0").count(), dealt.select("path", "block", "slice").distinct().count()
+        assert homes == n and blocks > 4
+        return dealt.where("NOT own").count() / n
+    small, large = copies(300), copies(1200)
+    assert large <= 1.5 * small + 0.5
+
+
 def test_many_copies_of_a_vector_and_an_empty_table(spark):
     rows = [(k, [1.0, 0.0], 1) for k in range(300)] + [(k, [0.99, 0.02], 1) for k in range(300, 320)] + [(900, [1.0, 0.0], 2)]
     schema = "vec_id long, embedding array<float>, label int"
