@@ -1,114 +1,100 @@
 """Idle cards as a stream (G0 with state): a card comes out when it becomes idle.
 
-Event time is the time a record landed, so the watermark is the stream's
-``as_of``, and a card whose last activity is years old is no late record.  The
-state of a card is its newest record (by activity, then by landing, as in
-bronze) and one timer, ``days`` after its activity.  When the watermark passes
-the timer, the card is logged as idle; a newer record of a card that is idle
-logs it as active again and sets the timer anew.  Records may arrive in any
-order and again: an older or equal one changes nothing.  A stream's rows have
-no place in their file, so of a card's records of one file and one activity
-the greatest (name, board, list) counts.
-
-The log is written in parts named by batch id, so a batch that is run again
-replaces its own part.  ``idle_now`` folds it to the cards that are idle.
+Event time is the time a record landed, so the newest landing seen, the clock,
+is the stream's ``as_of``, and a card whose last activity is years old is no
+late record.  The state of a card is its newest record (by activity, then by
+landing, as in bronze) and whether it is idle.  When the clock passes ``days``
+after its activity, the card is logged as idle; a newer record of a card that
+is idle logs it as active again.  Records may arrive in any order and again,
+also ones that landed before the clock: an older or equal one changes nothing.
+A stream's rows have no place in their file, so of a card's records of one file
+and one activity the greatest (name, board, list) counts.
+
+A batch joins its newest records to the state, for all cards at once, instead
+of calling code for each card.  The state is a log too: a batch appends the
+cards that it changed, and the state before a batch is the last row of each
+card in the parts of earlier batches.  So a batch writes its changes alone,
+and reads the state once.  All logs are written in parts named by batch id, and
+a batch that is run again replaces its own.  ``idle_now`` folds the log of
+changes to the cards that are idle.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from boardlake.plans.pipeline import _bad
 from boardlake.schemas import CARDS_JSON
 from boardlake.session import checkpoint_root
 from boardlake.sources.landing import _typed_cards
-from boardlake.sources.tables import read_parts, write_part
+from boardlake.sources.tables import delete_parts, parts, read_parts, write_part
 
-LOG = "idle_log"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+LOG, STATE, CLOCK, BATCH = "idle_log", "idle_state", "idle_clock", "idle_batch"
 RECORD = "id string, name string, idBoard string, idList string, activity timestamp, landed timestamp, file string"
-STATE = "name string, idBoard string, idList string, activity_us long, landed_us long, file string, idle boolean, changes long"
-OUT = "id string, name string, idBoard string, idList string, dateLastActivity timestamp, idle boolean, changes long"
-
-
-def micros(t) -> int | None:
-    return None if pd.isna(t) else pd.Timestamp(t).value // 1000
-
-
-class IdleCards(StatefulProcessor):
-    """Newest record of a card and a timer for when it becomes idle."""
-
-    def __init__(self, days: int):
-        self.days = days
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.card = handle.getValueState("card", STATE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = best = self.card.get()
-        for frame in rows:
-            for r in frame.itertuples():
-                new = (r.name, r.idBoard, r.idList, micros(r.activity), micros(r.landed), r.file)
-                if best is None or self._order(new) > self._order(best):
-                    best = (*new, False, 0)
-        if best is held:
-            return
-        was_idle, changes = (held[6], held[7]) if held else (False, 0)
-        if held and held[3] is not None and not was_idle:
-            self.handle.deleteTimer(self._due(held[3]))
-        if best[3] is not None:
-            self.handle.registerTimer(self._due(best[3]))
-        if was_idle:
-            changes += 1
-            yield self._row(key[0], (*best[:6], False, changes))
-        self.card.update((*best[:6], False, changes))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = self.card.get()
-        now = (*held[:6], True, held[7] + 1)
-        self.card.update(now)
-        yield self._row(key[0], now)
-
-    def close(self) -> None:
-        pass
-
-    def _due(self, activity_us: int) -> int:
-        """The first millisecond that is strictly later than ``days`` after the activity."""
-        return activity_us // 1000 + self.days * 86_400_000 + 1
-
-    @staticmethod
-    def _order(card) -> tuple:
-        return (card[3] is not None, card[3] or 0, card[4], card[5], *((x is not None, x or "") for x in card[:3]))
-
-    @staticmethod
-    def _row(card_id, c) -> pd.DataFrame:
-        activity = pd.Series([None if c[3] is None else pd.Timestamp(c[3], unit="us")], dtype="datetime64[us]")
-        return pd.DataFrame({"id": [card_id], "name": [c[0]], "idBoard": [c[1]], "idList": [c[2]], "dateLastActivity": activity,
-                             "idle": [c[6]], "changes": [c[7]]})
+#: A card's record, in the order in which records are newer; nulls are oldest.
+CARD = ["activity", "landed", "file", "name", "idBoard", "idList"]
+HELD = ("id string, card struct<activity: timestamp, landed: timestamp, file: string, name: string, idBoard: string, idList: string>, "
+        "idle boolean, changes long")
+DAY_US = 86_400_000_000
+
+
+def advance(held: DataFrame, records: DataFrame, days: int, clock: int | None) -> DataFrame:
+    """HELD rows of the cards that ``records`` or the ``clock`` (microseconds) change, and how: ``woke``, ``fell`` or neither.
+
+    A card that was idle and whose newer record is past its time too does both.
+    """
+    newest = records.groupBy("id").agg(F.max(F.struct(*CARD)).alias("new"))
+    before = held.select(F.col("id").alias("held_id"), F.col("card").alias("old"), F.coalesce("idle", F.lit(False)).alias("was_idle"), "changes")
+    both = newest.join(before, F.col("id").eqNullSafe(F.col("held_id")), "full_outer").withColumns({
+        "taken": F.col("new").isNotNull() & (F.col("old").isNull() | (F.col("new") > F.col("old"))),
+        "was_idle": F.coalesce("was_idle", F.lit(False)), "card": F.greatest("new", "old")})
+    due = F.unix_micros("card.activity") + F.lit(days * DAY_US)
+    both = both.withColumn("idle", F.coalesce(due < F.lit(clock).cast("long"), F.lit(False)))
+    both = both.withColumns({"woke": F.col("was_idle") & F.col("taken"), "fell": F.col("idle") & (F.col("taken") | ~F.col("was_idle"))})
+    changes = F.coalesce("changes", F.lit(0)) + F.col("woke").cast("long") + F.col("fell").cast("long")
+    return both.where("taken OR fell").select(F.coalesce("id", "held_id").alias("id"), "card", "idle", changes.alias("changes"), "woke", "fell")
+
+
+def changes_logged(changed: DataFrame) -> DataFrame:
+    """Log rows of ``advance``: each time a card becomes idle, or active again."""
+    times = F.array_compact(F.array(
+        F.when(F.col("woke"), F.struct(F.lit(False).alias("idle"), (F.col("changes") - F.col("fell").cast("long")).alias("changes"))),
+        F.when(F.col("fell"), F.struct(F.lit(True).alias("idle"), F.col("changes").alias("changes")))))
+    return changed.where("woke OR fell").select("id", "card", F.explode(times).alias("t")).select(
+        "id", "card.name", "card.idBoard", "card.idList", F.col("card.activity").alias("dateLastActivity"), "t.idle", "t.changes")
+
+
+def held_before(spark: SparkSession, root: str, key: str) -> DataFrame:
+    """The state (HELD) that the batches before part ``key`` left."""
+    log = read_parts(spark, root, STATE, [k for k in parts(spark, root, STATE) if k < key])
+    if log is None:
+        return spark.createDataFrame([], HELD)
+    return log.groupBy("id").agg(F.max_by(F.struct("card", "idle", "changes"), "batch").alias("s")).select("id", "s.*")
 
 
-def idle_changes(records: DataFrame, days: int, delay: str = "0 seconds") -> DataFrame:
-    """Log rows of a stream of ``records`` (RECORD): each time a card becomes idle, or active again."""
-    keyed = records.withWatermark("landed", delay).groupBy("id")
-    return keyed.transformWithStateInPandas(IdleCards(days), OUT, "Append", "EventTime")
+def log_batch(spark: SparkSession, batch: DataFrame, root: str, days: int, batch_id: int) -> None:
+    """Take a micro-batch of RECORD rows into the state, and log the cards that became idle or active again."""
+    key = f"stream-{batch_id:010d}"
+    write_part(batch, root, BATCH, key)   # the landing is parsed once; what follows runs outside the stream's session
+    records = read_parts(spark, root, BATCH, [key])
+    write_part(records.agg(F.max(F.unix_micros("landed")).alias("clock")), root, CLOCK, key)
+    clock = read_parts(spark, root, CLOCK, [k for k in parts(spark, root, CLOCK) if k <= key]).agg(F.max("clock")).first()[0]
+    changed = advance(held_before(spark, root, key), records, days, clock)
+    write_part(changed.withColumn("batch", F.lit(batch_id).cast("long")), root, STATE, key)
+    write_part(changes_logged(read_parts(spark, root, STATE, [key])), root, LOG, key)
+    delete_parts(spark, root, BATCH, [key])
 
 
 def log_idle(records: DataFrame, root: str, days: int, checkpoint: str | None = None, available_now: bool = True):
-    """Start logging the ``idle_changes`` of a stream of RECORD rows.  Returns the query handle."""
+    """Start logging the changes of a stream of RECORD rows.  Returns the query handle."""
     spark = records.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
     def log(batch: DataFrame, batch_id: int) -> None:
-        write_part(batch, root, LOG, f"stream-{batch_id:010d}")
+        log_batch(spark, batch, root, days, batch_id)
 
-    writer = idle_changes(records, days).writeStream.outputMode("append").foreachBatch(log).option(
+    writer = records.writeStream.foreachBatch(log).option(
         "checkpointLocation", checkpoint or f"{checkpoint_root(spark)}/boardlake/stream_idle")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -11,7 +11,7 @@ from boardlake.operators.dedupe import latest_per_key
 from boardlake.plans.pipeline import newest_first
 from boardlake.sources.landing import read_cards
 from boardlake.sources.tables import parts, read_parts, write_part
-from boardlake.streaming.idle import LOG, idle_now, stream_idle
+from boardlake.streaming.idle import LOG, RECORD, advance, held_before, idle_now, log_batch, stream_idle
 from conftest import rows
 from test_pipeline import card
 
@@ -62,3 +62,41 @@ def test_stream_equals_the_batch_in_any_order(spark, tmp_path, seed):
     # and nothing new lands nothing new
     stream_idle(spark, folder, root, DAYS, checkpoint=ckpt).awaitTermination()
     assert rows(idle_now(spark, root)) == before
+
+
+def record_batch(spark, *records):
+    at = dt.datetime(2023, 1, 1, tzinfo=dt.timezone.utc)
+    data = [(i, name, "b", "l1", None if active is None else at + dt.timedelta(days=active), at + dt.timedelta(days=landed), "f")
+            for i, name, active, landed in records]
+    return spark.createDataFrame(data, RECORD)
+
+
+def test_changes_of_cards_by_batches_and_a_batch_that_runs_again(spark, tmp_path):
+    root = str(tmp_path / "t")
+    batches = [record_batch(spark, ("a", "old", 0, 1), ("b", "undated", None, 1), ("a", "older", -1, 1)),
+               record_batch(spark, ("c", "new", 9, 9)),                         # the clock passes a's time
+               record_batch(spark, ("a", "again", 8, 8)),                       # landed before the clock
+               record_batch(spark, ("a", "late", 8.5, 20), ("c", "new", 9, 9)),  # woke before c's time passes, too late itself
+               record_batch(spark, ("a", "older", -1, 1))]                      # changes nothing
+
+    def logged():
+        return rows(read_parts(spark, root, LOG), "id", "changes", "idle", "name")
+
+    want = [("a", 1, True, "old"), ("a", 2, False, "again"), ("a", 3, True, "late"), ("c", 1, True, "new")]
+    for n, batch in enumerate(batches):
+        for _ in range(2):
+            log_batch(spark, batch, root, DAYS, n)
+    assert logged() == want
+    log_batch(spark, batches[2], root, DAYS, 2)   # from an older checkpoint
+    log_batch(spark, batches[3], root, DAYS, 3)
+    assert logged() == want
+    assert rows(idle_now(spark, root), "id", "name") == [("a", "late"), ("c", "new")]
+
+
+def test_a_record_that_landed_before_the_clock_counts(spark, tmp_path):
+    folder, root, ckpt = str(tmp_path / "cards"), str(tmp_path / "t"), str(tmp_path / "c")
+    for number, (name, active, day) in enumerate([("k1", 1, 30), ("k2", 2, 25)]):  # k2's file shows up with an earlier time
+        land(folder, number, [card(name, name, f"2023-01-{active:02d}T00:00:00.000Z")], day)
+        stream_idle(spark, folder, root, DAYS, checkpoint=ckpt).awaitTermination()
+    assert rows(idle_now(spark, root), "id") == [("k1",), ("k2",)]
+    assert "Python" not in "".join(advance(held_before(spark, root, "z"), record_batch(spark), DAYS, 1)._jdf.queryExecution().executedPlan().toString())
