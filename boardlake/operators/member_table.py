@@ -2,21 +2,24 @@
 
 The members are data: any number of them, none in the plan.  A member's text
 matches a card if it is a substring of the joined names (``contains``) or its
-literal runs are (``like``), so every piece of Q characters of a run must be in
-the card too.  Of those the one in the fewest cards is the member's probe; the
-cards are cut into their distinct pieces of Q characters and joined to the
-probes on equality, and the few pairs that meet are verified by the match
-itself and by the member's date range.  A member with a piece that no card
-holds drops out at once.
-
-Runs shorter than Q are probed by their own length, down to the empty piece,
-which every card holds: a text of wildcards alone matches nearly all cards, and
-its pairs are the result itself.
-
-Each member has one probe and each card holds a piece once, so a pair meets
-once.  A popular piece is one key of many cards: the probes are broadcast if
-their measured rows and characters stay under PROBE_BYTES, and otherwise AQE
-splits the skewed partition of the cards.
+literal runs are (``like``), so every piece of a run must be in the card too.
+Of those the one in the fewest cards is the text's probe; the cards are cut
+into their distinct pieces of the sizes in use and joined to the probes on
+equality, and the pairs that meet are verified by the match itself.  A member
+with a piece that no card holds drops out at once.
+
+A run is cut into pieces of the greatest of SIZES that it is long enough for:
+three characters of a number are in a share of all cards, so that pairs would
+grow with cards times members, while sixteen are in few cards beside those that
+match.  Runs shorter than Q count only if the text has no longer one, down to
+the empty piece, which every card holds: a text of wildcards alone matches
+nearly all cards, and its pairs are the result itself.
+
+A text is met and verified once, however many members have it, and then joined
+to their rows and date ranges.  Each text has one probe and each card holds a
+piece once, so a pair meets once.  A popular piece is one key of many cards:
+each side is broadcast if its measured rows and characters stay under
+PROBE_BYTES, and otherwise AQE splits the skewed partition of the cards.
 """
 
 from __future__ import annotations
@@ -33,8 +36,8 @@ from boardlake.operators.activity import MemberSpec
 from boardlake.schemas import GOLD_A
 from boardlake.sources.scratch import stored
 
-#: Characters of a piece, and bytes (ROW_BYTES a row and 4 a character) up to which probes are broadcast.
-Q, PROBE_BYTES, ROW_BYTES = 3, 64 << 20, 300
+#: Characters of a piece; those that a run needs beside longer ones; bytes (ROW_BYTES a row and 4 a character) up to which probes are broadcast.
+SIZES, Q, PROBE_BYTES, ROW_BYTES = (0, 1, 2, 3, 4, 8, 16), 3, 64 << 20, 300
 
 MEMBER_TABLE = ("report string, member string, match string, bounds string, "
                 "start timestamp, end timestamp, tz string")
@@ -86,15 +89,22 @@ def _pieces(text: Column, size: Column) -> Column:
         F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substring(text, i, size)))
 
 
+def _size_of(run: Column) -> Column:
+    """The greatest of SIZES up to the length of ``run``."""
+    size = F.lit(SIZES[0])
+    for n in SIZES[1:]:
+        size = F.when(F.length(run) >= n, F.lit(n)).otherwise(size)
+    return size
+
+
 def member_pieces(rows: DataFrame) -> DataFrame:
     """(member, match, piece) of each distinct member text: pieces that a matching card must hold."""
     # A backslash is LIKE's escape; cutting there too leaves runs that are surely literal.
     runs = F.when(F.col("match") == "like", F.split("member", r"[_%\\]")).otherwise(F.array("member"))
     found = rows.select("member", "match").distinct().withColumn("runs", runs)
-    size = F.least(F.lit(Q), F.array_max(F.transform("runs", F.length)))
-    found = found.withColumn("size", size)
-    pieces = F.when(F.col("size") == 0, F.array(F.lit(""))).otherwise(
-        F.array_distinct(F.flatten(F.transform("runs", lambda r: _pieces(r, F.col("size"))))))
+    longest = F.array_max(F.transform("runs", F.length))
+    used = F.filter("runs", lambda r: F.length(r) >= F.least(F.lit(Q), longest))
+    pieces = F.array_distinct(F.flatten(F.transform(used, lambda r: _pieces(r, _size_of(r)))))
     return found.select("member", "match", F.explode(pieces).alias("piece"))
 
 
@@ -112,6 +122,22 @@ def rarest_pieces(pieces: DataFrame, cards: DataFrame, members_col: str, sizes:
     return best.where("b.n > 0").select("member", "match", F.col("b.piece").alias("piece"))
 
 
+def met_cards(cards: DataFrame, texts: DataFrame, wanted: Sequence[str], members_col: str, sizes: Sequence[int]) -> DataFrame:
+    """The ``wanted`` columns of each card beside each text whose piece it holds."""
+    cut = cards.where(F.col(members_col).isNotNull()).select(
+        *wanted, F.explode(card_pieces(F.col(members_col), sizes)).alias("__card_piece"))
+    return cut.join(texts, F.col("__card_piece") == F.col("__piece")).drop("__card_piece", "__piece")
+
+
+def _small(df: DataFrame, texts: Sequence[str], limit: int) -> DataFrame:
+    """``df``, to be broadcast if its measured rows and the characters of ``texts`` stay under ``limit``."""
+    chars = F.lit(0)
+    for c in texts:
+        chars = chars + F.coalesce(F.length(c), F.lit(0))
+    n, total = df.agg(F.count(F.lit(1)), F.sum(chars)).first()
+    return F.broadcast(df) if ROW_BYTES * n + 4 * (total or 0) <= limit else df
+
+
 def member_activity_table(cards: DataFrame, members: DataFrame, columns: Sequence[str] = GOLD_A,
                           members_col: str = "card_members", date_col: str = "dateLastActivity",
                           probe_bytes: int = PROBE_BYTES) -> DataFrame:
@@ -130,25 +156,24 @@ def member_activity_table(cards: DataFrame, members: DataFrame, columns: Sequenc
     dtype = cards.schema[date_col].dataType
     rows = _member_rows(members, isinstance(dtype, TimestampNTZType))
     pieces = stored(member_pieces(rows), "member-pieces")
-    sizes = sorted(r[0] for r in pieces.select(F.length("piece")).distinct().collect())  # Q + 1 numbers at most
+    sizes = sorted(r[0] for r in pieces.select(F.length("piece")).distinct().collect())  # a few of SIZES
     chosen = stored(rarest_pieces(pieces, cards, members_col, sizes or [0]), "member-probes")
-    probes = rows.join(chosen, ["member", "match"]).select(*[F.col(c).alias(f"__{c}") for c in (*rows.columns, "piece")])
-    n, chars = chosen.join(rows, ["member", "match"]).agg(
-        F.count(F.lit(1)), F.sum(F.length("member") + F.coalesce(F.length("report"), F.lit(0)))).first()
-    if ROW_BYTES * n + 4 * (chars or 0) <= probe_bytes:
-        probes = F.broadcast(probes)
+    texts = chosen.select(*[F.col(c).alias(f"__{c}") for c in ("member", "match", "piece")])
+    probes = rows.join(chosen.select("member", "match"), ["member", "match"])
 
     wanted = list(dict.fromkeys([*columns, members_col, date_col]))
-    cut = cards.where(F.col(members_col).isNotNull()).select(
-        *wanted, F.explode(card_pieces(F.col(members_col), sizes or [0])).alias("__card_piece"))
-    met = cut.join(probes, F.col("__card_piece") == F.col("__piece"))
+    met = met_cards(cards, _small(texts, ["__member"], probe_bytes), wanted, members_col, sizes or [0])
     text, member = F.col(members_col), F.col("__member")
     matches = F.when(F.col("__match") == "contains", F.contains(text, member)).otherwise(
         F.like(text, F.concat(F.lit("%"), member, F.lit("%"))))
+    # Named anew, so that the join below compares the members' columns to the cards'.
+    reports = _small(probes.select(*[F.col(c).alias(f"__{c}_of" if c in ("member", "match") else f"__{c}") for c in rows.columns]),
+                     ["__member_of", "__report"], probe_bytes)
+    met = met.where(matches).join(reports, (member == F.col("__member_of")) & (F.col("__match") == F.col("__match_of")))
     ts = _as_timestamp(dtype, date_col)
     moved = F.from_utc_timestamp(ts, F.col("__tz"))
     ts = F.when(F.col("__tz").isNull(), ts).otherwise(moved.cast("timestamp_ntz") if isinstance(dtype, TimestampNTZType) else moved)
     lo, hi, bounds = F.col("__lo"), F.col("__hi"), F.col("__bounds")
     inside = ((ts > lo) | ((bounds != "open_ts") & (ts == lo))) & ((ts < hi) | ((bounds == "closed_ts") & (ts == hi)))
-    return met.where(matches & (lo.isNull() | inside)).select(
+    return met.where(lo.isNull() | inside).select(
         F.col("__report").alias("report"), member.alias("member"), *[F.col(c) for c in columns])

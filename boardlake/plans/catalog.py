@@ -390,7 +390,7 @@ def member_rows(spark, d):
 
 
 def q_activity_member_table(spark, d):
-    """The reports of a members table, joined to the cards by their rarest three characters."""
+    """The reports of a members table, joined to the cards by their rarest characters."""
     cards = stored(si.unique(spark, d), "unique-cards")
     return member_activity_table(cards, member_rows(spark, d), GOLD_A)
 

@@ -115,3 +115,22 @@ def test_report_job_from_a_members_table(spark, tmp_path):
     specs = [s for s in all_specs() if usable(s)]
     P.gold_member_table(spark, root, specs_table(spark, specs))
     assert rows(read_table(spark, root, P.GOLD_REPORTS)) == one_by_one(cards_of(spark), specs)
+
+
+def test_numbered_names_meet_the_cards_that_match_alone(spark):
+    n = 3000
+    cards = spark.range(n).select(F.concat_ws(", ", *[F.format_string("Person#%09d", F.pmod(F.col("id") * k + k, F.lit(n))) for k in (1, 7, 31)])
+                                  .alias("card_members")).cache()
+    part = F.pmod("id", F.lit(3))
+    text = F.format_string("Person#%09d", "id")
+    members = spark.range(n).select(
+        F.col("id").cast("string").alias("report"),
+        F.when(part == 1, F.concat(F.lit("son#%"), F.right(text, F.lit(4)))).otherwise(text).alias("member"),
+        F.when(part == 1, "like").otherwise("contains").alias("match"))
+    pieces = mt.member_pieces(mt._member_rows(members, False)).cache()
+    sizes = sorted(r[0] for r in pieces.select(F.length("piece")).distinct().collect())
+    chosen = mt.rarest_pieces(pieces, cards, "card_members", sizes)
+    pairs = cards.select(F.explode(mt.card_pieces(F.col("card_members"), sizes)).alias("piece")).join(chosen, "piece").count()
+    matching = cards.join(members, F.when(F.col("match") == "like", F.expr("card_members LIKE concat('%', member, '%')")).otherwise(
+        F.expr("contains(card_members, member)"))).count()
+    assert matching <= pairs <= 2 * matching  # four times as many with three characters each
