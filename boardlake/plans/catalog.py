@@ -439,14 +439,15 @@ def q_medallion_e2e(spark, d):
     """All layers: card and member JSON text -> typed bronze -> bronze upsert of
     a later batch -> silver of all boards, then of one board upserted into it
     -> newest card per name -> one member's gold table."""
-    landed = parse_cards_column(si.cards_json(spark, d), "value")
-    members = parse_members_column(si.members_json(spark, d), "value")
+    # Typed bronze is read three times, members twice: both are parsed once.
+    landed = stored(parse_cards_column(si.cards_json(spark, d), "value"), "landed-cards")
+    members = stored(parse_members_column(si.members_json(spark, d), "value"), "landed-members")
     boards = si.boards(spark, d)
-    stored = landed.where(F.col("dateLastActivity") < F.lit(UPSERT_TARGET_BEFORE).cast("timestamp"))
+    held = landed.where(F.col("dateLastActivity") < F.lit(UPSERT_TARGET_BEFORE).cast("timestamp"))
     batch = landed.where(F.col("dateLastActivity") >= F.lit(UPSERT_SOURCE_FROM).cast("timestamp")).withColumn(
         "name", F.when(F.col("closed"), F.concat("name", F.lit(" (closed)"))).otherwise(F.col("name")))
-    bronze = upsert(stored, batch, ["id"], keys_not_null=True)
-    yesterday = refine_cards(stored, members, boards=boards)
+    bronze = upsert(held, batch, ["id"], keys_not_null=True)
+    yesterday = refine_cards(held, members, boards=boards)
     today = refine_cards(bronze, members, board=BOARD, boards=boards)
     silver = upsert(yesterday, today, ["id"], keys_not_null=True)
     return member_activity(unique_cards(silver), MEMBER, E2E_START, E2E_END, "contains", "closed_ts", GOLD_A)
