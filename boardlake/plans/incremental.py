@@ -20,7 +20,7 @@ from pyspark.sql.types import MapType
 from boardlake.operators.members import card_member_pairs
 from boardlake.operators.refine import refine_cards
 from boardlake.plans import pipeline as P
-from boardlake.sources.scratch import stored
+from boardlake.sources.scratch import broadcast_if_small, stored
 from boardlake.sources.tables import (BUCKET, bucket_count, bucket_paths, committed_versions, latest_version, read_table,
                                       write_snapshot)
 
@@ -66,6 +66,7 @@ def changed_keys(spark: SparkSession, root: str, name: str, since: int, until: i
 def affected_cards(cards: DataFrame, changed: DataFrame, members: DataFrame, boards: DataFrame) -> DataFrame:
     """Distinct ids of ``cards`` that changed, hold one of ``members(id)``, or are on one of ``boards(id)``."""
     pairs = card_member_pairs(cards)
+    members, boards = (broadcast_if_small(x.select("id"), ["id"]) for x in (members, boards))
     by_member = pairs.join(members.select(F.col("id").alias("__m")), F.col("__member_id") == F.col("__m"), "left_semi")
     by_board = cards.join(boards.select(F.col("id").alias("__b")), F.col("idBoard") == F.col("__b"), "left_semi")
     return changed.select("id").union(by_member.select(F.col("__card_id").alias("id"))).union(by_board.select("id")).distinct()
