@@ -34,9 +34,9 @@ from boardlake.functions.dates import BOUNDS, _as_timestamp, parse_bound
 from boardlake.functions.text import MATCHES
 from boardlake.operators.activity import MemberSpec
 from boardlake.schemas import GOLD_A
-from boardlake.sources.scratch import stored
+from boardlake.sources.scratch import broadcast_if_small, stored
 
-#: Characters of a piece; those that a run needs beside longer ones; bytes (ROW_BYTES a row and 4 a character) up to which probes are broadcast.
+#: Characters of a piece; those that a run needs beside longer ones; bytes (ROW_BYTES a row and those of the texts) up to which probes are broadcast.
 SIZES, Q, PROBE_BYTES, ROW_BYTES = (0, 1, 2, 3, 4, 8, 16), 3, 64 << 20, 300
 
 MEMBER_TABLE = ("report string, member string, match string, bounds string, "
@@ -129,15 +129,6 @@ def met_cards(cards: DataFrame, texts: DataFrame, wanted: Sequence[str], members
     return cut.join(texts, F.col("__card_piece") == F.col("__piece")).drop("__card_piece", "__piece")
 
 
-def _small(df: DataFrame, texts: Sequence[str], limit: int) -> DataFrame:
-    """``df``, to be broadcast if its measured rows and the characters of ``texts`` stay under ``limit``."""
-    chars = F.lit(0)
-    for c in texts:
-        chars = chars + F.coalesce(F.length(c), F.lit(0))
-    n, total = df.agg(F.count(F.lit(1)), F.sum(chars)).first()
-    return F.broadcast(df) if ROW_BYTES * n + 4 * (total or 0) <= limit else df
-
-
 def member_activity_table(cards: DataFrame, members: DataFrame, columns: Sequence[str] = GOLD_A,
                           members_col: str = "card_members", date_col: str = "dateLastActivity",
                           probe_bytes: int = PROBE_BYTES) -> DataFrame:
@@ -162,13 +153,13 @@ def member_activity_table(cards: DataFrame, members: DataFrame, columns: Sequenc
     probes = rows.join(chosen.select("member", "match"), ["member", "match"])
 
     wanted = list(dict.fromkeys([*columns, members_col, date_col]))
-    met = met_cards(cards, _small(texts, ["__member"], probe_bytes), wanted, members_col, sizes or [0])
+    met = met_cards(cards, broadcast_if_small(texts, ["__member"], probe_bytes, ROW_BYTES), wanted, members_col, sizes or [0])
     text, member = F.col(members_col), F.col("__member")
     matches = F.when(F.col("__match") == "contains", F.contains(text, member)).otherwise(
         F.like(text, F.concat(F.lit("%"), member, F.lit("%"))))
     # Named anew, so that the join below compares the members' columns to the cards'.
-    reports = _small(probes.select(*[F.col(c).alias(f"__{c}_of" if c in ("member", "match") else f"__{c}") for c in rows.columns]),
-                     ["__member_of", "__report"], probe_bytes)
+    reports = broadcast_if_small(probes.select(*[F.col(c).alias(f"__{c}_of" if c in ("member", "match") else f"__{c}") for c in rows.columns]),
+                                 ["__member_of", "__report"], probe_bytes, ROW_BYTES)
     met = met.where(matches).join(reports, (member == F.col("__member_of")) & (F.col("__match") == F.col("__match_of")))
     ts = _as_timestamp(dtype, date_col)
     moved = F.from_utc_timestamp(ts, F.col("__tz"))

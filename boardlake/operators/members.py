@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boardlake.schemas import MEMBER_NAME_SEPARATOR
+from boardlake.sources.scratch import broadcast_if_small
 
 _CID = "__card_id"
 _MID = "__member_id"
@@ -33,10 +34,10 @@ def names_per_card(pairs: DataFrame, members: DataFrame, member_id: str = "id",
     """``(card id, card_members)`` for every card with at least one known member.
 
     ``pairs`` may repeat a (card, member) pair; it counts once.  Members
-    whose name is null are matched but contribute no name.  The join
-    shuffles on member id; AQE turns it into a broadcast when the measured
-    member side is small, and splits a skewed (very popular) member
-    otherwise.  ``collect_set`` deduplicates map-side, so a card's group is
+    whose name is null are matched but contribute no name.  The members
+    are measured first and broadcast when they are small: AQE would learn that
+    only after the pairs, many times as many, are shuffled too.  Otherwise the
+    join shuffles on member id, and AQE splits a skewed (very popular) member.  ``collect_set`` deduplicates map-side, so a card's group is
     bounded by its number of distinct members.
     """
     m = members.select(F.col(member_id).alias(_MID), F.col(member_name).alias(_MNAME))
@@ -44,7 +45,7 @@ def names_per_card(pairs: DataFrame, members: DataFrame, member_id: str = "id",
     # all such pairs from forming one hot group.
     p = (pairs.select(F.col(pair_card).alias(_CID), F.col(pair_member).alias(_MID))
          .where(F.col(_CID).isNotNull()))
-    matched = p.join(m, on=_MID, how="inner")
+    matched = p.join(broadcast_if_small(m, [_MID, _MNAME]), on=_MID, how="inner")
     entries = F.array_sort(F.collect_set(F.struct(F.col(_MNAME).alias("n"), F.col(_MID).alias("m"))))
     names = F.array_join(F.transform(entries, lambda e: e["n"]), MEMBER_NAME_SEPARATOR)
     return matched.groupBy(_CID).agg(names.alias("card_members"))

@@ -20,7 +20,7 @@ from boardlake.plans import pipeline as P
 from boardlake.plans import standins as si
 from boardlake.plans.incremental import refine_changes
 from boardlake.sources.drift import drift_report, promote
-from boardlake.sources.scratch import scratch_path
+from boardlake.sources.scratch import scratch_path, stored
 from boardlake.sources.tables import prune_versions, read_table, write_snapshot
 from boardlake.sources.zorder import optimize
 from boardlake.streaming.idle import RECORD, idle_now, log_idle
@@ -43,7 +43,7 @@ def second_day(cards: DataFrame) -> DataFrame:
 
 
 def _json(df: DataFrame, path: str) -> None:
-    df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode("append").text(path)
+    df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode("append").option("compression", "gzip").text(path)
 
 
 def land_cards(cards: DataFrame, path: str) -> None:
@@ -52,9 +52,9 @@ def land_cards(cards: DataFrame, path: str) -> None:
 
 def cards_of_days(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Cards with text ids and members, as landed on the first day and on the second."""
-    first = si.cards_with_members(spark, d).select(
+    first = stored(si.cards_with_members(spark, d).select(
         F.col("id").cast("string").alias("id"), "closed", "dateLastActivity", "idBoard", "idList", "name",
-        F.transform("idMembers", lambda m: m.cast("string")).alias("idMembers"))
+        F.transform("idMembers", lambda m: m.cast("string")).alias("idMembers")), "cards-of-days")
     return first, second_day(first)
 
 

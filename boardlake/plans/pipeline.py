@@ -159,7 +159,7 @@ def ingest_bronze(spark: SparkSession, landing: str | list[str], root: str, kind
     good = staged.where("NOT __bad").drop("__bad", CORRUPT, FAILURES)
     version = merge_into(spark, root, table, good, ["id"], order_by=newest_first(kind),
                          cluster_by=CLUSTER.get(table), plan=plan, drop=tuple(LANDED),
-                         buckets=_buckets(spark, root, table, buckets))
+                         buckets=_buckets(spark, root, table, buckets), is_stored=True)
     delete_parts(spark, root, f"staged_{kind}", [run])
     return version
 
@@ -209,11 +209,6 @@ def _board(spark: SparkSession, root: str, board: str | None, pick: str) -> Data
     return boards.where(F.col("id") == F.lit(board)).select("id", "name")
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the cluster's checkpoint folder when one is set."""
-    return df.checkpoint(eager=True) if df.sparkSession.sparkContext.getCheckpointDir() else df
-
-
 def cards_of_board(cards: DataFrame, board: DataFrame, buckets: int) -> DataFrame:
     """Cards of the one-row ``board``, read from its bucket alone.
 
@@ -255,17 +250,21 @@ def refine_silver(spark: SparkSession, root: str, board: str | None = None,
 
 
 def merge_refined(spark: SparkSession, root: str, refined: DataFrame, buckets: int | None = None) -> int:
-    """Upsert refined cards into silver and log the names whose newest card they can change."""
-    refined = _checkpointed(refined)
-    previous = read_table(spark, root, SILVER_CARDS)
-    touched = refined.select("name")
+    """Upsert refined cards into silver and log the names whose newest card they can change.
+
+    A first version is merged as it is refined, still dealt out by id, and its
+    names are those of the version; later batches are stored and read again.
+    """
+    previous, cut = read_table(spark, root, SILVER_CARDS), _buckets(spark, root, SILVER_CARDS, buckets)
     if previous is not None:
-        ids = refined.select("id")
-        touched = touched.unionByName(previous.join(ids, "id", "left_semi").select("name"))
-    touched = _checkpointed(touched.distinct())
-    version = merge_into(spark, root, SILVER_CARDS, refined, ["id"], cluster_by=CLUSTER[SILVER_CARDS],
-                         buckets=_buckets(spark, root, SILVER_CARDS, buckets))
-    log = touched.withColumn("silver_version", F.lit(version).cast("long"))
+        refined = stored(refined, "refined")
+    version = merge_into(spark, root, SILVER_CARDS, refined, ["id"], cluster_by=CLUSTER[SILVER_CARDS], buckets=cut,
+                         is_stored=previous is not None)
+    if previous is None:
+        touched = read_table(spark, root, SILVER_CARDS).select("name")
+    else:
+        touched = refined.select("name").unionByName(previous.join(refined.select("id"), "id", "left_semi").select("name"))
+    log = touched.distinct().withColumn("silver_version", F.lit(version).cast("long"))
     earlier = read_table(spark, root, SILVER_CHANGES)
     if earlier is not None:
         log = earlier.unionByName(log)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from boardlake.sources.scratch import stored
+from boardlake.sources.scratch import CODEC, broadcast_if_small, stored
 from boardlake.sources.widening import common_type, widened
 
 _PREFIX = "version="
@@ -217,7 +217,7 @@ def write_snapshot(df: DataFrame, root: str, name: str, merge_schema: bool = Tru
     if cluster_by:
         df = df.sortWithinPartitions(*cluster_by)
     version = 1 if newest is None else newest + 1
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").option("compression", CODEC)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     with timestamps_with_statistics(spark):
@@ -230,18 +230,19 @@ def write_buckets(df: DataFrame, root: str, name: str, by: list[str], n: int, to
     """New version of a table in ``n`` buckets by ``by``; returns the version number.
 
     ``touched`` names the buckets that ``df`` holds all rows of; other
-    buckets stay as they are.  Without it ``df`` is the whole table.  Rows are
-    dealt out by bucket, so a bucket is one file, or several of AQE's advisory
-    size.  The version counts once its ``_SUCCESS`` is there, which is put
+    buckets stay as they are.  Without it ``df`` is the whole table.  Rows stay in
+    the tasks of the merge and are not dealt out again, so a bucket has a file
+    of each task that holds rows of it; AQE bounds the tasks by the size of the
+    data.  The version counts once its ``_SUCCESS`` is there, which is put
     last, when all files and markers are in place.
     """
     spark, column = df.sparkSession, f"{_BUCKET}{n}"
     version = (latest_version(spark, root, name) or 0) + 1
     path = version_path(root, name, version)
-    rows = df.withColumn(column, bucket_of(by, n)).hint("rebalance", column)
+    rows = df.withColumn(column, bucket_of(by, n))
     if cluster_by:
         rows = rows.sortWithinPartitions(column, *cluster_by)
-    writer = rows.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    writer = rows.write.mode("overwrite").option("compression", CODEC).option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
     with timestamps_with_statistics(spark):
         writer.partitionBy(column).parquet(path)
     fs, folder = _fs_and_path(spark, path)
@@ -261,10 +262,23 @@ def _touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+def _first_rows(source: DataFrame, keys: list[str], order_by, drop: tuple[str, ...]) -> DataFrame | None:
+    """The newest row per key of a stored source, dealing out by key only the rows of repeated keys; None if those are many."""
+    from boardlake.operators.dedupe import latest_per_key
+    from boardlake.operators.upsert import _checked_keys
+    source = _checked_keys(source, keys)
+    repeated = stored(source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(*keys), "repeated-keys")
+    few = broadcast_if_small(repeated, keys)
+    if few is repeated:
+        return None
+    newest = latest_per_key(source.join(few, keys, "left_semi"), keys, order_by)
+    return source.join(few, keys, "left_anti").select(*source.columns).unionByName(newest).drop(*drop)
+
+
 def merge_into(spark: SparkSession, root: str, name: str, source: DataFrame, keys,
                order_by=None, keep_newer: str | None = None,
                cluster_by: list[str] | None = None, plan: str = "shuffle",
-               drop: tuple[str, ...] = (), buckets: tuple[list[str], int] | None = None) -> int:
+               drop: tuple[str, ...] = (), buckets: tuple[list[str], int] | None = None, is_stored: bool = False) -> int:
     """Upsert ``source`` into table ``name`` and commit a new version.
 
     :func:`boardlake.operators.upsert.upsert` against the latest snapshot,
@@ -274,10 +288,19 @@ def merge_into(spark: SparkSession, root: str, name: str, source: DataFrame, key
 
     With ``buckets``, (columns, count), the table is cut into buckets and only
     those are read and written that hold, or get, a row of the source.
+    ``is_stored`` says that the source is a stored table, cheap to read again.
+
+    A first version of a stored source is written as it is read but for the
+    rows of keys that it repeats, if those keys are few.
     """
     from boardlake.operators.dedupe import latest_per_key
     from boardlake.operators.upsert import empty_like, upsert
     keys = list(keys)
+    if is_stored and order_by and latest_version(spark, root, name) is None:
+        first = _first_rows(source, keys, order_by, drop)
+        if first is not None:
+            return write_buckets(first, root, name, *buckets, cluster_by=cluster_by) if buckets else \
+                write_snapshot(first, root, name, cluster_by=cluster_by)
     if drop:
         source, order_by = latest_per_key(source, keys, order_by).drop(*drop), None
     target = read_table(spark, root, name, keep_bucket=bool(buckets))
@@ -294,13 +317,13 @@ def merge_into(spark: SparkSession, root: str, name: str, source: DataFrame, key
     if order_by:
         source = latest_per_key(source, keys, order_by)
     # The batch is read three times: for its buckets, for its keys, and to be merged.
-    source = stored(source, f"batch-{name}")
-    touched = source.select(bucket_of(by, n).alias(BUCKET))
-    if not set(by) <= set(keys):
+    source = source if is_stored and not order_by else stored(source, f"batch-{name}")
+    touched = {r[0] for r in source.select(bucket_of(by, n)).distinct().collect()}  # ``n`` numbers at most
+    if not set(by) <= set(keys) and not touched >= bucket_paths(spark, root, name, latest_version(spark, root, name)).keys():
         # A row may have moved to another bucket: those of the stored rows count too (key and bucket alone are read).
         held = target.select(BUCKET, *keys).join(source.select(*keys), keys, "left_semi")
-        touched = touched.union(held.select(BUCKET))
-    touched = sorted(r[0] for r in touched.distinct().collect())  # ``n`` numbers at most
+        touched |= {r[0] for r in held.select(BUCKET).distinct().collect()}
+    touched = sorted(touched)
     if not touched:
         return latest_version(spark, root, name)
     part = target.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
@@ -310,7 +333,7 @@ def merge_into(spark: SparkSession, root: str, name: str, source: DataFrame, key
 
 def write_part(df: DataFrame, root: str, name: str, key: str) -> None:
     """Write part ``key`` of log ``name``, replacing only that part."""
-    df.write.mode("overwrite").parquet(f"{table_path(root, name)}/{_PART}{key}")
+    df.write.mode("overwrite").option("compression", CODEC).parquet(f"{table_path(root, name)}/{_PART}{key}")
 
 
 def parts(spark: SparkSession, root: str, name: str) -> list[str]:
